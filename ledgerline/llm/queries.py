@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import token_store
+from . import language_id, token_store
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_language_id": language_id.op2_language_id,
         "op7_token_store": token_store.op7_token_store,
     }
 
