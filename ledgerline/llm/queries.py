@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, token_store
+from . import language_id, quality, token_store
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_language_id": language_id.op2_language_id,
+        "op5_quality": quality.op5_quality,
         "op7_token_store": token_store.op7_token_store,
     }
 
