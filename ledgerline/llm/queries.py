@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, quality, token_store
+from . import chat, language_id, quality, secrets, token_store
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_language_id": language_id.op2_language_id,
+        "op3_chat_format": chat.op3_chat_format,
         "op5_quality": quality.op5_quality,
+        "op6_secrets": secrets.op6_secrets,
         "op7_token_store": token_store.op7_token_store,
     }
 
