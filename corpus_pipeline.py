@@ -15,6 +15,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies the stages to documents, writing what each returns and reading it again."""
+    common.ship(spark)
     docs = common.documents(spark, sf_dir)
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

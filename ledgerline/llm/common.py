@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +32,26 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once for each application, so that their Python
+    finds it wherever the driver was started."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    _shipped.add(application)
+    top = Path(__file__).resolve().parents[1]
+    folder = tempfile.mkdtemp(prefix="ledgerline-")  # the driver serves the file from here until it ends
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = f"{folder}/{top.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(top.rglob("*.py")):
+            z.write(f, f.relative_to(top.parent))
+    spark.sparkContext.addPyFile(archive)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path for a table or a file that no other run uses."""
     return f"{shared_dir(spark)}/ledgerline/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
@@ -94,10 +117,13 @@ def split_words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").lower().split()
 
 
+def ids_of(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+
+
 def word_ids(text: str | None) -> np.ndarray:
     """A 64-bit hash for each word of the text, in order."""
-    words = split_words(text)
-    return np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    return ids_of(split_words(text))
 
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -135,6 +161,6 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def code_point_crc(column: str):
+def crc_of(column: str):
     """crc32 of a column as text."""
     return F.crc32(F.col(column).cast("string").cast("binary"))

@@ -166,6 +166,6 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = common.documents(spark, sf_dir).withColumn("held_out", F.coalesce(F.pmod(common.code_point_crc("doc_id"), F.lit(3)) == 1, F.lit(False)))
+    docs = common.documents(spark, sf_dir).withColumn("held_out", F.coalesce(F.pmod(common.crc_of("doc_id"), F.lit(3)) == 1, F.lit(False)))
     model = fit(docs.where(~F.col("held_out")).select("doc_id", "text", "lang"))
     return predict(docs.select("doc_id", "held_out", "text"), model, ["doc_id", "held_out"])

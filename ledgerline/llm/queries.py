@@ -2,21 +2,33 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, language_id, quality, secrets, token_store
+from . import chat, common, decontaminate, language_id, quality, secrets, token_store
+
+
+def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        common.ship(spark)
+        return query(spark, sf_dir)
+
+    return run
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    found = {
         "op2_language_id": language_id.op2_language_id,
         "op3_chat_format": chat.op3_chat_format,
         "op5_quality": quality.op5_quality,
         "op6_secrets": secrets.op6_secrets,
         "op7_token_store": token_store.op7_token_store,
+        "op9_decontaminate": decontaminate.op9_decontaminate,
     }
+    return {name: shipped(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
