@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, common, decontaminate, language_id, mixing, quality, secrets, token_store
+from . import chat, common, decontaminate, language_id, mixing, pages, quality, secrets, token_store
 
 
 def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -22,6 +22,7 @@ def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
         "op1_mixing": mixing.op1_mixing,
+        "op10_main_text": pages.op10_main_text,
         "op2_language_id": language_id.op2_language_id,
         "op3_chat_format": chat.op3_chat_format,
         "op5_quality": quality.op5_quality,
