@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, common, decontaminate, language_id, mixing, pages, quality, secrets, token_store
+from . import chat, common, decontaminate, language_id, mixing, pages, quality, secrets, token_store, vectors
 
 
 def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -28,6 +28,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_quality": quality.op5_quality,
         "op6_secrets": secrets.op6_secrets,
         "op7_token_store": token_store.op7_token_store,
+        "op8_near_vectors": vectors.op8_near_vectors,
         "op9_decontaminate": decontaminate.op9_decontaminate,
     }
     return {name: shipped(query) for name, query in found.items()}
