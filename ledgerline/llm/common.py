@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
@@ -66,6 +67,18 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Smaller Arrow batches for what runs inside, so that a task holds fewer texts at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before) if int(before) > 0 else rows)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def forget(df: DataFrame) -> None:
     """Deletes the files of a table from saved() that nothing will read any more."""
     jvm = df.sparkSession.sparkContext._jvm

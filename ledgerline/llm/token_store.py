@@ -14,6 +14,8 @@ empty store, and reading that gives no rows. Other columns of the input are igno
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -24,10 +26,15 @@ from pyspark.sql import functions as F
 
 from . import common
 
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+
 #: A block is closed once it holds so many ids.
 BLOCK_IDS = 1 << 16
-#: A worker forgets the ids of word pieces beyond so many.
-PIECE_CACHE = 300_000
+#: A worker remembers the ids of about so many pieces that it met in two groups of texts, and
+#: for a while those of so many that it met in one.
+PIECE_CACHE, RECENT_CACHE = 250_000, 200_000
+#: Texts are encoded in groups of about so many characters.
+GROUP_CHARS = 1 << 20
 
 STORE = "shard int, block int, bits int, before long, n_ids long, min_doc long, max_doc long, doc_ids array<long>, starts array<long>, packed binary"
 _STORE = pa.schema(
@@ -73,13 +80,18 @@ def unpack(packed: bytes, bits: int, start: int, stop: int) -> np.ndarray:
     return out.T.reshape(-1)[start - first * 64 : stop - first * 64]
 
 
+#: A stop or comma that was cut off, but not from a letter or digit: signs in a row stay together.
+_RUN_OF_SIGNS = re.compile(r"\x00[.,](?<=[\W_]\x00.)")
+
+
 class Encoder:
-    """The ids of a text, as the tokenizer file gives them, in little-endian 32 bits.
+    """The ids of texts, as the tokenizer file gives them, in little-endian 32 bits.
 
     A byte-level pre-tokenizer never joins two letters, digits or signs across a single space
     or a single line feed between them: the space opens the next piece and the line feed is a
-    piece of its own. So texts without other white space are cut there, the tokenizer encodes
-    each different piece once, and ids are looked up. Any other text goes to it whole.
+    piece of its own. So texts without other white space are cut there and put together from
+    the ids of their pieces. The tokenizer encodes the pieces that are not remembered, many at
+    a time as lines of one text. Any other text goes to it whole.
     """
 
     def __init__(self, path: str):
@@ -88,48 +100,85 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.size = self.tokenizer.get_vocab_size()
-        self.cuts = self._byte_level()
-        self.bare, self.spaced = _Pieces(self, ""), _Pieces(self, " ")
-
-    def _byte_level(self) -> bool:
         kind = self.tokenizer.pre_tokenizer
-        return type(kind).__name__ == "ByteLevel" and not kind.add_prefix_space and getattr(kind, "use_regex", True) and self.tokenizer.normalizer is None
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def __call__(self, text: str) -> bytes:
-        if not text:
-            return b""
-        lines = text.split("\n")
-        if not self.cuts:
-            return self.whole(text)
-        out = []
-        for k, line in enumerate(lines):
-            if not line or not line.isprintable():
-                return self.whole(text)
-            words = line.split(" ")
-            if "" in words:
-                return self.whole(text)
-            if k:
-                out.append(self.bare["\n"])
-            out.append(self.bare[words[0]])
-            out += map(self.spaced.__getitem__, words[1:])
-        return b"".join(out)
-
-
-class _Pieces(dict):
-    def __init__(self, encoder: Encoder, lead: str):
-        self.encoder, self.lead = encoder, lead
-
-    def __missing__(self, word: str) -> bytes:
-        found = self.encoder.whole(self.lead + word)
-        if len(word) < 64:
-            if len(self) >= PIECE_CACHE:
-                self.clear()
-            self[word] = found
+        plain = type(kind).__name__ == "ByteLevel" and not kind.add_prefix_space and getattr(kind, "use_regex", True) and self.tokenizer.normalizer is None
+        line = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.cuts = plain and len(line) == 1
+        self.line = line[0] if self.cuts else None
+        if self.cuts:
+            from tokenizers import pre_tokenizers
+
+            self.letters = Tokenizer.from_file(path)
+            self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split("\n", "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.recent: dict[str, bytes] = {}
+        self.known = {"\n": np.array(line, "<u4").tobytes()}
+
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, "<u4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    @staticmethod
+    def pieces(text: str) -> list[str] | None:
+        """The text cut at single spaces and line feeds, and before a full stop or comma at the
+        end of a word; None if it has other white space."""
+        if text[:1] in " \n" or text[-1:] in " \n" or "  " in text or "\n\n" in text or " \n" in text or "\n " in text:
+            return None
+        if not text.replace("\n", "").isprintable():
+            return None
+        marked = text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ") + "\x00"
+        finer = marked.replace(".\x00", "\x00.\x00").replace(",\x00", "\x00,\x00")
+        return (marked if _RUN_OF_SIGNS.search(finer) else finer).split("\x00")[:-1]
+
+    def learned(self, pieces: list[str]) -> dict[str, bytes]:
+        """The ids of different pieces. A run of letters stays whole in the pre-tokenizer, so
+        such pieces do without its regular expression, which takes most of the time."""
+        letters = [p for p in pieces if p.isalpha() or p[1:].isalpha() and p[0] == " "]
+        rest = list(set(pieces).difference(letters))
+        return self.lines(self.letters, letters) | self.lines(self.tokenizer, rest)
+
+    def lines(self, tokenizer, pieces: list[str]) -> dict[str, bytes]:
+        """The ids of different pieces, encoded as the lines of one text."""
+        found: dict[str, bytes] = {}
+        for k in range(0, len(pieces), 4096):
+            own = pieces[k : k + 4096]
+            ids = np.array(tokenizer.encode_batch_fast(["\n".join(own)], add_special_tokens=False)[0].ids, "<u4")
+            at = (np.flatnonzero(ids == self.line) * 4).tolist()
+            if len(at) != len(own) - 1:
+                raise ValueError("the tokenizer joins lines")
+            joined = ids.tobytes()
+            found.update((p, joined[a + 4 : b]) for p, a, b in zip(own, [-4, *at], [*at, len(joined)], strict=True))
         return found
 
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        cuts = [self.pieces(t) if self.cuts and t else None for t in texts]
+        known, recent = self.known, self.recent
+        missing = set().union(*filter(None, cuts)).difference(known)
+        again = {p: recent[p] for p in missing.intersection(recent)}
+        new = self.learned(list(missing.difference(again)))
+        known |= again
+        known |= new
+        out = [b"" if c is None else b"".join(map(known.__getitem__, c)) for c in cuts]
+        odd = [k for k, c in enumerate(cuts) if c is None and texts[k]]
+        for k, ids in zip(odd, self.whole([texts[k] for k in odd]), strict=True):
+            out[k] = ids.tobytes()
+        for p in new if len(known) - len(new) < PIECE_CACHE else missing:
+            del known[p]
+        if len(recent) >= RECENT_CACHE:
+            recent.clear()
+        recent |= {p: x for p, x in new.items() if len(p) < 32}
+        return out
+
+
+def groups(texts: list[str | None], limit: int = GROUP_CHARS) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbouring texts with about limit characters together."""
+    first = held = 0
+    for k, t in enumerate(texts):
+        held += len(t or "")
+        if held >= limit:
+            yield first, k + 1
+            first, held = k + 1, 0
+    if first < len(texts):
+        yield first, len(texts)
+
 
 _encoders: dict[str, Encoder] = {}
 
@@ -164,22 +213,24 @@ def write(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 0, voca
             return common.batch(_STORE, [shard], [block], [bits], [before], [held], [min(known, default=None)], [max(known, default=None)], [names], [starts], [packed])
 
         for table in batches:
-            for name, text in zip(*common.batches_of(table, "doc_id", "text"), strict=True):
-                one = encode(text or "") + end
-                names.append(name)
-                starts.append(held)
-                ids.append(one)
-                held += len(one) // 4
-                if held >= block_ids:
-                    yield closed()
-                    before, block, held = before + held, block + 1, 0
-                    ids, names, starts = [], [], []
+            found, texts = common.batches_of(table, "doc_id", "text")
+            for a, b in groups(texts):
+                for name, one in zip(found[a:b], encode([t or "" for t in texts[a:b]]), strict=True):
+                    names.append(name)
+                    starts.append(held)
+                    ids.append(one + end)
+                    held += len(one) // 4 + 1
+                    if held >= block_ids:
+                        yield closed()
+                        before, block, held = before + held, block + 1, 0
+                        ids, names, starts = [], [], []
         if names:
             yield closed()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ordered = rows.repartitionByRange(common.shuffle_parts(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(blocks, STORE).write.option("compression", "none").parquet(path)
+    with common.batch_rows(docs.sparkSession, 500):
+        ordered.mapInArrow(blocks, STORE).write.option("compression", "none").parquet(path)
 
 
 def shard_starts(store: DataFrame) -> DataFrame:
