@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, common, decontaminate, language_id, mixing, pages, quality, secrets, token_store, vectors
+from . import chat, common, decontaminate, language_id, mixing, ngram_join, pages, quality, secrets, token_store, vectors
 
 
 def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -25,6 +25,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_main_text": pages.op10_main_text,
         "op2_language_id": language_id.op2_language_id,
         "op3_chat_format": chat.op3_chat_format,
+        "op4_ngram_join": ngram_join.op4_ngram_join,
         "op5_quality": quality.op5_quality,
         "op6_secrets": secrets.op6_secrets,
         "op7_token_store": token_store.op7_token_store,
