@@ -1,15 +1,29 @@
-"""The corpus pipeline: documents in, packed token ids out."""
+"""The corpus pipeline: documents in, packed token ids out.
+
+Quality, near duplicates, decontamination, mixing and token output, in this order. Each stage
+works on all that the one before it kept. Every stage but the last returns the columns of
+documents; the last returns where each document's ids are in the token store that it wrote.
+
+Nulls and odd input: as each operator's docstring says. Documents without text go in the first
+stage; of documents that repeat a doc_id with one text, the rows stay together through the
+first three stages; the mix may repeat a document's row up to three times.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import common, token_store
+from ledgerline.llm import common, decontaminate, mixing, ngram_join, quality, token_store
 
 STAGES = [
-    ("tokens", lambda spark, docs, sf_dir: token_store.encoded(spark, docs)),
+    ("quality", quality.stage),
+    ("near_duplicates", ngram_join.stage),
+    ("decontamination", decontaminate.stage),
+    ("mixing", mixing.stage),
+    ("tokens", token_store.stage),
 ]
 
+#: No stage but mixing's word counts can be said in SQL; tests hold each against brute force.
 ORACLE_SQL = None
 
 

@@ -229,7 +229,7 @@ def write(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 0, voca
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ordered = rows.repartitionByRange(common.shuffle_parts(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
-    with common.batch_rows(docs.sparkSession, 500):
+    with common.batch_rows(docs.sparkSession, 1000):
         ordered.mapInArrow(blocks, STORE).write.option("compression", "none").parquet(path)
 
 
@@ -286,3 +286,7 @@ def encoded(spark: SparkSession, docs: DataFrame) -> DataFrame:
     path = common.new_path(spark, "tokens")
     write(docs, public_tokenizers.path("byte_bpe_50k.json"), path, end_id=0)
     return read(spark, path, digest=True)
+
+
+def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return encoded(spark, docs)
