@@ -33,6 +33,8 @@ from . import common
 
 MIN_PAGES = 5
 MIN_SHARE = 0.2
+#: Templates of so many values together are broadcast (8 MB); larger ones are joined by shuffle.
+BROADCAST_VALUES, SALTS = 1_000_000, 32
 
 # HTML's element names, and the words of classes and ids that tell what isn't text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -208,7 +210,13 @@ def templates(found: DataFrame) -> DataFrame:
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page. pages: page_id, url, html."""
     found = common.saved(parsed(pages), "pages")
-    both = found.join(templates(found), "host", "left")
+    cut = common.saved(templates(found), "templates")
+    size = cut.agg(F.coalesce(F.sum(F.size("subtrees") + F.lit(8)), F.lit(0))).first()[0]
+    if size <= BROADCAST_VALUES:
+        both = found.join(F.broadcast(cut), "host", "left")
+    else:  # a host's pages are dealt over SALTS tasks, and its template is sent to each
+        salted = cut.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        both = found.withColumn("salt", F.pmod(F.xxhash64("page_id", "body"), F.lit(SALTS)).cast("int")).join(salted, ["host", "salt"], "left")
     own = F.filter("segments", lambda s: F.col("subtrees").isNull() | ~F.arrays_overlap(s["around"], F.col("subtrees")))
     text = F.array_join(F.transform(own, lambda s: s["text"]), " ")
     return both.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
