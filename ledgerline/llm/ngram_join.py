@@ -43,13 +43,17 @@ from . import common
 from .components import components
 
 SHINGLE = 5
+#: The least l, but for sets that have no more to share.
+SPARE_LEAST = 128
 #: Rounds in which a class is compared with one leader of a tile.
-STAR_ROUNDS = 2
+STAR_ROUNDS = 1
 #: An element counts as hot from this share of the documents; where a task sees fewer
 #: documents than HOT_LEAST with it, it isn't looked at.
 HOT_SHARE, HOT_LEAST = 1 / 256, 16
 #: Representatives that are broadcast at most, to pick their texts; more are joined by shuffle.
 BROADCAST_ROWS = 200_000
+#: Tiles of up to so many classes are compared many at a time.
+SMALL_TILE = 64
 #: Elements that a task holds before it sends them on.
 HELD = 1 << 20
 _HOT = np.int64(1) << 40
@@ -66,8 +70,8 @@ def least_common(n):
 
 
 def spare(n):
-    """l of step 2."""
-    return 1 + n // 10
+    """l of step 2; it never falls as n grows. Short texts are held against each other whole."""
+    return np.maximum(1 + n // 10, np.minimum(least_common(n), SPARE_LEAST))
 
 
 def region_size(n):
@@ -210,7 +214,11 @@ def counted(packed: DataFrame, buckets: int) -> DataFrame:
     hits pass through."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [x for table in batches for x in table.column("packed").to_pylist()]
+        rows = []
+        for table in batches:
+            known = np.array(table.column("kind")) == _HITS
+            rows += table.filter(pa.array(~known)).column("packed").to_pylist()
+            yield table.filter(pa.array(known))
         e, c = unpacked(rows, 2)
         del rows
         order = np.lexsort((c, e))
@@ -227,14 +235,14 @@ def counted(packed: DataFrame, buckets: int) -> DataFrame:
         yield packed_by(bucket_of(c[keep], buckets), _HITS, c[keep], e[keep], many[keep])
 
     parts = common.shuffle_parts(packed.sparkSession)
-    return packed.where(F.col("kind") == _ELEMENTS).repartition(parts, "bucket").mapInArrow(count, PACKED)
+    return packed.repartition(parts, "bucket").mapInArrow(count, PACKED)
 
 
 def tiles(hits: DataFrame, buckets: int) -> DataFrame:
     """tile, class, n, native: the classes that may have a partner, by their rarest shared
     elements and size band. A class is native in its own band's tile and a guest in the next
     larger one's. hits also has rows of kind _SIZES: (class, n)."""
-    schema = pa.schema([("tile", pa.int64()), ("class", pa.int64()), ("n", pa.int64()), ("native", pa.bool_())])
+    schema = pa.schema([("tile", pa.int64()), ("class", pa.int64()), ("n", pa.int64()), ("native", pa.bool_()), ("rank", pa.int64())])
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hit_rows, size_rows = [], []
@@ -261,12 +269,13 @@ def tiles(hits: DataFrame, buckets: int) -> DataFrame:
         pick = np.arange(len(c)) - np.repeat(first, found) < np.repeat(chosen, found)
         c, e, m = c[pick], e[pick], np.repeat(size, found)[pick]
         band = np.searchsorted(EDGES, m, "right")
+        rank = np.repeat(chosen * 1000 // np.maximum(region, 1), found)[pick]
         for native in (True, False):
             tile = common.mixed(e.view(np.uint64) + (band + (not native)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
-            yield common.batch(schema, tile, c, m, np.full(len(c), native))
+            yield common.batch(schema, tile, c, m, np.full(len(c), native), rank)
 
     parts = common.shuffle_parts(hits.sparkSession)
-    return hits.repartition(parts, "bucket").mapInArrow(choose, "tile long, class long, n long, native boolean")
+    return hits.repartition(parts, "bucket").mapInArrow(choose, "tile long, class long, n long, native boolean, rank long")
 
 
 def sizes_packed(classes: DataFrame, buckets: int) -> DataFrame:
@@ -280,21 +289,25 @@ def sizes_packed(classes: DataFrame, buckets: int) -> DataFrame:
 
 
 def bitmap(s: np.ndarray) -> bytes:
-    """Parities of the elements hashed to each bit; as many bits as a power of two over |s|.
-    One of half the size is this one's halves, exclusive-or."""
-    bits = max(64, 1 << int(len(s)).bit_length())
+    """Parities of the elements hashed to each bit; more bits than four times |s|, a
+    power of two. A bitmap of half the size is this one's halves, exclusive-or."""
+    bits = max(64, 4 << int(len(s)).bit_length())
     parity = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(parity.astype(np.uint8), bitorder="little").tobytes()
 
 
+def folded(bits: bytes, width: int) -> np.ndarray:
+    """A bitmap at a smaller size of width bytes."""
+    x = np.frombuffer(bits, np.uint64)
+    while len(x) * 8 > width:
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return x
+
+
 def bits_apart(a: bytes, b: bytes) -> int:
     """Bits in which two bitmaps differ, at the smaller one's size: at most |A - B| + |B - A|."""
-    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-    while len(x) > len(y):
-        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
-    while len(y) > len(x):
-        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
-    return int(np.bitwise_count(x ^ y).sum())
+    width = min(len(a), len(b))
+    return int(np.bitwise_count(folded(a, width) ^ folded(b, width)).sum())
 
 
 def similar(a: bytes, b: bytes, bits_a: bytes, bits_b: bytes) -> bool:
@@ -351,22 +364,74 @@ def near(a: str, b: str):
 
 
 def led_pairs(rows: DataFrame, seed: int) -> DataFrame:
-    """A pair for each class: with one native class of its tiles, in another component."""
-    order = F.xxhash64("class", F.lit(seed))
+    """A pair for each class: with one native class of its tiles, in another component. Of two
+    copies of one text, the one that was changed less shares more with the others, so a tile is
+    led by the class with the most tiles."""
+    order = F.struct(-F.col("rank"), F.xxhash64("class", F.lit(seed)))
     leaders = rows.where("native").groupBy("tile").agg(F.min(F.struct(order.alias("k"), F.col("class").alias("other"), F.col("n").alias("m"), F.col("label").alias("theirs"))).alias("l")).select("tile", "l.*")
     both = rows.join(leaders, "tile").where((F.col("label") != F.col("theirs")) & near("n", "m"))
     return both.groupBy("class").agg(F.min(F.struct("k", "other")).alias("l")).select(F.greatest("class", "l.other").alias("a"), F.least("class", "l.other").alias("b")).distinct()
 
 
-def open_pairs(rows: DataFrame) -> DataFrame:
-    """All pairs of a tile that are in different components, of sizes that allow it, one of
-    them native. In a tile, only classes outside its commonest component are held against all."""
+def open_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs of a tile that are in different components, of sizes that allow it, one of them
+    native, and whose bitmaps don't rule it out. In a tile, only classes outside its commonest
+    component are held against all, as rows of a matrix; no pair leaves the task unless the
+    bits let it. Bitmaps are only sent for tiles of several components."""
     counts = rows.groupBy("tile", "label").agg(F.count("*").alias("k"))
     most = counts.groupBy("tile").agg(F.max(F.struct("k", "label")).alias("top"), F.count("*").alias("labels")).where("labels > 1").select("tile", F.col("top.label").alias("main"))
-    mixed = rows.join(most, "tile")
-    few = mixed.where("label <> main").select("tile", F.col("class").alias("x"), F.col("n").alias("m"), F.col("label").alias("l"), F.col("native").alias("home"))
-    both = few.join(mixed.drop("main"), "tile").where((F.col("l") != F.col("label")) & near("n", "m") & (F.col("home") | F.col("native")))
-    return both.select(F.greatest("class", "x").alias("a"), F.least("class", "x").alias("b")).distinct()
+    mixed = rows.join(most, "tile").join(sets.select("class", "bits"), "class").select("tile", "class", "n", "label", "main", "native", "bits")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = [pa.Table.from_batches([t]) for t in batches if t.num_rows]
+        if not tables:
+            return
+        table = pa.concat_tables(tables)
+        tile, names, n, label, main = (table.column(c).to_numpy() for c in ("tile", "class", "n", "label", "main"))
+        native, bits = np.array(table.column("native").to_pylist(), bool), table.column("bits").to_pylist()
+        order = np.argsort(tile, kind="stable")
+        first = np.flatnonzero(np.concatenate(([True], np.diff(tile[order]) != 0)))
+        size = np.diff(np.append(first, len(order)))
+        own_names, row_of, number = np.unique(names, return_index=True, return_inverse=True)
+        codes = [np.zeros(0, np.int64)]  # pairs as number * classes + lesser number
+
+        def fits(i: np.ndarray, k: np.ndarray) -> np.ndarray:
+            return (label[i] != label[k]) & (5 * n[i] >= 4 * n[k]) & (5 * n[k] >= 4 * n[i]) & (native[i] | native[k])
+
+        def add(i: np.ndarray, k: np.ndarray) -> None:
+            x, y = number[i], number[k]
+            codes.append(np.unique(np.maximum(x, y) * len(own_names) + np.minimum(x, y)))
+
+        for k in np.unique(size[size <= SMALL_TILE]):  # all tiles of one size at once
+            i, j = np.triu_indices(k, 1)
+            starts = first[size == k]
+            for part in np.array_split(starts, max(1, len(starts) * len(i) // 2_000_000)):
+                rows_of = order[part[:, None] + np.arange(k)]
+                x, y = rows_of[:, i].ravel(), rows_of[:, j].ravel()
+                good = fits(x, y)
+                add(x[good], y[good])
+        found = [(x, y) for x, y in zip(*np.divmod(np.unique(np.concatenate(codes)), max(1, len(own_names))), strict=True) if 9 * bits_apart(bits[row_of[x]], bits[row_of[y]]) <= n[row_of[x]] + n[row_of[y]]]
+        codes = [np.array([x * len(own_names) + y for x, y in found], np.int64)]
+        for at, k in zip(first[size > SMALL_TILE], size[size > SMALL_TILE], strict=True):
+            own = order[at : at + k]
+            width = min(len(bits[r]) for r in own)
+            maps = np.stack([folded(bits[r], width) for r in own])
+            few = np.flatnonzero(label[own] != main[own])
+            for block in np.array_split(few, max(1, len(few) // 256)):
+                apart = np.zeros((len(block), k), np.int64)
+                for word in range(maps.shape[1]):
+                    apart += np.bitwise_count(maps[block, word][:, None] ^ maps[:, word][None, :])
+                x, y = np.nonzero(9 * apart <= n[own][block][:, None] + n[own][None, :])
+                x, y = own[block[x]], own[y]
+                good = fits(x, y)
+                add(x[good], y[good])
+        x, y = np.divmod(np.unique(np.concatenate(codes)), max(1, len(own_names)))
+        if len(x):
+            yield common.batch(schema, np.maximum(own_names[x], own_names[y]), np.minimum(own_names[x], own_names[y]))
+
+    parts = common.shuffle_parts(rows.sparkSession)
+    return mixed.repartition(parts, "tile").mapInArrow(compare, "a long, b long").distinct()
 
 
 def joined(docs: DataFrame) -> DataFrame:
@@ -376,17 +441,15 @@ def joined(docs: DataFrame) -> DataFrame:
     sets = common.saved(sets_of(docs), "sets")
     rows = sets.where("n >= 0").select("doc_id", "n", "digest", "class")
     classes = common.saved(rows.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")), "classes")
-    packed = region_elements(docs, hot_elements(sets), buckets)
-    hits = counted(packed, buckets)
-    hot = packed.where(F.col("kind") == _HITS)
-    tile_rows = common.saved(tiles(hits.unionByName(hot).unionByName(sizes_packed(classes, buckets)), buckets), "tiles")
+    hits = counted(region_elements(docs, hot_elements(sets), buckets), buckets)
+    tile_rows = common.saved(tiles(hits.unionByName(sizes_packed(classes, buckets)), buckets), "tiles")
     tile_rows = common.saved(tile_rows.join(tile_rows.groupBy("tile").agg(F.count("*").alias("k"), F.count_if("native").alias("h")).where("k > 1 and h > 0").select("tile"), "tile", "left_semi"), "tiles")
     reps = common.saved(classes.join(tile_rows.select("class").distinct(), "class", "left_semi").select("class", "rep"), "reps")
     own_sets = common.saved(sets_with_bits(docs, reps), "elements")
     links = None
     for k in range(STAR_ROUNDS + 1):
         now = labelled(tile_rows, links)
-        pairs = common.saved(led_pairs(now, k) if k < STAR_ROUNDS else open_pairs(common.saved(now, "labelled")), "pairs")
+        pairs = common.saved(led_pairs(now, k) if k < STAR_ROUNDS else open_pairs(common.saved(now, "labelled"), own_sets), "pairs")
         more = common.saved(links_among(pairs, own_sets), "similar")
         links = more if links is None else links.unionByName(more)
     named = components(links).select(F.col("vertex").alias("class"), "component")
