@@ -8,6 +8,7 @@ from itertools import chain
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas as S
 
@@ -98,7 +99,7 @@ def is_allowed_team(code: Column | str) -> Column:
 # names ---------------------------------------------------------------------------
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _folded(names: pd.Series) -> pd.Series:
     return names.map(lambda s: None if s is None else unicodedata.normalize("NFKD", s).encode("ascii", "ignore").decode())
 
@@ -146,9 +147,16 @@ def zero_filled(x: Column | str) -> Column:
 
 
 def round2(x: Column) -> Column:
-    """Two decimals, ties to even. bround would go by the shortest decimal form of a number, in
-    which 2.675 looks like a tie; times 100, it is the 267.49999999999994 that it is."""
-    return F.rint(x * 100) / 100
+    """Two decimals of the number as it is in binary, ties to even. bround goes by the shortest
+    decimal form and times 100 is itself rounded, so either takes 2.675 (just below) for a tie.
+    Here x is split into halves whose hundredfold is exact, which tells what times 100 lost."""
+    p = x * 100
+    wide = x * 134217729.0  # 2 ** 27 + 1
+    high = wide - (wide - x)
+    lost = (high * 100 - p) + (x - high) * 100
+    tie = p - F.floor(p) == 0.5
+    up = F.floor(p).cast("double") + 1
+    return F.when(tie & (lost != 0), F.when(lost > 0, up).otherwise(up - 1) / 100).otherwise(F.rint(p) / 100)
 
 
 def made(x: Column | str) -> Column:
@@ -199,7 +207,7 @@ def thousands(x: Column | str) -> Column:
 
 
 def decimal(x: Column | str, places: int = 1) -> Column:
-    return F.coalesce(F.format_string(f"%.{places}f", col(x).cast("double")), F.lit(DASH)) if places else thousands(x)
+    return F.when(col(x).isNull(), DASH).otherwise(F.format_string(f"%.{places}f", col(x).cast("double")))
 
 
 def percent(x: Column | str, places: int = 1) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 _LINE_ORDER = "l_linenumber,l_partkey,l_suppkey,l_quantity,l_extendedprice,l_discount,l_tax,l_returnflag,l_linestatus,l_shipdate"
 
 _PARTS = {
@@ -40,20 +42,35 @@ _PARTS = {
 }
 
 
+def _rounded(text: str) -> str:
+    """text with each round_even(x, 2) spelled out: the engine's own goes by x * 100 as rounded."""
+    mark = "round_even("
+    while mark in text:
+        at = text.index(mark)
+        depth, k = 1, at + len(mark)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(text[k], 0)
+            k += 1
+        x = f"CAST({text[at + len(mark) : k - 1].rsplit(',', 1)[0]} AS DOUBLE)"
+        p, high = f"({x}*100)", f"({x}*134217729.0::DOUBLE-({x}*134217729.0::DOUBLE-{x}))"
+        lost = f"(({high}*100-{p})+({x}-{high})*100)"
+        text = f"{text[:at]}CASE WHEN {p}-floor({p})=0.5 AND {lost}<>0 THEN (floor({p})+CASE WHEN {lost}>0 THEN 1 ELSE 0 END)/100 ELSE HALF_{p}_EVEN/100 END{text[k:]}"
+    return re.sub(r"HALF_(.*?)_EVEN", r"round_even(\1,0)", text)
+
+
 def sql(body: str) -> str:
     """body with the CTEs that it needs before it."""
-    import re
-
     need: list[str] = []
 
     def add(text: str) -> None:
         for word in dict.fromkeys(re.findall(r"\b(?:FROM|JOIN)\s+([a-z_0-9]+)", text)):
             if word in _PARTS and word not in need:
-                add(_PARTS[word])
+                add(_rounded(_PARTS[word]))
                 need.append(word)
 
+    body = _rounded(body)
     add(body)
-    return "WITH RECURSIVE " + ", ".join(f"{n} AS ({_PARTS[n]})" for n in need) + " " + body if need else body
+    return "WITH RECURSIVE " + ", ".join(f"{n} AS ({_rounded(_PARTS[n])})" for n in need) + " " + body if need else body
 
 
 ORACLES = {
