@@ -125,7 +125,7 @@ def formatted(conversations: DataFrame, tokenizer_path: str) -> DataFrame:
 
 def digested(found: DataFrame) -> DataFrame:
     """What is read back from the formatted conversations, as digests."""
-    schema = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()), ("n_tokens", pa.int64())])
+    schema = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
     sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,11 +134,11 @@ def digested(found: DataFrame) -> DataFrame:
             for name, text, starts, ends, loss in zip(*common.batches_of(table, "conv_id", "formatted", "starts", "ends", "loss"), strict=True):
                 turns = read_turns(text)
                 under = "".join(loss_texts(text, np.array(starts, np.int64), np.array(ends, np.int64), np.array(loss, bool)))
-                rows.append((name, len(turns), sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(under), sha(under), len(text), len(starts)))
+                rows.append((name, len(turns), sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(under), sha(under), len(text)))
             if rows:
                 yield common.batch(schema, *map(list, zip(*rows, strict=True)))
 
-    return found.mapInArrow(told, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_tokens long")
+    return found.mapInArrow(told, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
