@@ -37,6 +37,16 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 MIN_RATIO = 6.9
 #: The models are trained on so many documents at most, those whose doc_id hashes lowest.
 SAMPLE_DOCS = 1_000
+#: Words of ordinary identifiers, beside those of the sampled documents.
+WORDS = (
+    "account active admin agent amount application archive array async attribute available background balance batch body boolean branch buffer build cache callback category character child class "
+    "cluster collection column comment component computer config constant container context convert country current dashboard database default description design dialog display document download "
+    "editor element enable engine entity environment event example execute export extension feature file filter format gateway general global group handler height history identifier import "
+    "information initialize instance interface internationalization journal keyboard label layout level library limit local location manager market matrix member message method model network "
+    "notification object option order output parameter parent path permission platform pointer process product project protocol provider queue record reference register remote render request "
+    "response result route schedule schema search select sequence service setting settings share shared simple space standard static storage stream structure system table template text thread "
+    "token transaction transform tree unit update user validate value vector view visible weight width window worker"
+).split()
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 _CODE = np.full(128, len(ALPHABET), np.int64)
 _CODE[[ord(c) for c in ALPHABET]] = np.arange(len(ALPHABET))
@@ -69,7 +79,7 @@ def codes(run: str) -> np.ndarray:
 def transitions(samples: list[str]) -> np.ndarray:
     """log p(character | character before it); the row past the alphabet is the start."""
     n = len(ALPHABET) + 1
-    counts = np.full((n, n), 0.05)
+    counts = np.full((n, n), 0.5)
     for s in samples:
         c = codes(s)
         np.add.at(counts, (np.concatenate(([n - 1], c[:-1])), c), 1)
@@ -86,7 +96,7 @@ def made_up_secrets(n: int = 1_500) -> list[str]:
 def made_up_identifiers(words: list[str], n: int = 4_000) -> list[str]:
     """Identifiers as programs and addresses have them, joined from ordinary words."""
     draw = random.Random(66)
-    words = words or ["value", "index", "name", "user", "count", "list", "file", "path", "total", "client", "request", "handler"]
+    words = [*words, *WORDS] if len(words) > 5 * len(WORDS) else [*words, *WORDS * (1 + len(words) // len(WORDS))]
     out = []
     for k in range(n):
         own = [draw.choice(words) for _ in range(draw.randint(2, 5))]
@@ -106,7 +116,7 @@ def fit(docs: DataFrame, limit: int = SAMPLE_DOCS) -> np.ndarray:
         if not spans:
             plain += [w for w in re.findall(r"[A-Za-z_]+", t) if 2 <= len(w)]
     plain = sorted(set(plain))
-    return transitions(secret) - transitions(plain + made_up_identifiers(plain))
+    return transitions(secret) - transitions([*plain, *WORDS, *made_up_identifiers(plain)])
 
 
 def ratio_of(run: str, ratio: np.ndarray) -> float:
@@ -137,7 +147,7 @@ def scan(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())])))])
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in batches:
+        for table in common.sliced(batches):
             names, texts = common.batches_of(table, "doc_id", "text")
             yield common.batch(schema, names, [[{"start": a, "end": b, "kind": k} for a, _, b, k in all_spans(t, ratio)] if t else [] for t in texts])
 
