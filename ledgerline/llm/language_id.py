@@ -65,7 +65,7 @@ def fit(docs: DataFrame, limit: int = DOCS_PER_LANGUAGE) -> Model:
     schema = pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in batches:
+        for table in common.sliced(batches):
             by: dict[str, list[bytes]] = {}
             for lang, text in zip(*common.batches_of(table, "lang", "text"), strict=True):
                 by.setdefault(lang, []).append(b"\n\n\n" + text.encode("utf-8", "replace"))
@@ -112,7 +112,7 @@ def built(lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Model:
         inside = place[c] >= 0
         counts = np.bincount(place[c[inside]] * a + y[inside], m[inside], len(kept) * a).reshape(len(kept), a)
         bits[a * a :, :, k] = longer(counts, cost[kept % (a * a)])
-    return Model(languages, symbol, row, bits.reshape(-1, len(languages)))
+    return Model(languages, symbol, row, bits.reshape((a * a + len(kept)) * a, len(languages)))
 
 
 def longer(counts: np.ndarray, below: np.ndarray) -> np.ndarray:
@@ -152,7 +152,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for table in batches:
+        for table in common.sliced(batches):
             texts = table.column("_text").to_pylist()
             bits = code_lengths(m, texts)
             best = bits.argmin(1)

@@ -180,10 +180,10 @@ def takings(found: Mix) -> DataFrame:
 def resampled(docs: DataFrame) -> DataFrame:
     """The rows of docs, each as often as the mix takes its words, to the nearest whole number."""
     found = takings(mix(docs)).where("size > 0").groupBy("doc_id", "source", "size").agg((F.sum("taken") / F.sum("size")).alias("times"))
-    found = found.select(F.col("doc_id").alias("_doc"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.round("times").cast("int").alias("_times")).where("_times > 0")
-    own = docs.withColumn("_own", words_of("text"))
-    same = own["doc_id"].eqNullSafe(found["_doc"]) & own["source"].eqNullSafe(found["_source"]) & (own["_own"] == found["_size"])
-    return own.join(found, same).select(*docs.columns, F.explode(F.sequence(F.lit(1), "_times")).alias("_copy")).drop("_copy")
+    found = found.select(F.col("doc_id").alias("__ledgerline_doc"), F.col("source").alias("__ledgerline_source"), F.col("size").alias("__ledgerline_size"), F.round("times").cast("int").alias("__ledgerline_times")).where("__ledgerline_times > 0")
+    own = docs.withColumn("__ledgerline_own", words_of("text"))
+    same = own["doc_id"].eqNullSafe(found["__ledgerline_doc"]) & own["source"].eqNullSafe(found["__ledgerline_source"]) & (own["__ledgerline_own"] == found["__ledgerline_size"])
+    return own.join(found, same).select(*docs.columns, F.explode(F.sequence(F.lit(1), "__ledgerline_times")).alias("__ledgerline_copy")).drop("__ledgerline_copy")
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

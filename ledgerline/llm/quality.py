@@ -71,7 +71,7 @@ def model_counts(rows: DataFrame) -> dict[int, np.ndarray]:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, size), np.int64)
-        for table in batches:
+        for table in common.sliced(batches):
             texts, good, part = common.batches_of(table, "text", "good", "part")
             for model in (0, 1):
                 own = texts if model == 0 else [t for t, g, p in zip(texts, good, part, strict=True) if g and p == 0]
@@ -88,7 +88,7 @@ def model_counts(rows: DataFrame) -> dict[int, np.ndarray]:
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple[int, int], np.ndarray] = {}
-        for table in batches:
+        for table in common.sliced(batches):
             for x in table.to_pylist():
                 key = x["model"], x["slice"]
                 sums[key] = sums.get(key, 0) + np.frombuffer(x["counts"], np.int64)
@@ -113,15 +113,19 @@ def log_ratio(counts: dict[int, np.ndarray]) -> np.ndarray:
     return np.log((target + SMOOTHING) / (expected + SMOOTHING)).astype(np.float32)
 
 
-def scored(rows: DataFrame, ratio: np.ndarray, keep: list[str]) -> DataFrame:
+#: Names, for a column beside those of the caller, that a caller's columns don't have.
+_GRAMS, _SCORE, _TEXT = "__ledgerline_grams", "__ledgerline_score", "__ledgerline_text"
+
+
+def scored(rows: DataFrame, ratio: np.ndarray, keep: list[str], grams: str = "grams", score_as: str = "score") -> DataFrame:
     """The columns keep, and of the whole text: grams long and score double (null if empty)."""
     shared = rows.sparkSession.sparkContext.broadcast(ratio)  # 2 ** BUCKETS_LOG2 floats
-    own = rows.select(*keep, F.col("text").alias("_text"))
-    out = own.drop("_text").schema.add("grams", "long").add("score", "double")
+    own = rows.select(*keep, F.col("text").alias(_TEXT))
+    out = own.drop(_TEXT).schema.add(grams, "long").add(score_as, "double")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in batches:
-            texts = table.column("_text").to_pylist()
+        for table in common.sliced(batches):
+            texts = table.column(_TEXT).to_pylist()
             n, sums = np.zeros(len(texts), np.int64), np.zeros(len(texts))
             for at, joined, edges in common.text_slices(" \n " + t if t else "    " for t in texts):
                 w = shared.value[buckets(joined)]
@@ -132,7 +136,7 @@ def scored(rows: DataFrame, ratio: np.ndarray, keep: list[str]) -> DataFrame:
             none = np.array([not t for t in texts], bool)
             n[none] = 0
             mean = pa.array(sums / np.maximum(n, 1), mask=none)
-            yield pa.RecordBatch.from_arrays([*table.drop_columns(["_text"]).columns, pa.array(n), mean], names=[*keep, "grams", "score"])
+            yield pa.RecordBatch.from_arrays([*table.drop_columns([_TEXT]).columns, pa.array(n), mean], names=[*keep, grams, score_as])
 
     return own.mapInArrow(score, out)
 
@@ -150,10 +154,10 @@ def best_cut(good: np.ndarray, bad: np.ndarray) -> float:
     return float(at[k] + at[k - 1]) / 2 if k else -np.inf
 
 
-def noised(model: Resampler) -> Column:
+def noised(model: Resampler, grams: str = "grams", score: str = "score") -> Column:
     """The log weight of a document with a Gumbel variate, drawn from its doc_id, added."""
     u = (F.pmod(F.xxhash64(F.col("doc_id"), F.lit(555)), F.lit(1 << 40)) + F.lit(0.5)) / F.lit(float(1 << 40))
-    weight = F.col("grams") * (F.col("score") - F.lit(float(model.cut) if np.isfinite(model.cut) else 0.0))
+    weight = F.col(grams) * (F.col(score) - F.lit(float(model.cut) if np.isfinite(model.cut) else 0.0))
     return weight - F.log(-F.log(u))
 
 
@@ -194,8 +198,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Resampler, DataFrame]:
 
 def kept(docs: DataFrame, model: Resampler) -> DataFrame:
     """The rows of docs that are drawn, with all their columns."""
-    rows = scored(docs, model.ratio, docs.columns)
-    return rows.where(F.col("score").isNotNull() & (noised(model) >= F.lit(float(model.threshold)))).select(*docs.columns)
+    rows = scored(docs, model.ratio, docs.columns, _GRAMS, _SCORE)
+    return rows.where(F.col(_SCORE).isNotNull() & (noised(model, _GRAMS, _SCORE) >= F.lit(float(model.threshold)))).select(*docs.columns)
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
