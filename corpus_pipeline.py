@@ -16,11 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerline.llm import common, decontaminate, mixing, ngram_join, quality, token_store
 
 STAGES = [
-    ("quality", quality.stage),
-    ("near_duplicates", ngram_join.stage),
-    ("decontamination", decontaminate.stage),
-    ("mixing", mixing.stage),
-    ("tokens", token_store.stage),
+    ("quality", common.shipped(quality.stage)),
+    ("near_duplicates", common.shipped(ngram_join.stage)),
+    ("decontamination", common.shipped(decontaminate.stage)),
+    ("mixing", common.shipped(mixing.stage)),
+    ("tokens", common.shipped(token_store.stage)),
 ]
 
 #: No stage but mixing's word counts can be said in SQL; tests hold each against brute force.
@@ -29,7 +29,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies the stages to documents, writing what each returns and reading it again."""
-    common.ship(spark)
     docs = common.documents(spark, sf_dir)
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

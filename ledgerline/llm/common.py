@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
+import functools
 import shutil
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A worker forgets its word ids beyond so many, so that its memory stays bounded.
-WORD_CACHE = 400_000
+WORD_CACHE = 200_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -53,6 +55,17 @@ def ship(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(archive)
 
 
+def shipped(run: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """run(spark, ...) after ship(spark)."""
+
+    @functools.wraps(run)
+    def with_package(spark: SparkSession, *rest) -> DataFrame:
+        ship(spark)
+        return run(spark, *rest)
+
+    return with_package
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path for a table or a file that no other run uses."""
     return f"{shared_dir(spark)}/ledgerline/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
@@ -162,6 +175,19 @@ def ngram_ids(ids: np.ndarray, n: int) -> np.ndarray:
     return out if size == n else mixed(out + np.uint64(size))
 
 
+def sliced(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of a few rows, so that few texts are Python objects at once; at
+    the end, what the task has freed goes back to the system, as workers live on."""
+    try:
+        for table in batches:
+            for a in range(0, table.num_rows, rows):
+                yield table.slice(a, rows)
+    finally:
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 def batches_of(table: pa.RecordBatch, *names: str) -> list[list]:
     return [table.column(n).to_pylist() for n in names]
 

@@ -111,7 +111,7 @@ def sets_of(docs: DataFrame) -> DataFrame:
             for e, k in zip(found[many].tolist(), n[many].tolist(), strict=True):
                 counts[e] = counts.get(e, 0) + k
 
-        for table in batches:
+        for table in common.sliced(batches):
             rows = []
             for name, text in zip(*common.batches_of(table, "doc_id", "text"), strict=True):
                 s = shingles(text)
@@ -123,7 +123,7 @@ def sets_of(docs: DataFrame) -> DataFrame:
                 if held >= 4 * HELD:
                     count()
                     regions, held = [], 0
-            yield common.batch(schema, *map(list, zip(*rows, strict=True))) if rows else pa.RecordBatch.from_pylist([], schema=schema)
+            yield common.batch(schema, *map(list, zip(*rows, strict=True)))
         if regions:
             count()
         hot = [(e, k) for e, k in counts.items() if k >= docs_seen * HOT_SHARE]
@@ -140,7 +140,7 @@ def hot_elements(sets: DataFrame) -> np.ndarray:
     schema = pa.schema([("element", pa.int64()), ("n", pa.int64())])
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in batches:
+        for table in common.sliced(batches):
             for x in table.column("hot").to_pylist():
                 e, n = np.frombuffer(x, np.uint64).reshape(2, -1)
                 yield common.batch(schema, e.view(np.int64), n.astype(np.int64))
@@ -187,7 +187,7 @@ def region_elements(docs: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame
             if known.any():
                 yield packed_by(bucket_of(c[known], buckets), _HITS, c[known], e[known], np.full(known.sum(), _HOT))
 
-        for table in batches:
+        for table in common.sliced(batches):
             for text in table.column("text").to_pylist():
                 s = shingles(text)
                 if not len(s):
@@ -215,7 +215,7 @@ def counted(packed: DataFrame, buckets: int) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
-        for table in batches:
+        for table in common.sliced(batches):
             known = np.array(table.column("kind")) == _HITS
             rows += table.filter(pa.array(~known)).column("packed").to_pylist()
             yield table.filter(pa.array(known))
@@ -246,7 +246,7 @@ def tiles(hits: DataFrame, buckets: int) -> DataFrame:
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hit_rows, size_rows = [], []
-        for table in batches:
+        for table in common.sliced(batches):
             for kind, x in zip(*common.batches_of(table, "kind", "packed"), strict=True):
                 (hit_rows if kind == _HITS else size_rows).append(x)
         c, e, many = unpacked(hit_rows, 3)
@@ -280,7 +280,7 @@ def tiles(hits: DataFrame, buckets: int) -> DataFrame:
 
 def sizes_packed(classes: DataFrame, buckets: int) -> DataFrame:
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in batches:
+        for table in common.sliced(batches):
             c, n = (table.column(x).to_numpy() for x in ("class", "n"))
             if len(c):
                 yield packed_by(bucket_of(c, buckets), _SIZES, c, n)
@@ -323,7 +323,7 @@ def sets_with_bits(docs: DataFrame, reps: DataFrame) -> DataFrame:
     schema = pa.schema([("class", pa.int64()), ("elements", pa.binary()), ("bits", pa.binary())])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in batches:
+        for table in common.sliced(batches):
             own = [shingles(t) for t in table.column("text").to_pylist()]
             if own:
                 yield common.batch(schema, [class_of(digest(s)) for s in own], [s.tobytes() for s in own], [bitmap(s) for s in own])
@@ -340,7 +340,7 @@ def links_among(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in batches:
+        for table in common.sliced(batches):
             rows = zip(*common.batches_of(table, "a", "b", "elements_a", "elements_b", "bits_a", "bits_b"), strict=True)
             found = [(a, b) for a, b, x, y, p, q in rows if similar(x, y, p, q)]
             if found:
@@ -384,7 +384,7 @@ def open_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = [pa.Table.from_batches([t]) for t in batches if t.num_rows]
+        tables = [pa.Table.from_batches([t]) for t in common.sliced(batches, 100_000) if t.num_rows]
         if not tables:
             return
         table = pa.concat_tables(tables)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,15 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from . import chat, common, decontaminate, language_id, mixing, ngram_join, oracles, pages, quality, secrets, token_store, vectors
 
 
-def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    @functools.wraps(query)
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        common.ship(spark)
-        return query(spark, sf_dir)
-
-    return run
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
         "op1_mixing": mixing.op1_mixing,
@@ -32,7 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_near_vectors": vectors.op8_near_vectors,
         "op9_decontaminate": decontaminate.op9_decontaminate,
     }
-    return {name: shipped(query) for name, query in found.items()}
+    return {name: common.shipped(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
