@@ -49,13 +49,13 @@ SPARE_LEAST = 128
 STAR_ROUNDS = 1
 #: An element counts as hot from this share of the documents; where a task sees fewer
 #: documents than HOT_LEAST with it, it isn't looked at.
-HOT_SHARE, HOT_LEAST = 1 / 256, 16
+HOT_SHARE, HOT_LEAST = 1 / 256, 8
 #: Representatives that are broadcast at most, to pick their texts; more are joined by shuffle.
 BROADCAST_ROWS = 200_000
 #: Tiles of up to so many classes are compared many at a time.
 SMALL_TILE = 64
 #: Elements that a task holds before it sends them on.
-HELD = 1 << 20
+HELD = 1 << 19
 _HOT = np.int64(1) << 40
 
 
@@ -120,7 +120,7 @@ def sets_of(docs: DataFrame) -> DataFrame:
                 if len(s):
                     regions.append(s[: region_size(len(s))])
                     held, docs_seen = held + len(regions[-1]), docs_seen + 1
-                if held >= 4 * HELD:
+                if held >= 2 * HELD:
                     count()
                     regions, held = [], 0
             yield common.batch(schema, *map(list, zip(*rows, strict=True)))
