@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,9 +33,9 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 BLOCK_IDS = 1 << 16
 #: A worker remembers the ids of about so many pieces that it met in two groups of texts, and
 #: for a while those of so many that it met in one.
-PIECE_CACHE, RECENT_CACHE = 250_000, 200_000
+PIECE_CACHE, RECENT_CACHE = 200_000, 150_000
 #: Texts are encoded in groups of about so many characters.
-GROUP_CHARS = 1 << 20
+GROUP_CHARS = 3 << 20
 
 STORE = "shard int, block int, bits int, before long, n_ids long, min_doc long, max_doc long, doc_ids array<long>, starts array<long>, packed binary"
 _STORE = pa.schema(
@@ -109,38 +110,49 @@ class Encoder:
             from tokenizers import pre_tokenizers
 
             self.letters = Tokenizer.from_file(path)
-            self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split("\n", "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            space = self.tokenizer.id_to_token(self.tokenizer.encode(" ", add_special_tokens=False).ids[0])
+            self.spaced = np.array([str(self.tokenizer.id_to_token(k)).startswith(space) for k in range(self.size)])
         self.recent: dict[str, bytes] = {}
-        self.known = {"\n": np.array(line, "<u4").tobytes()}
+        self.known = {"": b"", "\n": np.array(line, "<u4").tobytes()}
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, "<u4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     @staticmethod
-    def pieces(text: str) -> list[str] | None:
-        """The text cut at single spaces and line feeds, and before a full stop or comma at the
-        end of a word; None if it has other white space."""
+    def marked(text: str) -> str | None:
+        """The text with its pieces parted by a null character: at single spaces and line feeds,
+        and before a full stop or comma at the end of a word; None if it has other white space."""
         if text[:1] in " \n" or text[-1:] in " \n" or "  " in text or "\n\n" in text or " \n" in text or "\n " in text:
             return None
         if not text.replace("\n", "").isprintable():
             return None
         marked = text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ") + "\x00"
         finer = marked.replace(".\x00", "\x00.\x00").replace(",\x00", "\x00,\x00")
-        return (marked if _RUN_OF_SIGNS.search(finer) else finer).split("\x00")[:-1]
+        return (marked if _RUN_OF_SIGNS.search(finer) else finer)[:-1]
 
     def learned(self, pieces: list[str]) -> dict[str, bytes]:
         """The ids of different pieces. A run of letters stays whole in the pre-tokenizer, so
-        such pieces do without its regular expression, which takes most of the time."""
-        letters = [p for p in pieces if p.isalpha() or p[1:].isalpha() and p[0] == " "]
-        rest = list(set(pieces).difference(letters))
-        return self.lines(self.letters, letters) | self.lines(self.tokenizer, rest)
+        such pieces do without its regular expression, which takes most of the time; those with
+        a space before them are told apart by their first ids, which have it."""
+        letters = [p for p in pieces if p[0] == " " and p[1:].isalpha()]
+        found = self.lines([p for p in pieces if not (p[0] == " " and p[1:].isalpha())])
+        for k in range(0, len(letters), 1024):
+            own = letters[k : k + 1024]
+            ids = np.array(self.letters.encode_batch_fast([own], is_pretokenized=True, add_special_tokens=False)[0].ids, "<u4")
+            at = (np.flatnonzero(self.spaced[ids]) * 4).tolist()
+            if len(at) != len(own):
+                raise ValueError("the tokenizer joins pieces")
+            joined = ids.tobytes()
+            found.update((p, joined[i:j]) for p, i, j in zip(own, at, [*at[1:], len(joined)], strict=True))
+        return found
 
-    def lines(self, tokenizer, pieces: list[str]) -> dict[str, bytes]:
+    def lines(self, pieces: list[str]) -> dict[str, bytes]:
         """The ids of different pieces, encoded as the lines of one text."""
         found: dict[str, bytes] = {}
         for k in range(0, len(pieces), 4096):
             own = pieces[k : k + 4096]
-            ids = np.array(tokenizer.encode_batch_fast(["\n".join(own)], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(own)], add_special_tokens=False)[0].ids, "<u4")
             at = (np.flatnonzero(ids == self.line) * 4).tolist()
             if len(at) != len(own) - 1:
                 raise ValueError("the tokenizer joins lines")
@@ -148,23 +160,43 @@ class Encoder:
             found.update((p, joined[a + 4 : b]) for p, a, b in zip(own, [-4, *at], [*at, len(joined)], strict=True))
         return found
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        cuts = [self.pieces(t) if self.cuts and t else None for t in texts]
+    def of_pieces(self, pieces: list[str]) -> list[bytes]:
+        """The ids of different pieces, remembered or learned now."""
         known, recent = self.known, self.recent
-        missing = set().union(*filter(None, cuts)).difference(known)
-        again = {p: recent[p] for p in missing.intersection(recent)}
-        new = self.learned(list(missing.difference(again)))
-        known |= again
-        known |= new
-        out = [b"" if c is None else b"".join(map(known.__getitem__, c)) for c in cuts]
-        odd = [k for k, c in enumerate(cuts) if c is None and texts[k]]
-        for k, ids in zip(odd, self.whole([texts[k] for k in odd]), strict=True):
-            out[k] = ids.tobytes()
-        for p in new if len(known) - len(new) < PIECE_CACHE else missing:
-            del known[p]
+        found = list(map(known.get, pieces))
+        missing = [p for p, x in zip(pieces, found, strict=True) if x is None]
+        again = {p: recent[p] for p in missing if p in recent}
+        new = self.learned([p for p in missing if p not in again])
+        if len(known) < PIECE_CACHE:
+            known |= again
         if len(recent) >= RECENT_CACHE:
             recent.clear()
         recent |= {p: x for p, x in new.items() if len(p) < 32}
+        fresh = again | new
+        return [fresh[p] if x is None else x for p, x in zip(pieces, found, strict=True)]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text. Arrow cuts the texts and numbers the different pieces; numpy
+        lays their ids out in the order of the texts."""
+        marked = [self.marked(t) if self.cuts and t else None for t in texts]
+        out = [b""] * len(texts)
+        plain = [k for k, m in enumerate(marked) if m is not None]
+        if plain:
+            lists = pc.split_pattern(pa.array([marked[k] for k in plain]), "\x00")
+            coded = pc.dictionary_encode(lists.values)
+            ids = self.of_pieces(coded.dictionary.to_pylist())
+            each = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            flat, start = np.frombuffer(b"".join(ids), "<u4"), np.concatenate(([0], np.cumsum(each)[:-1]))
+            codes = coded.indices.to_numpy()
+            n = each[codes]
+            ends = np.cumsum(n)
+            whole = flat[np.repeat(start[codes] - ends + n, n) + np.arange(ends[-1])]
+            edges = np.concatenate(([0], ends))[lists.offsets.to_numpy()].tolist()
+            for k, i, j in zip(plain, edges, edges[1:], strict=False):
+                out[k] = whole[i:j].tobytes()
+        odd = [k for k, m in enumerate(marked) if m is None and texts[k]]
+        for k, ids in zip(odd, self.whole([texts[k] for k in odd]), strict=True):
+            out[k] = ids.tobytes()
         return out
 
 
@@ -212,7 +244,7 @@ def write(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 0, voca
             packed = pack(np.frombuffer(b"".join(ids), "<u4"), bits)
             return common.batch(_STORE, [shard], [block], [bits], [before], [held], [min(known, default=None)], [max(known, default=None)], [names], [starts], [packed])
 
-        for table in batches:
+        for table in common.sliced(batches):
             found, texts = common.batches_of(table, "doc_id", "text")
             for a, b in groups(texts):
                 for name, one in zip(found[a:b], encode([t or "" for t in texts[a:b]]), strict=True):
@@ -253,7 +285,7 @@ def read(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), last])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in batches:
+        for table in common.sliced(batches):
             for x in table.to_pylist():
                 ids = unpack(x["packed"], x["bits"], 0, x["n_ids"])
                 edges = [*x["starts"], x["n_ids"]]
