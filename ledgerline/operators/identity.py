@@ -83,24 +83,29 @@ def adjacent(segs: DataFrame) -> DataFrame:
 
 def entity_of(segs: DataFrame) -> DataFrame:
     """seg_id, component: its least segment. Joined segments share a name key, so components
-    are found within one key's segments, of which there are few; other columns stay behind."""
-
-    def joined(own: pd.DataFrame) -> pd.DataFrame:
-        rows = list(own[["seg_id", "era", "smin", "smax"]].itertuples(index=False))
-        label = {r.seg_id: r.seg_id for r in rows}
-        changed = True
-        while changed:
-            changed = False
-            for p in rows:
-                for q in rows:
-                    first, second = (p, q) if p.smin <= q.smin else (q, p)
-                    least = min(label[p.seg_id], label[q.seg_id])
-                    if p.era != q.era and second.smin <= first.smax + 2 and label[q.seg_id] != label[p.seg_id]:
-                        label[p.seg_id] = label[q.seg_id] = least
-                        changed = True
-        return pd.DataFrame({"seg_id": list(label), "component": list(label.values())})
-
-    return segs.select("name_key", "seg_id", "era", "smin", "smax").groupBy("name_key").applyInPandas(joined, "seg_id string, component string")
+    are found within one key's segments, of which there are few; other columns stay behind.
+    A task takes its keys one after the other, without a call for each."""
+
+    def joined(parts):
+        by_key: dict = {}
+        for part in parts:
+            for r in part.itertuples(index=False):
+                by_key.setdefault(r.name_key, []).append(r)
+        label: dict = {}
+        for rows in by_key.values():
+            label |= {r.seg_id: r.seg_id for r in rows}
+            changed = True
+            while changed:
+                changed = False
+                for p in rows:
+                    for q in rows:
+                        first, second = (p, q) if p.smin <= q.smin else (q, p)
+                        if p.era != q.era and second.smin <= first.smax + 2 and label[q.seg_id] != label[p.seg_id]:
+                            label[p.seg_id] = label[q.seg_id] = min(label[p.seg_id], label[q.seg_id])
+                            changed = True
+        yield pd.DataFrame({"seg_id": list(label), "component": list(label.values())})
+
+    return segs.select("name_key", "seg_id", "era", "smin", "smax").repartition("name_key").mapInPandas(joined, "seg_id string, component string")
 
 
 def entities(segs: DataFrame) -> DataFrame:
