@@ -1,10 +1,11 @@
 """Benchmark decontamination (operator 9).
 
-Runs of SEED_WORDS words that a test item shares with a training document are seeds. How many
-documents hold each is counted over all documents; an item keeps the rarer half of its runs.
-Where such seeds fall in a document, the stretch around them is aligned with the item's words
-by Smith-Waterman (match 2, mismatch -1, gap -1). The score is the best alignment's share of
-what a verbatim copy gets; from MIN_SCORE on, the document holds a copy, paraphrased or edited.
+Runs of SEED_WORDS words that a test item shares with a training document are seeds, every run
+of an item, rare or common. Where seeds fall in a document, the stretch around them is aligned
+with the item's words by Smith-Waterman (match 2, mismatch -1, gap -1), unless it holds too few
+of them for any alignment to reach MIN_SCORE. The score is the best alignment's share of what a
+verbatim copy gets; from MIN_SCORE on, the document holds a copy, paraphrased or edited. A copy
+in which no run is left whole (every SEED_WORDS-th word replaced, say) has no seed and isn't found.
 
 The benchmark is taken in blocks of BLOCK_ITEMS items, so that what is sent to the executors
 has a bound; every block meets all documents.
@@ -70,17 +71,6 @@ class Seeds:
         same = self.grams[k] == grams[at]
         return at[same], k[same]
 
-    def rarest(self, counts: np.ndarray) -> Seeds:
-        """Only those places where the run is in no more documents than the median run of the
-        same item. counts: documents for each gram."""
-        gram = np.repeat(np.arange(len(self.grams)), np.diff(self.first))
-        keep = np.zeros(len(gram), bool)
-        order = np.argsort(self.item, kind="stable")
-        for own in np.split(order, np.flatnonzero(np.diff(self.item[order])) + 1):
-            n = counts[gram[own]]
-            keep[own] = n <= np.median(n) if len(own) else False
-        return indexed(self.names, self.words, self.grams[gram[keep]], self.item[keep], self.offset[keep])
-
 
 def indexed(names, words, grams, item, offset) -> Seeds:
     order = np.lexsort((offset, item, grams))
@@ -100,25 +90,6 @@ def blocks(benchmark: DataFrame, size: int = BLOCK_ITEMS) -> Iterator[Seeds]:
             yield indexed([r["item_id"] for r in own], words, np.concatenate(grams), np.repeat(np.arange(len(own)), list(map(len, grams))), np.concatenate([np.arange(len(g)) for g in grams]))
 
 
-def counted(docs: DataFrame, seeds: Seeds) -> np.ndarray:
-    """In how many documents each gram is, over all documents."""
-    shared = docs.sparkSession.sparkContext.broadcast(seeds)
-    schema = pa.schema([("gram", pa.int32()), ("n", pa.int64())])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(len(shared.value.grams), np.int64)
-        for table in common.sliced(batches):
-            for text in table.column("text").to_pylist():
-                sums[np.unique(shared.value.hits(spoken(text))[1])] += 1
-        found = np.flatnonzero(sums)
-        yield common.batch(schema, found, sums[found])
-
-    out = np.zeros(len(seeds.grams), np.int64)
-    for r in docs.select("text").mapInArrow(count, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).toLocalIterator():
-        out[r["gram"]] = r["n"]
-    return out
-
-
 def best_alignments(item: np.ndarray, stretches: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Smith-Waterman of an item with several stretches at once: the best score of each, and
     the place after its last word. A row of the matrix is filled for all stretches together;
@@ -159,11 +130,13 @@ def copies(ids: np.ndarray, seeds: Seeds) -> list[tuple[int, float, int, int]]:
         size = len(words)
         cuts = np.split(start[own], np.flatnonzero(np.diff(start[own]) > size) + 1)
         spans = [(max(0, int(c[0]) - size // 2), int(c[-1]) + size + size // 2) for c in cuts]
+        # each match takes a word of the item that the stretch has, so fewer can't reach MIN_SCORE
+        spans = [(x, y) for x, y in spans if np.isin(words, ids[x:y]).sum() >= MIN_SCORE * size]
         found = []
         for a in range(0, len(spans), 64):
             best, last = best_alignments(words, [ids[x:y] for x, y in spans[a : a + 64]])
             found += [(b / (MATCH * size), x + int(e)) for b, e, (x, _) in zip(best.tolist(), last.tolist(), spans[a : a + 64], strict=True)]
-        score, end = max(found)
+        score, end = max(found, default=(0.0, 0))
         if score >= MIN_SCORE:
             out.append((int(item[own[0]]), score, end, len(own)))
     return out
@@ -198,8 +171,9 @@ def clean(docs: DataFrame, seeds: Seeds) -> DataFrame:
 
 
 def rare_seeds(docs: DataFrame, benchmark: DataFrame) -> Iterator[Seeds]:
-    for block in blocks(benchmark):
-        yield block.rarest(counted(docs, block))
+    """The seeds to look for in docs, block by block. No run is left out for how many documents
+    hold it: an edited copy may have only the common ones."""
+    yield from blocks(benchmark)
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -352,6 +352,37 @@ def test_copies_and_clean_text(spark, odd):
     assert list(decontaminate.rare_seeds(df, bench.limit(0))) == []
 
 
+@pytest.mark.parametrize("beside_verbatim", [False, True])
+def test_edited_copies_are_brute_force(spark, beside_verbatim):
+    """Items of 30, 40 and 50 words with every 5th, 6th or 7th word replaced, left out or doubled:
+    one edited copy of each, alone or beside a verbatim one."""
+    draw = np.random.default_rng(5)
+    noise = lambda n: [f"noise{k}" for k in draw.integers(0, 10**6, n)]
+    change = [lambda w: ["other"], lambda w: [], lambda w: [w, "more"]]
+    items, texts = [], []
+    for size in (30, 40, 50):
+        for step in (5, 6, 7):
+            for new in change:
+                items.append([f"i{len(items)}w{k}" for k in range(size)])
+                texts.append(noise(60) + [x for k, w in enumerate(items[-1]) for x in (new(w) if k % step == step - 1 else [w])] + noise(60))
+    own = [*range(len(items))] * (2 if beside_verbatim else 1)
+    texts += [noise(9) + item for item in items] if beside_verbatim else []
+    df = docs(spark, *[(k, " ".join(t)) for k, t in enumerate([*texts, *[noise(30) + item[:5] + noise(30) for item in items]])])
+    bench = spark.createDataFrame([(k, " ".join(item)) for k, item in enumerate(items)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["score"] for s in decontaminate.rare_seeds(df, bench) for r in decontaminate.leaks(df, s).collect()}
+
+    def brute(item, text):
+        h = np.zeros((len(item) + 1, len(text) + 1), int)
+        for i in range(1, len(item) + 1):
+            for j in range(1, len(text) + 1):
+                h[i, j] = max(0, h[i - 1, j - 1] + (2 if item[i - 1] == text[j - 1] else -1), h[i - 1, j] - 1, h[i, j - 1] - 1)
+        return h.max() / (2 * len(item))
+
+    want = {(k, i): brute(items[i], texts[k]) for k, i in enumerate(own)}
+    assert min(want.values()) >= decontaminate.MIN_SCORE
+    assert got == pytest.approx(want)
+
+
 def test_alignment_is_smith_waterman():
     draw = np.random.default_rng(2)
     for _ in range(40):
