@@ -95,7 +95,7 @@ def override_apply(t: Analog) -> DataFrame:
 
 def near_duplicates(t: Analog) -> DataFrame:
     k = F.lower(F.replace(F.replace(F.col("s_name"), F.lit("#"), F.lit("-")), F.lit("000"), F.lit("-x-")))
-    return identity.near_duplicates(t.table("supplier").where("s_suppkey <= 60").select(k.alias("ref_key")))
+    return identity.near_duplicates(t.table("supplier").select(k.alias("ref_key")))
 
 
 def round_gate(t: Analog) -> DataFrame:

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from ledgerline.operators import boards, crew, documents, identity, merge, playoffs, profiles, quality, serve
+from ledgerline.plans import catalog
 
 
 def frame(spark, schema, *rows):
@@ -67,6 +68,25 @@ def test_near_duplicates_miss_none(spark):
     assert found == {(a, b) for a in keys for b in keys if a < b and distance(a, b) <= 2}
 
 
+def test_near_duplicates_query_takes_all_suppliers(spark, tmp_path):
+    names = {k: f"Supplier#{k:09d}" for k in (*range(1, 12), *range(55, 75), 100, 999, 1000, 1001, 1011, 123456)}
+    frame(spark, "s_suppkey long, s_name string", *names.items()).write.parquet(str(tmp_path / "supplier.parquet"))
+    found = {(r["a"], r["b"]): r["reason"] for r in catalog.queries()["near_duplicates"](spark, str(tmp_path)).collect()}
+
+    def distance(a, b):
+        d = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            p, d[0] = d[0], i
+            for j, y in enumerate(b, 1):
+                p, d[j] = d[j], min(d[j] + 1, d[j - 1] + 1, p + (x != y))
+        return d[-1]
+
+    keys = sorted({n.replace("#", "-").replace("000", "-x-").lower() for n in names.values()})
+    plain = {k: "-".join(t for t in k.split("-") if len(t) > 1) for k in keys}
+    want = {(a, b): "same-after-dropping-initials" if plain[a] and plain[a] == plain[b] else "edit-distance<=2" for a in keys for b in keys if a < b and (plain[a] and plain[a] == plain[b] or distance(a, b) <= 2)}
+    assert found == want and set(want.values()) == {"same-after-dropping-initials", "edit-distance<=2"}
+
+
 SEG = "seg_id string, era string, player_id string, display string, name_key string, smin int, smax int, seasons array<string>, teams array<string>, games long"
 
 
