@@ -42,6 +42,10 @@ def _whistle(t: Analog) -> DataFrame:
     return profiles.whistle_profiles(t.crew, t.games, profiles.game_totals(t.logs))
 
 
+def _player_games(t: Analog) -> DataFrame:
+    return profiles.player_games(t.logs, t.games).withColumn("slug", F.col("player_id"))
+
+
 def _names(t: Analog) -> DataFrame:
     return identity.display_names(t.crew, "ref_key", "official_name")
 
@@ -164,7 +168,8 @@ def team_document(t: Analog) -> DataFrame:
 
 def search_index(t: Analog) -> DataFrame:
     refs = _careers(t).join(_names(t), "ref_key").select(F.col("display").alias("name"), F.col("ref_key").alias("slug"), "games_total", "first_season", "last_season")
-    return boards.search_index(refs, refs.limit(0), refs.limit(0))
+    players = documents.player_summaries(_player_games(t), profiles.player_splits(_swings(t)))
+    return boards.search_index(refs, documents.team_summaries(profiles.team_totals(t.games)), players)
 
 
 def search_rank(t: Analog) -> DataFrame:
@@ -190,8 +195,7 @@ def ref_document(t: Analog) -> DataFrame:
 
 
 def player_document(t: Analog) -> DataFrame:
-    logs = profiles.player_games(t.logs, t.games).withColumn("slug", F.col("player_id"))
-    return documents.player_documents(logs, profiles.player_splits(_swings(t)), profiles.player_top_games(t.logs, t.games), crew.crew_arrays(t.crew), _names(t))
+    return documents.player_documents(_player_games(t), profiles.player_splits(_swings(t)), profiles.player_top_games(t.logs, t.games), crew.crew_arrays(t.crew), _names(t))
 
 
 _QUERIES: dict[str, Callable[[Analog], DataFrame]] = {

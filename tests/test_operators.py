@@ -216,3 +216,17 @@ def test_search(spark):
     assert [r["s"] for r in boards.search(index, " ANN").collect()] == ["1", "3", "2"]
     assert boards.search(index, "").count() == 0
     assert [r["n"] for r in boards.directory(index).collect()][0] == "Ann Lee"
+
+
+def test_search_index_query_has_every_document(spark):
+    import json
+
+    made = lambda name: catalog.queries()[name](spark, "/root/testdata/sf0.001")
+    index: dict = {"ref": {}, "team": {}, "player": {}}
+    for r in made("search_index").collect():
+        assert r["s"] not in index[r["t"]]
+        index[r["t"]][r["s"]] = (r["n"], r["u"])
+    shown = lambda s: (s["name"], f"{s['games_total']:,} g · {s['first_season'][:4]}-{int(s['last_season'][:4]) + 1}")
+    people = {kind: {s["slug"]: shown(s) for r in made(f"{kind}_document").select("document").collect() for s in [json.loads(r[0])["summary"]]} for kind in ("ref", "player")}
+    teams = {r["team_abbr"].lower(): shown({"name": r["team_abbr"], **r.asDict()}) for r in made("team_document").collect()}
+    assert index == {**people, "team": teams} and all(index.values())
