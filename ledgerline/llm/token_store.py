@@ -92,19 +92,20 @@ class Encoder:
     or a single line feed between them: the space opens the next piece and the line feed is a
     piece of its own. So texts without other white space are cut there and put together from
     the ids of their pieces. The tokenizer encodes the pieces that are not remembered, many at
-    a time as lines of one text. Any other text goes to it whole.
+    a time as lines of one text. Any other text goes to it whole, and so does a text that holds an
+    added token of the file, which the tokenizer takes for that token.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = sorted(x.content for x in self.tokenizer.get_added_tokens_decoder().values())
         self.size = self.tokenizer.get_vocab_size()
         kind = self.tokenizer.pre_tokenizer
         plain = type(kind).__name__ == "ByteLevel" and not kind.add_prefix_space and getattr(kind, "use_regex", True) and self.tokenizer.normalizer is None
         line = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.cuts = plain and len(line) == 1
+        self.cuts = plain and len(line) == 1 and not any("\n" in x for x in self.added)
         self.line = line[0] if self.cuts else None
         if self.cuts:
             from tokenizers import pre_tokenizers
@@ -178,7 +179,7 @@ class Encoder:
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text. Arrow cuts the texts and numbers the different pieces; numpy
         lays their ids out in the order of the texts."""
-        marked = [self.marked(t) if self.cuts and t else None for t in texts]
+        marked = [self.marked(t) if self.cuts and t and not any(x in t for x in self.added) else None for t in texts]
         out = [b""] * len(texts)
         plain = [k for k, m in enumerate(marked) if m is not None]
         if plain:

@@ -56,6 +56,13 @@ def test_encoder_is_the_tokenizer(texts):
         assert [np.frombuffer(x, "<u4").tolist() for x in own(texts)] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_added_tokens_are_the_tokenizers():
+    whole, own = Tokenizer.from_file(PATH), token_store.encoder(PATH)
+    texts = [t for x in whole.get_added_tokens_decoder().values() for t in (x.content, f"a {x.content} b", f"one,{x.content}{x.content}two.", f"{x.content[:-1]} {x.content[1:]}", f"\n {x.content}  ")]
+    want = [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [50256] in want and [np.frombuffer(x, "<u4").tolist() for x in own(texts)] == want
+
+
 def test_store_order_and_lookup(spark, odd, tmp_path):
     path = str(tmp_path / "s")
     token_store.write(odd, PATH, path, block_ids=8)
