@@ -2,8 +2,10 @@
 
 Three fixed patterns are always reported: assignments, access keys and long hexadecimal runs.
 Two character Markov models, one of random strings and one of ordinary identifiers, add
-further spans: a run of key characters that no pattern covers is reported if its log-likelihood
-ratio exceeds MIN_RATIO. Both models are trained from labelled samples: random are the values
+further spans, in runs of key characters and outside the patterns' spans. A run is reported whole
+if its log-likelihood ratio exceeds MIN_RATIO. Of any other, so is its best stretch of 20 characters
+or more, if that one's ratio does, less the log of how many stretches it was chosen from, with such words (between / _ - + and =) as are half in it; what is left
+of the run on both sides is judged in the same way. Both models are trained from labelled samples: random are the values
 that the patterns find in a sample of documents and strings drawn from the usual key
 alphabets; ordinary are that sample's other words and identifiers joined from them.
 
@@ -33,6 +35,8 @@ KINDS = ["assign", "access", "hex", "random"]
 LEAST = {"assign": 8, "access": 16, "hex": 32, "random": 20}
 #: Runs that the models judge.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+#: What joins the words of paths and identifiers.
+JOINERS = frozenset("/_-+=")
 #: Natural log of the ratio from which a run counts as random: a thousand to one.
 MIN_RATIO = 6.9
 #: The models are trained on so many documents at most, those whose doc_id hashes lowest.
@@ -124,16 +128,59 @@ def ratio_of(run: str, ratio: np.ndarray) -> float:
     return float(ratio[np.concatenate(([len(ALPHABET)], c[:-1])), c].sum())
 
 
+def best_stretch(run: str, ratio: np.ndarray) -> tuple[float, int, int]:
+    """(ratio, start, end) of the stretch of LEAST["random"] characters or more that has the highest."""
+    c, least = codes(run), LEAST["random"]
+    sums = np.concatenate(([0.0], np.cumsum(ratio[c[:-1], c[1:]])))  # of the pairs up to each character
+    heads = (ratio[len(ALPHABET), c] - sums)[: len(c) - least + 1]
+    totals = sums[least - 1 :] + np.maximum.accumulate(heads)
+    end = int(totals.argmax())
+    return float(totals[end]), int(heads[: end + 1].argmax()), end + least
+
+
+def whole_words(run: str, a: int, b: int, i: int, j: int) -> tuple[int, int]:
+    """i and j moved within a and b, so that a word cut there is in the stretch if half of it is, and
+    else out of it, as far as LEAST["random"] characters stay."""
+    cuts = [a - 1, *(k for k in range(a, b) if run[k] in JOINERS), b]
+    for x, y in zip(cuts, cuts[1:], strict=False):
+        if x + 1 < i < y:
+            i = x + 1 if 2 * (y - i) >= y - x - 1 else min(y + 1, max(i, j - LEAST["random"]))
+    for x, y in zip(cuts, cuts[1:], strict=False):
+        if x + 1 < j < y:
+            j = y if 2 * (j - x - 1) >= y - x - 1 else max(x, min(j, i + LEAST["random"]))
+    return i, j
+
+
+def random_stretches(run: str, ratio: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Where the run holds what the models take for random."""
+    todo = [(0, len(run))]
+    while todo:
+        a, b = todo.pop()
+        if b - a < LEAST["random"]:
+            continue
+        if ratio_of(run[a:b], ratio) > MIN_RATIO:
+            yield a, b
+            continue
+        score, i, j = best_stretch(run[a:b], ratio)
+        free = b - a - LEAST["random"] + 1
+        if score - np.log(free * (free + 1) / 2) > MIN_RATIO:  # less what the choice among so many stretches gives
+            i, j = whole_words(run, a, b, a + i, a + j)
+            yield i, j
+            todo += [(a, i), (j, b)]
+
+
 def all_spans(text: str, ratio: np.ndarray) -> list[tuple[int, int, int, str]]:
-    """Base spans, and the runs between them that the models take for random."""
+    """Base spans, and what the models take for random in the runs between them."""
     found = base_spans(text)
     if longest_word(text) < LEAST["random"]:
         return found
     added, edges = [], [(a, b) for a, _, b, _ in found]
     for m in CANDIDATE.finditer(text):
-        a, b = m.span()
-        if not any(x < b and a < y for x, y in edges) and ratio_of(m[0], ratio) > MIN_RATIO:
-            added.append((a, 3, b, "random"))
+        at = m.start()
+        for x, y in [*[e for e in edges if e[0] < m.end() and at < e[1]], (m.end(), m.end())]:
+            if x > at:
+                added += [(at + i, 3, at + j, "random") for i, j in random_stretches(text[at:x], ratio)]
+            at = max(at, y)
     return sorted(found + added) if added else found
 
 

@@ -198,6 +198,27 @@ def test_base_spans_are_the_patterns(t):
     assert secrets.base_spans(t) == sorted(want)
 
 
+def test_keys_in_long_paths(spark):
+    ratio = secrets.fit(docs(spark))
+    key, other, path = "xK9dQ2mZ7pL4vR8tW1yB5nC3", "Qz7Xj2Kv9Wq4Hf8Tb3Ym6Rd1", "usr/local/share/applications/default/internationalization_of_identifiers"
+    shown = lambda t: [t[a:b] for a, _, b, k in secrets.all_spans(t, ratio) if k == "random"]
+    assert secrets.ratio_of(f"{path}/{key}", ratio) < secrets.MIN_RATIO and shown(path) == []
+    for t in (f"{path}/{key}", f"see {path}_{key} here", f"{key}/{path}", f"{path}-{key}/{path}"):
+        assert [key in x and len(x) < len(key) + 8 for x in shown(t)] == [True], shown(t)
+    for t in (f"{path}/{key}/{path}/{other}/{path}", f"{path}/{key}/token=abcd1234 {'0a' * 16}_{other}"):
+        found = sorted(shown(t), key=t.index)
+        assert len(found) == 2 and key in found[0] and other in found[1] and max(map(len, found)) < len(key) + 8, found
+
+
+def test_best_stretch_is_brute_force(spark):
+    ratio, draw = np.random.default_rng(3).normal(size=(len(secrets.ALPHABET) + 1,) * 2), np.random.default_rng(4)
+    for n in (20, 21, 25, 60):
+        run = "".join(secrets.ALPHABET[k] for k in draw.integers(0, len(secrets.ALPHABET), n))
+        score, a, b = secrets.best_stretch(run, ratio)
+        assert b - a >= 20 and score == pytest.approx(secrets.ratio_of(run[a:b], ratio))
+        assert score == pytest.approx(max(secrets.ratio_of(run[i:j], ratio) for i in range(n) for j in range(i + 20, n + 1)))
+
+
 def test_models_tell_random_from_plain(spark):
     ratio = secrets.fit(docs(spark))
     held = secrets.made_up_secrets(3000)[1500:]
