@@ -24,9 +24,11 @@ Elements on a large share of documents (hot_elements()) are known to be shared,
 past step 3's count, and no task has to hold all classes with such an element.
 
 Nulls and odd input: a null text, or one without words, has an empty set and links with
-nothing. Documents that repeat a doc_id are kept, with the same result. Texts of fewer than
-SHINGLE words have one shingle. An empty table gives no rows. Other columns are ignored, and
-kept by stage().
+nothing. Texts of fewer than SHINGLE words have one shingle. Every row is a document of its own:
+rows that repeat a doc_id with another text are searched each for itself, and rows without a
+doc_id are searched like any other; component_id is the least doc_id that is not null, and null
+if a group has none. Of equal rows stage() keeps one. Texts are taken whole, however long. An
+empty table gives no rows. Other columns are ignored, and kept by stage().
 """
 
 from __future__ import annotations
@@ -54,6 +56,8 @@ HOT_SHARE, HOT_LEAST = 1 / 256, 8
 BROADCAST_ROWS = 200_000
 #: Tiles of up to so many classes are compared many at a time.
 SMALL_TILE = 64
+#: Classes of a tile that meet in one task, about.
+TILE_ROWS = 1024
 #: Elements that a task holds before it sends them on.
 HELD = 1 << 19
 _HOT = np.int64(1) << 40
@@ -97,10 +101,12 @@ def class_of(d: bytes) -> int:
     return int.from_bytes(d[:8], "little", signed=True)
 
 
-def sets_of(docs: DataFrame) -> DataFrame:
-    """doc_id, n, digest and class (its first 64 bits) of each document; and for each task one
-    more row, with hot: the elements that many of its regions have, and how many."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("class", pa.int64()), ("hot", pa.binary())])
+def sets_of(docs: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, keys (columns of longs), n and class (64 bits of the set's digest) of each
+    document; and for each task one more row, with hot: the elements that many of its regions
+    have, and how many."""
+    kept = ["doc_id", *keys]
+    schema = pa.schema([*((k, pa.int64()) for k in kept), ("n", pa.int64()), ("class", pa.int64()), ("hot", pa.binary())])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         regions, held, docs_seen, counts = [], 0, 0, {}
@@ -113,25 +119,26 @@ def sets_of(docs: DataFrame) -> DataFrame:
 
         for table in common.sliced(batches):
             rows = []
-            for name, text in zip(*common.batches_of(table, "doc_id", "text"), strict=True):
+            for text in table.column("text").to_pylist():
                 s = shingles(text)
-                d = digest(s) if len(s) else None
-                rows.append((name, len(s), d, class_of(d) if d else None, None))
+                rows.append((len(s), class_of(digest(s)) if len(s) else None, None))
                 if len(s):
                     regions.append(s[: region_size(len(s))])
                     held, docs_seen = held + len(regions[-1]), docs_seen + 1
                 if held >= 2 * HELD:
                     count()
                     regions, held = [], 0
-            yield common.batch(schema, *map(list, zip(*rows, strict=True)))
+            if rows:
+                yield common.batch(schema, *(table.column(k) for k in kept), *map(list, zip(*rows, strict=True)))
         if regions:
             count()
         hot = [(e, k) for e, k in counts.items() if k >= docs_seen * HOT_SHARE]
         if hot:
             pairs = np.array([e for e, _ in hot], np.uint64), np.array([k for _, k in hot], np.uint64)
-            yield common.batch(schema, [None], [-1], [None], [None], [np.stack(pairs).tobytes()])
+            yield common.batch(schema, *([None] for _ in kept), [-1], [None], [np.stack(pairs).tobytes()])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(build, "doc_id long, n long, digest binary, class long, hot binary")
+    kind = ", ".join(f"`{k}` long" for k in kept) + ", n long, class long, hot binary"
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *keys).mapInArrow(build, kind)
 
 
 def hot_elements(sets: DataFrame) -> np.ndarray:
@@ -147,8 +154,8 @@ def hot_elements(sets: DataFrame) -> np.ndarray:
 
     total = sets.where("n > 0").count()
     sums = sets.where(F.col("hot").isNotNull()).select("hot").mapInArrow(unpack, "element long, n long").groupBy("element").agg(F.sum("n").alias("n"))
-    found = sums.where(F.col("n") >= total * HOT_SHARE).toPandas()["element"].to_numpy(np.int64)
-    return np.sort(found.view(np.uint64))
+    found = sums.where(F.col("n") >= total * HOT_SHARE).select("element").toArrow().column(0)
+    return np.sort(found.to_numpy().astype(np.int64).view(np.uint64))
 
 
 PACKED = "bucket int, kind int, packed binary"
@@ -329,9 +336,12 @@ def sets_with_bits(docs: DataFrame, reps: DataFrame) -> DataFrame:
                 yield common.batch(schema, [class_of(digest(s)) for s in own], [s.tobytes() for s in own], [bitmap(s) for s in own])
 
     small = reps.count() <= BROADCAST_ROWS
-    ids = reps.select(F.col("rep").alias("doc_id"))
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
-    return own.mapInArrow(build, "class long, elements binary, bits binary").dropDuplicates(["class"])
+    sent = lambda x: F.broadcast(x) if small else x
+    # a representative's doc_id may be null, or on other rows, too: what they have beside is left out by class
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    own = own.join(sent(reps.select("rep").distinct()), F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
+    found = own.mapInArrow(build, "class long, elements binary, bits binary")
+    return found.join(sent(reps.select("class")), "class", "left_semi").dropDuplicates(["class"])
 
 
 def links_among(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -377,10 +387,20 @@ def open_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs of a tile that are in different components, of sizes that allow it, one of them
     native, and whose bitmaps don't rule it out. In a tile, only classes outside its commonest
     component are held against all, as rows of a matrix; no pair leaves the task unless the
-    bits let it. Bitmaps are only sent for tiles of several components."""
+    bits let it. Bitmaps are only sent for tiles of several components.
+
+    A tile of more than TILE_ROWS classes is dealt out: its classes fall into blocks, and every two
+    blocks (and each with itself) meet in a task of their own, so no task has more than about
+    twice TILE_ROWS classes of a tile, however many the tile has."""
     counts = rows.groupBy("tile", "label").agg(F.count("*").alias("k"))
-    most = counts.groupBy("tile").agg(F.max(F.struct("k", "label")).alias("top"), F.count("*").alias("labels")).where("labels > 1").select("tile", F.col("top.label").alias("main"))
-    mixed = rows.join(most, "tile").join(sets.select("class", "bits"), "class").select("tile", "class", "n", "label", "main", "native", "bits")
+    most = counts.groupBy("tile").agg(F.max(F.struct("k", "label")).alias("top"), F.count("*").alias("labels"), F.sum("k").alias("classes")).where("labels > 1")
+    most = most.select("tile", F.col("top.label").alias("main"), F.ceil(F.col("classes") / TILE_ROWS).cast("int").alias("blocks"))
+    own = rows.join(most, "tile").withColumn("block", F.pmod(F.xxhash64("class", F.lit(3)), F.col("blocks")).cast("int"))
+    own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    first, second = F.least("block", "other"), F.greatest("block", "other")
+    meeting = F.when(F.col("blocks") == 1, F.col("tile")).otherwise(F.xxhash64("tile", first, second))
+    own = own.select(meeting.alias("tile"), "class", "n", "label", "main", "native", F.when(first == second, F.lit(-1)).otherwise((F.col("block") == first).cast("int")).alias("side"))
+    mixed = own.join(sets.select("class", "bits"), "class").select("tile", "class", "n", "label", "main", "native", "side", "bits")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -388,7 +408,7 @@ def open_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
         if not tables:
             return
         table = pa.concat_tables(tables)
-        tile, names, n, label, main = (table.column(c).to_numpy() for c in ("tile", "class", "n", "label", "main"))
+        tile, names, n, label, main, side = (table.column(c).to_numpy() for c in ("tile", "class", "n", "label", "main", "side"))
         native, bits = np.array(table.column("native").to_pylist(), bool), table.column("bits").to_pylist()
         order = np.argsort(tile, kind="stable")
         first = np.flatnonzero(np.concatenate(([True], np.diff(tile[order]) != 0)))
@@ -397,7 +417,8 @@ def open_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
         codes = [np.zeros(0, np.int64)]  # pairs as number * classes + lesser number
 
         def fits(i: np.ndarray, k: np.ndarray) -> np.ndarray:
-            return (label[i] != label[k]) & (5 * n[i] >= 4 * n[k]) & (5 * n[k] >= 4 * n[i]) & (native[i] | native[k])
+            meet = (side[i] < 0) | (side[i] != side[k])
+            return meet & (label[i] != label[k]) & (5 * n[i] >= 4 * n[k]) & (5 * n[k] >= 4 * n[i]) & (native[i] | native[k])
 
         def add(i: np.ndarray, k: np.ndarray) -> None:
             x, y = number[i], number[k]
@@ -411,21 +432,24 @@ def open_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
                 x, y = rows_of[:, i].ravel(), rows_of[:, j].ravel()
                 good = fits(x, y)
                 add(x[good], y[good])
-        found = [(x, y) for x, y in zip(*np.divmod(np.unique(np.concatenate(codes)), max(1, len(own_names))), strict=True) if 9 * bits_apart(bits[row_of[x]], bits[row_of[y]]) <= n[row_of[x]] + n[row_of[y]]]
+        pairs = zip(*np.divmod(np.unique(np.concatenate(codes)), max(1, len(own_names))), strict=True)
+        found = [(x, y) for x, y in pairs if 9 * bits_apart(bits[row_of[x]], bits[row_of[y]]) <= n[row_of[x]] + n[row_of[y]]]
         codes = [np.array([x * len(own_names) + y for x, y in found], np.int64)]
         for at, k in zip(first[size > SMALL_TILE], size[size > SMALL_TILE], strict=True):
             own = order[at : at + k]
             width = min(len(bits[r]) for r in own)
             maps = np.stack([folded(bits[r], width) for r in own])
-            few = np.flatnonzero(label[own] != main[own])
-            for block in np.array_split(few, max(1, len(few) // 256)):
-                apart = np.zeros((len(block), k), np.int64)
-                for word in range(maps.shape[1]):
-                    apart += np.bitwise_count(maps[block, word][:, None] ^ maps[:, word][None, :])
-                x, y = np.nonzero(9 * apart <= n[own][block][:, None] + n[own][None, :])
-                x, y = own[block[x]], own[y]
-                good = fits(x, y)
-                add(x[good], y[good])
+            for part in np.unique(side[own]):  # one side's open classes against the other side
+                few = np.flatnonzero((label[own] != main[own]) & (side[own] == part))
+                all_ = np.flatnonzero((side[own] != part) | (part < 0))
+                for block in np.array_split(few, max(1, len(few) // 256)):
+                    apart = np.zeros((len(block), len(all_)), np.int64)
+                    for word in range(maps.shape[1]):
+                        apart += np.bitwise_count(maps[block, word][:, None] ^ maps[all_, word][None, :])
+                    x, y = np.nonzero(9 * apart <= n[own][block][:, None] + n[own][all_][None, :])
+                    x, y = own[block[x]], own[all_[y]]
+                    good = fits(x, y)
+                    add(x[good], y[good])
         x, y = np.divmod(np.unique(np.concatenate(codes)), max(1, len(own_names)))
         if len(x):
             yield common.batch(schema, np.maximum(own_names[x], own_names[y]), np.minimum(own_names[x], own_names[y]))
@@ -434,29 +458,42 @@ def open_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
     return mixed.repartition(parts, "tile").mapInArrow(compare, "a long, b long").distinct()
 
 
-def joined(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id of every document. docs: doc_id, text."""
+def labelled_rows(docs: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, keys, n and component of every row: a number that the rows of a group share, null
+    for empty sets. docs: doc_id, text and keys (columns of longs). Saved; what led there isn't."""
     spark = docs.sparkSession
     buckets = 4 * common.shuffle_parts(spark)
-    sets = common.saved(sets_of(docs), "sets")
-    rows = sets.where("n >= 0").select("doc_id", "n", "digest", "class")
+    sets = common.saved(sets_of(docs, keys), "sets")
+    rows = sets.where("n >= 0").select("doc_id", *keys, "n", "class")
     classes = common.saved(rows.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")), "classes")
     hits = counted(region_elements(docs, hot_elements(sets), buckets), buckets)
-    tile_rows = common.saved(tiles(hits.unionByName(sizes_packed(classes, buckets)), buckets), "tiles")
-    tile_rows = common.saved(tile_rows.join(tile_rows.groupBy("tile").agg(F.count("*").alias("k"), F.count_if("native").alias("h")).where("k > 1 and h > 0").select("tile"), "tile", "left_semi"), "tiles")
+    every = common.saved(tiles(hits.unionByName(sizes_packed(classes, buckets)), buckets), "tiles")
+    shared = every.groupBy("tile").agg(F.count("*").alias("k"), F.count_if("native").alias("h")).where("k > 1 and h > 0").select("tile")
+    tile_rows = common.saved(every.join(shared, "tile", "left_semi"), "tiles")
+    common.forget(every)
     reps = common.saved(classes.join(tile_rows.select("class").distinct(), "class", "left_semi").select("class", "rep"), "reps")
     own_sets = common.saved(sets_with_bits(docs, reps), "elements")
-    links = None
+    links, steps = None, []
     for k in range(STAR_ROUNDS + 1):
         now = labelled(tile_rows, links)
-        pairs = common.saved(led_pairs(now, k) if k < STAR_ROUNDS else open_pairs(common.saved(now, "labelled"), own_sets), "pairs")
+        if k == STAR_ROUNDS:
+            now = common.saved(now, "labelled")
+            steps.append(now)
+        pairs = common.saved(led_pairs(now, k) if k < STAR_ROUNDS else open_pairs(now, own_sets), "pairs")
         more = common.saved(links_among(pairs, own_sets), "similar")
+        steps += [pairs, more]
         links = more if links is None else links.unionByName(more)
     named = components(links).select(F.col("vertex").alias("class"), "component")
-    per = classes.join(named, "class", "left").select("class", "rep", F.coalesce("component", "class").alias("component"))
-    least = per.groupBy("component").agg(F.min("rep").alias("component_id"))
-    per = per.join(least, "component").select("class", "component_id")
-    out = rows.join(per, "class", "left")
+    found = common.saved(rows.join(named, "class", "left").select("doc_id", *keys, "n", F.coalesce("component", "class").alias("component")), "joined")
+    common.forget(sets, classes, tile_rows, reps, own_sets, *steps)
+    return found
+
+
+def joined(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id of every document. docs: doc_id, text."""
+    rows = labelled_rows(docs)
+    least = rows.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    out = rows.join(least, "component", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
@@ -464,7 +501,32 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined(common.documents(spark, sf_dir))
 
 
+#: Names for columns beside a caller's: two hashes of the text, which tell rows apart that share a doc_id.
+_KEYS = ("__ledgerline_text", "__ledgerline_again")
+
+
+def without_copies(docs: DataFrame) -> DataFrame:
+    """The rows of docs, with all their columns, but of each group of linked rows only one: the
+    first by doc_id (null last), then by hash of the text. Rows with empty sets all stay."""
+    own = docs.withColumn(_KEYS[0], F.xxhash64("text")).withColumn(_KEYS[1], F.xxhash64(F.lit(7), F.col("text")))
+    rows = labelled_rows(own, _KEYS).where("n > 0")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), *(F.col(k) for k in _KEYS))
+    groups = rows.groupBy("component").agg(F.min(order).alias("stays"), F.count("*").alias("rows")).where("rows > 1").select("component", "stays")
+    both = rows.join(groups, "component").withColumn("goes", order != F.col("stays"))
+    names = {"doc_id": "__ledgerline_doc", _KEYS[0]: "__ledgerline_k", _KEYS[1]: "__ledgerline_l"}
+    by_name = lambda df: df.select(*(F.col(a).alias(b) for a, b in names.items())).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__ledgerline_doc"))
+    for a, b in list(names.items())[1:]:
+        same = same & (F.col(a) == F.col(b))  # never null: the hash of a null text is its seed's
+    kept = own.join(by_name(both.where("goes")), same, "left_anti")
+    again = both.where("not goes").groupBy("doc_id", *_KEYS).agg(F.count("*").alias("n")).where("n > 1")
+    again = common.saved(by_name(again), "equal-rows")
+    if again.head(1):  # rows equal to the one that stays: summed before the shuffle, as they may be many
+        firsts = kept.join(again, same, "left_semi").dropDuplicates(["doc_id", *_KEYS])
+        kept = kept.join(again, same, "left_anti").unionByName(firsts)
+    return kept.select(*docs.columns)
+
+
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component stays: that with the smallest doc_id."""
-    gone = joined(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return without_copies(docs)
