@@ -6,7 +6,9 @@ import atexit
 import contextlib
 import ctypes
 import functools
+import re
 import shutil
+import string
 import tempfile
 import uuid
 import zipfile
@@ -25,9 +27,12 @@ WORD_CACHE = 200_000
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or, where it is unset
-    (tests on one machine), a temporary folder that the process removes at its end."""
+    and all runs in this one process (tests), a temporary folder that the process removes at
+    its end. On a cluster the setting must be there, as executors don't see such a folder."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         own = tempfile.TemporaryDirectory(prefix="ledgerline-")
         atexit.register(own.cleanup)
         found = f"file://{own.name}"
@@ -92,14 +97,21 @@ def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def forget(df: DataFrame) -> None:
-    """Deletes the files of a table from saved() that nothing will read any more."""
-    jvm = df.sparkSession.sparkContext._jvm
-    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    for f in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(f)
-        if "/ledgerline/" in f:
-            path.getFileSystem(conf).delete(path, True)
+def forget(*tables: DataFrame) -> None:
+    """Deletes the files of tables from saved() that nothing will read any more."""
+    for df in tables:
+        jvm = df.sparkSession.sparkContext._jvm
+        conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        for f in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(f)
+            if "/ledgerline/" in f:
+                path.getFileSystem(conf).delete(path, True)
+
+
+def rows_of(df: DataFrame) -> list[tuple]:
+    """The rows of a table of known small size, by Arrow."""
+    table = df.toArrow()
+    return list(zip(*(c.to_pylist() for c in table.columns), strict=True))
 
 
 def shuffle_parts(spark: SparkSession) -> int:
@@ -152,6 +164,15 @@ def word_ids(text: str | None) -> np.ndarray:
     return ids_of(split_words(text))
 
 
+#: ASCII signs separate words here, so that a copy with other punctuation has the same words.
+_SIGNS = bytes(32 if chr(b) in string.punctuation else b for b in range(256))
+
+
+def spoken(text: str | None) -> np.ndarray:
+    """A hash for each word of the text, whatever its case and punctuation."""
+    return ids_of((text or "").lower().encode("utf-8", "replace").translate(_SIGNS).split())
+
+
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MUL = np.uint64(0xFF51AFD7ED558CCD)
 _S33 = np.uint64(33)
@@ -200,6 +221,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def hash_sample(df: DataFrame, limit: int, seed: int, *by: str) -> DataFrame:
+    """The limit rows whose columns by hash lowest. Their share is known from the count, so no task
+    sends, and none receives, many rows more than these."""
+    n = df.count()
+    h = F.xxhash64(*(F.col(c) for c in by), F.lit(seed))
+    few = df.where(F.pmod(h, F.lit(1 << 30)) < F.lit(int(min(1.0, (2 * limit + 100) / max(1, n)) * (1 << 30))))
+    return few.orderBy(F.pmod(h, F.lit(1 << 30)), h, *by).limit(limit)
+
+
 def crc_of(column: str):
     """crc32 of a column as text."""
     return F.crc32(F.col(column).cast("string").cast("binary"))

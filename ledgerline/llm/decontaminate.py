@@ -18,7 +18,6 @@ ignored, and kept by clean().
 
 from __future__ import annotations
 
-import string
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,15 +35,6 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 _FILTER_BITS = 22
 
 
-#: ASCII signs separate words here, so that a copy with other punctuation has the same words.
-_SIGNS = bytes(32 if chr(b) in string.punctuation else b for b in range(256))
-
-
-def spoken(text: str | None) -> np.ndarray:
-    """A hash for each word of the text, whatever its case and punctuation."""
-    return common.ids_of((text or "").lower().encode("utf-8", "replace").translate(_SIGNS).split())
-
-
 @dataclass
 class Seeds:
     """grams: sorted hashes of runs; of gram k, the places first[k] to first[k + 1] - 1 in item
@@ -84,7 +74,7 @@ def blocks(benchmark: DataFrame, size: int = BLOCK_ITEMS) -> Iterator[Seeds]:
     n = -(-rows.count() // size)
     for k in range(n):
         own = sorted(rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect(), key=lambda r: (r[0] is None, r[0], r[1]))
-        words = [spoken(r["text"]) for r in own]
+        words = [common.spoken(r["text"]) for r in own]
         grams = [common.ngram_ids(w, SEED_WORDS) if len(w) >= SEED_WORDS else w[:0] for w in words]
         if sum(map(len, grams)):
             yield indexed([r["item_id"] for r in own], words, np.concatenate(grams), np.repeat(np.arange(len(own)), list(map(len, grams))), np.concatenate([np.arange(len(g)) for g in grams]))
@@ -151,7 +141,7 @@ def leaks(docs: DataFrame, seeds: Seeds) -> DataFrame:
         for table in common.sliced(batches):
             rows = []
             for name, text in zip(*common.batches_of(table, "doc_id", "text"), strict=True):
-                rows += [(name, shared.value.names[i], s, e, n) for i, s, e, n in copies(spoken(text), shared.value)]
+                rows += [(name, shared.value.names[i], s, e, n) for i, s, e, n in copies(common.spoken(text), shared.value)]
             if rows:
                 yield common.batch(schema, *map(list, zip(*rows, strict=True)))
 
@@ -165,7 +155,7 @@ def clean(docs: DataFrame, seeds: Seeds) -> DataFrame:
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in common.sliced(batches):
             texts = table.column("text").to_pylist()
-            yield table.filter(pa.array([not copies(spoken(t), shared.value) for t in texts], pa.bool_()))
+            yield table.filter(pa.array([not copies(common.spoken(t), shared.value) for t in texts], pa.bool_()))
 
     return docs.mapInArrow(kept, docs.schema)
 

@@ -14,8 +14,9 @@ is cut off is shared by weight among the others until none exceeds it.
 
 Nulls and odd input: a null or empty text has no words, and nothing is taken from it; a null
 source is a source; rows that repeat a doc_id are mixed as documents of their own; an empty
-table, or one without words, gives targets of 0. Other columns are ignored, and kept by
-resampled(). What the driver holds is one row for each source.
+table, or one without words, gives targets of 0. A very long text is cut into many blocks like
+any other. Other columns are ignored, and kept by resampled(). What the driver holds is one row
+for each source.
 """
 
 from __future__ import annotations
@@ -177,13 +178,31 @@ def takings(found: Mix) -> DataFrame:
     return both.select("a.doc_id", "a.source", "a.size", "a.source_size", "a.target", F.coalesce("b.taken", F.lit(0)).cast("long").alias("taken"))
 
 
+#: Names for columns beside a caller's.
+_KEY, _SHARE, _SLOT, _PERIOD, _COPY = (f"__ledgerline_{x}" for x in ("key", "share", "slot", "period", "copy"))
+
+
 def resampled(docs: DataFrame) -> DataFrame:
-    """The rows of docs, each as often as the mix takes its words, to the nearest whole number."""
-    found = takings(mix(docs)).where("size > 0").groupBy("doc_id", "source", "size").agg((F.sum("taken") / F.sum("size")).alias("times"))
-    found = found.select(F.col("doc_id").alias("__ledgerline_doc"), F.col("source").alias("__ledgerline_source"), F.col("size").alias("__ledgerline_size"), F.round("times").cast("int").alias("__ledgerline_times")).where("__ledgerline_times > 0")
-    own = docs.withColumn("__ledgerline_own", words_of("text"))
-    same = own["doc_id"].eqNullSafe(found["__ledgerline_doc"]) & own["source"].eqNullSafe(found["__ledgerline_source"]) & (own["__ledgerline_own"] == found["__ledgerline_size"])
-    return own.join(found, same).select(*docs.columns, F.explode(F.sequence(F.lit(1), "__ledgerline_times")).alias("__ledgerline_copy")).drop("__ledgerline_copy")
+    """The rows of docs in the order of the mix, each as often as the mix takes its words: a whole
+    number of times, rounded up with the probability of what is left over, so that the words of a
+    source come near its target and short shares don't all vanish. A row's first copy comes where
+    its first block has its slot, and the next ones a round of its source's blocks later each.
+
+    Rows are known by a hash of doc_id, source and text; equal rows share their slots."""
+    own = docs.withColumn(_KEY, F.xxhash64(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text")))
+    found = mix(own.select(F.col(_KEY).alias("doc_id"), "source", "text"))
+    sizes = found.rows.groupBy("doc_id").agg(F.sum("size").alias("all_words"))
+    total = F.sum("slots").over(Window.partitionBy())  # over the plan: one row for each source
+    period = found.plan.where("blocks > 0").select("number", (total * F.col("blocks") / F.col("slots")).alias("period"))
+    taken = found.taken.groupBy("number", "doc_id").agg(F.sum("words").alias("words"), F.min("slot").alias("first"))
+    per = taken.join(sizes, "doc_id").join(period, "number")
+    per = per.select(F.col("doc_id").alias(_KEY), (F.col("words") / F.col("all_words")).alias(_SHARE), F.col("first").alias(_SLOT), F.col("period").alias(_PERIOD))
+    luck = F.pmod(F.xxhash64(F.col(_KEY), F.lit(11)), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    times = F.floor(F.col(_SHARE) + luck).cast("int")
+    rows = own.join(per, _KEY).where(times > 0).withColumn(_COPY, F.explode(F.sequence(F.lit(0), times - 1)))
+    rows = rows.withColumn(_SLOT, F.col(_SLOT) + F.col(_COPY) * F.col(_PERIOD))
+    parts = common.shuffle_parts(docs.sparkSession)
+    return rows.repartitionByRange(parts, _SLOT, _KEY).sortWithinPartitions(_SLOT, _KEY).select(*docs.columns)
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,17 +1,24 @@
 """Quality by importance resampling (operator 5).
 
-Two generative models over hashed byte four-grams are fitted: one of the target text (labelled
-good: quality 1 and not toxic), one of the raw text (every document). A document's score is
-the mean log ratio of the two over its four-grams. Its log weight is the summed log ratio
-above a cut, where the cut is the score that best tells labelled good from labelled bad
-documents that neither model's target sample holds. k documents are then drawn without
-replacement in proportion to their weights, by adding Gumbel noise to the log weights and
-taking the k largest; k is the number of documents that score above the cut.
+Two generative models are fitted over hashed n-grams, of four bytes and of one word: one of the
+target text (labelled good: quality 1 and not toxic), one of the raw text (every document). From
+their ratio a document gets a score, the mean log ratio over its four-byte grams, and a lapse: the
+sum over those of its words that the target text lacks so clearly that chance can't be the reason
+(a log ratio below LAPSE). The score tells junk, which is odd all over; the lapse tells insults,
+which a mean over a long text hides. Cuts for both are what best tells labelled good from labelled
+bad documents, among those that neither model's target sample holds.
+
+The log weight is the summed log ratio above the cut of the score; a document whose lapse is below
+its cut has no weight. k documents are drawn without replacement in proportion to their weights,
+by adding Gumbel noise to the log weights and taking the k largest. k is the budget: a share of
+the documents, or, where none is given, as many as weigh more than one.
 
 Nulls and odd input: a document with null or empty text has no weight and is never drawn. Rows
 that repeat a doc_id with the same text share their noise and fate. Without labelled bad
 documents nothing tells what to reject, and every document with text is drawn. Rows of labels
 with a null or an unknown doc_id teach nothing; of several for one document, the worst counts.
+Documents that tie with the k-th stay, too. Texts are scored whole, however long; an empty table
+gives no rows. Columns of a caller may have any names but those beginning with __ledgerline.
 """
 
 from __future__ import annotations
@@ -28,20 +35,31 @@ from . import common
 
 #: Hash buckets of the four-grams, as a power of two.
 BUCKETS_LOG2 = 17
+#: Hash buckets of the words, as a power of two.
+WORDS_LOG2 = 18
+#: Log ratios of words below this count as lapses: with SMOOTHING, the raw text leads to expect 13
+#: or more in the target text where there is none, or 20 where there is one.
+LAPSE = -2.0
 #: At most so many labelled documents of each kind (good, bad) are used, those whose doc_id
 #: hashes lowest: half for the target model, half for the cut.
 LABELLED = 20_000
 #: Added to the counts of every bucket, found and expected.
 SMOOTHING = 2.0
-#: The cut leaves at least this share of the labelled good documents.
+#: Each cut leaves at least this share of the labelled good documents.
 KEEP_GOOD = 0.99
 _PARTS = 16
 
 
+#: Names, for columns beside those of the caller, that a caller's columns don't have.
+_GRAMS, _SCORE, _LAPSE, _KEY, _TEXT, _GOOD, _PART = (f"__ledgerline_{x}" for x in ("grams", "score", "lapse", "key", "text", "good", "part"))
+
+
 @dataclass
 class Resampler:
-    ratio: np.ndarray  # bucket -> log of target over raw
+    ratio: np.ndarray  # bucket of four bytes -> log of target over raw
+    words: np.ndarray  # bucket of a word -> the same, 0 where above LAPSE
     cut: float = -np.inf
+    lapse_cut: float = -np.inf
     threshold: float = -np.inf
 
 
@@ -52,11 +70,17 @@ def buckets(joined: bytes) -> np.ndarray:
     return (g * np.uint32(2654435761)) >> np.uint32(32 - BUCKETS_LOG2)
 
 
+def word_buckets(text: str) -> np.ndarray:
+    """The bucket of each word, whatever its case and the signs around it."""
+    return (common.mixed(common.spoken(text)) >> np.uint64(64 - WORDS_LOG2)).astype(np.int64)
+
+
 def sampled_labels(labels: DataFrame, limit: int = LABELLED) -> DataFrame:
     """doc_id, good boolean, part (0: target model, 1: cut), at most limit of either kind."""
-    worst = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg((F.min(F.when((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0), 1).otherwise(0)) == 1).alias("good"))
-    kinds = [worst.where(F.col("good") == g).orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").limit(limit) for g in (True, False)]
-    return kinds[0].unionByName(kinds[1]).withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(55)), F.lit(2)).cast("int"))
+    good = F.when((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0), 1).otherwise(0)
+    worst = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg((F.min(good) == 1).alias(_GOOD))
+    kinds = [common.hash_sample(worst.where(F.col(_GOOD) == g), limit, 5, "doc_id") for g in (True, False)]
+    return kinds[0].unionByName(kinds[1]).withColumn(_PART, F.pmod(F.xxhash64("doc_id", F.lit(55)), F.lit(2)).cast("int"))
 
 
 def with_labels(docs: DataFrame, sample: DataFrame) -> DataFrame:
@@ -64,23 +88,26 @@ def with_labels(docs: DataFrame, sample: DataFrame) -> DataFrame:
 
 
 def model_counts(rows: DataFrame) -> dict[int, np.ndarray]:
-    """Bucket counts of raw text (0) and of the target (1) over rows (text, good, part). Each
-    task sends one vector for each model, in slices, which are summed slice by slice."""
-    size = 1 << BUCKETS_LOG2
+    """Bucket counts of raw text (0) and of the target (1) over rows (text, good, part): those of
+    four bytes, then those of words. Each task sends one vector for each model, in slices, which
+    are summed slice by slice."""
+    size, more = 1 << BUCKETS_LOG2, 1 << WORDS_LOG2
     schema = pa.schema([("model", pa.int32()), ("slice", pa.int32()), ("counts", pa.binary())])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, size), np.int64)
+        sums = np.zeros((2, size + more), np.int64)
         for table in common.sliced(batches):
-            texts, good, part = common.batches_of(table, "text", "good", "part")
+            texts, good, part = common.batches_of(table, "text", _GOOD, _PART)
             for model in (0, 1):
-                own = texts if model == 0 else [t for t, g, p in zip(texts, good, part, strict=True) if g and p == 0]
-                for _, joined, edges in common.text_slices(" \n " + t for t in own if t):
+                own = [t for t, g, p in zip(texts, good, part, strict=True) if t and (model == 0 or g and p == 0)]
+                for _, joined, edges in common.text_slices(" \n " + t for t in own):
                     found = buckets(joined)
                     inside = np.ones(len(found), bool)
                     for k in (1, 2, 3):  # runs that begin in one text and end in the next
                         inside[edges[1:-1] - k] = False
-                    sums[model] += np.bincount(found[inside], minlength=size)
+                    sums[model, :size] += np.bincount(found[inside], minlength=size)
+                if own:
+                    sums[model, size:] += np.bincount(np.concatenate([word_buckets(t) for t in own]), minlength=more)
         for model in (0, 1):
             if sums[model].any():
                 cut = sums[model].reshape(_PARTS, -1)
@@ -96,47 +123,50 @@ def model_counts(rows: DataFrame) -> dict[int, np.ndarray]:
             yield common.batch(schema, [k[0] for k in sums], [k[1] for k in sums], [v.tobytes() for v in sums.values()])
 
     kind = "model int, slice int, counts binary"
-    parts = rows.select("text", "good", "part").mapInArrow(counted, kind).repartition("model", "slice").mapInArrow(summed, kind).collect()
-    out = {m: np.zeros((_PARTS, size // _PARTS), np.int64) for m in (0, 1)}
-    for r in parts:
-        out[r["model"]][r["slice"]] += np.frombuffer(r["counts"], np.int64)
-    return {m: x.reshape(-1) for m, x in out.items()}
+    parts = rows.select("text", _GOOD, _PART).mapInArrow(counted, kind).repartition("model", "slice").mapInArrow(summed, kind)
+    out = np.zeros((2, _PARTS, (size + more) // _PARTS), np.int64)
+    for model, k, counts in common.rows_of(parts):
+        out[model, k] += np.frombuffer(counts, np.int64)
+    return {m: x.reshape(-1) for m, x in enumerate(out)}
 
 
-def log_ratio(counts: dict[int, np.ndarray]) -> np.ndarray:
+def log_ratio(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
     """log of target over raw for each bucket. The target count is held against the count that
     raw text leads to expect in as much text, so that what is rare in both tells little."""
-    raw, target = counts[0], counts[1]
     if not target.any():
         return np.zeros(len(raw), np.float32)
     expected = raw * (target.sum() / raw.sum())
     return np.log((target + SMOOTHING) / (expected + SMOOTHING)).astype(np.float32)
 
 
-#: Names, for a column beside those of the caller, that a caller's columns don't have.
-_GRAMS, _SCORE, _TEXT = "__ledgerline_grams", "__ledgerline_score", "__ledgerline_text"
+def fitted(counts: dict[int, np.ndarray]) -> Resampler:
+    size = 1 << BUCKETS_LOG2
+    ratio, words = (log_ratio(counts[0][part], counts[1][part]) for part in (slice(size), slice(size, None)))
+    return Resampler(ratio, np.where(words < LAPSE, words, 0).astype(np.float32))
 
 
-def scored(rows: DataFrame, ratio: np.ndarray, keep: list[str], grams: str = "grams", score_as: str = "score") -> DataFrame:
-    """The columns keep, and of the whole text: grams long and score double (null if empty)."""
-    shared = rows.sparkSession.sparkContext.broadcast(ratio)  # 2 ** BUCKETS_LOG2 floats
+def scored(rows: DataFrame, model: Resampler, keep: list[str]) -> DataFrame:
+    """The columns keep, and of the whole text: grams long, score and lapse double (null if empty)."""
+    shared = rows.sparkSession.sparkContext.broadcast((model.ratio, model.words))  # 2 ** BUCKETS_LOG2 and 2 ** WORDS_LOG2 floats
     own = rows.select(*keep, F.col("text").alias(_TEXT))
-    out = own.drop(_TEXT).schema.add(grams, "long").add(score_as, "double")
+    out = own.drop(_TEXT).schema.add(_GRAMS, "long").add(_SCORE, "double").add(_LAPSE, "double")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ratio, words = shared.value
         for table in common.sliced(batches):
             texts = table.column(_TEXT).to_pylist()
             n, sums = np.zeros(len(texts), np.int64), np.zeros(len(texts))
             for at, joined, edges in common.text_slices(" \n " + t if t else "    " for t in texts):
-                w = shared.value[buckets(joined)]
+                w = ratio[buckets(joined)]
                 for k in (1, 2, 3):
                     w[edges[1:-1] - k] = 0
                 sums[at] = np.add.reduceat(w, edges[:-1], dtype=np.float64)
                 n[at] = np.diff(edges) - 3
             none = np.array([not t for t in texts], bool)
             n[none] = 0
+            lapse = [float(words[word_buckets(t)].sum()) if t else None for t in texts]
             mean = pa.array(sums / np.maximum(n, 1), mask=none)
-            yield pa.RecordBatch.from_arrays([*table.drop_columns([_TEXT]).columns, pa.array(n), mean], names=[*keep, grams, score_as])
+            yield pa.RecordBatch.from_arrays([*table.drop_columns([_TEXT]).columns, pa.array(n), mean, pa.array(lapse, pa.float64())], names=[*keep, _GRAMS, _SCORE, _LAPSE])
 
     return own.mapInArrow(score, out)
 
@@ -154,17 +184,20 @@ def best_cut(good: np.ndarray, bad: np.ndarray) -> float:
     return float(at[k] + at[k - 1]) / 2 if k else -np.inf
 
 
-def noised(model: Resampler, grams: str = "grams", score: str = "score") -> Column:
-    """The log weight of a document with a Gumbel variate, drawn from its doc_id, added."""
+def noised(model: Resampler) -> Column:
+    """The log weight of a document with a Gumbel variate, drawn from its doc_id, added; null if it
+    has no weight."""
     u = (F.pmod(F.xxhash64(F.col("doc_id"), F.lit(555)), F.lit(1 << 40)) + F.lit(0.5)) / F.lit(float(1 << 40))
-    weight = F.col(grams) * (F.col(score) - F.lit(float(model.cut) if np.isfinite(model.cut) else 0.0))
-    return weight - F.log(-F.log(u))
+    weight = F.col(_GRAMS) * (F.col(_SCORE) - F.lit(float(model.cut) if np.isfinite(model.cut) else 0.0))
+    return F.when(F.col(_LAPSE) >= F.lit(float(model.lapse_cut)), weight - F.log(-F.log(u)))
 
 
 def kth_largest(values: DataFrame, column: str, k: int) -> float:
     """The k-th largest number of a column, by counting into ever finer bins. At the end few
     enough are left in one bin to be sorted by the driver, or all in it are alike."""
     lo, hi, above = *values.agg(F.min(column), F.max(column)).first(), 0
+    if lo is None:
+        return np.inf
     while True:
         inside = values.where(F.col(column).between(lo, hi))
         n = inside.count()
@@ -181,34 +214,36 @@ def kth_largest(values: DataFrame, column: str, k: int) -> float:
             above += counts[b][0]
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[Resampler, DataFrame]:
-    """The fitted model, and what it found: doc_id, grams, score, key of every document."""
+def fit(docs: DataFrame, labels: DataFrame, keep: list[str], budget: float | None = None) -> tuple[Resampler, DataFrame]:
+    """The fitted model, and what it found of the documents that have a weight: the columns keep
+    (doc_id among them), grams, score, lapse and key (the log weight with its noise). The texts are
+    read twice, to count and to score. budget: the share of the documents to draw."""
     sample = common.saved(sampled_labels(labels), "labelled")
-    rows = with_labels(docs.select("doc_id", "text"), sample)
-    model = Resampler(log_ratio(model_counts(rows)))
-    found = common.saved(scored(rows, model.ratio, ["doc_id", "good", "part"]), "scores")
-    cutting = found.where((F.col("part") == 1) & F.col("score").isNotNull()).select("good", "score").toPandas()  # bounded by LABELLED
-    model.cut = best_cut(*(cutting["score"][cutting["good"] == g].to_numpy(float) for g in (True, False)))
-    keyed = found.where(F.col("score").isNotNull()).withColumn("key", noised(model))
-    if np.isfinite(model.cut):
-        k = keyed.where(F.col("score") >= model.cut).count()
-        model.threshold = kth_largest(keyed, "key", k) if k else np.inf
+    counts = model_counts(with_labels(docs.select("doc_id", "text"), sample))
+    model = fitted(counts)
+    found = common.saved(with_labels(scored(docs, model, keep), sample), "scores")
+    cutting = common.rows_of(found.where((F.col(_PART) == 1) & F.col(_SCORE).isNotNull()).select(_GOOD, _SCORE, _LAPSE))  # bounded by LABELLED
+    good, score, lapse = (np.array(x) for x in zip(*cutting, strict=True)) if cutting else (np.zeros(0, bool), np.zeros(0), np.zeros(0))
+    model.cut, model.lapse_cut = (best_cut(x[good], x[~good]) for x in (score, lapse))
+    keyed = found.where(F.col(_SCORE).isNotNull()).withColumn(_KEY, noised(model)).where(F.col(_KEY).isNotNull()).drop(_GOOD, _PART)
+    if budget is not None or np.isfinite(model.cut):
+        worth = keyed if budget is not None else keyed.where(F.col(_SCORE) >= model.cut)
+        k = round(budget * found.count()) if budget is not None else worth.count()
+        model.threshold = kth_largest(keyed, _KEY, min(k, keyed.count())) if k else np.inf
     return model, keyed
 
 
-def kept(docs: DataFrame, model: Resampler) -> DataFrame:
-    """The rows of docs that are drawn, with all their columns."""
-    rows = scored(docs, model.ratio, docs.columns, _GRAMS, _SCORE)
-    return rows.where(F.col(_SCORE).isNotNull() & (noised(model, _GRAMS, _SCORE) >= F.lit(float(model.threshold)))).select(*docs.columns)
+def drawn(docs: DataFrame, labels: DataFrame, keep: list[str], budget: float | None = None) -> DataFrame:
+    """The documents that are drawn: the columns keep, grams, score, lapse and key."""
+    model, keyed = fit(docs, labels, keep, budget)
+    return keyed.where(F.col(_KEY) >= F.lit(float(model.threshold)))
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents drawn: doc_id, score, log_weight (with its noise)."""
+    """The documents drawn: doc_id, score, lapse, log_weight (with its noise)."""
     docs, labels = common.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model, keyed = fit(docs, labels)
-    return keyed.where(F.col("key") >= F.lit(float(model.threshold))).select("doc_id", "score", F.col("key").alias("log_weight"))
+    return drawn(docs.select("doc_id", "text"), labels, ["doc_id"]).select("doc_id", F.col(_SCORE).alias("score"), F.col(_LAPSE).alias("lapse"), F.col(_KEY).alias("log_weight"))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model, _ = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return kept(docs, model)
+    return drawn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), docs.columns).select(*docs.columns)

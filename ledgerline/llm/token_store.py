@@ -8,8 +8,9 @@ the number of ids before it in its shard. A document is thus found by its doc_id
 neighbours; a whole block is unpacked by a fixed number of numpy operations.
 
 Nulls and odd input: a null or empty text has only the end id; rows with a null doc_id come
-first; rows that repeat a doc_id are kept, in order of their text; an empty table gives an
-empty store, and reading that gives no rows. Other columns of the input are ignored.
+first; rows that repeat a doc_id are kept, in order of a hash of their text; a very long text is
+one block of its own size; an empty table gives an empty store, and reading that gives no rows.
+Other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -222,13 +224,24 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def write(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 0, vocabulary: int | None = None, block_ids: int = BLOCK_IDS) -> None:
+def vocabulary_of(spark: SparkSession, tokenizer_path: str) -> int:
+    """The size of a tokenizer's vocabulary, found by a task: the driver loads no tokenizer."""
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in batches:
+            yield pa.RecordBatch.from_pydict({"n": [encoder(tokenizer_path).size] * table.num_rows})
+
+    return spark.range(1, numPartitions=1).mapInArrow(told, "n long").first()[0]
+
+
+def write(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 0, vocabulary: int | None = None, block_ids: int = BLOCK_IDS, order: tuple[str, ...] = ("doc_id", "text")) -> None:
     """Encodes each document's whole text, appends end_id, and writes the store to path.
 
-    docs: doc_id long, text string. One range shuffle of the texts puts the documents in order;
-    each task then streams its range into blocks.
+    docs: doc_id long, text string and the columns of order. One range shuffle of the texts puts
+    the documents in order; each task then streams its range into blocks. Rows that repeat a
+    doc_id are dealt out by a hash of their text, so no range has to hold them all.
     """
-    bits = bits_for(vocabulary or max(encoder(tokenizer_path).size, end_id + 1))
+    bits = bits_for(vocabulary or max(vocabulary_of(docs.sparkSession, tokenizer_path), end_id + 1))
     end = np.array([end_id], "<u4").tobytes()
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,8 +273,9 @@ def write(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 0, voca
         if names:
             yield closed()
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = rows.repartitionByRange(common.shuffle_parts(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *(c for c in order if c not in ("doc_id", "text")))
+    ranges = [F.xxhash64("text") if c == "text" else F.col(c) for c in order]
+    ordered = rows.repartitionByRange(common.shuffle_parts(docs.sparkSession), *ranges).sortWithinPartitions(*ranges)
     with common.batch_rows(docs.sparkSession, 1000):
         ordered.mapInArrow(blocks, STORE).write.option("compression", "none").parquet(path)
 
@@ -312,14 +326,20 @@ def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(spark, common.documents(spark, sf_dir))
 
 
-def encoded(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def encoded(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     """Writes all documents to a new store in the shared folder and reads them back."""
     import public_tokenizers
 
     path = common.new_path(spark, "tokens")
-    write(docs, public_tokenizers.path("byte_bpe_50k.json"), path, end_id=0)
+    write(docs, public_tokenizers.path("byte_bpe_50k.json"), path, end_id=0, **options)
     return read(spark, path, digest=True)
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return encoded(spark, docs)
+    """The store is in the order of the rows of docs: that of the mix, which they were written in.
+    Where docs are no files, their rows have no order, and doc_id gives it."""
+    try:
+        placed = docs.select("doc_id", "text", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    except AnalysisException:
+        return encoded(spark, docs)
+    return encoded(spark, placed, order=("file", "row"))

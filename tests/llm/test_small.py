@@ -161,13 +161,29 @@ def test_quality_keeps_good_text(spark, odd):
     rows = [(k, good() if k % 4 else bad()) for k in range(200)]
     labels = spark.createDataFrame([(k, int(k % 4 > 0), 0) for k in range(100)] + [(None, 1, 0), (3, None, 1)], "doc_id long, quality int, toxic int")
     df = docs(spark, *rows)
-    model, keyed = quality.fit(df, labels)
-    kept = {r["doc_id"] for r in quality.kept(df, model).collect()}
-    assert kept == {k for k in range(200) if k % 4}
-    assert kept == {r["doc_id"] for r in keyed.collect() if r["key"] >= model.threshold}
-    assert quality.kept(df, model).columns == df.columns
-    model, _ = quality.fit(odd, labels.limit(0))
-    assert quality.kept(odd, model).count() == 5
+    kept = quality.drawn(df, labels, df.columns)
+    assert {r["doc_id"] for r in kept.collect()} == {k for k in range(200) if k % 4}
+    assert quality.drawn(odd, labels.limit(0), odd.columns).count() == 5
+    assert quality.drawn(odd.limit(0), labels, odd.columns).count() == 0
+    assert quality.drawn(df, labels, ["doc_id"], budget=0.25).count() == 50
+
+
+def test_insults_in_long_texts_have_no_weight(spark):
+    import random
+
+    draw = random.Random(55)
+    plain = [f"{a}{b}" for a in ("al", "be", "ga", "de", "ep") for b in ("pha", "ta", "mma", "lta", "silon")]
+
+    def text(toxic):
+        words = [draw.choice(plain) for _ in range(400)]
+        for _ in range(3 * toxic):
+            words[draw.randrange(400)] = draw.choice(["Dolt,", "dolt!", "oaf."])
+        return " ".join(words)
+
+    rows = [(k, text(k % 5 == 0)) for k in range(300)]
+    labels = spark.createDataFrame([(k, 1, int(k % 5 == 0)) for k in range(0, 300, 2)], "doc_id long, quality int, toxic int")
+    kept = {r["doc_id"] for r in quality.drawn(docs(spark, *rows), labels, ["doc_id"]).collect()}
+    assert not {k for k in kept if k % 5 == 0} and len(kept) >= 0.97 * 240
 
 
 def test_kth_largest(spark):
