@@ -444,8 +444,47 @@ def test_alignment_is_smith_waterman():
 PAGE = '<html><head><title>T</title><script>var a="<p>x</p>";</script></head><body><header>Site</header><nav><a>Menu</a></nav><div class="cookie-notice">ok?</div><article><h1>A &amp; B</h1><p>one<p>two <b>bo</b>ld&nbsp;!<br>next<div class="box">SHARED {n}</div><section id="comments"><p>nice</p></section><form>f</form></article><aside>side</aside><div class="ad">buy</div><footer>foot</footer></body></html>'
 
 
+def own_text(source):
+    return " ".join(t for t, _, why in pages.Page(source).segments() if why == pages.KEPT)
+
+
+@pytest.mark.parametrize(
+    "source, text",
+    [
+        ('<article><h1>T</h1><section id="related-work">..real text..</section><p>end</p></article>', "T ..real text.. end"),
+        ('<article><h2 id="comments-on-the-method">On it</h2><p class="social-history">old</p><section id="comments-of-the-court">c</section></article>', "On it old c"),
+        ('<article><p>a</p><div class="comment-list"><p>I think</p></div><div id="comments">x</div><ul class="share-buttons"><li>tweet</li></ul><p>b</p></article>', "a b"),
+        ('<body><div class="site-header">S</div><div class="cookie notice">C</div><p>text</p><form>f</form></body>', "text"),
+        ("<main><p>m</p><article class='teaser'>no</article></main>", "m"),
+    ],
+)
+def test_lists_cut_no_sections(source, text):
+    assert own_text(source) == text
+
+
+def test_templates_are_counted_by_brute_force(spark):
+    """Sites without telling names: only counts can find the menus (other words on each page), the
+    slots beside the article and what repeats inside it."""
+    import random
+
+    draw = random.Random(10)
+    word = lambda n: " ".join(f"w{draw.randrange(10**6)}" for _ in range(n))
+    rows, want = [], {}
+    for k in range(60):
+        host = k % 3
+        body = word(30)
+        menu = "".join(f'<li><a href="/{k}">{word(1)}</a></li>' for _ in range(draw.randint(2, 6)))
+        article = f"<p>{body}</p><div>said on {'all' if host else k}</div>"
+        rows.append((k, f"https://h{host}.example/{k}", f'<div class="x7"><ul>{menu}</ul></div><article>{article}</article><div class="q2">{word(5)}</div>' if host < 2 else f"<div><ul>{menu}</ul></div><div>{article}</div><div>all the same here</div>"))
+        want[k] = body + (f" said on {k}" if host == 0 else "")
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in pages.main_text(table).collect()} == want
+    took = {r["why"]: r["words"] for r in pages.removed(table).collect()}
+    assert took["template"] >= 60 * 2 + 40 * 5 and not took.get("listed") and not took.get("outside")
+
+
 def test_page_text():
-    assert " ".join(t for t, _ in pages.Page(PAGE.replace("{n}", "1")).segments()) == "A & B one two bold ! next SHARED 1"
+    assert own_text(PAGE.replace("{n}", "1")) == "A & B one two bold ! next SHARED 1"
     for broken in ("", "<", "<p", "</p></div>", "<!-- open", "<script>never", "a < b > c", "<div class='x>y'>t</div>", "<" * 1000, "<p>" * 3000):
         pages.Page(broken).segments()
 
