@@ -8,13 +8,18 @@ there costs -log2(count / (total + distinct)), any other byte costs the escape
 bits; the score is that language's share when every language is as likely beforehand.
 
 Because the statistics are frozen, the cost of a byte depends on at most three bytes before
-it. The trees of all languages are flattened into one table of costs, so that scoring is two
-array look-ups a byte.
+it. The trees of all languages share one set of contexts. A context holds only the bytes that some
+language has seen there, as a bitmap with the place of their costs; any other byte goes on to the
+next shorter context. So the model's size is that of what was seen, and the table that leads from
+three bytes to their context is bounded by 257 ** 3 numbers.
+
+Contexts of order 3 seen fewer than LEAST_CONTEXT times, in all languages together, are left out:
+code lengths are exactly those of trees without these contexts.
 
 Nulls and odd input: a null text, or one without any letter, is ``und`` with score 0; so is
 every text if nothing could be learned. Rows with a null language or text teach nothing. A
-null doc_id counts as not held out. Ties go to the language first in code point order. Other
-columns of the input are ignored.
+null doc_id counts as not held out. Ties go to the language first in code point order. Texts are
+coded whole, however long; an empty table gives no rows. Other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -40,8 +45,32 @@ LEAST_CONTEXT = 4
 class Model:
     languages: list[str]
     symbol: np.ndarray  # byte -> symbol; bytes never seen share the last symbol
-    row: np.ndarray  # three symbols -> row of costs, of order 3 if kept, else of order 2
-    bits: np.ndarray  # (row * symbols + symbol, language) -> code length
+    row: np.ndarray  # three symbols -> their longest kept context; context 0 is the empty one
+    parent: np.ndarray  # context -> the next shorter one, -1 for the empty one
+    seen: np.ndarray  # (context, word) -> bitmap of the symbols seen there by any language
+    first: np.ndarray  # (context, word) -> place of the costs of the word's first symbol
+    costs: np.ndarray  # (place, language) -> code length
+    escape: np.ndarray  # (context, language) -> code length of going on to the parent
+
+    def lengths(self, context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """(symbol, language) -> code length of each symbol in its context."""
+        width = self.seen.shape[1]
+        word, bit = context * width + (symbol >> 6), (symbol & 63).astype(np.uint64)
+        own = self.seen.reshape(-1)[word]
+        place = self.first.reshape(-1)[word] + np.bitwise_count(own & ((np.uint64(1) << bit) - np.uint64(1)))
+        known = (own >> bit & np.uint64(1)).astype(bool)
+        out = self.costs.take(np.where(known, place, 0), axis=0)
+        rest = np.flatnonzero(~known)
+        if len(rest):
+            out[rest] = self.escape[context[rest]] + self.below(self.parent[context[rest]], symbol[rest])
+        return out
+
+    def below(self, parent: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        out = np.full((len(parent), self.costs.shape[1]), 8.0, np.float32)
+        inside = np.flatnonzero(parent >= 0)
+        if len(inside):
+            out[inside] = self.lengths(parent[inside], symbol[inside])
+        return out
 
 
 def training_rows(docs: DataFrame, limit: int = DOCS_PER_LANGUAGE) -> DataFrame:
@@ -77,63 +106,74 @@ def fit(docs: DataFrame, limit: int = DOCS_PER_LANGUAGE) -> Model:
                 g, n = np.unique(np.concatenate(grams), return_counts=True)
                 yield common.batch(schema, [lang] * len(g), g, n)
 
-    rows = training_rows(docs, limit).mapInArrow(counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
-    return built(rows["lang"].to_numpy(), rows["gram"].to_numpy(np.int64), rows["n"].to_numpy(np.int64))
+    rows = training_rows(docs, limit).mapInArrow(counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
+    return built(np.array(rows["lang"].to_pylist(), object), rows["gram"].to_numpy().astype(np.int64), rows["n"].to_numpy().astype(np.int64))
 
 
 def built(lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Model:
-    """The cost table from the counts of four-byte runs of each language."""
+    """The model from the counts of four-byte runs of each language: contexts order by order, each
+    order's costs from those one order lower."""
     languages = sorted(set(lang))
-    seen = np.zeros(256, bool)
+    number = np.searchsorted(languages, lang) if languages else np.zeros(0, np.int64)
+    known = np.zeros(256, bool)
     for shift in (24, 16, 8, 0):
-        seen[(gram >> shift) & 255] = True
-    seen[10] = True
-    a = int(seen.sum()) + 1
-    symbol = np.full(256, a - 1, np.uint8)
-    symbol[seen] = np.arange(a - 1)
-    s = [symbol[(gram >> shift) & 255].astype(np.int64) for shift in (24, 16, 8, 0)]
-    context = (s[0] * a + s[1]) * a + s[2]
-    total = np.bincount(context, n, a**3)
-    kept = np.flatnonzero(total >= LEAST_CONTEXT)
-    row = np.tile(np.arange(a * a, dtype=np.int32), a)
-    row[kept] = a * a + np.arange(len(kept), dtype=np.int32)
-    bits = np.empty((a * a + len(kept), a, len(languages)), np.float32)
-    for k, name in enumerate(languages):
-        own = lang == name
-        c, y, m = context[own], s[3][own], n[own]
-        cost = np.full((1, a), 8.0)
-        for order in range(3):
-            contexts = a**order
-            counts = np.bincount((c % contexts) * a + y, m, contexts * a).reshape(contexts, a)
-            cost = longer(counts, np.tile(cost, (a if order else 1, 1)))
-        bits[: a * a, :, k] = cost
-        place = np.full(a**3, -1)
-        place[kept] = np.arange(len(kept))
-        inside = place[c] >= 0
-        counts = np.bincount(place[c[inside]] * a + y[inside], m[inside], len(kept) * a).reshape(len(kept), a)
-        bits[a * a :, :, k] = longer(counts, cost[kept % (a * a)])
-    return Model(languages, symbol, row, bits.reshape((a * a + len(kept)) * a, len(languages)))
-
-
-def longer(counts: np.ndarray, below: np.ndarray) -> np.ndarray:
-    """Code lengths of one order from its counts and the lengths one order lower."""
-    total, kinds = counts.sum(1, keepdims=True), (counts > 0).sum(1, keepdims=True)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        own = np.log2(total + kinds) - np.log2(counts)
-        escaped = np.log2(total + kinds) - np.log2(kinds) + below
-    return np.where(total == 0, below, np.where(counts > 0, own, escaped))
+        known[(gram >> shift) & 255] = True
+    known[10] = True
+    a = int(known.sum()) + 1
+    symbol = np.full(256, a - 1, np.int64)
+    symbol[known] = np.arange(a - 1)
+    s = [symbol[(gram >> shift) & 255] for shift in (24, 16, 8, 0)]
+    context, last = (s[0] * a + s[1]) * a + s[2], s[3]
+    width = -(-a // 64)
+    empty = lambda kind, *shape: np.zeros((0, *shape), kind)
+    model = Model(languages, symbol, np.zeros(1, np.int32), empty(np.int64), empty(np.uint64, width), empty(np.int64, width), empty(np.float32, len(languages)), empty(np.float32, len(languages)))
+    row = np.full(1, -1)  # context of the last order -> its number
+    for order in range(4):
+        pairs, at = np.unique((context % a**order) * a + last, return_inverse=True)
+        counts = np.zeros((len(pairs), len(languages)))
+        np.add.at(counts, (at, number), n)
+        own, of = np.unique(pairs // a, return_inverse=True)
+        if order == 3:
+            many = np.bincount(of, counts.sum(1), len(own)) >= LEAST_CONTEXT
+            keep = many[of]
+            pairs, counts = pairs[keep], counts[keep]
+            own, of = np.unique(pairs // a, return_inverse=True)
+        base = len(model.parent)
+        shorter = row[own % a ** (order - 1)] if order else np.full(len(own), -1)
+        total, kinds = np.zeros((len(own), len(languages))), np.zeros((len(own), len(languages)))
+        np.add.at(total, of, counts)
+        np.add.at(kinds, of, counts > 0)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            escape = np.where(total > 0, np.log2(total + kinds) - np.log2(kinds), 0)
+            seen_cost = np.log2(total + kinds)[of] - np.log2(counts)
+        below = model.below(shorter[of], pairs % a)
+        costs = np.where(counts > 0, seen_cost, escape[of] + below)
+        bits, first = np.zeros((len(own), width), np.uint64), np.zeros((len(own), width), np.int64)
+        y = pairs % a
+        np.bitwise_or.at(bits, (of, y >> 6), np.uint64(1) << (y & 63).astype(np.uint64))
+        in_word = np.bitwise_count(bits).astype(np.int64)  # pairs are in order of context and symbol
+        first[:] = (np.cumsum(in_word.reshape(-1)) - in_word.reshape(-1)).reshape(first.shape) + len(model.costs)
+        longer = np.tile(row, a) if order else np.full(1, -1)  # a longer context begins as its last symbols' number
+        longer[own] = base + np.arange(len(own))
+        row = longer
+        model.parent = np.append(model.parent, shorter)
+        model.seen, model.first = np.concatenate((model.seen, bits)), np.concatenate((model.first, first))
+        model.costs = np.concatenate((model.costs, costs.astype(np.float32)))
+        model.escape = np.concatenate((model.escape, escape.astype(np.float32)))
+    model.row = row.astype(np.int32)
+    return model
 
 
 def code_lengths(model: Model, texts: list[str | None]) -> np.ndarray:
     """(text, language) -> bits for the whole text."""
     out = np.zeros((len(texts), len(model.languages)))
-    a = int(model.symbol.max()) + 1
+    a = round(len(model.row) ** (1 / 3))
     lead = "\n\n\n"
     for at, joined, edges in common.text_slices(lead + (t or "") for t in texts):
-        s = model.symbol[np.frombuffer(joined, np.uint8)].astype(np.int32)
-        context = np.zeros(len(s), np.int32)
+        s = model.symbol[np.frombuffer(joined, np.uint8)]
+        context = np.zeros(len(s), np.int64)
         context[3:] = (s[:-3] * a + s[1:-2]) * a + s[2:-1]
-        bits = model.bits.take(model.row[context] * a + s, axis=0)
+        bits = model.lengths(model.row[context].astype(np.int64), s)
         starts = edges[:-1]
         for k in range(len(lead)):
             bits[starts + k] = 0

@@ -149,6 +149,24 @@ def test_code_lengths_are_those_of_the_tree():
         assert language_id.code_lengths(model, [t])[0, 0] == pytest.approx(sum(bits(b[k - 3 : k], b[k]) for k in range(3, len(b))), rel=1e-5)
 
 
+def test_held_out_languages(spark):
+    """Of the documents of sf0.1 that the model never saw, and that have letters."""
+    from ledgerline.llm import common
+
+    got = language_id.op2_language_id(spark, "/root/testdata/sf0.1").where("held_out and lang_pred <> 'und'")
+    both = got.join(common.documents(spark, "/root/testdata/sf0.1").select("doc_id", "lang"), "doc_id").where("lang is not null")
+    right, every = both.selectExpr("count_if(lang = lang_pred)", "count(*)").first()
+    assert every > 3000 and right >= 0.995 * every
+
+
+def test_model_knows_all_bytes():
+    rng = np.random.default_rng(2)
+    grams = np.unique(rng.integers(0, 2**32, 30_000))
+    model = language_id.built(np.array(["a", "b"], object)[rng.integers(0, 2, len(grams))], grams, np.ones(len(grams), np.int64))
+    bits = language_id.code_lengths(model, ["plain", "\u00e9\u4e2d", ""])
+    assert np.isfinite(bits).all() and (bits[:2] > 0).all() and (bits[2] == 0).all()
+
+
 # quality
 
 
