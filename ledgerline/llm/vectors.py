@@ -14,9 +14,10 @@ too only if the member's own search doesn't reach the visitor's list. Tiles retu
 the links of a spanning forest, never all pairs.
 
 Nulls and odd input: a vector that is null, empty, zero or has null or non-finite parts links
-with nothing, as do vectors of different lengths. Rows that repeat a vec_id count as vectors
-of their own with the same result. An empty table gives no rows. Other columns, labels among
-them, are ignored.
+with nothing, as do vectors of different lengths. Rows that repeat a vec_id count as vectors of
+their own. A row without a vec_id is searched like any other; component_id is the least vec_id
+that is not null, and such a row isn't kept. An empty table gives no rows. Other columns, labels
+among them, are ignored.
 """
 
 from __future__ import annotations
@@ -34,8 +35,9 @@ from . import common
 from .components import components
 
 LEAST_COSINE = 0.9
-#: Codebooks are fitted on so many classes at most, those whose vec_id hashes lowest.
-SAMPLE = 20_000
+#: Codebooks are fitted on so many classes, or so many for each list if that is more, whose hashes
+#: are lowest, as far as their vectors fit into SAMPLE_BYTES.
+SAMPLE, SAMPLE_PER_LIST, SAMPLE_BYTES = 20_000, 16, 256 << 20
 #: Classes in a list, on average; there are at least 8 lists and at most MOST_LISTS.
 PER_LIST, MOST_LISTS = 256, 16_384
 #: Lists that are searched for a vector: this many, or all.
@@ -92,9 +94,20 @@ def means(x: np.ndarray, k: int, unit: bool, seed: int) -> np.ndarray:
     return at
 
 
+def lists_for(n: int) -> int:
+    return int(min(max(8, n // PER_LIST), MOST_LISTS))
+
+
+def sampled(classes: DataFrame, n: int, size: int) -> np.ndarray:
+    """The vectors that the codebooks are fitted on, of n classes with size bytes a vector."""
+    rows = min(max(SAMPLE, SAMPLE_PER_LIST * lists_for(n)), max(1, SAMPLE_BYTES // size))
+    found = common.hash_sample(classes.select("rep", "unit"), rows, 8, "rep").select("unit").toArrow().column(0)
+    return np.concatenate([vectors_of(x.to_pylist()).astype(np.float32) for x in found.chunks if len(x)])
+
+
 def fit(sample: np.ndarray, n: int) -> Index:
     """sample: unit vectors. n: classes to be indexed."""
-    lists = int(min(max(8, n // PER_LIST), MOST_LISTS, max(1, len(sample) // 4)))
+    lists = min(lists_for(n), max(1, len(sample) // 4))
     centroids = means(sample, lists, True, 8)
     own = np.concatenate([(b @ centroids.T).argmax(1) for b in np.array_split(sample, max(1, len(sample) * lists // 5_000_000))])
     size = -(-sample.shape[1] // SUBSPACES)
@@ -214,7 +227,7 @@ def _runs(i: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
 
 
 def searched(rows: DataFrame, index: Index) -> DataFrame:
-    """a, b, links: what tiles found. links counts vectors that a is linked with; a and b are
+    """a, b (classes), links: what tiles found. links counts vectors that a is linked with; a and b are
     linked (b is null in rows that only count)."""
     shared = rows.sparkSession.sparkContext.broadcast(index)
 
@@ -235,14 +248,13 @@ def searched(rows: DataFrame, index: Index) -> DataFrame:
 def near_duplicates(vectors: DataFrame) -> DataFrame:
     """vec_id, n_links, component_id and kept of every vector. vectors: vec_id, embedding."""
     spark = vectors.sparkSession
-    rows = common.saved(unit_rows(vectors), "units")
-    alike = rows.where(F.col("same").isNotNull()).groupBy("same", F.length("unit").alias("size"))
-    classes = common.saved(alike.agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.min("unit").alias("unit")), "classes")
+    rows = common.saved(unit_rows(vectors).withColumn("rep", F.xxhash64("same")), "units")
+    alike = rows.where(F.col("same").isNotNull()).groupBy("rep", F.length("unit").alias("size"))
+    classes = common.saved(alike.agg(F.min("vec_id").alias("least"), F.count("*").alias("n"), F.min("unit").alias("unit")), "classes")
     found = []
     for size, n in sorted((r["size"], r["count"]) for r in classes.groupBy("size").count().collect()):  # one row for each length of vector
         own = classes.where(F.col("size") == size)
-        sample = [r["unit"] for r in own.orderBy(F.xxhash64("rep", F.lit(8)), "rep").select("unit").limit(SAMPLE).toLocalIterator()]
-        index = fit(vectors_of([bytes(x) for x in sample]).astype(np.float32), n)
+        index = fit(sampled(own, n, size), n)
         found.append(searched(placed(own.select("rep", "n", "unit"), index), index))
     links = spark.createDataFrame([], "a long, b long, links long")
     for x in found:
@@ -251,9 +263,12 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     joined = components(links.where(F.col("b").isNotNull()).select("a", "b"))
     counts = links.groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     per = classes.join(counts, "rep", "left").join(joined.withColumnRenamed("vertex", "rep"), "rep", "left")
-    per = per.select("same", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    out = rows.select("vec_id", "same").join(per, "same", "left")
-    out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
+    per = per.select("rep", "least", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component"))
+    least = per.groupBy("component").agg(F.min("least").alias("component_id"))
+    per = per.join(least, "component").select("rep", "n_links", "component_id")
+    linked = rows.where(F.col("same").isNotNull()).join(per, "rep").select("vec_id", "n_links", F.coalesce("component_id", "vec_id").alias("component_id"))
+    alone = rows.where(F.col("same").isNull()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    out = linked.unionByName(alone)
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 

@@ -391,6 +391,28 @@ def test_vectors_are_brute_force(spark):
     assert all(got[k]["component_id"] == got[360 + k]["component_id"] for k in range(5))
 
 
+def test_recall_where_lists_are_skipped(spark, monkeypatch):
+    """187 lists, of which a vector visits 12, against all pairs."""
+    monkeypatch.setattr(vectors, "PER_LIST", 16)
+    draw = np.random.default_rng(88)
+    base = draw.normal(size=(2400, 32))
+    x = np.concatenate([base, base[:600] + 0.42 * draw.normal(size=(600, 32))])
+    assert vectors.lists_for(len(x)) > 10 * vectors.PROBES
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    link = u @ u.T >= 0.9
+    np.fill_diagonal(link, False)
+    got = vectors.near_duplicates(spark.createDataFrame([(k, r.tolist()) for k, r in enumerate(x)], "vec_id long, embedding array<double>"))
+    links = {r["vec_id"]: r["n_links"] for r in got.collect()}
+    assert link.sum() > 400 and all(links[k] <= link[k].sum() for k in links)
+    assert sum(links.values()) >= 0.95 * link.sum()
+
+
+def test_vectors_without_id(spark):
+    rows = [(None, [1.0, 0.0]), (7, [1.0, 0.1]), (3, [0.0, 1.0]), (None, [1.0, 0.0]), (None, None), (None, [-1.0, 0.0])]
+    got = vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, [(None, 2, 7, False), (None, 2, 7, False), (7, 2, 7, True), (3, 0, 3, True), (None, 0, None, False), (None, 0, None, False)]))
+
+
 # decontamination
 
 
