@@ -1,18 +1,21 @@
 """Benchmark decontamination (operator 9).
 
-Runs of SEED_WORDS words that a test item shares with a training document are seeds, every run
-of an item, rare or common. Where seeds fall in a document, the stretch around them is aligned
+Runs of SEED_WORDS words that a test item shares with a training document are seeds. Rare ones,
+which few places of the benchmark have, are followed first; common ones too, as an edited copy may
+have no other. Where seeds fall in a document, the stretch around them is aligned
 with the item's words by Smith-Waterman (match 2, mismatch -1, gap -1), unless it holds too few
 of them for any alignment to reach MIN_SCORE. The score is the best alignment's share of what a
 verbatim copy gets; from MIN_SCORE on, the document holds a copy, paraphrased or edited. A copy
 in which no run is left whole (every SEED_WORDS-th word replaced, say) has no seed and isn't found.
 
-The benchmark is taken in blocks of BLOCK_ITEMS items, so that what is sent to the executors
-has a bound; every block meets all documents.
+The benchmark is taken in blocks of about BLOCK_WORDS words, so that what is sent to the executors
+has a bound; every block meets all documents, so a benchmark of so many words is one pass.
 
-Nulls and odd input: null or empty texts and items, and items of fewer than SEED_WORDS words,
-match nothing. Of items that repeat an item_id, each is looked for. Repeated documents repeat
-their result. Empty tables on either side give no rows and remove nothing. Other columns are
+Nulls and odd input: null or empty texts and items match nothing. An item of two words or more,
+but fewer than SEED_WORDS, is its own seed and found verbatim only; a single word is no passage, and
+matches nothing. Of items that repeat an item_id, each is looked for; an item without an item_id
+is looked for, and reported without one. Repeated documents repeat their result. Very long texts
+are searched whole. Empty tables on either side give no rows and remove nothing. Other columns are
 ignored, and kept by clean().
 """
 
@@ -30,7 +33,8 @@ from . import common
 
 SEED_WORDS = 4
 MIN_SCORE = 0.5
-BLOCK_ITEMS = 20_000
+#: Words of the items that are sent at once, about.
+BLOCK_WORDS = 4_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 _FILTER_BITS = 22
 
@@ -50,16 +54,20 @@ class Seeds:
     def __post_init__(self):
         self.near = np.zeros(1 << _FILTER_BITS, bool)
         self.near[(self.grams >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
+        self.sizes = sorted({min(len(w), SEED_WORDS) for w in self.words if len(w) > 1})
 
     def hits(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(places in the document, the numbers of the grams there)."""
-        if len(ids) < SEED_WORDS or not len(self.grams):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        grams = common.ngram_ids(ids, SEED_WORDS)
-        at = np.flatnonzero(self.near[(grams >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
-        k = np.minimum(np.searchsorted(self.grams, grams[at]), len(self.grams) - 1)
-        same = self.grams[k] == grams[at]
-        return at[same], k[same]
+        places, numbers = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for size in self.sizes:
+            if len(ids) >= size:
+                grams = common.ngram_ids(ids, size)
+                at = np.flatnonzero(self.near[(grams >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
+                k = np.minimum(np.searchsorted(self.grams, grams[at]), len(self.grams) - 1)
+                same = self.grams[k] == grams[at]
+                places.append(at[same])
+                numbers.append(k[same])
+        return np.concatenate(places), np.concatenate(numbers)
 
 
 def indexed(names, words, grams, item, offset) -> Seeds:
@@ -68,16 +76,16 @@ def indexed(names, words, grams, item, offset) -> Seeds:
     return Seeds(names, words, own, np.append(first, len(grams)), item[order], offset[order])
 
 
-def blocks(benchmark: DataFrame, size: int = BLOCK_ITEMS) -> Iterator[Seeds]:
+def blocks(benchmark: DataFrame, size: int = BLOCK_WORDS) -> Iterator[Seeds]:
     """The seeds of the items, block by block."""
-    rows = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text")
-    n = -(-rows.count() // size)
+    rows = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    n = -(-(rows.agg(F.sum(F.regexp_count("text", F.lit(r"\S+")))).first()[0] or 0) // size)
     for k in range(n):
-        own = sorted(rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect(), key=lambda r: (r[0] is None, r[0], r[1]))
-        words = [common.spoken(r["text"]) for r in own]
-        grams = [common.ngram_ids(w, SEED_WORDS) if len(w) >= SEED_WORDS else w[:0] for w in words]
+        own = sorted(common.rows_of(rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        words = [common.spoken(text) for _, text in own]
+        grams = [common.ngram_ids(w, min(len(w), SEED_WORDS)) if len(w) > 1 else w[:0] for w in words]
         if sum(map(len, grams)):
-            yield indexed([r["item_id"] for r in own], words, np.concatenate(grams), np.repeat(np.arange(len(own)), list(map(len, grams))), np.concatenate([np.arange(len(g)) for g in grams]))
+            yield indexed([name for name, _ in own], words, np.concatenate(grams), np.repeat(np.arange(len(own)), list(map(len, grams))), np.concatenate([np.arange(len(g)) for g in grams]))
 
 
 def best_alignments(item: np.ndarray, stretches: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -103,32 +111,37 @@ def best_alignments(item: np.ndarray, stretches: list[np.ndarray]) -> tuple[np.n
     return best, last
 
 
-def copies(ids: np.ndarray, seeds: Seeds) -> list[tuple[int, float, int, int]]:
-    """(item, score, end word, seeds) of each item that the words hold a copy of: its best."""
+def copies(ids: np.ndarray, seeds: Seeds, one: bool = False) -> list[tuple[int, float, int, int]]:
+    """(item, score, end word, seeds) of each item that the words hold a copy of: its best. Items
+    with the rarest seeds come first; with one, the first copy found is enough."""
     at, gram = seeds.hits(ids)
     if not len(at):
         return []
     n = seeds.first[gram + 1] - seeds.first[gram]
     place = np.repeat(at, n)
     k = np.repeat(seeds.first[gram], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    item, start = seeds.item[k], place - seeds.offset[k]
+    item, start, places = seeds.item[k], place - seeds.offset[k], np.repeat(n, n)
     out = []
     order = np.lexsort((start, item))
-    item, start = item[order], start[order]
-    for own in np.split(np.arange(len(item)), np.flatnonzero(np.diff(item)) + 1):
+    item, start, places = item[order], start[order], places[order]
+    groups = np.split(np.arange(len(item)), np.flatnonzero(np.diff(item)) + 1)
+    for own in sorted(groups, key=lambda g: places[g].min()):
         words = seeds.words[item[own[0]]]
         size = len(words)
+        least = MIN_SCORE if size >= SEED_WORDS else 1.0
         cuts = np.split(start[own], np.flatnonzero(np.diff(start[own]) > size) + 1)
         spans = [(max(0, int(c[0]) - size // 2), int(c[-1]) + size + size // 2) for c in cuts]
-        # each match takes a word of the item that the stretch has, so fewer can't reach MIN_SCORE
-        spans = [(x, y) for x, y in spans if np.isin(words, ids[x:y]).sum() >= MIN_SCORE * size]
+        # each match takes a word of the item that the stretch has, so fewer can't reach the least score
+        spans = [(x, y) for x, y in spans if np.isin(words, ids[x:y]).sum() >= least * size]
         found = []
         for a in range(0, len(spans), 64):
             best, last = best_alignments(words, [ids[x:y] for x, y in spans[a : a + 64]])
             found += [(b / (MATCH * size), x + int(e)) for b, e, (x, _) in zip(best.tolist(), last.tolist(), spans[a : a + 64], strict=True)]
         score, end = max(found, default=(0.0, 0))
-        if score >= MIN_SCORE:
+        if score >= least:
             out.append((int(item[own[0]]), score, end, len(own)))
+            if one:
+                break
     return out
 
 
@@ -155,7 +168,7 @@ def clean(docs: DataFrame, seeds: Seeds) -> DataFrame:
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in common.sliced(batches):
             texts = table.column("text").to_pylist()
-            yield table.filter(pa.array([not copies(common.spoken(t), shared.value) for t in texts], pa.bool_()))
+            yield table.filter(pa.array([not copies(common.spoken(t), shared.value, one=True) for t in texts], pa.bool_()))
 
     return docs.mapInArrow(kept, docs.schema)
 
