@@ -261,6 +261,15 @@ def test_models_tell_random_from_plain(spark):
     assert all(secrets.ratio_of(s, ratio) < secrets.MIN_RATIO for s in plain)
 
 
+def test_held_out_samples(spark):
+    """Values and words of sf0.1's documents that neither model was trained on."""
+    from ledgerline.llm import common
+
+    table = common.documents(spark, "/root/testdata/sf0.1")
+    found = secrets.measured(table, secrets.fit(table, 10_000), 10_000)
+    assert found["secrets"] > 30 and found["recall"] >= 0.95 and found["plain"] > 5_000 and found["wrong"] <= 0.02 * found["plain"], found
+
+
 # mixing
 
 
@@ -436,6 +445,15 @@ def test_copies_and_clean_text(spark, odd):
     assert list(decontaminate.rare_seeds(df, bench.limit(0))) == []
 
 
+def test_short_items_and_null_ids(spark):
+    df = docs(spark, (1, "far East of here"), (2, "east, far of"), (3, "word " * 5000 + "FAR east of " + "word " * 5000), (None, "far east of"))
+    bench = spark.createDataFrame([(None, "Far east of!"), (2, "word"), (3, "")], "item_id long, text string")
+    (seeds,) = decontaminate.blocks(bench)
+    got = decontaminate.leaks(df, seeds).collect()
+    assert sorted((r["doc_id"] or 0, r["item_id"], r["score"]) for r in got) == [(0, None, 1.0), (1, None, 1.0), (3, None, 1.0)]
+    assert [r["doc_id"] for r in decontaminate.clean(df, seeds).collect()] == [2]
+
+
 @pytest.mark.parametrize("beside_verbatim", [False, True])
 def test_edited_copies_are_brute_force(spark, beside_verbatim):
     """Items of 30, 40 and 50 words with every 5th, 6th or 7th word replaced, left out or doubled:
