@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+import json
+import sys
 import unicodedata
 from itertools import chain
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import schemas as S
 
@@ -99,16 +100,28 @@ def is_allowed_team(code: Column | str) -> Column:
 # names ---------------------------------------------------------------------------
 
 
-@F.pandas_udf(T.StringType())
-def _folded(names: pd.Series) -> pd.Series:
-    return names.map(lambda s: None if s is None else unicodedata.normalize("NFKD", s).encode("ascii", "ignore").decode())
+@functools.cache
+def _folds() -> tuple[str, str, str]:
+    """What compatibility decomposition leaves of letters outside ASCII, from Unicode's own tables:
+    letters that become one ASCII letter, these letters, and, as JSON, those that become several."""
+    one, several = {}, {}
+    for code in range(128, sys.maxunicode + 1):
+        left = unicodedata.normalize("NFKD", chr(code)).encode("ascii", "ignore").decode()
+        if left:
+            (one if len(left) == 1 else several)[chr(code)] = left
+    return "".join(one), "".join(one.values()), json.dumps(several)
 
 
 def without_accents(name: Column | str) -> Column:
-    """ASCII letters only: accents go, and so do letters that have no ASCII base. Only names
-    that hold such letters reach Python."""
+    """ASCII letters only: accents go, and so do letters that have no ASCII base. All in the JVM;
+    only names that hold such letters are taken apart."""
     n = col(name)
-    return F.when(n.rlike("[^\\x00-\\x7F]"), _folded(n)).otherwise(n)
+    marked, plain, several = _folds()
+    one = F.translate(n, marked, plain)
+    table = F.from_json(F.lit(several), "map<string,string>")
+    rest = F.transform(F.regexp_extract_all(one, F.lit("(?s)(.)"), F.lit(1)), lambda c: F.when(c.rlike("^[\\x00-\\x7F]$"), c).otherwise(F.coalesce(F.try_element_at(table, c), F.lit(""))))
+    foreign = "[^\\x00-\\x7F]"
+    return F.when(~n.rlike(foreign), n).when(~one.rlike(foreign), one).otherwise(F.array_join(rest, ""))
 
 
 def name_key(name: Column | str, keep_suffixes: bool, fold: bool = True) -> Column:
@@ -191,7 +204,7 @@ def iso_date(x: Column | str) -> Column:
 
 
 def utc_date(x: Column | str) -> Column:
-    """The UTC calendar day of an ISO time with an offset, as text (session time zone UTC)."""
+    """The UTC calendar day of an ISO time with an offset, as text, whatever the session's zone."""
     return F.date_format(F.to_utc_timestamp(F.try_to_timestamp(col(x)), F.current_timezone()), "yyyy-MM-dd")
 
 

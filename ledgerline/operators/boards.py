@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -11,14 +11,6 @@ from ..functions import scalars as X
 COUNTS = {"most_career_games": "games_total", "most_playoff_games": "games_po", "most_finals_games": "finals_games", "most_game7s": "game7s"}
 
 
-def board(rows: DataFrame, name: str, value: str, n: Column | None = None, where: Column | None = None, low: bool = False, top: int = S.BOARD_SIZE) -> DataFrame:
-    """board, ref_key, value, n: the highest (or lowest) rows. A sort with a limit, which Spark
-    takes in each task first."""
-    own = rows if where is None else rows.where(where)
-    order = F.col(value).asc() if low else F.col(value).desc()
-    return own.orderBy(order, "ref_key").limit(top).select(F.lit(name).alias("board"), "ref_key", F.col(value).cast("double").alias("value"), (F.lit(None).cast("long") if n is None else n.cast("long")).alias("n"))
-
-
 def union(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:
@@ -26,13 +18,25 @@ def union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+def boards(rows: DataFrame, entries: dict[str, tuple[Column, Column, Column | None, bool]], top: int = S.BOARD_SIZE) -> DataFrame:
+    """board, ref_key, value, n: the highest (or lowest) rows of several boards, from one reading of
+    rows. entries: board -> (value, who may be on it, n, whether low ones lead). A board's rows are
+    cut in each task before they meet."""
+    none = F.lit(None).cast("long")
+    told = [F.when(where, F.struct(F.lit(name).alias("board"), value.cast("double").alias("value"), (none if n is None else n.cast("long")).alias("n"), (value if low else -value).cast("double").alias("by"))) for name, (value, where, n, low) in entries.items()]
+    own = rows.select("ref_key", F.explode(F.filter(F.array(*told), lambda x: x.isNotNull())).alias("b")).select("ref_key", "b.*")
+    rank = F.row_number().over(Window.partitionBy("board").orderBy("by", "ref_key"))
+    return own.withColumn("rank", rank).where(F.col("rank") <= top).select("board", "ref_key", "value", "n")
+
+
 def count_boards(careers: DataFrame, seasons: DataFrame, current: str = S.CURRENT_SEASON) -> DataFrame:
     """Six boards of counts; zeros may be listed."""
     now = seasons.where(F.col("season") == current).select("ref_key", F.col("total").alias("games_current"))
     rows = careers.join(now, "ref_key", "left").fillna(0, ["games_current"])
-    frames = [board(rows, name, value) for name, value in COUNTS.items()]
-    frames += [board(rows, "most_career_games_active", "games_total", where=F.col("active")), board(rows, "most_games_current_season", "games_current", where=F.col("active"))]
-    return union(frames)
+    every, active = F.lit(True), F.coalesce(F.col("active"), F.lit(False))
+    entries = {name: (F.col(value), every, None, False) for name, value in COUNTS.items()}
+    entries |= {"most_career_games_active": (F.col("games_total"), active, None, False), "most_games_current_season": (F.col("games_current"), active, None, False)}
+    return boards(rows, entries)
 
 
 def home_win_rates(whistle: DataFrame, least: int = S.RATE_MIN_GAMES) -> DataFrame:
@@ -43,12 +47,29 @@ def home_win_rates(whistle: DataFrame, least: int = S.RATE_MIN_GAMES) -> DataFra
 
 def rate_boards(whistle: DataFrame, least: int = S.RATE_MIN_GAMES) -> DataFrame:
     """Highest and lowest home win share, and highest and lowest free throws in regular games."""
-    home = home_win_rates(whistle, least)
-    shots = whistle.where((F.col("kind") == "RS") & (F.col("n_boxscore") >= least) & F.col("avg_total_fta").isNotNull())
-    return union([
-        board(home, "highest_home_win_pct", "home_win_pct", F.col("n")), board(home, "lowest_home_win_pct", "home_win_pct", F.col("n"), low=True),
-        board(shots, "highest_avg_total_fta_rs", "avg_total_fta", F.col("n_boxscore")), board(shots, "lowest_avg_total_fta_rs", "avg_total_fta", F.col("n_boxscore"), low=True),
-    ])
+    regular = lambda c: F.max(F.when(F.col("kind") == "RS", F.col(c)))
+    per = whistle.groupBy("ref_key").agg(
+        F.sum("n").alias("n"), F.sum(F.coalesce(F.col("home_win_pct") * F.col("n"), F.lit(0.0))).alias("w"), regular("n_boxscore").alias("boxed"), regular("avg_total_fta").alias("shots"),
+    )
+    home, shots, n, boxed = X.round2(F.col("w") / F.col("n")), F.col("shots"), F.col("n"), F.col("boxed")
+    often, shown = n >= least, F.coalesce((boxed >= least) & shots.isNotNull(), F.lit(False))
+    return boards(per, {
+        "highest_home_win_pct": (home, often, n, False), "lowest_home_win_pct": (home, often, n, True),
+        "highest_avg_total_fta_rs": (shots, shown, boxed, False), "lowest_avg_total_fta_rs": (shots, shown, boxed, True),
+    })
+
+
+def board_document(rows: DataFrame, names: DataFrame, least: int = S.RATE_MIN_GAMES, current: str = S.CURRENT_SEASON) -> DataFrame:
+    """One row, document: all boards as one JSON object, each with its rows in order (of a board's 25
+    rows at most), and _meta with the least games and the current season. names: ref_key, display."""
+    low = F.col("board").startswith("lowest")
+    item = F.struct(F.when(low, F.col("value")).otherwise(-F.col("value")).alias("by"), "ref_key", F.struct(F.col("ref_key").alias("official_id"), F.col("display").alias("name"), "value", "n").alias("row"))
+    per = rows.join(names, "ref_key").groupBy("board").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    entry = F.struct("board", F.transform("items", lambda x: x["row"]).alias("rows"))
+    one = per.groupBy().agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("boards"))
+    meta = F.struct(F.lit(least).alias("min_games_for_rate_leaderboards"), F.lit(current).alias("current_season"))
+    told = F.to_json("boards", {"ignoreNullFields": "false"})
+    return one.select(F.concat(F.regexp_replace(told, r"\}$", ""), F.when(F.size("boards") > 0, ",").otherwise(""), F.lit('"_meta":'), F.to_json(meta), F.lit("}")).alias("document"))
 
 
 def search_index(refs: DataFrame, teams: DataFrame, players: DataFrame) -> DataFrame:

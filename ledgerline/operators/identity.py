@@ -81,28 +81,46 @@ def adjacent(segs: DataFrame) -> DataFrame:
     return x.join(y, (F.col("x.name_key") == F.col("y.name_key")) & (F.col("x.seg_id") < F.col("y.seg_id")) & (F.col("x.era") != F.col("y.era")) & meet).select(F.col("x.seg_id").alias("a"), F.col("y.seg_id").alias("b"))
 
 
+def swept(rows: list[tuple]) -> dict[str, str]:
+    """seg_id -> least segment that it is joined with. rows: (smin, seg_id, era, smax) of one key. In
+    order of their first season, a segment joins all those of other schemes before it that end two
+    years before it begins, or later. What it joins is one from then on, so of each scheme only one
+    of these has to be remembered, with the last of their ends."""
+    label = {seg: seg for _, seg, _, _ in rows}
+
+    def root(x: str) -> str:
+        while label[x] != x:
+            label[x] = label[label[x]]
+            x = label[x]
+        return x
+
+    open_: dict[str, list[tuple[int, str]]] = {}  # scheme -> (end, segment)
+    for smin, seg, era, smax in sorted(rows):
+        for other, held in open_.items():
+            met = [(end, x) for end, x in held if smin <= end + 2] if other != era else []
+            if met:
+                for _, x in met:
+                    a, b = sorted((root(seg), root(x)))
+                    label[b] = a
+                # those that ended too early for this one are too early for all that follow
+                open_[other] = [max(met)]
+        open_.setdefault(era, []).append((smax, seg))
+    return {seg: root(seg) for seg in label}
+
+
 def entity_of(segs: DataFrame) -> DataFrame:
     """seg_id, component: its least segment. Joined segments share a name key, so components
-    are found within one key's segments, of which there are few; other columns stay behind.
-    A task takes its keys one after the other, without a call for each."""
+    are found within one key's segments; other columns stay behind. A task takes its keys one after
+    the other, without a call for each."""
 
     def joined(parts):
         by_key: dict = {}
         for part in parts:
-            for r in part.itertuples(index=False):
-                by_key.setdefault(r.name_key, []).append(r)
+            for key, seg, era, smin, smax in part.itertuples(index=False):
+                by_key.setdefault(key, []).append((smin, seg, era, smax))
         label: dict = {}
         for rows in by_key.values():
-            label |= {r.seg_id: r.seg_id for r in rows}
-            changed = True
-            while changed:
-                changed = False
-                for p in rows:
-                    for q in rows:
-                        first, second = (p, q) if p.smin <= q.smin else (q, p)
-                        if p.era != q.era and second.smin <= first.smax + 2 and label[q.seg_id] != label[p.seg_id]:
-                            label[p.seg_id] = label[q.seg_id] = min(label[p.seg_id], label[q.seg_id])
-                            changed = True
+            label |= swept(rows)
         yield pd.DataFrame({"seg_id": list(label), "component": list(label.values())})
 
     return segs.select("name_key", "seg_id", "era", "smin", "smax").repartition("name_key").mapInPandas(joined, "seg_id string, component string")

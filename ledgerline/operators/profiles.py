@@ -113,11 +113,14 @@ def swings(crew: DataFrame, logs: DataFrame, games: DataFrame, entity: DataFrame
     else:
         rows = rows.withColumn("seg_id", F.concat_ws(":", "era", "player_id")).join(entity.select("seg_id", "slug", "display"), "seg_id")
     under = crew.select("ref_key", "game_id").join(rows, "game_id")
-    means = [F.avg(x).alias(x) for c in S.STATS for x in (c, f"base_{c}")]
-    by_id = under.groupBy("ref_key", "slug", "player_id").agg(F.count("*").alias("k"))
-    usual = by_id.groupBy("ref_key", "slug").agg(F.min_by("player_id", F.struct(-F.col("k"), "player_id")).alias("player_id"))
-    per = under.groupBy("ref_key", "slug").agg(F.max("display").alias("name"), F.count("*").alias("n_games"), F.array_sort(F.collect_set("season")).alias("seasons"), *means).where(F.col("n_games") >= least)
-    out = per.join(usual, ["ref_key", "slug"])
+    cells = [x for c in S.STATS for x in (c, f"base_{c}")]
+    # once by player id, and its sums again by player: the tripled rows are read and shuffled once
+    by_id = under.groupBy("ref_key", "slug", "player_id").agg(F.count("*").alias("k"), F.max("display").alias("name"), F.collect_set("season").alias("s"), *[F.sum(x).alias(x) for x in cells])
+    per = by_id.groupBy("ref_key", "slug").agg(
+        F.max("name").alias("name"), F.sum("k").alias("n_games"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("s")))).alias("seasons"),
+        F.min_by("player_id", F.struct(-F.col("k"), "player_id")).alias("player_id"), *[(F.sum(x) / F.sum("k")).alias(x) for x in cells],
+    )
+    out = per.where(F.col("n_games") >= least)
     shown = [x for c in S.STATS for x in (X.round2(F.col(c)).alias(f"{c}_with_ref"), X.round2(F.col(f"base_{c}")).alias(f"{c}_baseline"), X.round2(F.col(c) - F.col(f"base_{c}")).alias(f"{c}_swing"))]
     return out.select("ref_key", "slug", "name", "player_id", "n_games", *shown, "seasons")
 

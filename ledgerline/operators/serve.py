@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as X
 
-#: Blocks of seasons whose labels are incomplete, and how they are told of.
-GAPS = [(("2000-01", "2001-02", "2002-03"), "2000-03"), (("2012-13",), "2012-13"), (("2023-24", "2024-25", "2025-26"), "2023-26")]
+# The blocks of seasons whose labels are incomplete, and how they are told of.
+GAPS = [
+    (("2000-01", "2001-02", "2002-03"), "the 2000-01 to 2002-03 seasons"),
+    (("2012-13",), "the 2012-13 season"),
+    (("2023-24", "2024-25", "2025-26"), "the 2023-24 season onward"),
+]
 
 
 def gap_phrase(seasons: Column | str) -> Column:

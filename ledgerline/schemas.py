@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# The columns of the tables.
 GAMES = "game_id string, game_date string, season string, season_type string, home_team_id string, away_team_id string, home_team_abbr string, away_team_abbr string, home_pts string, away_pts string, home_win string"
 OFFICIALS = "game_id string, official_id string, official_name string, jersey_num string"
 PLAYER_LOGS = "game_id string, player_id string, player_name string, team_id string, team_abbr string, min string, pts string, reb string, ast string, stl string, blk string, tov string, fga string, fgm string, fg3a string, fg3m string, fta string, ftm string, pf string, plus_minus string"

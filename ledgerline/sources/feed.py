@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from .. import schemas as S
 from ..functions import scalars as X
 
 
@@ -83,25 +84,26 @@ def is_play_in(event: Column | str = "event") -> Column:
     return F.coalesce(e["season"]["type"] == 5, F.lit(False)) | text.contains("play-in") | text.contains("play in tournament")
 
 
-def events(scoreboards: DataFrame) -> DataFrame:
-    """event: one row for each event of the scoreboards (json)."""
-    return scoreboards.select(F.explode(F.from_json("json", f"events array<{EVENT}>")["events"]).alias("event"))
+def events(scoreboards: DataFrame, *keep: str) -> DataFrame:
+    """event: one row for each event of the scoreboards (json), and the columns keep."""
+    return scoreboards.select(F.explode(F.from_json("json", f"events array<{EVENT}>")["events"]).alias("event"), *keep)
 
 
-def game_rows(found: DataFrame, season: Column) -> DataFrame:
-    """Games from events: regular season and playoffs, with both teams; dates are UTC days."""
+def game_rows(found: DataFrame, season: Column, *keep: str) -> DataFrame:
+    """Games from events: regular season and playoffs, with both teams; dates are UTC days, whatever
+    the session's time zone. keep: further columns of found."""
     e, c = F.col("event"), F.get(F.col("event")["competitions"], F.lit(0))
     side = lambda s: F.get(F.filter(c["competitors"], lambda x: x["homeAway"] == s), F.lit(0))
     whole = lambda x: X.clean_id(x)
-    df = found.select(e.alias("event"), side("home").alias("h"), side("away").alias("a"), c.alias("c"))
+    df = found.select(e.alias("event"), side("home").alias("h"), side("away").alias("a"), c.alias("c"), *keep)
     df = df.where(F.col("h").isNotNull() & F.col("a").isNotNull() & (F.coalesce(F.col("event")["id"], F.lit("")) != "") & F.col("event")["season"]["type"].isin(2, 3, 5))
     hp, ap = whole(F.col("h")["score"]), whole(F.col("a")["score"])
     label = F.when(is_play_in(), "Play-In").when(F.col("event")["season"]["type"] == 3, "Playoffs").otherwise("Regular Season")
     won = F.when(F.col("h")["winner"], "1").when(F.col("a")["winner"], "0").when((hp != "") & (ap != ""), F.when(hp.try_cast("int") > ap.try_cast("int"), "1").otherwise("0")).otherwise("")
     return df.select(
-        F.trim(F.col("event")["id"]).alias("game_id"), F.coalesce(F.date_format(F.try_to_timestamp(F.coalesce(F.col("event")["date"], F.col("c")["date"])), "yyyy-MM-dd"), F.lit("")).alias("game_date"), season.alias("season"), label.alias("season_type"),
+        F.trim(F.col("event")["id"]).alias("game_id"), F.coalesce(X.utc_date(F.coalesce(F.col("event")["date"], F.col("c")["date"])), F.lit("")).alias("game_date"), season.alias("season"), label.alias("season_type"),
         F.coalesce(F.col("h")["team"]["id"], F.lit("")).alias("home_team_id"), F.coalesce(F.col("a")["team"]["id"], F.lit("")).alias("away_team_id"), X.tricode(F.col("h")["team"]["abbreviation"]).alias("home_team_abbr"),
-        X.tricode(F.col("a")["team"]["abbreviation"]).alias("away_team_abbr"), hp.alias("home_pts"), ap.alias("away_pts"), won.alias("home_win"), is_completed().alias("completed"),
+        X.tricode(F.col("a")["team"]["abbreviation"]).alias("away_team_abbr"), hp.alias("home_pts"), ap.alias("away_pts"), won.alias("home_win"), is_completed().alias("completed"), *keep,
     )
 
 
@@ -196,6 +198,67 @@ def official_rows(summaries: DataFrame) -> DataFrame:
     return rows.withColumn("official_id", ident).where("official_id <> '' or official_name <> ''").select("game_id", "official_id", "official_name", "jersey_num", "row_order")
 
 
+#: A person in the other payload's list of officials, and a table of its answers.
+PERSON = "struct<personId:string,PERSON_ID:string,official_id:string,name:string,firstName:string,familyName:string,lastName:string,jerseyNum:string,JERSEY_NUM:string>"
+TABLES = "resultSets array<struct<name:string,headers:array<string>,rowSet:array<array<string>>>>"
+
+
+def summary_official_rows(summaries: DataFrame) -> DataFrame:
+    """Officials from the other payload (game_id, json): the people under boxScoreSummary.officials;
+    where there are none, the first table of resultSets with an official's or person's id and a name.
+    Columns as official_rows gives them, in written order."""
+    under = [F.from_json("json", f"{top} struct<{key}:array<{PERSON}>>")[top][key] for top, key in (("boxScoreSummary", "officials"), ("BoxScoreSummary", "Officials"))]
+    listed = F.coalesce(*[F.when(F.size(x) > 0, x) for x in under])
+    some = lambda *xs: F.coalesce(*[F.nullif(F.trim(x), F.lit("")) for x in xs], F.lit(""))
+    people = summaries.select("game_id", F.posexplode(listed).alias("row_order", "p"))
+    p = F.col("p")
+    told = people.select(
+        "game_id", X.clean_id(some(p["personId"], p["PERSON_ID"], p["official_id"])).alias("official_id"), some(p["name"], X.full_name(F.coalesce(p["firstName"], F.lit("")), some(p["familyName"], p["lastName"]))).alias("official_name"),
+        X.clean_id(some(p["jerseyNum"], p["JERSEY_NUM"])).alias("jersey_num"), "row_order",
+    ).where("official_id <> ''")
+    rest = summaries.join(told.select("game_id").distinct(), "game_id", "left_anti")
+    return told.unionByName(_table_officials(rest)).withColumn("game_id", X.clean_id("game_id", 10))
+
+
+def _table_officials(summaries: DataFrame) -> DataFrame:
+    tables = summaries.select("game_id", F.posexplode(F.from_json("json", TABLES)["resultSets"]).alias("place", "t"))
+    heads = F.transform("t.headers", lambda h: F.regexp_replace(F.lower(h), "[^a-z0-9]", ""))
+    at = lambda test: F.array_position(F.transform("heads", lambda h: F.coalesce(test(h), F.lit(False))), True)
+    tables = tables.withColumn("heads", heads).withColumns({
+        "ident": at(lambda h: h.contains("officialid") | h.contains("personid")), "whole": at(lambda h: h.isin("name", "officialname")), "first": at(lambda h: h.contains("firstname")),
+        "last": at(lambda h: h.contains("lastname") | h.contains("familyname")), "number": at(lambda h: h.contains("jersey")),
+    })
+    fitting = tables.where("ident > 0 and (whole > 0 or first > 0 and last > 0)")
+    best = fitting.groupBy("game_id").agg(F.min_by(F.struct("t", "ident", "whole", "first", "last", "number"), "place").alias("b"))
+    rows = best.select("game_id", "b", F.posexplode("b.t.rowSet").alias("row_order", "r"))
+    cell = lambda c: F.trim(F.coalesce(F.when(F.col(f"b.{c}") > 0, F.get("r", (F.col(f"b.{c}") - 1).cast("int"))), F.lit("")))
+    name = F.when(F.col("b.whole") > 0, cell("whole")).otherwise(F.trim(F.concat_ws(" ", cell("first"), cell("last"))))
+    return rows.select("game_id", X.clean_id(cell("ident")).alias("official_id"), name.alias("official_name"), X.clean_id(cell("number")).alias("jersey_num"), "row_order")
+
+
+def league_log_rows(payloads: DataFrame) -> DataFrame:
+    """Box scores from league game logs (season, kind, json): the first table of each, its columns by
+    their headings; what a season's table lacks is empty text. season and kind are kept."""
+    first = F.get(F.from_json("json", TABLES)["resultSets"], F.lit(0))
+    rows = payloads.select("season", "kind", first["headers"].alias("heads"), F.explode(first["rowSet"]).alias("r"))
+    wanted = [c.name for c in T._parse_datatype_string(S.PLAYER_LOGS)]
+
+    def value(name: str) -> Column:
+        heading = "TEAM_ABBREVIATION" if name == "team_abbr" else name.upper()
+        at = F.array_position("heads", F.lit(heading))
+        found = F.coalesce(F.when(at > 0, F.get("r", (at - 1).cast("int"))), F.lit(""))
+        return X.clean_id(found, 10 if name == "game_id" else None) if name.endswith("_id") else found
+
+    return rows.select("season", "kind", *[value(n).alias(n) for n in wanted])
+
+
+def wanted_logs(seasons: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """season, kind: what league game logs are still to be asked for, regular seasons and playoffs,
+    but for those of which something is stored."""
+    every = seasons.select("season", F.explode(F.array(F.lit("RS"), F.lit("PO"))).alias("kind"))
+    return every if stored is None else every.join(stored.select("season", "kind").distinct(), ["season", "kind"], "left_anti")
+
+
 def notes(summaries: DataFrame) -> DataFrame:
     """game_id, note: the header's note, else the first competition's headline."""
     kind = "struct<header:struct<gameNote:string,competitions:array<struct<notes:array<struct<headline:string>>>>>>"

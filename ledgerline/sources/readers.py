@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,12 +14,41 @@ from ..functions import columns as names
 from ..functions import scalars as X
 
 
+#: Headers of so many files are read at once.
+PROBES = 16
+
+
+def files_of(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """The files that paths, folders and globs name, in order."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out: list[str] = []
+    for one in [path] if isinstance(path, str) else path:
+        p = jvm.org.apache.hadoop.fs.Path(one)
+        fs = p.getFileSystem(conf)
+        for found in fs.globStatus(p) or []:
+            inside = fs.listStatus(found.getPath()) if found.isDirectory() else [found]
+            out += [f.getPath().toString() for f in inside if f.isFile() and not f.getPath().getName().startswith(("_", "."))]
+    return sorted(out)
+
+
 def text_csv(spark: SparkSession, path: str | list[str], schema: str | None = None, comment: str | None = None) -> DataFrame:
     """CSV with a header, all text, plain or compressed; nulls are empty text. Columns come by
-    their names in the file; with a schema, those that the file lacks are empty."""
+    their names in each file, whatever their order there (Spark alone goes by the first file's
+    order): files are read in groups of one header. With a schema, columns that a file lacks are
+    empty; without, those that any file has are there."""
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("inferSchema", False)
-    df = (reader.option("comment", comment) if comment else reader).csv(path)
-    df = df.toDF(*[c.lstrip("﻿") for c in df.columns])
+    reader = reader.option("comment", comment) if comment else reader
+    files = files_of(spark, path)
+    if len(files) <= 1:
+        frames = [reader.csv(path)]
+    else:
+        with ThreadPoolExecutor(PROBES) as pool:
+            heads = list(pool.map(lambda f: tuple(reader.csv(f).columns), files))
+        frames = [reader.csv([f for f, h in zip(files, heads, strict=True) if h == head]) for head in dict.fromkeys(heads)]
+    frames = [f.toDF(*[c.lstrip("﻿") for c in f.columns]) for f in frames]
+    df = frames[0]
+    for f in frames[1:]:
+        df = df.unionByName(f, allowMissingColumns=True)
     if schema:
         wanted = [c.name for c in T._parse_datatype_string(schema)]
         df = df.select(*[F.col(c) if c in df.columns else F.lit("").alias(c) for c in wanted])
@@ -90,9 +120,12 @@ def raw_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def database_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
-    """table and columns of the catalog."""
-    rows = [(t.name, [c.name for c in spark.catalog.listColumns(f"{database}.{t.name}" if database else t.name)]) for t in spark.catalog.listTables(database)]
-    return spark.createDataFrame(rows, "table string, columns array<string>")
+    """table, columns and rows of the catalog."""
+    rows = []
+    for t in spark.catalog.listTables(database):
+        name = f"{database}.{t.name}" if database and not t.isTemporary else t.name
+        rows.append((t.name, [c.name for c in spark.catalog.listColumns(name)], spark.table(name).count()))
+    return spark.createDataFrame(rows, "table string, columns array<string>, rows long")
 
 
 def database_table(spark: SparkSession, table: str, columns: list[str] | None = None, url: str | None = None, **options: str) -> DataFrame:
@@ -131,6 +164,36 @@ def extracted_games(df: DataFrame) -> DataFrame:
     return out.withColumn("home_win", X.home_win("wl", F.col("home_pts"), F.col("away_pts"))).drop("wl").where("game_id <> ''").dropDuplicates(["game_id"])
 
 
+#: Column of a box score -> the words that its name holds in other sources.
+BOX_COLUMNS = {
+    "game_id": ["gameid"], "player_id": ["playerid", "personid"], "player_name": ["playername", "name"], "team_id": ["teamid"], "team_abbr": ["teamabbreviation", "teamabbr", "tricode"],
+    "min": ["minutes", "min"], "pts": ["points", "pts"], "reb": ["reboundstotal", "reb"], "ast": ["assists", "ast"], "stl": ["steals", "stl"], "blk": ["blocks", "blk"], "tov": ["turnovers", "tov"],
+    "fga": ["fieldgoalsattempted", "fga"], "fgm": ["fieldgoalsmade", "fgm"], "fg3a": ["threepointersattempted", "fg3a"], "fg3m": ["threepointersmade", "fg3m"], "fta": ["freethrowsattempted", "fta"],
+    "ftm": ["freethrowsmade", "ftm"], "pf": ["foulspersonal", "pf"], "plus_minus": ["plusminus"],
+}
+
+
+def locate_officials(tables: Mapping[str, Iterable[str]], rows: Mapping[str, int] | None = None) -> str | None:
+    """The table that has officials of games: a game and an official, and a name or a number."""
+    return locate(tables, OFFICIAL_SIGNALS, 3, rows)
+
+
+def extracted_logs(df: DataFrame) -> DataFrame:
+    """The target columns of a source's box scores: ids cleaned, game ids padded, texts trimmed,
+    numbers or null; rows without a game go. What the source lacks is null."""
+    found = names.mapping(df.columns, BOX_COLUMNS)
+
+    def value(name: str) -> Column:
+        if not found[name]:
+            return F.lit(None).cast("string" if name in ("game_id", "player_id", "player_name", "team_id", "team_abbr", "min") else "double")
+        c = F.col(f"`{found[name]}`")
+        if name.endswith("_id"):
+            return X.clean_id(c, 10 if name == "game_id" else None)
+        return F.trim(c.cast("string")) if name in ("player_name", "team_abbr", "min") else X.number(c)
+
+    return df.select(*[value(n).alias(n) for n in BOX_COLUMNS]).where("game_id <> ''")
+
+
 def with_team_codes(games: DataFrame, teams: DataFrame) -> DataFrame:
     """Codes for teams that have only ids. teams: team_id, team_abbr, of one row a team."""
     one = teams.select(X.clean_id("team_id").alias("_id"), F.trim("team_abbr").alias("_abbr")).dropDuplicates(["_id"])

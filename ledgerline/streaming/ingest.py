@@ -9,24 +9,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators import merge
 from ..sources import feed, sinks
 
 
 def payloads(spark: SparkSession, path: str, per_batch: int = 100) -> DataFrame:
-    """json and path of files as they come."""
-    return spark.readStream.format("text").option("wholetext", True).option("maxFilesPerTrigger", per_batch).schema("value string").load(path).select(F.col("value").alias("json"), F.col("_metadata.file_path").alias("path"))
+    """json, path and time (of the last change) of files as they come."""
+    return spark.readStream.format("text").option("wholetext", True).option("maxFilesPerTrigger", per_batch).schema("value string").load(path).select(F.col("value").alias("json"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("time"))
 
 
 def merge_games(path: str, season: str):
-    """A foreachBatch function: completed league games of a batch of scoreboards go to path."""
+    """A foreachBatch function: completed league games of a batch of scoreboards go to path. Of a
+    game that several files tell of, the file changed last counts, so a replay gives the same."""
 
-    def merge(batch: DataFrame, _number: int) -> None:
-        rows = feed.game_rows(feed.events(batch), F.lit(season)).where("completed").drop("completed")
-        rows = rows.join(feed.exhibitions(rows).select("game_id"), "game_id", "left_anti").dropDuplicates(["game_id"])
+    def merged(batch: DataFrame, _number: int) -> None:
+        rows = feed.game_rows(feed.events(batch, "time", "path"), F.lit(season), "time", "path").where("completed").drop("completed")
+        rows = rows.join(feed.exhibitions(rows).select("game_id").distinct(), "game_id", "left_anti")
+        rows = merge.keep_last(rows, ["game_id"], "time", "path").drop("time", "path")
         if not rows.isEmpty():
             sinks.upserted(batch.sparkSession, path, rows, ["game_id"], "game_date")
 
-    return merge
+    return merged
 
 
 def run(stream: DataFrame, each, checkpoint: str) -> StreamingQuery:
