@@ -199,13 +199,19 @@ def heat(x: Column | str) -> Column:
 # dates and display ---------------------------------------------------------------
 
 
+def moment(x: Column | str) -> Column:
+    """The timestamp of an ISO text, null if it is none. Feeds leave the seconds out
+    ('2001-11-02T01:00Z'), which Spark alone doesn't read."""
+    return F.try_to_timestamp(F.regexp_replace(F.trim(col(x)), r"([T ]\d{1,2}:\d{2})(Z|[+-]\d{2}:?\d{2}|)$", "$1:00$2"))
+
+
 def iso_date(x: Column | str) -> Column:
-    return F.date_format(F.try_to_timestamp(col(x)), "yyyy-MM-dd")
+    return F.date_format(moment(x), "yyyy-MM-dd")
 
 
 def utc_date(x: Column | str) -> Column:
     """The UTC calendar day of an ISO time with an offset, as text, whatever the session's zone."""
-    return F.date_format(F.to_utc_timestamp(F.try_to_timestamp(col(x)), F.current_timezone()), "yyyy-MM-dd")
+    return F.date_format(F.to_utc_timestamp(moment(x), F.current_timezone()), "yyyy-MM-dd")
 
 
 def html_escaped(x: Column | str) -> Column:
