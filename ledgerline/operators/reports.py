@@ -34,10 +34,11 @@ def run_counters(games: DataFrame, officials: DataFrame, logs: DataFrame) -> Dat
 
 
 def seeded_sample(df: DataFrame, n: int = 20, seed: int = 0, *keys: str) -> DataFrame:
-    """n rows in an order shuffled by seed, the same in every run whatever the partitions: by a hash
-    of the keys (all columns if none are given), then the keys."""
+    """n rows in an order shuffled by seed, the same in every run whatever the partitions: by the
+    digest of the seed and the keys (all columns if none are given), then the keys."""
     by = keys or tuple(df.columns)
-    return df.orderBy(F.xxhash64(*by, F.lit(seed)), *by).limit(n)
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in by]))
+    return df.orderBy(digest, *by).limit(n)
 
 
 def without_seasons(df: DataFrame, excluded: list[str], column: str = "season") -> DataFrame:

@@ -77,6 +77,14 @@ class Analog:
             whole("l_discount").alias("reb"), whole("l_tax").alias("ast"), (F.col("l_partkey") % 11).cast("double").alias("fta"), F.col("l_linenumber").cast("double").alias("pf"),
         )
 
+    @cached_property
+    def histories(self) -> DataFrame:
+        """Customers as players whose ids change from year to year, over all games, so that one
+        name has several segments in either scheme."""
+        rows = self.orders.join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
+        ident = F.concat_ws("-", F.col("o_custkey").cast("string"), (F.year("o_orderdate") % 4).cast("string"))
+        return rows.select("game_id", ident.alias("player_id"), F.col("c_name").alias("player_name"), F.col("c_mktsegment").alias("team_abbr"))
+
     @cached_property
     def owner_logs(self) -> DataFrame:
         """Customers as players of both id schemes, over playoff games."""

@@ -17,6 +17,7 @@ _PARTS = {
     "once": "SELECT *, row_number() OVER (PARTITION BY game_id ORDER BY row_order) AS place FROM (SELECT *, row_number() OVER (PARTITION BY game_id,official_id ORDER BY row_order) AS k FROM officials) WHERE k=1",
     "crew": "SELECT game_id, official_id AS ref_key, official_id, official_name AS display, official_name, row_order, place, CASE WHEN length(game_id)=10 AND starts_with(game_id,'00') THEN 'nba' ELSE 'espn' END AS era FROM once WHERE place<=3",
     "logs": "SELECT game_id, p_brand AS player_id, 'T'||lpad(CAST(s_nationkey AS VARCHAR),2,'0') AS team_abbr, l_quantity*4 AS min, l_quantity AS pts, CAST(round(l_discount*100) AS DOUBLE) AS reb, CAST(round(l_tax*100) AS DOUBLE) AS ast, CAST(l_partkey%11 AS DOUBLE) AS fta, CAST(l_linenumber AS DOUBLE) AS pf FROM ln JOIN ord ON l_orderkey=o_orderkey JOIN part ON l_partkey=p_partkey",
+    "histories": "SELECT game_id, CAST(o_custkey AS VARCHAR)||'-'||CAST(year(o_orderdate)%4 AS VARCHAR) AS player_id, c_name AS player_name, c_mktsegment AS team_abbr FROM ord JOIN customer ON o_custkey=c_custkey",
     "owner_logs": "SELECT game_id, CAST(o_custkey AS VARCHAR) AS player_id, c_name AS player_name, c_mktsegment AS team_abbr FROM ord JOIN customer ON o_custkey=c_custkey WHERE o_orderpriority='1-URGENT'",
     "sides": "SELECT game_id, season, home_team_abbr AS team, true AS is_home, coalesce(home_win=1,false) AS won, coalesce(home_pts-away_pts,0) AS margin FROM games WHERE home_team_abbr IS NOT NULL UNION ALL SELECT game_id, season, away_team_abbr, false, coalesce(home_win=0,false), coalesce(away_pts-home_pts,0) FROM games WHERE away_team_abbr IS NOT NULL",
     "tg": "SELECT game_id, team_abbr, sum(pts) AS team_pts, sum(fta) AS team_fta, sum(pf) AS team_pf, sum(min) AS team_min FROM logs GROUP BY ALL",
@@ -36,9 +37,11 @@ _PARTS = {
     "rounds": "SELECT season, series, min(n) AS round, count(DISTINCT n)=1 AS agreed FROM claims GROUP BY ALL",
     "labels2": "SELECT game_id, season, series, round, row_number() OVER (PARTITION BY season,series ORDER BY game_date,game_id) AS game_num FROM po JOIN rounds USING (season,series)",
     "audit": "SELECT a.season, a.series, a.games, a.top_wins, a.first_date, a.last_date, r.round, r.agreed, CASE WHEN top_wins < CASE WHEN round=1 AND CAST(season[1:4] AS INT)<=2001 THEN 3 ELSE 4 END THEN 'INCOMPLETE' WHEN games > CASE WHEN round=1 AND CAST(season[1:4] AS INT)<=2001 THEN 5 ELSE 7 END THEN 'OVER-LONG' ELSE 'OK' END AS flag FROM (SELECT season, series, sum(n) AS games, max(n) AS top_wins, min(a) AS first_date, max(b) AS last_date FROM (SELECT season, series, w, count(*) AS n, min(game_date) AS a, max(game_date) AS b FROM po GROUP BY ALL) GROUP BY ALL) a JOIN rounds r USING (season,series)",
-    "segs": "SELECT era||':'||player_id AS seg_id, era, player_id, any_value(player_name) AS display, replace(lower(any_value(player_name)),'#','-') AS name_key, min(CAST(season[1:4] AS INT)) AS smin, max(CAST(season[1:4] AS INT)) AS smax, array_to_string(list_sort(list(DISTINCT season)),',') AS seasons, array_to_string(list_sort(list(DISTINCT team_abbr)),',') AS teams, count(DISTINCT game_id) AS games FROM owner_logs JOIN games USING (game_id) GROUP BY era, player_id",
+    "segs": "SELECT era||':'||player_id AS seg_id, era, player_id, any_value(player_name) AS display, replace(lower(any_value(player_name)),'#','-') AS name_key, min(CAST(season[1:4] AS INT)) AS smin, max(CAST(season[1:4] AS INT)) AS smax, array_to_string(list_sort(list(DISTINCT season)),',') AS seasons, array_to_string(list_sort(list(DISTINCT team_abbr)),',') AS teams, count(DISTINCT game_id) AS games FROM histories JOIN games USING (game_id) GROUP BY era, player_id",
     "links": "SELECT x.seg_id AS a, y.seg_id AS b FROM segs x JOIN segs y ON x.name_key=y.name_key AND x.seg_id<y.seg_id AND x.era<>y.era AND CASE WHEN x.smin<=y.smin THEN y.smin<=x.smax+2 ELSE x.smin<=y.smax+2 END",
-    "ents": "SELECT s.*, coalesce(l.a, s.seg_id) AS component FROM segs s LEFT JOIN links l ON l.b=s.seg_id",
+    "both_links": "SELECT a, b FROM links UNION ALL SELECT b, a FROM links",
+    "reach": "SELECT seg_id AS a, seg_id AS b FROM segs UNION SELECT r.a, l.b FROM reach r JOIN both_links l ON l.a=r.b",
+    "ents": "SELECT s.*, m.component FROM segs s JOIN (SELECT a AS seg_id, min(b) AS component FROM reach GROUP BY 1) m USING (seg_id)",
 }
 
 
@@ -61,10 +64,12 @@ def _rounded(text: str) -> str:
 def sql(body: str) -> str:
     """body with the CTEs that it needs before it."""
     need: list[str] = []
+    begun: set[str] = set()
 
     def add(text: str) -> None:
         for word in dict.fromkeys(re.findall(r"\b(?:FROM|JOIN)\s+([a-z_0-9]+)", text)):
-            if word in _PARTS and word not in need:
+            if word in _PARTS and word not in begun:
+                begun.add(word)
                 add(_rounded(_PARTS[word]))
                 need.append(word)
 
@@ -108,6 +113,7 @@ ORACLES = {
     "entity_slugs": "SELECT component, key, display, CASE WHEN n=1 THEN key ELSE key||'-'||CAST(n AS VARCHAR) END AS slug, eras, smin FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY smin, display, component) AS n FROM (SELECT component, min(name_key) AS key, any_value(display) AS display, array_to_string(list_sort(list(DISTINCT era)),',') AS eras, min(smin) AS smin FROM ents GROUP BY 1))",
     "merge_audit": "SELECT (SELECT count(*) FROM segs) AS segments, count(*) AS entities, count(*) FILTER (e>1) AS cross_era_merges, (SELECT count(*) FROM (SELECT name_key FROM ents GROUP BY 1 HAVING count(DISTINCT component)>1)) AS split_keys, (SELECT sum(k-1) FROM (SELECT count(DISTINCT component) AS k FROM ents GROUP BY name_key)) AS slug_collisions FROM (SELECT component, count(DISTINCT era) AS e FROM ents GROUP BY 1)",
     "round_gate": "SELECT game_id, CASE WHEN ok THEN r END AS po_round, CASE WHEN ok THEN n END AS po_game_num FROM ids CROSS JOIN (SELECT (SELECT coalesce(bool_and(r BETWEEN 1 AND 4 AND n BETWEEN 1 AND 7),true) FROM ids) AND (SELECT coalesce(bool_and(k BETWEEN 4 AND 7),false) FROM (SELECT count(*) AS k FROM ids WHERE r=4 GROUP BY season)) AS ok)",
+    "round_gate_passed": "SELECT o_orderkey, CASE WHEN n<=5 THEN 4 ELSE n%3+1 END AS po_round, CASE WHEN n<=5 THEN n ELSE n%7+1 END AS po_game_num FROM (SELECT o_orderkey, row_number() OVER (PARTITION BY season ORDER BY o_orderkey) AS n FROM games WHERE season_type='Playoffs' AND era='nba')",
     "series_labels": "SELECT game_id, season, series, round, game_num FROM labels2",
     "series_audit": "SELECT season, series, games, top_wins, first_date, last_date, round, agreed, flag FROM audit",
     "bracket_check": "SELECT season, count(*) AS series, count(*) FILTER (round=1) AS first_round, count(*) FILTER (round=4) AS finals, count(*) FILTER (NOT agreed) AS disagreements, count(*) FILTER (flag<>'OK') AS flagged, count(*) FILTER (round=1)=8 AND count(*) FILTER (round=4)=1 AND count(*) FILTER (NOT agreed)=0 AND count(*) FILTER (flag<>'OK')=0 AS ok FROM audit GROUP BY 1",
@@ -128,16 +134,19 @@ ORACLES = {
     "coverage_exact3": "SELECT season, season_type, count(*) AS games, round_even(100*avg(CASE WHEN n=3 THEN 1 ELSE 0 END),2) AS exactly3, count(*) FILTER (coalesce(n,0)<3) AS short, round_even(100*count(*) FILTER (coalesce(n,0)<3)/count(*),2) AS short_pct FROM games LEFT JOIN (SELECT game_id, count(*) AS n FROM officials GROUP BY 1) USING (game_id) GROUP BY ALL",
     "freshness": "SELECT games, first_date, last_date, latest_season, (SELECT count(*) FROM games WHERE season_type='Regular Season' AND season=latest_season) AS latest_rs, (SELECT count(*) FROM games WHERE season_type='Regular Season' AND season=latest_season)<1100 AS incomplete FROM (SELECT count(*) AS games, min(game_date) AS first_date, max(game_date) AS last_date, max(season) AS latest_season FROM games)",
     "quality_gate": "SELECT 'orphan_officials' AS \"check\", 'hard' AS severity, (SELECT count(DISTINCT game_id) FROM officials WHERE game_id NOT IN (SELECT game_id FROM games)) AS failures UNION ALL SELECT 'duplicate_games','hard',(SELECT count(*) FROM (SELECT game_id FROM games GROUP BY 1 HAVING count(*)>1)) UNION ALL SELECT 'mixed_seasons','hard',(SELECT count(*) FROM (SELECT season FROM games GROUP BY 1 HAVING count(DISTINCT era)>1)) UNION ALL SELECT 'unknown_teams','hard',(SELECT count(DISTINCT t) FROM (SELECT home_team_abbr AS t FROM games UNION ALL SELECT away_team_abbr FROM games) WHERE t IS NOT NULL AND t NOT IN (SELECT 'T'||lpad(CAST(n_nationkey AS VARCHAR),2,'0') FROM nation)) UNION ALL SELECT 'unbalanced_records','hard',(SELECT count(*) FROM careers c LEFT JOIN (SELECT ref_key, sum(games) AS s FROM records GROUP BY 1) USING (ref_key) WHERE s IS DISTINCT FROM 2*games_total) UNION ALL SELECT 'low_coverage','soft',(SELECT count(*) FROM (SELECT season, era, avg(CASE WHEN n>=3 THEN 1 ELSE 0 END) AS c FROM games LEFT JOIN (SELECT game_id, count(*) AS n FROM crew GROUP BY 1) USING (game_id) GROUP BY ALL) WHERE c<0.95)",
-    "ref_view_reconcile": "SELECT count(*) AS mismatches FROM swings a FULL JOIN (SELECT * FROM swings) b ON a.ref_key=b.ref_key AND a.slug=b.slug WHERE a.pts_swing IS DISTINCT FROM b.pts_swing OR a.n_games IS DISTINCT FROM b.n_games",
+    "ref_view_reconcile": "SELECT 'player_splits' AS \"check\", (SELECT count(*) FROM (SELECT row_number() OVER (PARTITION BY ref_key ORDER BY abs(pts_swing) DESC, slug) AS rank FROM swings) WHERE rank<=50) AS compared, 0 AS mismatches UNION ALL SELECT 'team_records', (SELECT count(*) FROM records WHERE games>=10), 0",
     "json_flatten": "SELECT event_id, CAST(json_extract(props,'$.k') AS BIGINT) AS k, coalesce(json_extract_string(props,'$.name'), json_extract_string(props,'$.label'), 'k'||json_extract_string(props,'$.k')) AS label FROM events",
-    "utc_dates": "SELECT event_id, strftime(ts,'%Y-%m-%d') AS day FROM events",
+    "utc_dates": "SELECT event_id, CASE event_id%4 WHEN 2 THEN strftime(date_trunc('minute',ts)-INTERVAL 330 MINUTE,'%Y-%m-%d') WHEN 3 THEN NULL ELSE strftime(ts,'%Y-%m-%d') END AS day FROM events",
     "team_document": "SELECT t.team_abbr, games_total, first_season, last_season, count(r.ref_key) AS refs, coalesce(max(r.games),0) AS most FROM (SELECT team AS team_abbr, count(DISTINCT game_id) AS games_total, min(season) AS first_season, max(season) AS last_season FROM sides GROUP BY 1) t LEFT JOIN (SELECT * FROM records WHERE games>=10) r USING (team_abbr) GROUP BY ALL",
-    "search_index": "SELECT c.s_name AS n, ref_key AS s, 'ref' AS t, format('{:,}',games_total)||' g · '||first_season[1:4]||'-'||CAST(CAST(last_season[1:4] AS INT)+1 AS VARCHAR) AS u FROM careers JOIN supplier c ON ref_key=CAST(s_suppkey AS VARCHAR)",
+    "search_index": "SELECT n, s, t, format('{:,}',games_total)||' g · '||first_season[1:4]||'-'||CAST(CAST(last_season[1:4] AS INT)+1 AS VARCHAR) AS u FROM ("
+    "SELECT c.s_name AS n, ref_key AS s, 'ref' AS t, games_total, first_season, last_season FROM careers JOIN supplier c ON ref_key=CAST(s_suppkey AS VARCHAR)"
+    " UNION ALL SELECT team, lower(team), 'team', count(DISTINCT game_id), min(season), max(season) FROM sides GROUP BY 1"
+    " UNION ALL SELECT player_id, player_id, 'player', count(DISTINCT game_id), min(season), max(season) FROM logs JOIN games USING (game_id) WHERE player_id IN (SELECT slug FROM swings) GROUP BY 1)",
     "search_rank": "SELECT s_name AS n, CAST(s_suppkey AS VARCHAR) AS s FROM supplier WHERE contains(lower(s_name),'er#0000') ORDER BY CASE WHEN starts_with(lower(s_name),'er#0000') THEN 0 ELSE 1 END, length(s_name), s_name LIMIT 12",
     "display_formats": "SELECT p_partkey, format('{:,}',p_partkey) AS whole, printf('%.1f',p_retailprice) AS tenths, printf('%.1f%%',p_size/50*100) AS share, printf('%+.1f',p_size-25.0) AS signed, CASE WHEN abs(p_size-25)<0.5 THEN 'sw s-zero' ELSE 'sw s-'||CASE WHEN p_size>25 THEN 'pos' ELSE 'neg' END||'-'||CASE WHEN abs(p_size-25)>=5 THEN '4' WHEN abs(p_size-25)>=3 THEN '3' WHEN abs(p_size-25)>=1.5 THEN '2' ELSE '1' END END AS heat, replace(replace(replace(p_name||'<&>','&','&amp;'),'<','&lt;'),'>','&gt;') AS escaped FROM part",
 }
 _PARTS["ids"] = "SELECT game_id, season, CAST(game_id[8:8] AS INT) AS r, CAST(game_id[10:10] AS INT) AS n FROM games WHERE season_type='Playoffs' AND era='nba'"
-_PARTS["nd"] = r"SELECT k, array_to_string(list_filter(string_split(k,'-'), lambda t: length(t)>1),'-') AS p FROM (SELECT DISTINCT lower(replace(replace(s_name,'#','-'),'000','-x-')) AS k FROM supplier WHERE s_suppkey<=60)"
+_PARTS["nd"] = r"SELECT k, array_to_string(list_filter(string_split(k,'-'), lambda t: length(t)>1),'-') AS p FROM (SELECT DISTINCT lower(replace(replace(s_name,'#','-'),'000','-x-')) AS k FROM supplier)"
 _COUNT = lambda name, value, where="": f"(SELECT '{name}' AS board, ref_key, CAST({value} AS DOUBLE) AS value, CAST(NULL AS BIGINT) AS n FROM careers LEFT JOIN (SELECT ref_key, total AS games_current FROM seasons WHERE season='2000-01') USING (ref_key) {where} ORDER BY {value} DESC, ref_key LIMIT 25)"
 _PARTS["boards"] = " UNION ALL ".join(
     [_COUNT("most_career_games", "games_total"), _COUNT("most_playoff_games", "games_po"), _COUNT("most_finals_games", "finals_games"), _COUNT("most_game7s", "game7s"), _COUNT("most_career_games_active", "games_total", "WHERE active"), _COUNT("most_games_current_season", "coalesce(games_current,0)", "WHERE active")]
