@@ -23,6 +23,7 @@ gives no rows. Columns of a caller may have any names but those beginning with _
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -70,9 +71,26 @@ def buckets(joined: bytes) -> np.ndarray:
     return (g * np.uint32(2654435761)) >> np.uint32(32 - BUCKETS_LOG2)
 
 
-def word_buckets(text: str) -> np.ndarray:
-    """The bucket of each word, whatever its case and the signs around it."""
-    return (common.mixed(common.spoken(text)) >> np.uint64(64 - WORDS_LOG2)).astype(np.int64)
+#: Bytes as words are told apart: A-Z in lower case, ASCII signs and white space as spaces.
+_PLAIN = bytes(32 if chr(b) in string.punctuation + string.whitespace else b for b in range(256)).lower()
+#: Powers of an odd number modulo 2 ** 64, for a byte's place in its word; far bytes share the last.
+_POWERS = np.multiply.accumulate(np.full(256, 0x9E3779B97F4A7C15, np.uint64))
+
+
+def word_buckets(joined: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(where each word starts, its bucket), whatever its case and the signs around it."""
+    b = np.frombuffer(joined.translate(_PLAIN), np.uint8)
+    inside = b != 32
+    start = inside.copy()
+    start[1:] &= ~inside[:-1]
+    at = np.flatnonzero(start)
+    if not len(at):
+        return at, at
+    edges = np.concatenate(([0], at, [len(b)])).astype(np.int32)
+    place = np.arange(len(b), dtype=np.int32) - np.repeat(edges[:-1], np.diff(edges))
+    values = _POWERS[np.minimum(place, 255)] * b
+    values[~inside] = 0
+    return at, (common.mixed(np.add.reduceat(values, at)) >> np.uint64(64 - WORDS_LOG2)).astype(np.int64)
 
 
 def sampled_labels(labels: DataFrame, limit: int = LABELLED) -> DataFrame:
@@ -106,8 +124,7 @@ def model_counts(rows: DataFrame) -> dict[int, np.ndarray]:
                     for k in (1, 2, 3):  # runs that begin in one text and end in the next
                         inside[edges[1:-1] - k] = False
                     sums[model, :size] += np.bincount(found[inside], minlength=size)
-                if own:
-                    sums[model, size:] += np.bincount(np.concatenate([word_buckets(t) for t in own]), minlength=more)
+                    sums[model, size:] += np.bincount(word_buckets(joined)[1], minlength=more)
         for model in (0, 1):
             if sums[model].any():
                 cut = sums[model].reshape(_PARTS, -1)
@@ -155,18 +172,19 @@ def scored(rows: DataFrame, model: Resampler, keep: list[str]) -> DataFrame:
         ratio, words = shared.value
         for table in common.sliced(batches):
             texts = table.column(_TEXT).to_pylist()
-            n, sums = np.zeros(len(texts), np.int64), np.zeros(len(texts))
+            n, sums, lapses = np.zeros(len(texts), np.int64), np.zeros(len(texts)), np.zeros(len(texts))
             for at, joined, edges in common.text_slices(" \n " + t if t else "    " for t in texts):
                 w = ratio[buckets(joined)]
                 for k in (1, 2, 3):
                     w[edges[1:-1] - k] = 0
                 sums[at] = np.add.reduceat(w, edges[:-1], dtype=np.float64)
                 n[at] = np.diff(edges) - 3
+                starts, found = word_buckets(joined)
+                lapses[at] = np.bincount(np.searchsorted(edges, starts, "right") - 1, words[found], len(at))
             none = np.array([not t for t in texts], bool)
             n[none] = 0
-            lapse = [float(words[word_buckets(t)].sum()) if t else None for t in texts]
-            mean = pa.array(sums / np.maximum(n, 1), mask=none)
-            yield pa.RecordBatch.from_arrays([*table.drop_columns([_TEXT]).columns, pa.array(n), mean, pa.array(lapse, pa.float64())], names=[*keep, _GRAMS, _SCORE, _LAPSE])
+            added = [pa.array(n), pa.array(sums / np.maximum(n, 1), mask=none), pa.array(lapses, mask=none)]
+            yield pa.RecordBatch.from_arrays([*table.drop_columns([_TEXT]).columns, *added], names=[*keep, _GRAMS, _SCORE, _LAPSE])
 
     return own.mapInArrow(score, out)
 
