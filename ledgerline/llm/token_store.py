@@ -87,6 +87,35 @@ def unpack(packed: bytes, bits: int, start: int, stop: int) -> np.ndarray:
 _RUN_OF_SIGNS = re.compile(r"\x00[.,](?<=[\W_]\x00.)")
 
 
+class Pieces:
+    """Pieces of texts and their ids: those of piece k are the size[k] ids of flat from start[k]."""
+
+    def __init__(self, texts: list[str] | pa.Array = (), flat: np.ndarray | None = None, size: np.ndarray | None = None):
+        self.texts = pa.array(texts, pa.string()) if isinstance(texts, (list, tuple)) else texts
+        self.flat = np.zeros(0, "<u4") if flat is None else flat
+        self.size = np.zeros(0, np.int64) if size is None else size
+        self.start = np.cumsum(self.size) - self.size
+
+    def __len__(self) -> int:
+        return len(self.size)
+
+    def find(self, texts: pa.Array) -> np.ndarray:
+        """The number of each text, -1 for those that aren't here."""
+        return pc.fill_null(pc.index_in(texts, value_set=self.texts), -1).to_numpy(zero_copy_only=False)
+
+    def take(self, k: np.ndarray) -> Pieces:
+        return Pieces(self.texts.take(pa.array(k)), spread(self.flat, self.start[k], self.size[k]), self.size[k])
+
+    def plus(self, other: Pieces) -> Pieces:
+        return Pieces(pa.concat_arrays([self.texts, other.texts]), np.concatenate((self.flat, other.flat)), np.concatenate((self.size, other.size)))
+
+
+def spread(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches of flat that begin at start, one after the other."""
+    ends = np.cumsum(size)
+    return flat[np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 class Encoder:
     """The ids of texts, as the tokenizer file gives them, in little-endian 32 bits.
 
@@ -116,8 +145,7 @@ class Encoder:
             self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
             space = self.tokenizer.id_to_token(self.tokenizer.encode(" ", add_special_tokens=False).ids[0])
             self.spaced = np.array([str(self.tokenizer.id_to_token(k)).startswith(space) for k in range(self.size)])
-        self.recent: dict[str, bytes] = {}
-        self.known = {"": b"", "\n": np.array(line, "<u4").tobytes()}
+        self.recent, self.known = Pieces(), Pieces(["", "\n"], np.array(line, "<u4"), np.array([0, len(line)]))
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, "<u4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -134,49 +162,55 @@ class Encoder:
         finer = marked.replace(".\x00", "\x00.\x00").replace(",\x00", "\x00,\x00")
         return (marked if _RUN_OF_SIGNS.search(finer) else finer)[:-1]
 
-    def learned(self, pieces: list[str]) -> dict[str, bytes]:
-        """The ids of different pieces. A run of letters stays whole in the pre-tokenizer, so
-        such pieces do without its regular expression, which takes most of the time; those with
-        a space before them are told apart by their first ids, which have it."""
+    def learned(self, pieces: list[str]) -> Pieces:
+        """The ids of different pieces, in another order. A run of letters stays whole in the
+        pre-tokenizer, so such pieces do without its regular expression, which takes most of the
+        time; those with a space before them are told apart by their first ids, which have it. The
+        rest are encoded as the lines of one text."""
         letters = [p for p in pieces if p[0] == " " and p[1:].isalpha()]
-        found = self.lines([p for p in pieces if not (p[0] == " " and p[1:].isalpha())])
+        rest = [p for p in pieces if not (p[0] == " " and p[1:].isalpha())]
+        flat, size = [], []
         for k in range(0, len(letters), 1024):
             own = letters[k : k + 1024]
             ids = np.array(self.letters.encode_batch_fast([own], is_pretokenized=True, add_special_tokens=False)[0].ids, "<u4")
-            at = (np.flatnonzero(self.spaced[ids]) * 4).tolist()
+            at = np.flatnonzero(self.spaced[ids])
             if len(at) != len(own):
                 raise ValueError("the tokenizer joins pieces")
-            joined = ids.tobytes()
-            found.update((p, joined[i:j]) for p, i, j in zip(own, at, [*at[1:], len(joined)], strict=True))
-        return found
-
-    def lines(self, pieces: list[str]) -> dict[str, bytes]:
-        """The ids of different pieces, encoded as the lines of one text."""
-        found: dict[str, bytes] = {}
-        for k in range(0, len(pieces), 4096):
-            own = pieces[k : k + 4096]
+            flat.append(ids)
+            size.append(np.diff(np.append(at, len(ids))))
+        for k in range(0, len(rest), 4096):
+            own = rest[k : k + 4096]
             ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(own)], add_special_tokens=False)[0].ids, "<u4")
-            at = (np.flatnonzero(ids == self.line) * 4).tolist()
+            at = np.flatnonzero(ids == self.line)
             if len(at) != len(own) - 1:
                 raise ValueError("the tokenizer joins lines")
-            joined = ids.tobytes()
-            found.update((p, joined[a + 4 : b]) for p, a, b in zip(own, [-4, *at], [*at, len(joined)], strict=True))
-        return found
-
-    def of_pieces(self, pieces: list[str]) -> list[bytes]:
-        """The ids of different pieces, remembered or learned now."""
-        known, recent = self.known, self.recent
-        found = list(map(known.get, pieces))
-        missing = [p for p, x in zip(pieces, found, strict=True) if x is None]
-        again = {p: recent[p] for p in missing if p in recent}
-        new = self.learned([p for p in missing if p not in again])
-        if len(known) < PIECE_CACHE:
-            known |= again
-        if len(recent) >= RECENT_CACHE:
-            recent.clear()
-        recent |= {p: x for p, x in new.items() if len(p) < 32}
-        fresh = again | new
-        return [fresh[p] if x is None else x for p, x in zip(pieces, found, strict=True)]
+            flat.append(ids[ids != self.line])
+            size.append(np.diff(np.concatenate(([-1], at, [len(ids)]))) - 1)
+        return Pieces(letters + rest, np.concatenate(flat), np.concatenate(size)) if flat else Pieces()
+
+    def of_pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, where in them each of the different pieces begins, how many it has), remembered or
+        learned now."""
+        start, size = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        left, before, flat, again = np.arange(len(pieces)), 0, [], np.zeros(0, np.int64)
+        new = None
+        for held in (self.known, self.recent, None):
+            if held is None:
+                held = new = self.learned(pieces.to_pylist())
+            k = held.find(pieces)
+            hit = k >= 0
+            start[left[hit]], size[left[hit]] = before + held.start[k[hit]], held.size[k[hit]]
+            again = k[hit] if held is self.recent else again
+            flat.append(held.flat)
+            before += len(held.flat)
+            left, pieces = left[~hit], pieces.filter(pa.array(~hit))
+        if len(again) and len(self.known) < PIECE_CACHE:
+            self.known = self.known.plus(self.recent.take(again))
+        if len(self.recent) >= RECENT_CACHE:
+            self.recent = Pieces()
+        if len(new):
+            self.recent = self.recent.plus(new.take(np.flatnonzero(pc.utf8_length(new.texts).to_numpy() < 32)))
+        return np.concatenate(flat), start, size
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text. Arrow cuts the texts and numbers the different pieces; numpy
@@ -187,16 +221,12 @@ class Encoder:
         if plain:
             lists = pc.split_pattern(pa.array([marked[k] for k in plain]), "\x00")
             coded = pc.dictionary_encode(lists.values)
-            ids = self.of_pieces(coded.dictionary.to_pylist())
-            each = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-            flat, start = np.frombuffer(b"".join(ids), "<u4"), np.concatenate(([0], np.cumsum(each)[:-1]))
+            flat, start, size = self.of_pieces(coded.dictionary)
             codes = coded.indices.to_numpy()
-            n = each[codes]
-            ends = np.cumsum(n)
-            whole = flat[np.repeat(start[codes] - ends + n, n) + np.arange(ends[-1])]
-            edges = np.concatenate(([0], ends))[lists.offsets.to_numpy()].tolist()
+            whole = spread(flat, start[codes], size[codes]).tobytes()
+            edges = (np.concatenate(([0], np.cumsum(size[codes])))[lists.offsets.to_numpy()] * 4).tolist()
             for k, i, j in zip(plain, edges, edges[1:], strict=False):
-                out[k] = whole[i:j].tobytes()
+                out[k] = whole[i:j]
         odd = [k for k, m in enumerate(marked) if m is None and texts[k]]
         for k, ids in zip(odd, self.whole([texts[k] for k in odd]), strict=True):
             out[k] = ids.tobytes()
