@@ -90,7 +90,10 @@ def words_of(column: str) -> Column:
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words_of("text").alias("size"))
+    """doc_id, source and size of each document, and key: a hash of its text, so that rows that
+    repeat a doc_id, or have none, are dealt out like others."""
+    doc_id, source = F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source")
+    return docs.select(doc_id, source, words_of("text").alias("size"), F.xxhash64("text").alias("key"))
 
 
 def plan_rows(spark: SparkSession, found: list[Share]) -> DataFrame:
@@ -132,12 +135,12 @@ def pieces(rows: DataFrame, plan: DataFrame, n_rows: int) -> DataFrame:
     """The documents cut at the blocks' edges: number, block, at (where in the block), words,
     and offset, the document's first word in its source, which names the row, doc_id and size."""
     groups = max(1, n_rows // GROUP)
-    h = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(1)), F.lit(_HASH))
+    h = F.pmod(F.xxhash64(F.col("doc_id"), F.col("key"), F.lit(1)), F.lit(_HASH))
     own = rows.where("size > 0").join(plan.select("number", "source", "source_size", "blocks"), rows["source"].eqNullSafe(plan["source"])).drop(plan["source"])
     own = own.withColumn("h", h).withColumn("g", F.floor(F.col("h") / F.lit(_HASH) * groups))
     sums = own.groupBy("number", "g").agg(F.sum("size").alias("n"))
     sums = sums.withColumn("before", F.sum("n").over(Window.partitionBy("number").orderBy("g")) - F.col("n")).drop("n")
-    inside = F.sum("size").over(Window.partitionBy("number", "g").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
+    inside = F.sum("size").over(Window.partitionBy("number", "g").orderBy("h", "doc_id", "key", "size").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
     placed = own.withColumn("inside", inside).join(sums, ["number", "g"]).withColumn("offset", F.col("before") + F.col("inside"))
     edge = F.expr("(source_size % blocks) * (source_size div blocks + 1)")
     block_of = lambda w: F.when(w < edge, F.floor(w / F.expr("source_size div blocks + 1"))).otherwise(F.expr("source_size % blocks") + F.floor((w - edge) / F.expr("source_size div blocks")))
@@ -148,7 +151,7 @@ def pieces(rows: DataFrame, plan: DataFrame, n_rows: int) -> DataFrame:
 
 @dataclass
 class Mix:
-    rows: DataFrame  # doc_id, source, size of every document
+    rows: DataFrame  # doc_id, source, size, key of every document
     plan: DataFrame
     taken: DataFrame  # slot, number, doc_id, size, offset, first_word, words: the mix in order of slot
 

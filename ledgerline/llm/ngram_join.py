@@ -58,6 +58,8 @@ BROADCAST_ROWS = 200_000
 SMALL_TILE = 64
 #: Classes of a tile that meet in one task, about.
 TILE_ROWS = 1024
+#: Groups with so great a part of all rows are joined where their rows are.
+HOT_GROUP = 1024
 #: Elements that a task holds before it sends them on.
 HELD = 1 << 19
 _HOT = np.int64(1) << 40
@@ -464,8 +466,8 @@ def labelled_rows(docs: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     spark = docs.sparkSession
     buckets = 4 * common.shuffle_parts(spark)
     sets = common.saved(sets_of(docs, keys), "sets")
-    rows = sets.where("n >= 0").select("doc_id", *keys, "n", "class")
-    classes = common.saved(rows.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")), "classes")
+    rows = sets.where("n >= 0").select("doc_id", *keys, "n", F.expr("if(n > 0, class, null)").alias("class"))
+    classes = common.saved(rows.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.count("*").alias("rows")), "classes")
     hits = counted(region_elements(docs, hot_elements(sets), buckets), buckets)
     every = common.saved(tiles(hits.unionByName(sizes_packed(classes, buckets)), buckets), "tiles")
     shared = every.groupBy("tile").agg(F.count("*").alias("k"), F.count_if("native").alias("h")).where("k > 1 and h > 0").select("tile")
@@ -484,17 +486,29 @@ def labelled_rows(docs: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
         steps += [pairs, more]
         links = more if links is None else links.unionByName(more)
     named = components(links).select(F.col("vertex").alias("class"), "component")
-    found = common.saved(rows.join(named, "class", "left").select("doc_id", *keys, "n", F.coalesce("component", "class").alias("component")), "joined")
-    common.forget(sets, classes, tile_rows, reps, own_sets, *steps)
+    groups = common.saved(classes.join(named, "class", "left").select("class", "rows", F.coalesce("component", "class").alias("component")), "groups")
+    found = common.saved(with_group(rows, groups, "component", "class").select("doc_id", *keys, "n", "component"), "joined")
+    common.forget(sets, classes, tile_rows, reps, own_sets, groups, *steps)
     return found
 
 
+def with_group(rows: DataFrame, groups: DataFrame, value: str, key: str = "component") -> DataFrame:
+    """rows with the value of their group; null for rows in none. groups: key, rows (its size) and
+    value. A group with a HOT_GROUP-th of all rows would be one task's: of these there are at
+    most HOT_GROUP, which are sent to where their rows are. Rows in no group aren't moved either."""
+    hot = F.broadcast(groups.where(F.col("rows") * HOT_GROUP >= rows.count()).select(key, value))
+    own = rows.where(F.col(key).isNotNull())
+    cold = own.join(hot.select(key), key, "left_anti").join(groups.select(key, value), key, "left")
+    alone = rows.where(F.col(key).isNull()).withColumn(value, F.lit(None).cast(groups.schema[value].dataType))
+    return own.join(hot, key).unionByName(cold).unionByName(alone)
+
+
 def joined(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every document. docs: doc_id, text."""
     rows = labelled_rows(docs)
-    least = rows.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    out = rows.join(least, "component", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    groups = rows.where("component is not null").groupBy("component").agg(F.count("*").alias("rows"), F.min("doc_id").alias("least"))
+    out = with_group(rows, common.saved(groups, "groups"), "least")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -511,8 +525,8 @@ def without_copies(docs: DataFrame) -> DataFrame:
     own = docs.withColumn(_KEYS[0], F.xxhash64("text")).withColumn(_KEYS[1], F.xxhash64(F.lit(7), F.col("text")))
     rows = labelled_rows(own, _KEYS).where("n > 0")
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), *(F.col(k) for k in _KEYS))
-    groups = rows.groupBy("component").agg(F.min(order).alias("stays"), F.count("*").alias("rows")).where("rows > 1").select("component", "stays")
-    both = rows.join(groups, "component").withColumn("goes", order != F.col("stays"))
+    groups = common.saved(rows.groupBy("component").agg(F.min(order).alias("stays"), F.count("*").alias("rows")).where("rows > 1"), "groups")
+    both = with_group(rows, groups, "stays").where(F.col("stays").isNotNull()).withColumn("goes", order != F.col("stays"))
     names = {"doc_id": "__ledgerline_doc", _KEYS[0]: "__ledgerline_k", _KEYS[1]: "__ledgerline_l"}
     by_name = lambda df: df.select(*(F.col(a).alias(b) for a, b in names.items())).distinct()
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__ledgerline_doc"))
