@@ -13,7 +13,8 @@ def plain(name: str, signs: bool = False) -> str:
     return re.sub(r"[^a-z0-9]", "", str(name).lower())
 
 
-def find_column(columns: Iterable[str], patterns: Iterable[str], exclude: Iterable[str] = (), exact_only: Iterable[str] = (), signs: bool = False) -> str | None:
+def find_column(columns: Iterable[str], patterns: Iterable[str], exclude: Iterable[str] = (), exact_only: Iterable[str] = (),
+        signs: bool = False) -> str | None:
     """The first column that equals a pattern, else the first that contains one. Columns that
     contain an excluded word never count; exact_only patterns aren't looked for inside names."""
     names = {c: plain(c, signs) for c in columns}

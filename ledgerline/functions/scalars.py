@@ -64,7 +64,8 @@ def id_season_type(game_id: Column | str, part: int = 1) -> Column:
 def season_normal(season: Column | str, fallback: Column | None = None) -> Column:
     """'2023' and '22023' -> '2023-24'; a blank gives the fallback."""
     s = F.nullif(F.trim(col(season)), F.lit(""))
-    out = F.when(s.rlike("^[0-9]{4}$"), season_label(s.try_cast("int"))).when(s.rlike("^[2-5][0-9]{4}$"), season_label(F.substring(s, 2, 4).try_cast("int"))).otherwise(s)
+    out = F.when(s.rlike("^[0-9]{4}$"), season_label(s.try_cast("int"))).when(s.rlike("^[2-5][0-9]{4}$"),
+        season_label(F.substring(s, 2, 4).try_cast("int"))).otherwise(s)
     return out if fallback is None else F.coalesce(out, fallback)
 
 
@@ -119,7 +120,8 @@ def without_accents(name: Column | str) -> Column:
     marked, plain, several = _folds()
     one = F.translate(n, marked, plain)
     table = F.from_json(F.lit(several), "map<string,string>")
-    rest = F.transform(F.regexp_extract_all(one, F.lit("(?s)(.)"), F.lit(1)), lambda c: F.when(c.rlike("^[\\x00-\\x7F]$"), c).otherwise(F.coalesce(F.try_element_at(table, c), F.lit(""))))
+    rest = F.transform(F.regexp_extract_all(one, F.lit("(?s)(.)"), F.lit(1)),
+        lambda c: F.when(c.rlike("^[\\x00-\\x7F]$"), c).otherwise(F.coalesce(F.try_element_at(table, c), F.lit(""))))
     foreign = "[^\\x00-\\x7F]"
     return F.when(~n.rlike(foreign), n).when(~one.rlike(foreign), one).otherwise(F.array_join(rest, ""))
 
@@ -193,7 +195,8 @@ def heat(x: Column | str) -> Column:
     """The display class of a signed number: 0.5, 1.5, 3 and 5 part the levels."""
     v = col(x)
     level = F.when(F.abs(v) >= 5, 4).when(F.abs(v) >= 3, 3).when(F.abs(v) >= 1.5, 2).when(F.abs(v) >= 0.5, 1).otherwise(0)
-    return F.when(v.isNull() | (level == 0), "sw s-zero").otherwise(F.concat(F.lit("sw s-"), F.when(v > 0, "pos").otherwise("neg"), F.lit("-"), level.cast("string")))
+    return F.when(v.isNull() | (level == 0),
+        "sw s-zero").otherwise(F.concat(F.lit("sw s-"), F.when(v > 0, "pos").otherwise("neg"), F.lit("-"), level.cast("string")))
 
 
 # dates and display ---------------------------------------------------------------

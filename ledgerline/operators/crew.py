@@ -38,7 +38,8 @@ def crew_arrays(crew: DataFrame) -> DataFrame:
 def pair_counts(crew: DataFrame) -> DataFrame:
     """ref_key, partner, games, for every pair in both directions."""
     own = crew.select("game_id", "ref_key").distinct()
-    pairs = own.join(own.withColumnRenamed("ref_key", "partner"), "game_id").where("ref_key < partner").groupBy("ref_key", "partner").agg(F.count("*").alias("games"))
+    pairs = own.join(own.withColumnRenamed("ref_key", "partner"), "game_id").where("ref_key < partner").groupBy("ref_key",
+        "partner").agg(F.count("*").alias("games"))
     return pairs.unionByName(pairs.select(F.col("partner").alias("ref_key"), F.col("ref_key").alias("partner"), "games"))
 
 
@@ -47,4 +48,5 @@ def partners(crew: DataFrame, names: DataFrame, top: int = 5) -> DataFrame:
     after the cut, so there may be fewer. names: ref_key, display."""
     named = pair_counts(crew).join(names.select(F.col("ref_key").alias("partner"), F.col("display").alias("partner_name")), "partner", "left")
     order = Window.partitionBy("ref_key").orderBy(F.desc("games"), F.coalesce("partner_name", "partner"), "partner")
-    return named.withColumn("rank", F.row_number().over(order)).where((F.col("rank") <= top) & F.col("partner_name").isNotNull()).select("ref_key", "partner", "partner_name", "games", "rank")
+    return named.withColumn("rank", F.row_number().over(order)).where((F.col("rank") <= top)
+        & F.col("partner_name").isNotNull()).select("ref_key", "partner", "partner_name", "games", "rank")

@@ -18,7 +18,8 @@ def with_overrides(df: DataFrame, overrides: DataFrame, name: str, ident: str, k
     side = lambda n: one.select(F.col("probe").alias(f"_p{n}"), F.col("to_key").alias(f"_k{n}"), F.col("to_display").alias(f"_d{n}"))
     both = df.join(side(1), probe(name) == F.col("_p1"), "left").join(side(2), probe(ident) == F.col("_p2"), "left")
     shown = F.when(F.col("_p1").isNotNull(), F.col("_d1")).otherwise(F.col("_d2"))
-    return both.withColumn(key, F.coalesce("_k1", "_k2", key)).withColumn("override_display", F.nullif(shown, F.lit(""))).drop("_p1", "_k1", "_d1", "_p2", "_k2", "_d2")
+    return both.withColumn(key, F.coalesce("_k1", "_k2", key)).withColumn("override_display", F.nullif(shown, F.lit(""))).drop("_p1", "_k1",
+        "_d1", "_p2", "_k2", "_d2")
 
 
 def display_names(rows: DataFrame, key: str, name: str) -> DataFrame:
@@ -45,7 +46,9 @@ def near_duplicates(keys: DataFrame, key: str = "ref_key") -> DataFrame:
     pairs meet on a third and where it stands, give or take two places, and not all with all."""
     own = keys.select(F.col(key).alias("k")).distinct()
     plain = own.withColumn("p", X.without_initials("k")).where("p <> ''")
-    same = plain.alias("x").join(plain.alias("y"), (F.col("x.p") == F.col("y.p")) & (F.col("x.k") < F.col("y.k"))).select(F.col("x.k").alias("a"), F.col("y.k").alias("b"), F.lit("same-after-dropping-initials").alias("reason"))
+    same = plain.alias("x").join(plain.alias("y"),
+        (F.col("x.p") == F.col("y.p")) & (F.col("x.k") < F.col("y.k"))).select(F.col("x.k").alias("a"), F.col("y.k").alias("b"),
+        F.lit("same-after-dropping-initials").alias("reason"))
     # pieces of a key of n characters, as another key (n - 2 to n + 2 long) would be cut into three
     n = F.length("k")
     cuts = F.expr(
@@ -53,7 +56,9 @@ def near_duplicates(keys: DataFrame, key: str = "ref_key") -> DataFrame:
     )
     whole = own.where(n >= 1).select("k", F.explode(cuts).alias("c")).select("k", "c.*")
     short = whole.where("m = length(k)").select(F.col("k").alias("a"), "m", "i", F.expr("substring(k, s + 1, w)").alias("t"))
-    moved = whole.select(F.col("k").alias("b"), "m", "i", F.explode(F.sequence(F.greatest(F.col("s") - 2, F.lit(0)), F.col("s") + 2)).alias("at"), "w").select("b", "m", "i", F.expr("substring(b, at + 1, w)").alias("t")).distinct()
+    moved = whole.select(F.col("k").alias("b"), "m", "i",
+        F.explode(F.sequence(F.greatest(F.col("s") - 2, F.lit(0)), F.col("s") + 2)).alias("at"), "w").select("b", "m", "i",
+        F.expr("substring(b, at + 1, w)").alias("t")).distinct()
     met = short.join(moved, ["m", "i", "t"]).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     near = met.where(F.levenshtein("a", "b", 2) >= 0).select("a", "b", F.lit("edit-distance<=2").alias("reason"))
     both = same.unionByName(near)
@@ -78,7 +83,8 @@ def adjacent(segs: DataFrame) -> DataFrame:
     own = segs.select("name_key", "seg_id", "era", "smin", "smax")
     x, y = own.alias("x"), own.alias("y")
     meet = F.when(F.col("x.smin") <= F.col("y.smin"), F.col("y.smin") <= F.col("x.smax") + 2).otherwise(F.col("x.smin") <= F.col("y.smax") + 2)
-    return x.join(y, (F.col("x.name_key") == F.col("y.name_key")) & (F.col("x.seg_id") < F.col("y.seg_id")) & (F.col("x.era") != F.col("y.era")) & meet).select(F.col("x.seg_id").alias("a"), F.col("y.seg_id").alias("b"))
+    return x.join(y, (F.col("x.name_key") == F.col("y.name_key")) & (F.col("x.seg_id") < F.col("y.seg_id"))
+        & (F.col("x.era") != F.col("y.era")) & meet).select(F.col("x.seg_id").alias("a"), F.col("y.seg_id").alias("b"))
 
 
 def swept(rows: list[tuple]) -> dict[str, str]:
@@ -138,7 +144,8 @@ def entities(segs: DataFrame) -> DataFrame:
         F.array_sort(F.collect_set("era")).alias("eras"), flat("seasons").alias("seasons"), flat("teams").alias("teams"), F.min("smin").alias("smin"),
     )
     n = F.row_number().over(Window.partitionBy("key").orderBy("smin", "display", "component"))
-    return per.withColumn("_n", n).withColumn("slug", F.when(F.col("_n") == 1, F.col("key")).otherwise(F.concat_ws("-", "key", F.col("_n").cast("string")))).drop("_n")
+    return per.withColumn("_n", n).withColumn("slug",
+        F.when(F.col("_n") == 1, F.col("key")).otherwise(F.concat_ws("-", "key", F.col("_n").cast("string")))).drop("_n")
 
 
 def merge_audit(segs: DataFrame, ents: DataFrame) -> DataFrame:

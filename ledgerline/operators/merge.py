@@ -31,7 +31,8 @@ def upsert(stored: DataFrame, incoming: DataFrame, game: str, keys: list[str], *
     """Stored rows of games that come in are all replaced, even by fewer; of rows with one key
     the last stays. order: columns that say which is later."""
     old = stored.join(incoming.select(game).distinct(), game, "left_anti").withColumn("_late", F.lit(0))
-    return _one(old.unionByName(incoming.withColumn("_late", F.lit(1)), allowMissingColumns=True), keys, [F.desc("_late"), *[F.desc(c) for c in order]]).drop("_late")
+    return _one(old.unionByName(incoming.withColumn("_late", F.lit(1)), allowMissingColumns=True), keys,
+        [F.desc("_late"), *[F.desc(c) for c in order]]).drop("_late")
 
 
 def appended(stored: DataFrame, incoming: DataFrame, keys: list[str], *order: str, first: bool = True) -> DataFrame:

@@ -20,7 +20,8 @@ def id_verdict(games: DataFrame) -> DataFrame:
     """One row, ok: rounds 1 to 4 and games 1 to 7 throughout, and 4 to 7 last-round games in
     each season that has any, of which there is one at least."""
     po = games.where((F.col("season_type") == "Playoffs") & (F.col("era") == "nba")).select("season", id_round().alias("r"), id_game().alias("g"))
-    finals = po.where("r = 4").groupBy("season").agg(F.count("*").alias("n")).agg(F.count("*").alias("seasons"), F.count_if(~F.col("n").between(4, 7)).alias("odd"))
+    finals = po.where("r = 4").groupBy("season").agg(F.count("*").alias("n")).agg(F.count("*").alias("seasons"),
+        F.count_if(~F.col("n").between(4, 7)).alias("odd"))
     bad = po.agg(F.count_if(~F.coalesce(F.col("r").between(1, 4) & F.col("g").between(1, 7), F.lit(False))).alias("bad"))
     return bad.crossJoin(finals).select((F.col("bad").eqNullSafe(0) & (F.col("seasons") > 0) & F.col("odd").eqNullSafe(0)).alias("ok"))
 
@@ -28,7 +29,8 @@ def id_verdict(games: DataFrame) -> DataFrame:
 def label_from_ids(games: DataFrame) -> DataFrame:
     """games with po_round and po_game_num, all or none: null unless the whole table passes."""
     own = (F.col("season_type") == "Playoffs") & (F.col("era") == "nba") & F.col("ok")
-    return games.crossJoin(F.broadcast(id_verdict(games))).withColumn("po_round", F.when(own, id_round())).withColumn("po_game_num", F.when(own, id_game())).drop("ok")
+    return games.crossJoin(F.broadcast(id_verdict(games))).withColumn("po_round", F.when(own, id_round())).withColumn("po_game_num",
+        F.when(own, id_game())).drop("ok")
 
 
 def winner() -> Column:
@@ -71,7 +73,8 @@ def series_audit(games: DataFrame) -> DataFrame:
     """Each series: season, series, round, agreed, games, top_wins, first_date, last_date, flag."""
     po = playoff_games(games).withColumn("w", winner())
     wins = po.groupBy("season", "series", "w").agg(F.count("*").alias("n"), F.min("game_date").alias("a"), F.max("game_date").alias("b"))
-    per = wins.groupBy("season", "series").agg(F.sum("n").alias("games"), F.max("n").alias("top_wins"), F.min("a").alias("first_date"), F.max("b").alias("last_date"))
+    per = wins.groupBy("season", "series").agg(F.sum("n").alias("games"), F.max("n").alias("top_wins"), F.min("a").alias("first_date"),
+        F.max("b").alias("last_date"))
     year = X.season_start("season")
     flag = F.when(F.col("top_wins") < clinch("round", year), "INCOMPLETE").when(F.col("games") > longest("round", year), "OVER-LONG").otherwise("OK")
     return per.join(series_rounds(po), ["season", "series"]).withColumn("flag", flag)
@@ -102,7 +105,8 @@ def preferred_labels(derived: DataFrame, notes: DataFrame) -> DataFrame:
     told = notes.select("game_id", note_round("note").alias("r"), note_game("note").alias("g")).where("r is not null and g is not null")
     both = derived.join(told, "game_id", "left")
     noted = F.col("r").isNotNull()
-    return both.select("game_id", F.coalesce("r", "round").alias("round"), F.coalesce("g", "game_num").alias("game_num"), F.when(noted, "gamenote").otherwise("derived").alias("source"))
+    return both.select("game_id", F.coalesce("r", "round").alias("round"), F.coalesce("g", "game_num").alias("game_num"),
+        F.when(noted, "gamenote").otherwise("derived").alias("source"))
 
 
 def label_agreement(derived: DataFrame, notes: DataFrame) -> DataFrame:
@@ -123,14 +127,16 @@ def probe_days(days: DataFrame, games: DataFrame) -> DataFrame:
     """day, probe: a day without any game is looked for one day before and after, too."""
     seen = games.select(F.to_date("game_date").alias("day")).distinct().withColumn("has", F.lit(True))
     both = days.join(seen, "day", "left")
-    return both.select("day", F.explode(F.when(F.col("has"), F.array("day")).otherwise(F.array("day", F.date_sub("day", 1), F.date_add("day", 1)))).alias("probe"))
+    return both.select("day", F.explode(F.when(F.col("has"),
+        F.array("day")).otherwise(F.array("day", F.date_sub("day", 1), F.date_add("day", 1)))).alias("probe"))
 
 
 def series_changes(before: DataFrame, after: DataFrame) -> DataFrame:
     """season, series, games_before, games_after of two audits."""
     x = before.select("season", "series", F.col("games").alias("games_before"))
     y = after.select("season", "series", F.col("games").alias("games_after"))
-    return x.join(y, ["season", "series"], "full").select("season", "series", F.coalesce("games_before", F.lit(0)).alias("games_before"), F.coalesce("games_after", F.lit(0)).alias("games_after"))
+    return x.join(y, ["season", "series"], "full").select("season", "series", F.coalesce("games_before", F.lit(0)).alias("games_before"),
+        F.coalesce("games_after", F.lit(0)).alias("games_after"))
 
 
 def notable_games(crew: DataFrame, games: DataFrame) -> DataFrame:

@@ -17,7 +17,9 @@ def with_measures(games: DataFrame) -> DataFrame:
 def sides(games: DataFrame) -> DataFrame:
     """Each game as a home row and an away row: game_id, season, team, opponent, is_home, won,
     margin. A game without a result is a loss for both; its margin adds nothing."""
-    side = lambda team, other, home, won, margin: F.struct(F.col(team).alias("team"), F.col(other).alias("opponent"), F.lit(home).alias("is_home"), F.coalesce(won, F.lit(False)).alias("won"), F.coalesce(margin, F.lit(0.0)).alias("margin"))
+    side = lambda team, other, home, won, margin: F.struct(F.col(team).alias("team"), F.col(other).alias("opponent"),
+        F.lit(home).alias("is_home"), F.coalesce(won, F.lit(False)).alias("won"),
+        F.coalesce(margin, F.lit(0.0)).alias("margin"))
     both = F.array(
         side("home_team_abbr", "away_team_abbr", True, F.col("home_win") == 1, F.col("home_pts") - F.col("away_pts")),
         side("away_team_abbr", "home_team_abbr", False, F.col("home_win") == 0, F.col("away_pts") - F.col("home_pts")),
@@ -32,7 +34,8 @@ def team_game_totals(logs: DataFrame) -> DataFrame:
 def game_totals(logs: DataFrame) -> DataFrame:
     """box_fta, box_pf, box_min, n_teams and is_ot of each game; its second grouping reuses
     what the first summed."""
-    per = team_game_totals(logs).groupBy("game_id").agg(*[F.sum(f"team_{c}").alias(f"box_{c}") for c in ("fta", "pf", "min")], F.countDistinct("team_abbr").alias("n_teams"))
+    per = team_game_totals(logs).groupBy("game_id").agg(*[F.sum(f"team_{c}").alias(f"box_{c}") for c in ("fta", "pf", "min")],
+        F.countDistinct("team_abbr").alias("n_teams"))
     return per.withColumn("is_ot", F.col("box_min") >= S.OVERTIME_MINUTES)
 
 
@@ -64,16 +67,20 @@ def team_records(crew: DataFrame, games: DataFrame) -> DataFrame:
     rows = crew.select("ref_key", "game_id").join(sides(games), "game_id")
     home = F.col("is_home")
     per = rows.groupBy("ref_key", F.col("team").alias("team_abbr")).agg(
-        F.count("*").alias("games"), F.count_if("won").alias("wins"), F.count_if(home).alias("home_games"), F.count_if(home & F.col("won")).alias("home_wins"), F.sum("margin").alias("margins"),
+        F.count("*").alias("games"), F.count_if("won").alias("wins"), F.count_if(home).alias("home_games"),
+        F.count_if(home & F.col("won")).alias("home_wins"), F.sum("margin").alias("margins"),
     )
     return per.select(
-        "ref_key", "team_abbr", "games", "wins", (F.col("games") - F.col("wins")).alias("losses"), X.round2(F.col("wins") / F.col("games")).alias("win_pct"), "home_games", "home_wins",
-        (F.col("games") - F.col("home_games")).alias("away_games"), (F.col("wins") - F.col("home_wins")).alias("away_wins"), X.round2(F.col("margins") / F.col("games")).alias("avg_margin_for_team"),
+        "ref_key", "team_abbr", "games", "wins", (F.col("games") - F.col("wins")).alias("losses"),
+        X.round2(F.col("wins") / F.col("games")).alias("win_pct"), "home_games", "home_wins",
+        (F.col("games") - F.col("home_games")).alias("away_games"), (F.col("wins") - F.col("home_wins")).alias("away_wins"),
+        X.round2(F.col("margins") / F.col("games")).alias("avg_margin_for_team"),
     )
 
 
 def team_totals(games: DataFrame) -> DataFrame:
-    return sides(games).groupBy(F.col("team").alias("team_abbr")).agg(F.countDistinct("game_id").alias("games_total"), F.min("season").alias("first_season"), F.max("season").alias("last_season"))
+    return sides(games).groupBy(F.col("team").alias("team_abbr")).agg(F.countDistinct("game_id").alias("games_total"),
+        F.min("season").alias("first_season"), F.max("season").alias("last_season"))
 
 
 def whistle_profiles(crew: DataFrame, games: DataFrame, totals: DataFrame) -> DataFrame:
@@ -84,11 +91,15 @@ def whistle_profiles(crew: DataFrame, games: DataFrame, totals: DataFrame) -> Da
     boxed = F.coalesce(F.col("n_teams") == 2, F.lit(False))
     in_box = lambda c: F.avg(F.when(boxed, c))
     per = rows.groupBy("ref_key", "kind").agg(
-        F.count("*").alias("n"), F.count_if(boxed).alias("n_boxscore"), X.round2(F.avg("total_pts")).alias("avg_total_points"), X.round2(in_box(F.col("box_fta"))).alias("avg_total_fta"),
-        X.round2(in_box(F.col("box_pf"))).alias("avg_total_pf"), X.round2(F.avg(F.coalesce(F.col("home_win") == 1, F.lit(False)).cast("int"))).alias("home_win_pct"),
-        X.round2(F.avg("abs_margin")).alias("avg_abs_margin"), F.sum(F.when(boxed, F.col("is_ot").cast("int"))).alias("ot_games"), X.round2(in_box(F.col("is_ot").cast("int"))).alias("ot_rate"),
+        F.count("*").alias("n"), F.count_if(boxed).alias("n_boxscore"), X.round2(F.avg("total_pts")).alias("avg_total_points"),
+        X.round2(in_box(F.col("box_fta"))).alias("avg_total_fta"),
+        X.round2(in_box(F.col("box_pf"))).alias("avg_total_pf"),
+        X.round2(F.avg(F.coalesce(F.col("home_win") == 1, F.lit(False)).cast("int"))).alias("home_win_pct"),
+        X.round2(F.avg("abs_margin")).alias("avg_abs_margin"), F.sum(F.when(boxed, F.col("is_ot").cast("int"))).alias("ot_games"),
+        X.round2(in_box(F.col("is_ot").cast("int"))).alias("ot_rate"),
     )
-    every = crew.join(games.select("game_id"), "game_id", "left_semi").select("ref_key").distinct().select("ref_key", F.explode(F.array(F.lit("RS"), F.lit("PO"))).alias("kind"))
+    every = crew.join(games.select("game_id"), "game_id", "left_semi").select("ref_key").distinct().select("ref_key",
+        F.explode(F.array(F.lit("RS"), F.lit("PO"))).alias("kind"))
     return every.join(per, ["ref_key", "kind"], "left").fillna(0, ["n", "n_boxscore"])
 
 
@@ -115,13 +126,15 @@ def swings(crew: DataFrame, logs: DataFrame, games: DataFrame, entity: DataFrame
     under = crew.select("ref_key", "game_id").join(rows, "game_id")
     cells = [x for c in S.STATS for x in (c, f"base_{c}")]
     # once by player id, and its sums again by player: the tripled rows are read and shuffled once
-    by_id = under.groupBy("ref_key", "slug", "player_id").agg(F.count("*").alias("k"), F.max("display").alias("name"), F.collect_set("season").alias("s"), *[F.sum(x).alias(x) for x in cells])
+    by_id = under.groupBy("ref_key", "slug", "player_id").agg(F.count("*").alias("k"), F.max("display").alias("name"),
+        F.collect_set("season").alias("s"), *[F.sum(x).alias(x) for x in cells])
     per = by_id.groupBy("ref_key", "slug").agg(
         F.max("name").alias("name"), F.sum("k").alias("n_games"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("s")))).alias("seasons"),
         F.min_by("player_id", F.struct(-F.col("k"), "player_id")).alias("player_id"), *[(F.sum(x) / F.sum("k")).alias(x) for x in cells],
     )
     out = per.where(F.col("n_games") >= least)
-    shown = [x for c in S.STATS for x in (X.round2(F.col(c)).alias(f"{c}_with_ref"), X.round2(F.col(f"base_{c}")).alias(f"{c}_baseline"), X.round2(F.col(c) - F.col(f"base_{c}")).alias(f"{c}_swing"))]
+    shown = [x for c in S.STATS for x in (X.round2(F.col(c)).alias(f"{c}_with_ref"), X.round2(F.col(f"base_{c}")).alias(f"{c}_baseline"),
+        X.round2(F.col(c) - F.col(f"base_{c}")).alias(f"{c}_swing"))]
     return out.select("ref_key", "slug", "name", "player_id", "n_games", *shown, "seasons")
 
 
@@ -132,12 +145,14 @@ def ranked(df: DataFrame, by: list[str], order: list, top: int) -> DataFrame:
 
 def referee_swings(swing: DataFrame, top: int = S.SWING_TOP) -> DataFrame:
     """The page's view of swings(): the largest by size."""
-    return ranked(swing, ["ref_key"], [F.desc(F.abs("pts_swing")), "slug"], top).select("ref_key", "slug", "n_games", "pts_with_ref", "pts_baseline", "pts_swing", "fta_swing", "pf_swing", "rank")
+    return ranked(swing, ["ref_key"], [F.desc(F.abs("pts_swing")), "slug"], top).select("ref_key", "slug", "n_games", "pts_with_ref",
+        "pts_baseline", "pts_swing", "fta_swing", "pf_swing", "rank")
 
 
 def player_splits(swing: DataFrame) -> DataFrame:
     """The player's view of the same rows."""
-    return swing.select("slug", "ref_key", "player_id", "n_games", *[f"{c}_{x}" for c in ("pts", "reb", "ast") for x in ("with_ref", "baseline", "swing")], "seasons")
+    return swing.select("slug", "ref_key", "player_id", "n_games",
+        *[f"{c}_{x}" for c in ("pts", "reb", "ast") for x in ("with_ref", "baseline", "swing")], "seasons")
 
 
 def player_games(logs: DataFrame, games: DataFrame) -> DataFrame:

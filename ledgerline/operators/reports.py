@@ -30,7 +30,8 @@ def run_counters(games: DataFrame, officials: DataFrame, logs: DataFrame) -> Dat
     counted by game before it meets the games."""
     per = lambda df, name: df.groupBy("game_id").agg(F.count("*").alias(name))
     rows = games.select("game_id", "season", "season_type").join(per(officials, "o"), "game_id", "left").join(per(logs, "p"), "game_id", "left")
-    return rows.groupBy("season", "season_type").agg(F.count("*").alias("games"), F.coalesce(F.sum("o"), F.lit(0)).alias("officials"), F.coalesce(F.sum("p"), F.lit(0)).alias("player_rows"))
+    return rows.groupBy("season", "season_type").agg(F.count("*").alias("games"), F.coalesce(F.sum("o"), F.lit(0)).alias("officials"),
+        F.coalesce(F.sum("p"), F.lit(0)).alias("player_rows"))
 
 
 def seeded_sample(df: DataFrame, n: int = 20, seed: int = 0, *keys: str) -> DataFrame:

@@ -27,7 +27,8 @@ def linked(rows: DataFrame, column: str, pages: DataFrame, prefix: str, shown: s
     known = pages.select(F.col("slug").alias("_slug"), F.lit(True).alias("_has")).distinct()
     text = X.html_escaped(shown or column)
     link = F.concat(F.lit(f'<a href="{prefix}/'), X.html_escaped(column), F.lit('/">'), text, F.lit("</a>"))
-    return rows.join(known, F.col(column) == F.col("_slug"), "left").withColumn(f"{column}_link", F.when(F.col("_has"), link).otherwise(text)).drop("_slug", "_has")
+    return rows.join(known, F.col(column) == F.col("_slug"), "left").withColumn(f"{column}_link",
+        F.when(F.col("_has"), link).otherwise(text)).drop("_slug", "_has")
 
 
 def cell(text: Column, key: Column | None = None, css: Column | None = None) -> Column:
@@ -44,7 +45,8 @@ def table(rows: str, heads: list[str], cells) -> Column:
 
 
 def page(title: Column, body: Column) -> Column:
-    return F.concat(F.lit('<!DOCTYPE html><html lang="en"><head><meta charset="utf-8"><title>'), X.html_escaped(title), F.lit("</title></head><body><main>"), body, F.lit("</main></body></html>"))
+    return F.concat(F.lit('<!DOCTYPE html><html lang="en"><head><meta charset="utf-8"><title>'), X.html_escaped(title),
+        F.lit("</title></head><body><main>"), body, F.lit("</main></body></html>"))
 
 
 def hero(name: Column, games: Column, first: Column, last: Column) -> Column:
@@ -53,14 +55,16 @@ def hero(name: Column, games: Column, first: Column, last: Column) -> Column:
 
 def record_table(rows: str, name: str) -> Column:
     return table(rows, ["", "G", "W", "L", "Win%", "Margin"], lambda r, i: [
-        cell(X.html_escaped(r[name])), cell(X.thousands(r["games"]), r["games"]), cell(X.thousands(r["wins"]), r["wins"]), cell(X.thousands(r["losses"]), r["losses"]),
+        cell(X.html_escaped(r[name])), cell(X.thousands(r["games"]), r["games"]), cell(X.thousands(r["wins"]), r["wins"]),
+        cell(X.thousands(r["losses"]), r["losses"]),
         cell(X.percent(r["win_pct"]), r["win_pct"]), cell(X.signed(r["avg_margin_for_team"]), r["avg_margin_for_team"], X.heat(r["avg_margin_for_team"])),
     ])
 
 
 def split_table(rows: str, name: str) -> Column:
     return table(rows, ["#", "", "G", "With", "Usual", "Swing"], lambda r, i: [
-        cell((i + 1).cast("string")), cell(X.html_escaped(r[name])), cell(X.thousands(r["n_games"]), r["n_games"]), cell(X.decimal(r["pts_with_ref"]), r["pts_with_ref"]),
+        cell((i + 1).cast("string")), cell(X.html_escaped(r[name])), cell(X.thousands(r["n_games"]), r["n_games"]),
+        cell(X.decimal(r["pts_with_ref"]), r["pts_with_ref"]),
         cell(X.decimal(r["pts_baseline"]), r["pts_baseline"]), cell(X.signed(r["pts_swing"]), r["pts_swing"], X.heat(r["pts_swing"])),
     ])
 
@@ -85,12 +89,16 @@ def index_page(boards: DataFrame) -> DataFrame:
     25 rows at most, so the page is one row of bounded size."""
     items = F.array_sort(F.collect_list(F.struct((-F.col("value")).alias("o"), "ref_key", "value")))
     per = boards.groupBy("board").agg(items.alias("rows"))
-    shown = F.concat(F.lit("<section><h2>"), X.html_escaped("board"), F.lit("</h2>"), table("rows", ["#", "", ""], lambda r, i: [cell((i + 1).cast("string")), cell(X.html_escaped(r["ref_key"])), cell(X.decimal(r["value"], 2), r["value"])]), F.lit("</section>"))
-    return per.groupBy().agg(page(F.lit("Officials"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("board", shown.alias("h")))), lambda x: x["h"]), "")).alias("html"))
+    shown = F.concat(F.lit("<section><h2>"), X.html_escaped("board"), F.lit("</h2>"),
+        table("rows", ["#", "", ""], lambda r, i: [cell((i + 1).cast("string")), cell(X.html_escaped(r["ref_key"])),
+        cell(X.decimal(r["value"], 2), r["value"])]), F.lit("</section>"))
+    return per.groupBy().agg(page(F.lit("Officials"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("board", shown.alias("h")))), lambda x: x["h"]), "")).alias("html"))
 
 
 def sources_page(coverage: DataFrame) -> DataFrame:
     """One row, html: the coverage of each season (season, era, games, coverage)."""
     rows = coverage.groupBy().agg(F.array_sort(F.collect_list(F.struct("season", "era", "games", "coverage"))).alias("rows"))
-    body = table("rows", ["Season", "Scheme", "Games", "Coverage"], lambda r, i: [cell(r["season"]), cell(r["era"]), cell(X.thousands(r["games"]), r["games"]), cell(X.decimal(r["coverage"]), r["coverage"])])
+    body = table("rows", ["Season", "Scheme", "Games", "Coverage"], lambda r,
+        i: [cell(r["season"]), cell(r["era"]), cell(X.thousands(r["games"]), r["games"]), cell(X.decimal(r["coverage"]), r["coverage"])])
     return rows.select(page(F.lit("Sources"), body).alias("html"))

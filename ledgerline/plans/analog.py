@@ -41,22 +41,27 @@ class Analog:
     @cached_property
     def lines(self) -> DataFrame:
         place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER))
-        return self.table("lineitem").join(self.table("supplier").select("s_suppkey", "s_name", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey")).withColumn("row_order", place)
+        return self.table("lineitem").join(self.table("supplier").select("s_suppkey", "s_name", "s_nationkey"),
+            F.col("l_suppkey") == F.col("s_suppkey")).withColumn("row_order", place)
 
     @cached_property
     def games(self) -> DataFrame:
-        box = self.lines.groupBy("l_orderkey").agg(F.floor(F.sum(F.col("l_extendedprice").cast("decimal(18,2)"))).cast("double").alias("away_pts"), F.min(F.when(F.col("row_order") == 1, F.col("s_nationkey"))).alias("away"))
-        rows = self.orders.join(self.table("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")).join(box, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        box = self.lines.groupBy("l_orderkey").agg(F.floor(F.sum(F.col("l_extendedprice").cast("decimal(18,2)"))).cast("double").alias("away_pts"),
+            F.min(F.when(F.col("row_order") == 1, F.col("s_nationkey"))).alias("away"))
+        rows = self.orders.join(self.table("customer").select("c_custkey", "c_nationkey"),
+            F.col("o_custkey") == F.col("c_custkey")).join(box, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         kind = F.when(F.col("o_orderpriority") == "1-URGENT", "Playoffs").when(F.col("o_orderpriority") == "2-HIGH", "Play-In").otherwise("Regular Season")
         rows = rows.withColumn("home_pts", F.floor("o_totalprice").cast("double"))
         out = rows.select(
-            "game_id", F.date_format("o_orderdate", "yyyy-MM-dd").alias("game_date"), X.season_label(F.year("o_orderdate")).alias("season"), kind.alias("season_type"),
+            "game_id", F.date_format("o_orderdate", "yyyy-MM-dd").alias("game_date"), X.season_label(F.year("o_orderdate")).alias("season"),
+            kind.alias("season_type"),
             self._team("c_nationkey").alias("home_team_abbr"), self._team("away").alias("away_team_abbr"), F.col("home_pts"), "away_pts",
             F.when(F.col("home_pts") > F.col("away_pts"), 1).when(F.col("home_pts") <= F.col("away_pts"), 0).alias("home_win"), "o_orderkey", "o_custkey",
         )
         out = out.withColumn("era", X.era("game_id")).withColumn("kind", X.kind("season_type"))
         own = (F.col("kind") == "PO") & (F.col("era") == "nba")
-        return out.withColumn("po_round", F.when(own, (F.col("o_custkey") % 4 + 1).cast("int"))).withColumn("po_game_num", F.when(own, (F.col("o_orderkey") % 7 + 1).cast("int")))
+        return out.withColumn("po_round", F.when(own, (F.col("o_custkey") % 4 + 1).cast("int"))).withColumn("po_game_num",
+            F.when(own, (F.col("o_orderkey") % 7 + 1).cast("int")))
 
     @cached_property
     def officials(self) -> DataFrame:
@@ -70,11 +75,15 @@ class Analog:
 
     @cached_property
     def logs(self) -> DataFrame:
-        rows = self.lines.join(self.orders.select("o_orderkey", "game_id"), F.col("l_orderkey") == F.col("o_orderkey")).join(self.table("part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
+        rows = self.lines.join(self.orders.select("o_orderkey", "game_id"),
+            F.col("l_orderkey") == F.col("o_orderkey")).join(self.table("part").select("p_partkey", "p_brand"),
+            F.col("l_partkey") == F.col("p_partkey"))
         whole = lambda c: F.round(F.col(c) * 100).cast("double")
         return rows.select(
-            "game_id", F.col("p_brand").alias("player_id"), F.col("p_brand").alias("player_name"), self._team("s_nationkey").alias("team_abbr"), (F.col("l_quantity") * 4).alias("min"), F.col("l_quantity").alias("pts"),
-            whole("l_discount").alias("reb"), whole("l_tax").alias("ast"), (F.col("l_partkey") % 11).cast("double").alias("fta"), F.col("l_linenumber").cast("double").alias("pf"),
+            "game_id", F.col("p_brand").alias("player_id"), F.col("p_brand").alias("player_name"),
+            self._team("s_nationkey").alias("team_abbr"), (F.col("l_quantity") * 4).alias("min"), F.col("l_quantity").alias("pts"),
+            whole("l_discount").alias("reb"), whole("l_tax").alias("ast"), (F.col("l_partkey") % 11).cast("double").alias("fta"),
+            F.col("l_linenumber").cast("double").alias("pf"),
         )
 
     @cached_property
@@ -89,4 +98,5 @@ class Analog:
     def owner_logs(self) -> DataFrame:
         """Customers as players of both id schemes, over playoff games."""
         rows = self.orders.where("o_orderpriority = '1-URGENT'").join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
-        return rows.select("game_id", F.col("o_custkey").cast("string").alias("player_id"), F.col("c_name").alias("player_name"), F.col("c_mktsegment").alias("team_abbr"))
+        return rows.select("game_id", F.col("o_custkey").cast("string").alias("player_id"), F.col("c_name").alias("player_name"),
+            F.col("c_mktsegment").alias("team_abbr"))

@@ -53,7 +53,8 @@ def _names(t: Analog) -> DataFrame:
 def id_decode(t: Analog) -> DataFrame:
     digits = lambda c, n, w: F.lpad((F.col(c) % n).cast("string"), w, "0")
     gid = F.concat(F.lit("00"), (F.col("o_orderkey") % 7).cast("string"), digits("o_custkey", 100, 2), digits("o_orderkey", 100000, 5))
-    return t.table("orders").select(gid.alias("gid")).select("gid", X.id_season("gid").alias("start_year"), X.id_season_type("gid", 0).alias("suffix"), playoffs.id_round("gid").alias("round"), playoffs.id_game("gid").alias("game"))
+    return t.table("orders").select(gid.alias("gid")).select("gid", X.id_season("gid").alias("start_year"),
+        X.id_season_type("gid", 0).alias("suffix"), playoffs.id_round("gid").alias("round"), playoffs.id_game("gid").alias("game"))
 
 
 def season_normalize(t: Analog) -> DataFrame:
@@ -74,13 +75,16 @@ def id_clean_pad(t: Analog) -> DataFrame:
 
 
 def made_att_split(t: Analog) -> DataFrame:
-    raw = F.when(F.col("l_partkey") % 5 == 0, F.col("l_linenumber").cast("string")).otherwise(F.concat_ws("-", F.col("l_linenumber").cast("string"), F.col("l_quantity").cast("int").cast("string")))
+    raw = F.when(F.col("l_partkey") % 5 == 0,
+        F.col("l_linenumber").cast("string")).otherwise(F.concat_ws("-", F.col("l_linenumber").cast("string"),
+        F.col("l_quantity").cast("int").cast("string")))
     return t.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", X.made(raw).alias("made"), X.attempted(raw).alias("attempted"))
 
 
 def ref_name_key(t: Analog) -> DataFrame:
     k, n = F.col("p_partkey") % 4, F.col("p_name")
-    raw = F.when(k == 0, F.concat(n, F.lit(" Jr."))).when(k == 1, F.concat(F.lit("R.J. "), n)).when(k == 2, F.concat(F.lit("O'Neil-"), n, F.lit(" III"))).otherwise(n)
+    raw = F.when(k == 0, F.concat(n, F.lit(" Jr."))).when(k == 1, F.concat(F.lit("R.J. "), n)).when(k == 2,
+        F.concat(F.lit("O'Neil-"), n, F.lit(" III"))).otherwise(n)
     return t.table("part").select("p_partkey", X.name_key(raw, keep_suffixes=False).alias("ref_key"), X.name_key(raw, keep_suffixes=True).alias("player_key"))
 
 
@@ -103,21 +107,25 @@ def near_duplicates(t: Analog) -> DataFrame:
 
 
 def round_gate(t: Analog) -> DataFrame:
-    return playoffs.label_from_ids(t.games.drop("po_round", "po_game_num")).where((F.col("season_type") == "Playoffs") & (F.col("era") == "nba")).select("game_id", "po_round", "po_game_num")
+    return playoffs.label_from_ids(t.games.drop("po_round", "po_game_num")).where((F.col("season_type") == "Playoffs")
+        & (F.col("era") == "nba")).select("game_id", "po_round", "po_game_num")
 
 
 def round_gate_passed(t: Analog) -> DataFrame:
     """Ids as the gate wants them: in each season five games of the last round, the rest in others."""
     games = t.games.drop("po_round", "po_game_num").where((F.col("season_type") == "Playoffs") & (F.col("era") == "nba"))
     n = F.row_number().over(Window.partitionBy("season").orderBy("o_orderkey"))
-    digits = F.when(F.col("n") <= 5, F.concat(F.lit("40"), F.col("n").cast("string"))).otherwise(F.concat((F.col("n") % 3 + 1).cast("string"), F.lit("0"), (F.col("n") % 7 + 1).cast("string")))
+    digits = F.when(F.col("n") <= 5, F.concat(F.lit("40"),
+        F.col("n").cast("string"))).otherwise(F.concat((F.col("n") % 3 + 1).cast("string"), F.lit("0"),
+        (F.col("n") % 7 + 1).cast("string")))
     own = games.withColumn("n", n).withColumn("game_id", F.concat(F.lit("0040000"), digits))
     return playoffs.label_from_ids(own).select("o_orderkey", "po_round", "po_game_num")
 
 
 def note_parse(t: Analog) -> DataFrame:
     k = F.col("o_orderkey") % 5
-    text = F.when(k == 0, "East First Round").when(k == 1, "West Semifinals").when(k == 2, "East Conference Finals").when(k == 3, "The Finals").otherwise("Exhibition")
+    text = F.when(k == 0, "East First Round").when(k == 1, "West Semifinals").when(k == 2, "East Conference Finals").when(k == 3,
+        "The Finals").otherwise("Exhibition")
     note = F.when(k < 4, F.concat(text, F.lit(" - Game "), (F.col("o_custkey") % 7 + 1).cast("string"))).otherwise(text)
     return t.table("orders").select("o_orderkey", playoffs.note_round(note).alias("round"), playoffs.note_game(note).alias("game"))
 
@@ -162,13 +170,15 @@ def ref_view_reconcile(t: Analog) -> DataFrame:
 
 def json_flatten(t: Analog) -> DataFrame:
     props = F.from_json("props", "k long, name string, label string")
-    return t.table("events").select("event_id", props.alias("p")).select("event_id", "p.k", F.coalesce("p.name", "p.label", F.concat(F.lit("k"), F.col("p.k").cast("string"))).alias("label"))
+    return t.table("events").select("event_id", props.alias("p")).select("event_id", "p.k",
+        F.coalesce("p.name", "p.label", F.concat(F.lit("k"), F.col("p.k").cast("string"))).alias("label"))
 
 
 def utc_dates(t: Analog) -> DataFrame:
     whole, short = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm")
     k = F.col("event_id") % 4
-    iso = F.when(k == 0, F.concat(whole, F.lit("Z"))).when(k == 1, F.concat(short, F.lit("Z"))).when(k == 2, F.concat(short, F.lit("+05:30"))).otherwise("no time")
+    iso = F.when(k == 0, F.concat(whole, F.lit("Z"))).when(k == 1, F.concat(short, F.lit("Z"))).when(k == 2,
+        F.concat(short, F.lit("+05:30"))).otherwise("no time")
     return t.table("events").select("event_id", X.utc_date(iso).alias("day"))
 
 
@@ -178,11 +188,13 @@ def _team_documents(t: Analog) -> DataFrame:
 
 def team_document(t: Analog) -> DataFrame:
     docs = _team_documents(t)
-    return docs.select("team_abbr", "games_total", "first_season", "last_season", F.size("ref_records").cast("long").alias("refs"), F.coalesce(F.array_max(F.transform("ref_records", lambda r: r["games"])), F.lit(0)).cast("long").alias("most"))
+    return docs.select("team_abbr", "games_total", "first_season", "last_season", F.size("ref_records").cast("long").alias("refs"),
+        F.coalesce(F.array_max(F.transform("ref_records", lambda r: r["games"])), F.lit(0)).cast("long").alias("most"))
 
 
 def search_index(t: Analog) -> DataFrame:
-    refs = _careers(t).join(_names(t), "ref_key").select(F.col("display").alias("name"), F.col("ref_key").alias("slug"), "games_total", "first_season", "last_season")
+    refs = _careers(t).join(_names(t), "ref_key").select(F.col("display").alias("name"), F.col("ref_key").alias("slug"), "games_total",
+        "first_season", "last_season")
     players = documents.player_summaries(_player_games(t), profiles.player_splits(_swings(t)))
     return boards.search_index(refs, documents.team_summaries(profiles.team_totals(t.games)), players)
 
@@ -195,7 +207,8 @@ def search_rank(t: Analog) -> DataFrame:
 def display_formats(t: Analog) -> DataFrame:
     size = F.col("p_size").cast("double")
     return t.table("part").select(
-        "p_partkey", X.thousands("p_partkey").alias("whole"), X.decimal("p_retailprice").alias("tenths"), X.percent(size / 50).alias("share"), X.signed(size - 25).alias("signed"),
+        "p_partkey", X.thousands("p_partkey").alias("whole"), X.decimal("p_retailprice").alias("tenths"),
+        X.percent(size / 50).alias("share"), X.signed(size - 25).alias("signed"),
         X.heat(size - 25).alias("heat"), X.html_escaped(F.concat("p_name", F.lit("<&>"))).alias("escaped"),
     )
 
@@ -205,12 +218,14 @@ def ref_document(t: Analog) -> DataFrame:
     swing = _swings(t)
     return documents.referee_documents(
         _careers(t), _names(t), identity.aliases(t.crew), profiles.season_maps(t.crew, t.games), profiles.team_records(t.crew, t.games), _whistle(t),
-        profiles.top_performances(t.crew, t.logs, t.games), profiles.referee_swings(swing), playoffs.notable_games(t.crew, t.games), crew.partners(t.crew, _names(t)),
+        profiles.top_performances(t.crew, t.logs, t.games), profiles.referee_swings(swing), playoffs.notable_games(t.crew, t.games),
+        crew.partners(t.crew, _names(t)),
     )
 
 
 def player_document(t: Analog) -> DataFrame:
-    return documents.player_documents(_player_games(t), profiles.player_splits(_swings(t)), profiles.player_top_games(t.logs, t.games), crew.crew_arrays(t.crew), _names(t))
+    return documents.player_documents(_player_games(t), profiles.player_splits(_swings(t)), profiles.player_top_games(t.logs, t.games),
+        crew.crew_arrays(t.crew), _names(t))
 
 
 _QUERIES: dict[str, Callable[[Analog], DataFrame]] = {
@@ -219,7 +234,8 @@ _QUERIES: dict[str, Callable[[Analog], DataFrame]] = {
     "player_splits": lambda t: _text(profiles.player_splits(_swings(t)), "seasons"),
     "crew_first3": lambda t: t.crew.select("game_id", "official_id", "rank_in_game"),
     "crew_distribution": lambda t: crew.size_histogram(t.crew),
-    "crew_arrays": lambda t: crew.crew_arrays(t.crew).select("game_id", F.array_join(F.transform("crew", lambda x: F.concat_ws("=", x["name"], x["slug"])), ",").alias("crew")),
+    "crew_arrays": lambda t: crew.crew_arrays(t.crew).select("game_id",
+    F.array_join(F.transform("crew", lambda x: F.concat_ws("=", x["name"], x["slug"])), ",").alias("crew")),
     "crewmates": lambda t: crew.partners(t.crew, _names(t)),
     "season_kind": lambda t: t.games.select("game_id", "era", "kind", X.season_start("season").alias("start_year")),
     "id_decode": id_decode,
@@ -229,9 +245,11 @@ _QUERIES: dict[str, Callable[[Analog], DataFrame]] = {
     "made_att_split": made_att_split,
     "team_game_totals": lambda t: profiles.team_game_totals(t.logs),
     "game_totals_ot": lambda t: profiles.game_totals(t.logs),
-    "player_baselines": lambda t: profiles.baselines(t.logs, t.games).select("player_id", "season", "kind", *[X.round2(F.col(f"base_{c}")).alias(c) for c in ("pts", "fta", "pf", "reb", "ast")], "base_n"),
+    "player_baselines": lambda t: profiles.baselines(t.logs, t.games).select("player_id", "season", "kind",
+    *[X.round2(F.col(f"base_{c}")).alias(c) for c in ("pts", "fta", "pf", "reb", "ast")], "base_n"),
     "ref_career_counts": _careers,
-    "ref_season_map": lambda t: profiles.season_maps(t.crew, t.games).select("ref_key", F.explode("per_season").alias("season", "c")).select("ref_key", "season", "c.*"),
+    "ref_season_map": lambda t: profiles.season_maps(t.crew, t.games).select("ref_key",
+    F.explode("per_season").alias("season", "c")).select("ref_key", "season", "c.*"),
     "ref_team_records": lambda t: profiles.team_records(t.crew, t.games),
     "team_totals": lambda t: profiles.team_totals(t.games),
     "whistle_profile": _whistle,
@@ -265,6 +283,7 @@ _QUERIES: dict[str, Callable[[Analog], DataFrame]] = {
     "union_widen": union_widen,
     "set_diff": lambda t: t.table("orders").select(F.col("o_custkey").cast("string").alias("k")).subtract(t.owner_logs.select("player_id")),
     "set_intersect": lambda t: t.table("customer").select(F.col("c_nationkey").cast("int").alias("k")).intersect(t.table("supplier").select(F.col("s_nationkey").cast("int"))),
+    
     "coverage_soft": lambda t: quality.coverage(t.games, t.crew),
     "coverage_exact3": lambda t: quality.exact_coverage(t.games, t.officials),
     "freshness": lambda t: quality.freshness(t.games),

@@ -35,8 +35,10 @@ def text_rules(t: Analog) -> DataFrame:
     """The feed's slugs, names without initials, accents and blanks."""
     name, k = F.col("p_name"), F.col("p_partkey")
     return t.table("part").select(
-        "p_partkey", X.feed_slug(F.concat(F.lit("--R.J. "), name, F.lit(", Jr.!"))).alias("slug"), X.without_initials(F.concat_ws("-", F.lit("j"), F.replace(name, F.lit(" "), F.lit("-")), F.lit("b"))).alias("plain"),
-        X.without_accents(F.concat(F.lit("José "), name, F.lit(" Đurić ﬁ王"))).alias("folded"), X.full_name(_pick(k, " Al ", "", None), _pick(k, "B", " C ", "D", "")).alias("whole"),
+        "p_partkey", X.feed_slug(F.concat(F.lit("--R.J. "), name, F.lit(", Jr.!"))).alias("slug"),
+        X.without_initials(F.concat_ws("-", F.lit("j"), F.replace(name, F.lit(" "), F.lit("-")), F.lit("b"))).alias("plain"),
+        X.without_accents(F.concat(F.lit("José "), name, F.lit(" Đurić ﬁ王"))).alias("folded"),
+        X.full_name(_pick(k, " Al ", "", None), _pick(k, "B", " C ", "D", "")).alias("whole"),
     )
 
 
@@ -65,7 +67,8 @@ def season_calendar(t: Analog) -> DataFrame:
     """The seasons up to a day in September, and their days up to then that aren't games' days."""
     today = F.lit("1998-09-30").cast("date")
     labels = readers.season_labels(t.spark, 1996, today)
-    spans = labels.select("season", F.concat(X.season_start("season").cast("string"), F.lit("-10-01")).alias("first"), F.concat((X.season_start("season") + 1).cast("string"), F.lit("-06-30")).alias("last"))
+    spans = labels.select("season", F.concat(X.season_start("season").cast("string"), F.lit("-10-01")).alias("first"),
+        F.concat((X.season_start("season") + 1).cast("string"), F.lit("-06-30")).alias("last"))
     done = t.games.where("home_team_abbr = 'T00'").select(F.to_date("game_date").alias("day")).distinct()
     return readers.season_days(t.spark, spans, done, today).select("season", F.date_format("day", "yyyy-MM-dd").alias("day"))
 
@@ -95,12 +98,14 @@ def seeded_sample(t: Analog) -> DataFrame:
 
 
 def spot_check(t: Analog) -> DataFrame:
-    return quality.spot_check(_careers(t), _names(t), ["#00000000", "SUPPLIER#000000010"]).select("ref_key", "display", "games_total", "games_po", "first_season")
+    return quality.spot_check(_careers(t), _names(t), ["#00000000", "SUPPLIER#000000010"]).select("ref_key", "display", "games_total",
+        "games_po", "first_season")
 
 
 def nan_check(t: Analog) -> DataFrame:
     bad = F.when(F.col("l_partkey") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("l_quantity"))
-    return quality.nan_count(t.table("lineitem").select(bad.alias("a"), F.struct(F.array(bad, F.col("l_tax")).alias("x"), F.create_map(F.lit("k"), bad).alias("m")).alias("s"), "l_shipdate"))
+    return quality.nan_count(t.table("lineitem").select(bad.alias("a"),
+        F.struct(F.array(bad, F.col("l_tax")).alias("x"), F.create_map(F.lit("k"), bad).alias("m")).alias("s"), "l_shipdate"))
 
 
 def excluded_seasons(t: Analog) -> DataFrame:
@@ -108,7 +113,8 @@ def excluded_seasons(t: Analog) -> DataFrame:
 
 
 def converted_logs(t: Analog) -> DataFrame:
-    gid = F.concat(F.lit("00"), _pick(F.col("o_orderkey"), "1", "2", "4", "5", "9"), F.substring(F.date_format("o_orderdate", "yyyy"), 3, 2), F.lpad((F.col("o_orderkey") % 100000).cast("string"), 5, "0"))
+    gid = F.concat(F.lit("00"), _pick(F.col("o_orderkey"), "1", "2", "4", "5", "9"),
+        F.substring(F.date_format("o_orderdate", "yyyy"), 3, 2), F.lpad((F.col("o_orderkey") % 100000).cast("string"), 5, "0"))
     rows = t.table("orders").select("o_orderkey", F.when(F.col("o_orderkey") % 11 == 0, "").otherwise(gid).alias("game_id"))
     return reports.converted_logs(rows, ["1997-98"], 1995, 1999).select("o_orderkey", "season", "kind")
 
@@ -119,8 +125,10 @@ def converted_logs(t: Analog) -> DataFrame:
 def extracted_games(t: Analog) -> DataFrame:
     """A source with its own column names."""
     rows = t.games.select(
-        F.concat(F.substring("game_id", 2, 9), F.lit(".0")).alias("GAME_ID"), F.concat("game_date", F.lit(" 00:00:00")).alias("GAME_DATE"), F.concat(F.lit("2"), F.substring("season", 1, 4)).alias("SEASON_ID"),
-        F.col("season_type").alias("SEASON_TYPE"), F.substring("home_team_abbr", 2, 2).alias("HOME_TEAM_ID"), F.substring("away_team_abbr", 2, 2).alias("AWAY_TEAM_ID"), F.col("home_pts").alias("PTS_HOME"), F.col("away_pts").alias("PTS_AWAY"),
+        F.concat(F.substring("game_id", 2, 9), F.lit(".0")).alias("GAME_ID"), F.concat("game_date", F.lit(" 00:00:00")).alias("GAME_DATE"),
+        F.concat(F.lit("2"), F.substring("season", 1, 4)).alias("SEASON_ID"),
+        F.col("season_type").alias("SEASON_TYPE"), F.substring("home_team_abbr", 2, 2).alias("HOME_TEAM_ID"),
+        F.substring("away_team_abbr", 2, 2).alias("AWAY_TEAM_ID"), F.col("home_pts").alias("PTS_HOME"), F.col("away_pts").alias("PTS_AWAY"),
         _pick(F.col("o_orderkey"), "W", "L", None).alias("WL_HOME"),
     )
     teams = t.table("nation").select(F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("team_id"), F.col("n_name").alias("team_abbr"))
@@ -129,51 +137,67 @@ def extracted_games(t: Analog) -> DataFrame:
 
 
 def extracted_logs(t: Analog) -> DataFrame:
-    rows = t.logs.select(F.col("game_id").alias("GAME_ID"), F.concat_ws(".", F.regexp_extract("player_id", "([0-9]+)", 1), F.lit("0")).alias("PLAYER_ID"), F.concat(F.lit(" "), "player_name").alias("PLAYER_NAME"), F.col("min").cast("string").alias("MIN"), F.col("pts").cast("string").alias("PTS"), F.when(F.col("reb") > 2, F.col("reb").cast("string")).otherwise("none").alias("REB"))
-    return readers.extracted_logs(rows).groupBy("player_id", "player_name").agg(F.count("*").alias("rows"), F.sum("pts").alias("pts"), F.sum("reb").alias("reb"), F.count("ast").alias("asts"))
+    rows = t.logs.select(F.col("game_id").alias("GAME_ID"),
+        F.concat_ws(".", F.regexp_extract("player_id", "([0-9]+)", 1), F.lit("0")).alias("PLAYER_ID"),
+        F.concat(F.lit(" "), "player_name").alias("PLAYER_NAME"), F.col("min").cast("string").alias("MIN"),
+        F.col("pts").cast("string").alias("PTS"), F.when(F.col("reb") > 2, F.col("reb").cast("string")).otherwise("none").alias("REB"))
+    return readers.extracted_logs(rows).groupBy("player_id", "player_name").agg(F.count("*").alias("rows"), F.sum("pts").alias("pts"),
+        F.sum("reb").alias("reb"), F.count("ast").alias("asts"))
 
 
 def bridge_officials(t: Analog) -> DataFrame:
-    people = t.table("supplier").select(F.concat(F.col("s_suppkey").cast("string"), F.lit(".0")).alias("official_id"), F.lit("Al ").alias("first_name"), F.col("s_name").alias("last_name"), F.col("s_nationkey").cast("string").alias("jersey_num"))
+    people = t.table("supplier").select(F.concat(F.col("s_suppkey").cast("string"), F.lit(".0")).alias("official_id"),
+        F.lit("Al ").alias("first_name"), F.col("s_name").alias("last_name"), F.col("s_nationkey").cast("string").alias("jersey_num"))
     return readers.official_rows(t.officials.select("game_id", "official_id"), people)
 
 
 def _boards_json(t: Analog) -> DataFrame:
     """A scoreboard for each game, as the feed gives it."""
-    side = lambda where, team, pts, won: F.struct(F.lit(where).alias("homeAway"), pts.cast("long").cast("string").alias("score"), won.alias("winner"), F.struct(F.lit("1").alias("id"), team.alias("abbreviation")).alias("team"))
+    side = lambda where, team, pts, won: F.struct(F.lit(where).alias("homeAway"), pts.cast("long").cast("string").alias("score"),
+        won.alias("winner"), F.struct(F.lit("1").alias("id"), team.alias("abbreviation")).alias("team"))
     k = F.col("o_orderkey")
     told = F.when(k % 3 == 0, F.lit(None).cast("boolean"))
-    sides = F.array(side("home", _pick(k, "BOS", "gs", "XXX"), F.col("home_pts"), told.otherwise(F.col("home_win") == 1)), side("away", _pick(k, "NY", "VAN", "LAL", "SEA"), F.col("away_pts"), told.otherwise(F.col("home_win") == 0)))
+    sides = F.array(side("home", _pick(k, "BOS", "gs", "XXX"), F.col("home_pts"), told.otherwise(F.col("home_win") == 1)),
+        side("away", _pick(k, "NY", "VAN", "LAL", "SEA"), F.col("away_pts"), told.otherwise(F.col("home_win") == 0)))
     kind = F.when(F.col("kind") == "PO", 3).when(F.col("kind") == "PI", F.when(k % 2 == 0, 5).otherwise(2)).otherwise(F.when(k % 13 == 0, 1).otherwise(2))
     name = F.when((F.col("kind") == "PI") & (k % 2 == 1), "X at Y: Play-In").otherwise("X at Y")
     status = F.struct(F.struct((k % 3 != 0).alias("completed"), _pick(k, "pre", "post").alias("state")).alias("type"))
-    event = F.struct(F.col("game_id").alias("id"), F.concat("game_date", F.lit("T01:00Z")).alias("date"), name.alias("name"), F.struct(kind.alias("type")).alias("season"), status.alias("status"), F.array(F.struct(sides.alias("competitors"))).alias("competitions"))
+    event = F.struct(F.col("game_id").alias("id"), F.concat("game_date", F.lit("T01:00Z")).alias("date"), name.alias("name"),
+        F.struct(kind.alias("type")).alias("season"), status.alias("status"),
+        F.array(F.struct(sides.alias("competitors"))).alias("competitions"))
     return t.games.where("away_pts is not null").select(F.to_json(F.struct(F.array(event).alias("events"))).alias("json"))
 
 
 def feed_games(t: Analog) -> DataFrame:
     rows = feed.game_rows(feed.events(_boards_json(t)), F.lit("1995-96"))
     strange = feed.exhibitions(rows).select("game_id", F.lit(True).alias("exhibition"))
-    return rows.join(strange, "game_id", "left").select("game_id", "game_date", "season_type", "home_team_abbr", "away_team_abbr", "home_pts", "home_win", "completed", F.coalesce("exhibition", F.lit(False)).alias("exhibition"))
+    return rows.join(strange, "game_id", "left").select("game_id", "game_date", "season_type", "home_team_abbr", "away_team_abbr",
+        "home_pts", "home_win", "completed", F.coalesce("exhibition", F.lit(False)).alias("exhibition"))
 
 
 def _summaries(t: Analog) -> DataFrame:
     """game_id, json: officials in written order, and box scores, as the feed gives them."""
-    people = F.struct("row_order", F.struct(F.col("official_name").alias("displayName"), F.when(F.col("row_order") % 2 == 0, F.col("official_id")).alias("id"), F.concat(F.col("row_order").cast("string"), F.lit(".0")).alias("jersey")).alias("p"))
+    people = F.struct("row_order", F.struct(F.col("official_name").alias("displayName"),
+        F.when(F.col("row_order") % 2 == 0, F.col("official_id")).alias("id"),
+        F.concat(F.col("row_order").cast("string"), F.lit(".0")).alias("jersey")).alias("p"))
     officials = t.officials.groupBy("game_id").agg(F.transform(F.array_sort(F.collect_list(people)), lambda x: x["p"]).alias("officials"))
     whole = lambda c: F.col(c).cast("long").cast("string")
     shots = F.concat_ws("-", whole("fta"), whole("pf"))
-    athlete = F.struct((F.col("pts") % 7 == 0).alias("didNotPlay"), F.struct(F.col("player_id").alias("id"), F.col("player_name").alias("displayName")).alias("athlete"), F.array(whole("min"), shots, whole("pts"), whole("reb")).alias("stats"))
+    athlete = F.struct((F.col("pts") % 7 == 0).alias("didNotPlay"),
+        F.struct(F.col("player_id").alias("id"), F.col("player_name").alias("displayName")).alias("athlete"),
+        F.array(whole("min"), shots, whole("pts"), whole("reb")).alias("stats"))
     teams = t.logs.groupBy("game_id", "team_abbr").agg(F.collect_list(athlete).alias("athletes"))
     group = F.struct(F.array(*[F.lit(h) for h in ("MIN", "FG", "PTS", "REB")]).alias("names"), F.col("athletes"))
-    box = teams.groupBy("game_id").agg(F.collect_list(F.struct(F.struct(F.col("team_abbr").alias("id"), F.col("team_abbr").alias("abbreviation")).alias("team"), F.array(group).alias("statistics"))).alias("players"))
+    box = teams.groupBy("game_id").agg(F.collect_list(F.struct(F.struct(F.col("team_abbr").alias("id"),
+        F.col("team_abbr").alias("abbreviation")).alias("team"), F.array(group).alias("statistics"))).alias("players"))
     both = officials.join(box, "game_id")
     return both.select("game_id", F.to_json(F.struct(F.struct("officials").alias("gameInfo"), F.struct("players").alias("boxscore"))).alias("json"))
 
 
 def feed_players(t: Analog) -> DataFrame:
     return feed.player_rows(_summaries(t)).groupBy("player_id", "team_abbr").agg(
-        F.count("*").alias("rows"), *[F.sum(F.col(c).cast("long")).alias(c) for c in ("min", "pts", "reb", "fgm", "fga")], F.count_if(F.col("ast") == "").alias("no_ast"),
+        F.count("*").alias("rows"), *[F.sum(F.col(c).cast("long")).alias(c) for c in ("min", "pts", "reb", "fgm", "fga")],
+        F.count_if(F.col("ast") == "").alias("no_ast"),
     )
 
 
@@ -187,24 +211,29 @@ def feed_presence(t: Analog) -> DataFrame:
 
 def summary_officials(t: Analog) -> DataFrame:
     """Even games by the nested list, odd ones by the table."""
-    person = F.struct(F.col("official_id").alias("personId"), F.lit("Al").alias("firstName"), F.col("official_name").alias("familyName"), F.col("row_order").cast("string").alias("jerseyNum"))
+    person = F.struct(F.col("official_id").alias("personId"), F.lit("Al").alias("firstName"), F.col("official_name").alias("familyName"),
+        F.col("row_order").cast("string").alias("jerseyNum"))
     row = F.array("official_id", "official_name")
     both = t.officials.groupBy("game_id").agg(F.array_sort(F.collect_list(F.struct("row_order", person.alias("p"), row.alias("r")))).alias("x"))
     nested = F.to_json(F.struct(F.struct(F.transform("x", lambda x: x["p"]).alias("officials")).alias("boxScoreSummary")))
-    table = F.struct(F.lit("Officials").alias("name"), F.array(F.lit("OFFICIAL_ID"), F.lit("NAME")).alias("headers"), F.transform("x", lambda x: x["r"]).alias("rowSet"))
+    table = F.struct(F.lit("Officials").alias("name"), F.array(F.lit("OFFICIAL_ID"), F.lit("NAME")).alias("headers"),
+        F.transform("x", lambda x: x["r"]).alias("rowSet"))
     other = F.struct(F.lit("Game").alias("name"), F.array(F.lit("A")).alias("headers"), F.array(F.array(F.lit("1"))).alias("rowSet"))
     even = F.substring("game_id", -1, 1).cast("int") % 2 == 0
-    return feed.summary_official_rows(both.select("game_id", F.when(even, nested).otherwise(F.to_json(F.struct(F.array(other, table).alias("resultSets")))).alias("json")))
+    return feed.summary_official_rows(both.select("game_id",
+        F.when(even, nested).otherwise(F.to_json(F.struct(F.array(other, table).alias("resultSets")))).alias("json")))
 
 
 def league_logs(t: Analog) -> DataFrame:
     rows = t.logs.join(t.games.select("game_id", "season", "kind"), "game_id")
     cells = F.array(F.col("game_id"), F.col("player_id"), F.col("team_abbr"), F.col("pts").cast("long").cast("string"))
     tables = rows.groupBy("season", "kind", "game_id").agg(F.collect_list(cells).alias("rowSet"))
-    table = F.struct(F.lit("LeagueGameLog").alias("name"), F.array(*[F.lit(h) for h in ("GAME_ID", "PLAYER_ID", "TEAM_ABBREVIATION", "PTS")]).alias("headers"), "rowSet")
+    table = F.struct(F.lit("LeagueGameLog").alias("name"),
+        F.array(*[F.lit(h) for h in ("GAME_ID", "PLAYER_ID", "TEAM_ABBREVIATION", "PTS")]).alias("headers"), "rowSet")
     payloads = tables.select("season", "kind", F.to_json(F.struct(F.array(table).alias("resultSets"))).alias("json"))
     found = feed.league_log_rows(payloads)
-    return found.groupBy("season", "kind", "player_id").agg(F.count("*").alias("rows"), F.countDistinct("game_id").alias("games"), F.sum(F.col("pts").cast("long")).alias("pts"), F.count_if(F.col("stl") == "").alias("no_stl"))
+    return found.groupBy("season", "kind", "player_id").agg(F.count("*").alias("rows"), F.countDistinct("game_id").alias("games"),
+        F.sum(F.col("pts").cast("long")).alias("pts"), F.count_if(F.col("stl") == "").alias("no_stl"))
 
 
 def wanted_logs(t: Analog) -> DataFrame:
@@ -214,7 +243,9 @@ def wanted_logs(t: Analog) -> DataFrame:
 
 def key_search(t: Analog) -> DataFrame:
     t.spark.udtf.register("found_keys", feed.FoundKeys)
-    rows = t.table("events").select("event_id", F.to_json(F.struct(F.struct(F.col("event_type").alias("theName"), F.struct(F.col("user_id").alias("nameless")).alias("in")).alias("a"))).alias("json"))
+    rows = t.table("events").select("event_id",
+        F.to_json(F.struct(F.struct(F.col("event_type").alias("theName"),
+        F.struct(F.col("user_id").alias("nameless")).alias("in")).alias("a"))).alias("json"))
     return t.spark.sql("SELECT r.event_id, f.path, f.snippet FROM {rows} r, LATERAL found_keys(r.json, array('name'), 5) f", rows=rows)
 
 
@@ -223,8 +254,10 @@ def key_search(t: Analog) -> DataFrame:
 
 def entity_swings(t: Analog) -> DataFrame:
     """Brands of one maker as one player of several ids."""
-    ids = t.logs.join(t.games.select("game_id", "era"), "game_id").select(F.concat_ws(":", "era", "player_id").alias("seg_id"), F.substring("player_id", 1, 7).alias("slug")).distinct()
-    return profiles.swings(t.crew, t.logs, t.games, ids.withColumn("display", F.upper("slug"))).select("ref_key", "slug", "name", "player_id", "n_games", "pts_with_ref", "pts_baseline", "pts_swing")
+    ids = t.logs.join(t.games.select("game_id", "era"), "game_id").select(F.concat_ws(":", "era", "player_id").alias("seg_id"),
+        F.substring("player_id", 1, 7).alias("slug")).distinct()
+    return profiles.swings(t.crew, t.logs, t.games, ids.withColumn("display", F.upper("slug"))).select("ref_key", "slug", "name",
+        "player_id", "n_games", "pts_with_ref", "pts_baseline", "pts_swing")
 
 
 def series_changes(t: Analog) -> DataFrame:
@@ -233,7 +266,8 @@ def series_changes(t: Analog) -> DataFrame:
 
 
 def label_agreement(t: Analog) -> DataFrame:
-    notes = t.games.where(F.col("o_orderkey") % 2 == 0).select("game_id", F.when(F.col("o_orderkey") % 4 == 0, "East First Round - Game 1").otherwise("no note").alias("note"))
+    notes = t.games.where(F.col("o_orderkey") % 2 == 0).select("game_id",
+        F.when(F.col("o_orderkey") % 4 == 0, "East First Round - Game 1").otherwise("no note").alias("note"))
     return playoffs.label_agreement(playoffs.structural_labels(t.games), notes)
 
 
@@ -260,7 +294,8 @@ def players_without_splits(t: Analog) -> DataFrame:
 
 
 def _flat(df: DataFrame, key: str, section: str, item: Callable[[Column], Column]) -> DataFrame:
-    return df.select(key, F.lit(section).alias("section"), F.posexplode(f"d.{section}").alias("place", "x")).select(key, "section", "place", item(F.col("x")).alias("item"))
+    return df.select(key, F.lit(section).alias("section"), F.posexplode(f"d.{section}").alias("place", "x")).select(key, "section", "place",
+        item(F.col("x")).alias("item"))
 
 
 def _told(*parts: Column) -> Column:
@@ -276,10 +311,15 @@ def ref_document_rows(t: Analog) -> DataFrame:
     notable_games array<struct<game_id:string,round:string>>, top_partners array<struct<partner:string,games:long>>"""
     df = catalog.ref_document(t).select("ref_key", F.from_json("document", kind).alias("d"))
     s, w = F.col("d.summary"), F.col("d.whistle_profile")
-    top = df.select("ref_key", F.lit("summary").alias("section"), F.lit(0).alias("place"), _told(s["name"], s["games_total"], s["finals_games"], s["first_season"], F.size(s["per_season"]), w["rs"]["n"], w["po"]["n_boxscore"]).alias("item"))
+    top = df.select("ref_key", F.lit("summary").alias("section"), F.lit(0).alias("place"),
+        _told(s["name"], s["games_total"], s["finals_games"], s["first_season"], F.size(s["per_season"]), w["rs"]["n"],
+        w["po"]["n_boxscore"]).alias("item"))
     return boards.union([
-        top, _flat(df, "ref_key", "team_records", lambda x: _told(x["team_abbr"], x["games"], x["wins"])), _flat(df, "ref_key", "top_performances", lambda x: _told(x["player_id"], x["pts"], x["game_id"])),
-        _flat(df, "ref_key", "player_swings", lambda x: _told(x["slug"], x["n_games"])), _flat(df, "ref_key", "notable_games", lambda x: _told(x["game_id"], x["round"])), _flat(df, "ref_key", "top_partners", lambda x: _told(x["partner"], x["games"])),
+        top, _flat(df, "ref_key", "team_records", lambda x: _told(x["team_abbr"], x["games"], x["wins"])),
+        _flat(df, "ref_key", "top_performances", lambda x: _told(x["player_id"], x["pts"], x["game_id"])),
+        _flat(df, "ref_key", "player_swings", lambda x: _told(x["slug"], x["n_games"])),
+        _flat(df, "ref_key", "notable_games", lambda x: _told(x["game_id"], x["round"])),
+        _flat(df, "ref_key", "top_partners", lambda x: _told(x["partner"], x["games"])),
     ])
 
 
@@ -291,9 +331,12 @@ def player_document_rows(t: Analog) -> DataFrame:
     top_games array<struct<pts:long,game_id:string,opp_abbr:string,crew:array<struct<name:string,slug:string>>>>"""
     df = catalog.player_document(t).select("slug", F.from_json("document", kind).alias("d"))
     s = F.col("d.summary")
-    top = df.select("slug", F.lit("summary").alias("section"), F.lit(0).alias("place"), _told(s["name"], s["games_total"], s["first_season"], s["last_season"], F.array_join(s["teams"], ","), F.array_join(s["eras"], ",")).alias("item"))
+    top = df.select("slug", F.lit("summary").alias("section"), F.lit(0).alias("place"),
+        _told(s["name"], s["games_total"], s["first_season"], s["last_season"], F.array_join(s["teams"], ","),
+        F.array_join(s["eras"], ",")).alias("item"))
     crew_of = lambda x: F.array_join(F.transform(x["crew"], lambda c: c["slug"]), ",")
-    return boards.union([top, _flat(df, "slug", "ref_splits", lambda x: _told(x["ref_slug"], x["ref_name"], x["n_games"])), _flat(df, "slug", "top_games", lambda x: _told(x["game_id"], x["pts"], crew_of(x)))])
+    return boards.union([top, _flat(df, "slug", "ref_splits", lambda x: _told(x["ref_slug"], x["ref_name"], x["n_games"])),
+        _flat(df, "slug", "top_games", lambda x: _told(x["game_id"], x["pts"], crew_of(x)))])
 
 
 def team_document_rows(t: Analog) -> DataFrame:
@@ -303,7 +346,8 @@ def team_document_rows(t: Analog) -> DataFrame:
     kind = "summary struct<tricode:string,name:string,slug:string,games_total:long,historical:boolean>, ref_records array<struct<ref_slug:string,ref_name:string,games:long,away_wins:long>>"
     df = catalog._team_documents(t).select(F.from_json("document", kind).alias("d")).withColumn("team", F.col("d.summary.tricode"))
     s = F.col("d.summary")
-    top = df.select("team", F.lit("summary").alias("section"), F.lit(0).alias("place"), _told(s["name"], s["slug"], s["games_total"], s["historical"]).alias("item"))
+    top = df.select("team", F.lit("summary").alias("section"), F.lit(0).alias("place"),
+        _told(s["name"], s["slug"], s["games_total"], s["historical"]).alias("item"))
     return top.unionByName(_flat(df, "team", "ref_records", lambda x: _told(x["ref_slug"], x["ref_name"], x["games"], x["away_wins"])))
 
 
@@ -311,21 +355,28 @@ def leaderboard_document(t: Analog) -> DataFrame:
     """The boards' document, read back from its JSON."""
     rows = boards.count_boards(_careers(t), profiles.seasons(t.crew, t.games), CURRENT)
     document = boards.board_document(rows, _names(t), LEAST, CURRENT)
-    kind = ", ".join(f"{b} array<struct<official_id:string,name:string,value:double>>" for b in [*boards.COUNTS, "most_career_games_active", "most_games_current_season"])
+    kind = ", ".join(f"{b} array<struct<official_id:string,name:string,value:double>>"
+        for b in [*boards.COUNTS, "most_career_games_active", "most_games_current_season"])
     d = F.from_json("document", f"{kind}, _meta struct<min_games_for_rate_leaderboards:int,current_season:string>").alias("d")
     every = document.select(d).withColumn("k", F.lit("board"))
-    lists = boards.union([_flat(every, "k", b, lambda x: _told(x["official_id"], x["name"], x["value"].cast("long"))) for b in [*boards.COUNTS, "most_career_games_active", "most_games_current_season"]])
-    meta = every.select("k", F.lit("_meta").alias("section"), F.lit(0).alias("place"), _told(F.col("d._meta.min_games_for_rate_leaderboards"), F.col("d._meta.current_season")).alias("item"))
+    lists = boards.union([_flat(every, "k", b, lambda x: _told(x["official_id"], x["name"], x["value"].cast("long")))
+        for b in [*boards.COUNTS, "most_career_games_active", "most_games_current_season"]])
+    meta = every.select("k", F.lit("_meta").alias("section"), F.lit(0).alias("place"),
+        _told(F.col("d._meta.min_games_for_rate_leaderboards"), F.col("d._meta.current_season")).alias("item"))
     return lists.unionByName(meta).drop("k")
 
 
 def person_page_texts(t: Analog) -> DataFrame:
     """Officials' pages with their table of team records: head, lengths of the table, first cell."""
-    lists = documents.listed(profiles.team_records(t.crew, t.games).withColumn("ref_name", F.col("team_abbr")), "ref_key", "records", ["ref_name", "games", "wins", "losses", "win_pct", "avg_margin_for_team"], [-F.col("games"), F.col("team_abbr")])
-    rows = _careers(t).join(_names(t), "ref_key").join(lists, "ref_key").select(F.col("ref_key").alias("slug"), F.col("display").alias("name"), "games_total", "first_season", "last_season", "records")
+    lists = documents.listed(profiles.team_records(t.crew, t.games).withColumn("ref_name", F.col("team_abbr")), "ref_key", "records",
+        ["ref_name", "games", "wins", "losses", "win_pct", "avg_margin_for_team"], [-F.col("games"), F.col("team_abbr")])
+    rows = _careers(t).join(_names(t), "ref_key").join(lists, "ref_key").select(F.col("ref_key").alias("slug"),
+        F.col("display").alias("name"), "games_total", "first_season", "last_season", "records")
     html = F.col("html")
     return serve.person_pages(rows, {"Teams": serve.record_table("records", "ref_name")}).select(
-        "slug", F.regexp_extract(html, "<h1>(.*?)</h1>", 1).alias("name"), F.regexp_extract(html, "<h1>.*?</h1><p>(.*?)</p>", 1).alias("line"), F.regexp_count(html, F.lit("<tr>")).cast("long").alias("lines"),
+        "slug", F.regexp_extract(html, "<h1>(.*?)</h1>", 1).alias("name"),
+        F.regexp_extract(html, "<h1>.*?</h1><p>(.*?)</p>", 1).alias("line"),
+        F.regexp_count(html, F.lit("<tr>")).cast("long").alias("lines"),
         F.regexp_extract(html, "<tbody><tr><td>(.*?)</td>", 1).alias("first"), F.regexp_extract(html, '<td data-v="[0-9.]+">([0-9.]+%)</td>', 1).alias("share"),
     )
 

@@ -11,6 +11,7 @@ _PARTS = {
     CAST(year(o_orderdate) AS VARCHAR) || '-' || lpad(CAST((year(o_orderdate)+1)%100 AS VARCHAR),2,'0') AS season
   FROM orders""",
     "ln": f"SELECT l.*, s_name, s_nationkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_LINE_ORDER}) AS row_order FROM lineitem l JOIN supplier ON l_suppkey=s_suppkey",
+    
     "box": """SELECT l_orderkey, CAST(floor(sum(CAST(l_extendedprice AS DECIMAL(18,2)))) AS DOUBLE) AS away_pts, min(CASE WHEN row_order=1 THEN s_nationkey END) AS away
   FROM ln
   GROUP BY 1""",
@@ -71,7 +72,8 @@ _PARTS = {
   JOIN base b ON b.player_id=l.player_id AND b.season=g.season AND b.kind=g.kind
   WHERE g.kind<>'PO' OR base_n>=5""",
     "swings": "SELECT ref_key, player_id AS slug, count(*) AS n_games, "
-    + ", ".join(f"round_even(avg({c}),2) AS {c}_with_ref, round_even(avg(base_{c}),2) AS {c}_baseline, round_even(avg({c})-avg(base_{c}),2) AS {c}_swing" for c in ("pts", "fta", "pf", "reb", "ast"))
+    + ", ".join(f"round_even(avg({c}),2) AS {c}_with_ref, round_even(avg(base_{c}),2) AS {c}_baseline, round_even(avg({c})-avg(base_{c}),2) AS {c}_swing"
+    for c in ("pts", "fta", "pf", "reb", "ast"))
     + " FROM under GROUP BY ALL HAVING count(*)>=15",
     "careers": """SELECT ref_key, min(season) AS first_season, max(season) AS last_season, count(*) AS games_total, count(*) FILTER (kind='RS') AS games_rs,
     count(*) FILTER (kind='PO') AS games_po, count(*) FILTER (kind='PI') AS games_pi, count(*) FILTER (po_round=4) AS finals_games,
@@ -218,6 +220,7 @@ ORACLES = {
     "ref_season_map": "SELECT * FROM seasons",
     "ref_team_records": "SELECT * FROM records",
     "team_totals": "SELECT team AS team_abbr, count(DISTINCT game_id) AS games_total, min(season) AS first_season, max(season) AS last_season FROM sides GROUP BY 1",
+    
     "whistle_profile": "SELECT * FROM whistle",
     "top_performances": """SELECT ref_key, rank, player_id, CAST(pts AS BIGINT) AS pts, team_abbr,
     CASE WHEN team_abbr=home_team_abbr THEN away_team_abbr ELSE home_team_abbr END AS opp_abbr, game_date, game_id, era||':'||player_id AS seg_id
@@ -241,6 +244,7 @@ ORACLES = {
   JOIN games USING (game_id)
   WHERE po_round=4 OR po_game_num=7""",
     "ref_name_key": r"SELECT p_partkey, array_to_string(list_filter(string_split_regex(regexp_replace(replace(replace(lower(n),'.',' '),'''',''),'[^a-z0-9\s-]|-',' ','g'),'\s+'), lambda t: t<>'' AND t NOT IN ('jr','sr','ii','iii','iv','v')),'-') AS ref_key, array_to_string(list_filter(string_split_regex(regexp_replace(replace(replace(lower(n),'.',' '),'''',''),'[^a-z0-9\s-]|-',' ','g'),'\s+'), lambda t: t<>''),'-') AS player_key FROM (SELECT p_partkey, CASE p_partkey%4 WHEN 0 THEN p_name||' Jr.' WHEN 1 THEN 'R.J. '||p_name WHEN 2 THEN 'O''Neil-'||p_name||' III' ELSE p_name END AS n FROM part)",
+    
     "tricode_normalize": """SELECT raw, count(*) AS n, CASE raw WHEN ' gs ' THEN 'GSW' WHEN 'no' THEN 'NOP' WHEN 'UTAH' THEN 'UTA' WHEN 'nj' THEN 'NJN' ELSE upper(trim(raw)) END AS code
   FROM (SELECT CASE o_orderkey%7 WHEN 0 THEN ' gs ' WHEN 1 THEN 'no' WHEN 2 THEN 'UTAH' WHEN 3 THEN 'nj' WHEN 4 THEN 'van' WHEN 5 THEN '' ELSE 'xyz' END AS raw
   FROM orders)
@@ -423,6 +427,7 @@ ORACLES = {
     "SELECT c.s_name AS n, ref_key AS s, 'ref' AS t, games_total, first_season, last_season FROM careers JOIN supplier c ON ref_key=CAST(s_suppkey AS VARCHAR)"
     " UNION ALL SELECT team, lower(team), 'team', count(DISTINCT game_id), min(season), max(season) FROM sides GROUP BY 1"
     " UNION ALL SELECT player_id, player_id, 'player', count(DISTINCT game_id), min(season), max(season) FROM logs JOIN games USING (game_id) WHERE player_id IN (SELECT slug FROM swings) GROUP BY 1)",
+    
     "search_rank": """SELECT s_name AS n, CAST(s_suppkey AS VARCHAR) AS s
   FROM supplier
   WHERE contains(lower(s_name),'er#0000') ORDER BY CASE WHEN starts_with(lower(s_name),'er#0000') THEN 0 ELSE 1 END, length(s_name), s_name LIMIT 12""",
@@ -434,12 +439,15 @@ _PARTS["ids"] = "SELECT game_id, season, CAST(game_id[8:8] AS INT) AS r, CAST(ga
 _PARTS["nd"] = r"SELECT k, array_to_string(list_filter(string_split(k,'-'), lambda t: length(t)>1),'-') AS p FROM (SELECT DISTINCT lower(replace(replace(s_name,'#','-'),'000','-x-')) AS k FROM supplier)"
 _COUNT = lambda name, value, where="": f"(SELECT '{name}' AS board, ref_key, CAST({value} AS DOUBLE) AS value, CAST(NULL AS BIGINT) AS n FROM careers LEFT JOIN (SELECT ref_key, total AS games_current FROM seasons WHERE season='2000-01') USING (ref_key) {where} ORDER BY {value} DESC, ref_key LIMIT 25)"
 _PARTS["boards"] = " UNION ALL ".join(
-    [_COUNT("most_career_games", "games_total"), _COUNT("most_playoff_games", "games_po"), _COUNT("most_finals_games", "finals_games"), _COUNT("most_game7s", "game7s"), _COUNT("most_career_games_active", "games_total", "WHERE active"), _COUNT("most_games_current_season", "coalesce(games_current,0)", "WHERE active")]
+    [_COUNT("most_career_games", "games_total"), _COUNT("most_playoff_games", "games_po"), _COUNT("most_finals_games", "finals_games"),
+    _COUNT("most_game7s", "game7s"), _COUNT("most_career_games_active", "games_total", "WHERE active"),
+    _COUNT("most_games_current_season", "coalesce(games_current,0)", "WHERE active")]
 )
 _PARTS["hw"] = "SELECT ref_key, round_even(sum(coalesce(home_win_pct*n,0))/sum(n),2) AS home_win_pct, sum(n) AS n FROM whistle GROUP BY 1 HAVING sum(n)>=200"
 _PARTS["ft"] = "SELECT ref_key, avg_total_fta, n_boxscore AS n FROM whistle WHERE kind='RS' AND n_boxscore>=20 AND avg_total_fta IS NOT NULL"
 _RATE = lambda name, part, value, way: f"(SELECT '{name}' AS board, ref_key, {value} AS value, CAST(n AS BIGINT) AS n FROM {part} ORDER BY {value} {way}, ref_key LIMIT 25)"
 _PARTS["hw"] = _PARTS["hw"].replace(">=200", ">=20")
 _PARTS["rate_boards"] = " UNION ALL ".join(
-    [_RATE("highest_home_win_pct", "hw", "home_win_pct", "DESC"), _RATE("lowest_home_win_pct", "hw", "home_win_pct", "ASC"), _RATE("highest_avg_total_fta_rs", "ft", "avg_total_fta", "DESC"), _RATE("lowest_avg_total_fta_rs", "ft", "avg_total_fta", "ASC")]
+    [_RATE("highest_home_win_pct", "hw", "home_win_pct", "DESC"), _RATE("lowest_home_win_pct", "hw", "home_win_pct", "ASC"),
+    _RATE("highest_avg_total_fta_rs", "ft", "avg_total_fta", "DESC"), _RATE("lowest_avg_total_fta_rs", "ft", "avg_total_fta", "ASC")]
 )

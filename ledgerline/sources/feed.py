@@ -96,14 +96,21 @@ def game_rows(found: DataFrame, season: Column, *keep: str) -> DataFrame:
     side = lambda s: F.get(F.filter(c["competitors"], lambda x: x["homeAway"] == s), F.lit(0))
     whole = lambda x: X.clean_id(x)
     df = found.select(e.alias("event"), side("home").alias("h"), side("away").alias("a"), c.alias("c"), *keep)
-    df = df.where(F.col("h").isNotNull() & F.col("a").isNotNull() & (F.coalesce(F.col("event")["id"], F.lit("")) != "") & F.col("event")["season"]["type"].isin(2, 3, 5))
+    df = df.where(F.col("h").isNotNull() & F.col("a").isNotNull() & (F.coalesce(F.col("event")["id"], F.lit("")) != "")
+        & F.col("event")["season"]["type"].isin(2, 3, 5))
     hp, ap = whole(F.col("h")["score"]), whole(F.col("a")["score"])
     label = F.when(is_play_in(), "Play-In").when(F.col("event")["season"]["type"] == 3, "Playoffs").otherwise("Regular Season")
-    won = F.when(F.col("h")["winner"], "1").when(F.col("a")["winner"], "0").when((hp != "") & (ap != ""), F.when(hp.try_cast("int") > ap.try_cast("int"), "1").otherwise("0")).otherwise("")
+    won = F.when(F.col("h")["winner"], "1").when(F.col("a")["winner"], "0").when((hp != "") & (ap != ""),
+        F.when(hp.try_cast("int") > ap.try_cast("int"), "1").otherwise("0")).otherwise("")
     return df.select(
-        F.trim(F.col("event")["id"]).alias("game_id"), F.coalesce(X.utc_date(F.coalesce(F.col("event")["date"], F.col("c")["date"])), F.lit("")).alias("game_date"), season.alias("season"), label.alias("season_type"),
-        F.coalesce(F.col("h")["team"]["id"], F.lit("")).alias("home_team_id"), F.coalesce(F.col("a")["team"]["id"], F.lit("")).alias("away_team_id"), X.tricode(F.col("h")["team"]["abbreviation"]).alias("home_team_abbr"),
-        X.tricode(F.col("a")["team"]["abbreviation"]).alias("away_team_abbr"), hp.alias("home_pts"), ap.alias("away_pts"), won.alias("home_win"), is_completed().alias("completed"), *keep,
+        F.trim(F.col("event")["id"]).alias("game_id"),
+        F.coalesce(X.utc_date(F.coalesce(F.col("event")["date"], F.col("c")["date"])), F.lit("")).alias("game_date"),
+        season.alias("season"), label.alias("season_type"),
+        F.coalesce(F.col("h")["team"]["id"], F.lit("")).alias("home_team_id"),
+        F.coalesce(F.col("a")["team"]["id"], F.lit("")).alias("away_team_id"),
+        X.tricode(F.col("h")["team"]["abbreviation"]).alias("home_team_abbr"),
+        X.tricode(F.col("a")["team"]["abbreviation"]).alias("away_team_abbr"), hp.alias("home_pts"), ap.alias("away_pts"),
+        won.alias("home_win"), is_completed().alias("completed"), *keep,
     )
 
 
@@ -114,7 +121,8 @@ def exhibitions(games: DataFrame) -> DataFrame:
 
 BOX = "struct<boxscore:struct<players:array<struct<team:struct<id:string,abbreviation:string>,statistics:array<struct<names:array<string>,labels:array<string>,keys:array<string>,athletes:array<struct<didNotPlay:boolean,athlete:struct<id:string,displayName:string,shortName:string>,stats:array<string>>>>>>>>>"
 #: Column of the box score -> the headings it goes by.
-HEADINGS = {"min": ["min", "minutes"], "fg": ["fg"], "3pt": ["3pt", "3p", "3ptm-a"], "ft": ["ft"], "reb": ["reb"], "ast": ["ast"], "stl": ["stl"], "blk": ["blk"], "tov": ["to", "tov"], "pf": ["pf"], "plus_minus": ["+/-", "plusminus"], "pts": ["pts"]}
+HEADINGS = {"min": ["min", "minutes"], "fg": ["fg"], "3pt": ["3pt", "3p", "3ptm-a"], "ft": ["ft"], "reb": ["reb"], "ast": ["ast"],
+    "stl": ["stl"], "blk": ["blk"], "tov": ["to", "tov"], "pf": ["pf"], "plus_minus": ["+/-", "plusminus"], "pts": ["pts"]}
 
 
 def player_rows(summaries: DataFrame) -> DataFrame:
@@ -123,7 +131,9 @@ def player_rows(summaries: DataFrame) -> DataFrame:
     teams = summaries.select("game_id", F.explode(F.from_json("json", BOX)["boxscore"]["players"]).alias("t"))
     groups = teams.select("game_id", "t.team", F.explode("t.statistics").alias("g"))
     first = lambda *xs: F.coalesce(*[F.when(F.size(x) > 0, x) for x in xs])
-    people = groups.select("game_id", "team", F.transform(first(F.col("g.names"), F.col("g.labels"), F.col("g.keys")), lambda h: F.lower(F.trim(h))).alias("heads"), F.explode("g.athletes").alias("p"))
+    people = groups.select("game_id", "team",
+        F.transform(first(F.col("g.names"), F.col("g.labels"), F.col("g.keys")), lambda h: F.lower(F.trim(h))).alias("heads"),
+        F.explode("g.athletes").alias("p"))
     people = people.where(~F.coalesce(F.col("p.didNotPlay"), F.lit(False)) & (F.size("p.stats") > 0))
 
     def value(name: str) -> Column:
@@ -131,10 +141,14 @@ def player_rows(summaries: DataFrame) -> DataFrame:
         return F.when(at > 0, F.get("p.stats", (at - 1).cast("int")))
 
     whole = lambda n: X.clean_id(F.coalesce(value(n), F.lit(""))).alias(n)
-    shots = [f(value(n)).alias(c) for n, pair in (("fg", ("fgm", "fga")), ("3pt", ("fg3m", "fg3a")), ("ft", ("ftm", "fta"))) for f, c in zip((X.made, X.attempted), pair, strict=True)]
+    shots = [f(value(n)).alias(c) for n, pair in (("fg", ("fgm", "fga")), ("3pt", ("fg3m", "fg3a")), ("ft", ("ftm", "fta"))) for f,
+        c in zip((X.made, X.attempted), pair, strict=True)]
     return people.select(
-        "game_id", F.coalesce("p.athlete.id", F.lit("")).alias("player_id"), F.trim(F.coalesce(F.nullif(F.col("p.athlete.displayName"), F.lit("")), F.col("p.athlete.shortName"), F.lit(""))).alias("player_name"),
-        F.coalesce("team.id", F.lit("")).alias("team_id"), X.tricode("team.abbreviation").alias("team_abbr"), *[whole(n) for n in HEADINGS if n not in ("fg", "3pt", "ft")], *shots,
+        "game_id", F.coalesce("p.athlete.id", F.lit("")).alias("player_id"),
+        F.trim(F.coalesce(F.nullif(F.col("p.athlete.displayName"), F.lit("")), F.col("p.athlete.shortName"),
+        F.lit(""))).alias("player_name"),
+        F.coalesce("team.id", F.lit("")).alias("team_id"), X.tricode("team.abbreviation").alias("team_abbr"),
+        *[whole(n) for n in HEADINGS if n not in ("fg", "3pt", "ft")], *shots,
     ).fillna("")
 
 
@@ -193,9 +207,12 @@ def official_rows(summaries: DataFrame) -> DataFrame:
     own = F.from_json("item", "displayName string, fullName string, name string, id string, personId string, jersey string, jerseyNum string")
     rows = found.join(best, ["game_id", "path"]).select("game_id", "n", own.alias("p"))
     full = lambda *cs: F.trim(F.coalesce(*[F.nullif(F.col(f"p.{c}"), F.lit("")) for c in cs], F.lit("")))
-    rows = rows.select("game_id", F.col("n").alias("row_order"), full("displayName", "fullName", "name").alias("official_name"), full("id", "personId").alias("pid"), X.clean_id(full("jersey", "jerseyNum")).alias("jersey_num"))
-    ident = F.when(F.col("pid") != "", F.concat(F.lit("espn-athlete:"), "pid")).when(F.col("official_name") != "", F.concat(F.lit("espn:"), X.feed_slug("official_name"))).otherwise("")
-    return rows.withColumn("official_id", ident).where("official_id <> '' or official_name <> ''").select("game_id", "official_id", "official_name", "jersey_num", "row_order")
+    rows = rows.select("game_id", F.col("n").alias("row_order"), full("displayName", "fullName", "name").alias("official_name"),
+        full("id", "personId").alias("pid"), X.clean_id(full("jersey", "jerseyNum")).alias("jersey_num"))
+    ident = F.when(F.col("pid") != "", F.concat(F.lit("espn-athlete:"), "pid")).when(F.col("official_name") != "",
+        F.concat(F.lit("espn:"), X.feed_slug("official_name"))).otherwise("")
+    return rows.withColumn("official_id", ident).where("official_id <> '' or official_name <> ''").select("game_id", "official_id",
+        "official_name", "jersey_num", "row_order")
 
 
 #: A person in the other payload's list of officials, and a table of its answers.
@@ -207,13 +224,15 @@ def summary_official_rows(summaries: DataFrame) -> DataFrame:
     """Officials from the other payload (game_id, json): the people under boxScoreSummary.officials;
     where there are none, the first table of resultSets with an official's or person's id and a name.
     Columns as official_rows gives them, in written order."""
-    under = [F.from_json("json", f"{top} struct<{key}:array<{PERSON}>>")[top][key] for top, key in (("boxScoreSummary", "officials"), ("BoxScoreSummary", "Officials"))]
+    under = [F.from_json("json", f"{top} struct<{key}:array<{PERSON}>>")[top][key] for top,
+        key in (("boxScoreSummary", "officials"), ("BoxScoreSummary", "Officials"))]
     listed = F.coalesce(*[F.when(F.size(x) > 0, x) for x in under])
     some = lambda *xs: F.coalesce(*[F.nullif(F.trim(x), F.lit("")) for x in xs], F.lit(""))
     people = summaries.select("game_id", F.posexplode(listed).alias("row_order", "p"))
     p = F.col("p")
     told = people.select(
-        "game_id", X.clean_id(some(p["personId"], p["PERSON_ID"], p["official_id"])).alias("official_id"), some(p["name"], X.full_name(F.coalesce(p["firstName"], F.lit("")), some(p["familyName"], p["lastName"]))).alias("official_name"),
+        "game_id", X.clean_id(some(p["personId"], p["PERSON_ID"], p["official_id"])).alias("official_id"),
+        some(p["name"], X.full_name(F.coalesce(p["firstName"], F.lit("")), some(p["familyName"], p["lastName"]))).alias("official_name"),
         X.clean_id(some(p["jerseyNum"], p["JERSEY_NUM"])).alias("jersey_num"), "row_order",
     ).where("official_id <> ''")
     rest = summaries.join(told.select("game_id").distinct(), "game_id", "left_anti")
@@ -225,7 +244,8 @@ def _table_officials(summaries: DataFrame) -> DataFrame:
     heads = F.transform("t.headers", lambda h: F.regexp_replace(F.lower(h), "[^a-z0-9]", ""))
     at = lambda test: F.array_position(F.transform("heads", lambda h: F.coalesce(test(h), F.lit(False))), True)
     tables = tables.withColumn("heads", heads).withColumns({
-        "ident": at(lambda h: h.contains("officialid") | h.contains("personid")), "whole": at(lambda h: h.isin("name", "officialname")), "first": at(lambda h: h.contains("firstname")),
+        "ident": at(lambda h: h.contains("officialid") | h.contains("personid")), "whole": at(lambda h: h.isin("name", "officialname")),
+        "first": at(lambda h: h.contains("firstname")),
         "last": at(lambda h: h.contains("lastname") | h.contains("familyname")), "number": at(lambda h: h.contains("jersey")),
     })
     fitting = tables.where("ident > 0 and (whole > 0 or first > 0 and last > 0)")
@@ -233,7 +253,8 @@ def _table_officials(summaries: DataFrame) -> DataFrame:
     rows = best.select("game_id", "b", F.posexplode("b.t.rowSet").alias("row_order", "r"))
     cell = lambda c: F.trim(F.coalesce(F.when(F.col(f"b.{c}") > 0, F.get("r", (F.col(f"b.{c}") - 1).cast("int"))), F.lit("")))
     name = F.when(F.col("b.whole") > 0, cell("whole")).otherwise(F.trim(F.concat_ws(" ", cell("first"), cell("last"))))
-    return rows.select("game_id", X.clean_id(cell("ident")).alias("official_id"), name.alias("official_name"), X.clean_id(cell("number")).alias("jersey_num"), "row_order")
+    return rows.select("game_id", X.clean_id(cell("ident")).alias("official_id"), name.alias("official_name"),
+        X.clean_id(cell("number")).alias("jersey_num"), "row_order")
 
 
 def league_log_rows(payloads: DataFrame) -> DataFrame:
@@ -263,7 +284,8 @@ def notes(summaries: DataFrame) -> DataFrame:
     """game_id, note: the header's note, else the first competition's headline."""
     kind = "struct<header:struct<gameNote:string,competitions:array<struct<notes:array<struct<headline:string>>>>>>"
     h = F.from_json("json", kind)["header"]
-    return summaries.select("game_id", F.coalesce(F.nullif(h["gameNote"], F.lit("")), F.get(F.get(h["competitions"], F.lit(0))["notes"], F.lit(0))["headline"]).alias("note"))
+    return summaries.select("game_id", F.coalesce(F.nullif(h["gameNote"], F.lit("")),
+        F.get(F.get(h["competitions"], F.lit(0))["notes"], F.lit(0))["headline"]).alias("note"))
 
 
 def presence(summaries: DataFrame) -> DataFrame:

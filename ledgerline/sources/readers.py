@@ -80,7 +80,8 @@ def player_logs(spark: SparkSession, path: str | list[str], valid: DataFrame | N
 def overrides(spark: SparkSession, path: str) -> DataFrame:
     """probe, to_key, to_display, line of a hand-kept file with # comments."""
     df = text_csv(spark, path, S.OVERRIDES, comment="#").withColumn("line", F.monotonically_increasing_id())
-    rows = df.select(F.lower(F.trim("raw_name_or_id")).alias("probe"), F.trim("canonical_ref_key").alias("to_key"), F.trim("canonical_display_name").alias("to_display"), "line")
+    rows = df.select(F.lower(F.trim("raw_name_or_id")).alias("probe"), F.trim("canonical_ref_key").alias("to_key"),
+        F.trim("canonical_display_name").alias("to_display"), "line")
     return rows.where("probe <> ''")
 
 
@@ -149,7 +150,8 @@ def extracted_games(df: DataFrame) -> DataFrame:
     """The target columns of games from a source's own: ids padded, seasons from the source or
     the id, winners from the flag or the points."""
     c = names.mapping(df.columns, {
-        "id": ["gameid"], "date": ["gamedate", "date"], "season": ["season"], "type": ["seasontype"], "hid": ["hometeamid", "teamidhome"], "aid": ["awayteamid", "teamidaway"], "ha": ["teamabbreviationhome", "homeabbr"],
+        "id": ["gameid"], "date": ["gamedate", "date"], "season": ["season"], "type": ["seasontype"], "hid": ["hometeamid", "teamidhome"],
+        "aid": ["awayteamid", "teamidaway"], "ha": ["teamabbreviationhome", "homeabbr"],
         "aa": ["teamabbreviationaway", "awayabbr"], "hp": ["ptshome", "homepts"], "ap": ["ptsaway", "awaypts"], "wl": ["wlhome"],
     })
     if c["season"] and "type" in names.plain(c["season"]):
@@ -157,18 +159,24 @@ def extracted_games(df: DataFrame) -> DataFrame:
     text = lambda k: F.trim(F.col(c[k]).cast("string")) if c[k] else F.lit("")
     gid = X.clean_id(c["id"], 10)
     out = df.select(
-        gid.alias("game_id"), (X.iso_date(F.col(c["date"]).cast("string")) if c["date"] else F.lit("")).alias("game_date"), X.season_normal(text("season"), X.season_label(X.id_season(gid))).alias("season"),
-        F.coalesce(F.nullif(text("type"), F.lit("")), X.id_season_type(gid)).alias("season_type"), X.clean_id(text("hid")).alias("home_team_id"), X.clean_id(text("aid")).alias("away_team_id"),
-        text("ha").alias("home_team_abbr"), text("aa").alias("away_team_abbr"), X.number(text("hp")).alias("home_pts"), X.number(text("ap")).alias("away_pts"), (text("wl") if c["wl"] else F.lit(None).cast("string")).alias("wl"),
+        gid.alias("game_id"), (X.iso_date(F.col(c["date"]).cast("string")) if c["date"] else F.lit("")).alias("game_date"),
+        X.season_normal(text("season"), X.season_label(X.id_season(gid))).alias("season"),
+        F.coalesce(F.nullif(text("type"), F.lit("")), X.id_season_type(gid)).alias("season_type"),
+        X.clean_id(text("hid")).alias("home_team_id"), X.clean_id(text("aid")).alias("away_team_id"),
+        text("ha").alias("home_team_abbr"), text("aa").alias("away_team_abbr"), X.number(text("hp")).alias("home_pts"),
+        X.number(text("ap")).alias("away_pts"), (text("wl") if c["wl"] else F.lit(None).cast("string")).alias("wl"),
     )
     return out.withColumn("home_win", X.home_win("wl", F.col("home_pts"), F.col("away_pts"))).drop("wl").where("game_id <> ''").dropDuplicates(["game_id"])
 
 
 #: Column of a box score -> the words that its name holds in other sources.
 BOX_COLUMNS = {
-    "game_id": ["gameid"], "player_id": ["playerid", "personid"], "player_name": ["playername", "name"], "team_id": ["teamid"], "team_abbr": ["teamabbreviation", "teamabbr", "tricode"],
-    "min": ["minutes", "min"], "pts": ["points", "pts"], "reb": ["reboundstotal", "reb"], "ast": ["assists", "ast"], "stl": ["steals", "stl"], "blk": ["blocks", "blk"], "tov": ["turnovers", "tov"],
-    "fga": ["fieldgoalsattempted", "fga"], "fgm": ["fieldgoalsmade", "fgm"], "fg3a": ["threepointersattempted", "fg3a"], "fg3m": ["threepointersmade", "fg3m"], "fta": ["freethrowsattempted", "fta"],
+    "game_id": ["gameid"], "player_id": ["playerid", "personid"], "player_name": ["playername", "name"], "team_id": ["teamid"],
+    "team_abbr": ["teamabbreviation", "teamabbr", "tricode"],
+    "min": ["minutes", "min"], "pts": ["points", "pts"], "reb": ["reboundstotal", "reb"], "ast": ["assists", "ast"],
+    "stl": ["steals", "stl"], "blk": ["blocks", "blk"], "tov": ["turnovers", "tov"],
+    "fga": ["fieldgoalsattempted", "fga"], "fgm": ["fieldgoalsmade", "fgm"], "fg3a": ["threepointersattempted", "fg3a"],
+    "fg3m": ["threepointersmade", "fg3m"], "fta": ["freethrowsattempted", "fta"],
     "ftm": ["freethrowsmade", "ftm"], "pf": ["foulspersonal", "pf"], "plus_minus": ["plusminus"],
 }
 
@@ -198,15 +206,18 @@ def with_team_codes(games: DataFrame, teams: DataFrame) -> DataFrame:
     """Codes for teams that have only ids. teams: team_id, team_abbr, of one row a team."""
     one = teams.select(X.clean_id("team_id").alias("_id"), F.trim("team_abbr").alias("_abbr")).dropDuplicates(["_id"])
     for side in ("home", "away"):
-        games = games.join(one, F.col(f"{side}_team_id") == F.col("_id"), "left").withColumn(f"{side}_team_abbr", F.coalesce(F.nullif(F.col(f"{side}_team_abbr"), F.lit("")), "_abbr", F.lit(""))).drop("_id", "_abbr")
+        games = games.join(one, F.col(f"{side}_team_id") == F.col("_id"), "left").withColumn(f"{side}_team_abbr",
+            F.coalesce(F.nullif(F.col(f"{side}_team_abbr"), F.lit("")), "_abbr", F.lit(""))).drop("_id", "_abbr")
     return games
 
 
 def official_rows(facts: DataFrame, people: DataFrame) -> DataFrame:
     """game_id, official_id, official_name, jersey_num from a bridge table and its people."""
-    one = people.select(X.clean_id("official_id").alias("official_id"), X.full_name("first_name", "last_name").alias("official_name"), X.clean_id("jersey_num").alias("jersey_num")).dropDuplicates(["official_id"])
+    one = people.select(X.clean_id("official_id").alias("official_id"), X.full_name("first_name", "last_name").alias("official_name"),
+        X.clean_id("jersey_num").alias("jersey_num")).dropDuplicates(["official_id"])
     rows = facts.select(X.clean_id("game_id", 10).alias("game_id"), X.clean_id("official_id").alias("official_id"))
-    return rows.join(one, "official_id", "left").fillna("").select("game_id", "official_id", "official_name", "jersey_num").dropDuplicates(["game_id", "official_id"])
+    return rows.join(one, "official_id", "left").fillna("").select("game_id", "official_id", "official_name",
+        "jersey_num").dropDuplicates(["game_id", "official_id"])
 
 
 def season_days(spark: SparkSession, seasons: DataFrame, done: DataFrame | None = None, today: Column | None = None) -> DataFrame:

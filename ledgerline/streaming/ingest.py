@@ -15,7 +15,9 @@ from ..sources import feed, sinks
 
 def payloads(spark: SparkSession, path: str, per_batch: int = 100) -> DataFrame:
     """json, path and time (of the last change) of files as they come."""
-    return spark.readStream.format("text").option("wholetext", True).option("maxFilesPerTrigger", per_batch).schema("value string").load(path).select(F.col("value").alias("json"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("time"))
+    return spark.readStream.format("text").option("wholetext", True).option("maxFilesPerTrigger",
+        per_batch).schema("value string").load(path).select(F.col("value").alias("json"), F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_modification_time").alias("time"))
 
 
 def merge_games(path: str, season: str):

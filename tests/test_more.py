@@ -54,7 +54,8 @@ def test_a_lost_driver_loses_no_table(spark, tmp_path, lost):
 def test_append_in_flushes(spark, tmp_path):
     path, kind = str(tmp_path / "t"), "game_id string, official_id string, v int"
     for flush in (None, 25):
-        sinks.appended(spark, path, spark.createDataFrame([(f"{k:03}", "x", flush or 0) for k in range(40 if flush else 30)], kind), ["game_id", "official_id"], "v", flush=flush)
+        sinks.appended(spark, path, spark.createDataFrame([(f"{k:03}", "x", flush or 0) for k in range(40 if flush else 30)], kind),
+            ["game_id", "official_id"], "v", flush=flush)
     got = rows(spark.read.parquet(path))
     assert len(got) == 40 and [r[2] for r in got] == [0] * 30 + [25] * 10
 
@@ -86,7 +87,8 @@ def test_catalog_tables(spark):
 
 
 def test_extracted_logs(spark):
-    df = spark.createDataFrame([("22300001.0", "7.0", " A B ", "34:12", "x", "5"), ("", "8", "C", "", "1", "2")], "GAME_ID string, PERSON_ID string, PLAYER_NAME string, MIN string, PTS string, REB string")
+    df = spark.createDataFrame([("22300001.0", "7.0", " A B ", "34:12", "x", "5"), ("", "8", "C", "", "1", "2")],
+        "GAME_ID string, PERSON_ID string, PLAYER_NAME string, MIN string, PTS string, REB string")
     got = readers.extracted_logs(df)
     assert got.columns == list(readers.BOX_COLUMNS)
     assert rows(got.select("game_id", "player_id", "player_name", "min", "pts", "reb", "ast")) == [("0022300001", "7", "A B", "34:12", None, 5.0, None)]
@@ -94,7 +96,8 @@ def test_extracted_logs(spark):
 
 def test_officials_of_the_other_payload(spark):
     person = {"personId": 7, "firstName": "Ed", "familyName": "Rush", "jerseyNum": "12 "}
-    table = {"name": "Officials", "headers": ["OFFICIAL_ID", "FIRST_NAME", "LAST_NAME", "JERSEY_NUM"], "rowSet": [["9", "Al", "B", "3"], ["10", "Cy", "D", None]]}
+    table = {"name": "Officials", "headers": ["OFFICIAL_ID", "FIRST_NAME", "LAST_NAME", "JERSEY_NUM"],
+        "rowSet": [["9", "Al", "B", "3"], ["10", "Cy", "D", None]]}
     payloads = [
         ("22300001", {"boxScoreSummary": {"officials": [person, {"name": "No Id"}, {"personId": "8", "name": "Whole Name"}]}, "resultSets": [table]}),
         ("22300002", {"boxScoreSummary": {"officials": []}, "resultSets": [{"name": "Other", "headers": ["A"], "rowSet": [["1"]]}, table]}),
@@ -102,21 +105,25 @@ def test_officials_of_the_other_payload(spark):
     ]
     df = spark.createDataFrame([(g, json.dumps(p)) for g, p in payloads] + [("22300005", "broken")], "game_id string, json string")
     assert rows(feed.summary_official_rows(df).select("game_id", "row_order", "official_id", "official_name", "jersey_num")) == [
-        ("0022300001", 0, "7", "Ed Rush", "12"), ("0022300001", 2, "8", "Whole Name", ""), ("0022300002", 0, "9", "Al B", "3"), ("0022300002", 1, "10", "Cy D", ""), ("0022300003", 0, "5", "Up", ""),
+        ("0022300001", 0, "7", "Ed Rush", "12"), ("0022300001", 2, "8", "Whole Name", ""), ("0022300002", 0, "9", "Al B", "3"),
+        ("0022300002", 1, "10", "Cy D", ""), ("0022300003", 0, "5", "Up", ""),
     ]
 
 
 def test_league_logs(spark):
-    payload = {"resultSets": [{"name": "LeagueGameLog", "headers": ["GAME_ID", "PLAYER_ID", "TEAM_ABBREVIATION", "PTS"], "rowSet": [["22300001", 7, "GSW", 10], ["22300002", 8, "BOS", None]]}]}
+    payload = {"resultSets": [{"name": "LeagueGameLog", "headers": ["GAME_ID", "PLAYER_ID", "TEAM_ABBREVIATION", "PTS"],
+        "rowSet": [["22300001", 7, "GSW", 10], ["22300002", 8, "BOS", None]]}]}
     df = spark.createDataFrame([("2023-24", "RS", json.dumps(payload)), ("2023-24", "PO", '{"resultSets": []}')], "season string, kind string, json string")
     got = feed.league_log_rows(df)
-    assert rows(got.select("season", "kind", "game_id", "player_id", "team_abbr", "pts", "stl")) == [("2023-24", "RS", "0022300001", "7", "GSW", "10", ""), ("2023-24", "RS", "0022300002", "8", "BOS", "", "")]
+    assert rows(got.select("season", "kind", "game_id", "player_id", "team_abbr", "pts", "stl")) == [("2023-24", "RS", "0022300001", "7",
+        "GSW", "10", ""), ("2023-24", "RS", "0022300002", "8", "BOS", "", "")]
     seasons = spark.createDataFrame([("2022-23",), ("2023-24",)], "season string")
     assert rows(feed.wanted_logs(seasons, got)) == [("2022-23", "PO"), ("2022-23", "RS"), ("2023-24", "PO")]
 
 
 def test_feed_days_are_utc_in_any_zone(spark):
-    board = spark.createDataFrame([(json.dumps({"events": [{"id": "1", "date": "2001-11-02T01:00Z", "season": {"type": 2}, "competitions": [{"competitors": [{"homeAway": "home", "team": {}}, {"homeAway": "away", "team": {}}]}]}]}),)], "json string")
+    board = spark.createDataFrame([(json.dumps({"events": [{"id": "1", "date": "2001-11-02T01:00Z", "season": {"type": 2},
+        "competitions": [{"competitors": [{"homeAway": "home", "team": {}}, {"homeAway": "away", "team": {}}]}]}]}),)], "json string")
     before = spark.conf.get("spark.sql.session.timeZone")
     try:
         for zone in ("America/New_York", "Asia/Tokyo", "UTC"):
@@ -154,7 +161,8 @@ def test_sweep_is_brute_force():
 
 def test_chains_of_segments(spark):
     kind = "seg_id string, name_key string, era string, smin int, smax int"
-    df = spark.createDataFrame([("a", "k", "nba", 2000, 2001), ("b", "k", "espn", 2003, 2004), ("c", "k", "nba", 2006, 2007), ("d", "k", "nba", 2010, 2011), ("e", "k2", "espn", 2010, 2011)], kind)
+    df = spark.createDataFrame([("a", "k", "nba", 2000, 2001), ("b", "k", "espn", 2003, 2004), ("c", "k", "nba", 2006, 2007),
+        ("d", "k", "nba", 2010, 2011), ("e", "k2", "espn", 2010, 2011)], kind)
     assert rows(identity.entity_of(df)) == [("a", "a"), ("b", "a"), ("c", "a"), ("d", "d"), ("e", "e")]
 
 
@@ -165,18 +173,21 @@ def test_reports(spark):
     assert rows(reports.team_code_report(df, "code")) == [("BOS", "BOS", True, False), ("GS", "GSW", True, True), ("zz", "ZZ", False, False)]
     games = spark.createDataFrame([("1", "2000-01", "P"), ("2", "2000-01", "P"), ("3", None, "R")], "game_id string, season string, season_type string")
     officials, logs = (spark.createDataFrame([(g,) for g in ids], "game_id string") for ids in ("112", "1223"))
-    assert sorted(str(tuple(r)) for r in reports.run_counters(games, officials, logs).collect()) == sorted(map(str, [("2000-01", "P", 2, 3, 3), (None, "R", 1, 0, 1)]))
+    assert sorted(str(tuple(r)) for r in reports.run_counters(games, officials, logs).collect()) == sorted(map(str,
+        [("2000-01", "P", 2, 3, 3), (None, "R", 1, 0, 1)]))
     assert rows(reports.without_seasons(games, ["2000-01"])) == [("3", None, "R")] and reports.without_seasons(games, []).count() == 3
     many = spark.range(1000)
     one, two, other = (sorted(r[0] for r in reports.seeded_sample(many.repartition(n), 20, seed).collect()) for n, seed in ((3, 0), (7, 0), (3, 1)))
     assert one == two != other and len(one) == 20
     logs = spark.createDataFrame([("0022300001",), ("0042200001",), ("0012200001",), ("0022200002",), ("",)], "game_id string")
-    assert rows(reports.converted_logs(logs, ["2023-24"]).select("game_id", "season", "kind")) == [("0022200002", "2022-23", "RS"), ("0042200001", "2022-23", "PO")]
+    assert rows(reports.converted_logs(logs, ["2023-24"]).select("game_id", "season", "kind")) == [("0022200002", "2022-23", "RS"),
+        ("0042200001", "2022-23", "PO")]
 
 
 def test_nan_at_any_depth(spark):
     nan = float("nan")
-    df = spark.createDataFrame([(nan, [1.0, nan], (nan, [{"k": nan}, {"k": 2.0}]), {"a": [nan, None]}), (None, None, None, None)], "a double, b array<double>, c struct<x:double,y:array<map<string,double>>>, d map<string,array<float>>")
+    df = spark.createDataFrame([(nan, [1.0, nan], (nan, [{"k": nan}, {"k": 2.0}]), {"a": [nan, None]}), (None, None, None, None)],
+        "a double, b array<double>, c struct<x:double,y:array<map<string,double>>>, d map<string,array<float>>")
     assert quality.nan_count(df).first()[0] == 5
     assert quality.nan_count(df.limit(0)).first()[0] == 0
 
@@ -189,7 +200,8 @@ def test_views_are_compared(spark):
     refs = spark.createDataFrame([doc("r", {"player_swings": [swing], "team_records": [record | {"team_abbr": "T01"}]})], kind)
     for change, want in ((0.0, [("player_splits", 1, 0), ("team_records", 1, 0)]), (0.25, [("player_splits", 1, 1), ("team_records", 1, 1)])):
         players = spark.createDataFrame([doc("p", {"ref_splits": [swing | {"ref_slug": "r", "pts_swing": 0.5 + change}]})], kind)
-        teams = spark.createDataFrame([doc("t01", {"summary": {"tricode": "T01"}, "ref_records": [record | {"ref_slug": "r", "avg_margin_for_team": -1.25 + change}]})], kind)
+        teams = spark.createDataFrame([doc("t01",
+            {"summary": {"tricode": "T01"}, "ref_records": [record | {"ref_slug": "r", "avg_margin_for_team": -1.25 + change}]})], kind)
         assert rows(quality.view_mismatches(refs, players, teams)) == want
 
 
@@ -204,7 +216,8 @@ def test_pages(spark):
     kind = "slug string, name string, games_total long, first_season string, last_season string, seasons array<string>, ref_records array<struct<ref_name:string,games:long,wins:long,losses:long,win_pct:double,avg_margin_for_team:double>>"
     df = spark.createDataFrame([("ed", "Ed <R>", 1234, "2000-01", "2003-04", ["2001-02"], [("Al & B", 3, 2, 1, 0.67, -1.5)])], kind)
     (html,) = serve.person_pages(df, {"Teams": serve.record_table("ref_records", "ref_name")}, "seasons").select("html").first()
-    for part in ("<title>Ed &lt;R&gt;</title>", "1,234 g · 2000-2004", "Labels are incomplete in the 2000-01 to 2002-03 seasons.", "<h2>Teams</h2>", "Al &amp; B", "67.0%", 'class="sw s-neg-2"'):
+    for part in ("<title>Ed &lt;R&gt;</title>", "1,234 g · 2000-2004", "Labels are incomplete in the 2000-01 to 2002-03 seasons.",
+            "<h2>Teams</h2>", "Al &amp; B", "67.0%", 'class="sw s-neg-2"'):
         assert part in html, part
     made = spark.createDataFrame([("most", "b", 5.0), ("most", "a", 9.0)], "board string, ref_key string, value double")
     (html,) = serve.index_page(made).first()
@@ -214,7 +227,8 @@ def test_pages(spark):
 
 
 def test_board_document(spark):
-    made = spark.createDataFrame([("most_x", "a", 5.0, None), ("most_x", "b", 9.0, None), ("lowest_y", "a", 2.0, 7), ("lowest_y", "b", 1.0, 8)], "board string, ref_key string, value double, n long")
+    made = spark.createDataFrame([("most_x", "a", 5.0, None), ("most_x", "b", 9.0, None), ("lowest_y", "a", 2.0, 7),
+        ("lowest_y", "b", 1.0, 8)], "board string, ref_key string, value double, n long")
     names = spark.createDataFrame([("a", "A"), ("b", "B")], "ref_key string, display string")
     found = json.loads(boards.board_document(made, names, 200, "2025-26").first()[0])
     assert found["_meta"] == {"min_games_for_rate_leaderboards": 200, "current_season": "2025-26"}

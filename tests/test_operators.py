@@ -23,7 +23,8 @@ def test_alternates_and_repeats(spark):
 
 
 def test_partners_are_cut_before_unknown_names_go(spark):
-    c = frame(spark, "game_id string, ref_key string, display string, row_order long", *[(f"g{k}", r, r.upper(), i) for k in range(2) for i, r in enumerate("abc")], ("g9", "a", "A", 0), ("g9", "b", "B", 1))
+    c = frame(spark, "game_id string, ref_key string, display string, row_order long",
+        *[(f"g{k}", r, r.upper(), i) for k in range(2) for i, r in enumerate("abc")], ("g9", "a", "A", 0), ("g9", "b", "B", 1))
     names = frame(spark, "ref_key string, display string", ("a", "A"), ("c", "C"))
     assert rows(crew.partners(c, names, top=1).select("ref_key", "partner", "games")) == [("b", "a", 3), ("c", "a", 2)]
     assert crew.crew_arrays(c).where("game_id = 'g9'").first()["crew"][1]["slug"] == "b"
@@ -83,7 +84,8 @@ def test_near_duplicates_query_takes_all_suppliers(spark, tmp_path):
 
     keys = sorted({n.replace("#", "-").replace("000", "-x-").lower() for n in names.values()})
     plain = {k: "-".join(t for t in k.split("-") if len(t) > 1) for k in keys}
-    want = {(a, b): "same-after-dropping-initials" if plain[a] and plain[a] == plain[b] else "edit-distance<=2" for a in keys for b in keys if a < b and (plain[a] and plain[a] == plain[b] or distance(a, b) <= 2)}
+    want = {(a, b): "same-after-dropping-initials" if plain[a] and plain[a] == plain[b] else "edit-distance<=2" for a in keys for b in keys
+        if a < b and (plain[a] and plain[a] == plain[b] or distance(a, b) <= 2)}
     assert found == want and set(want.values()) == {"same-after-dropping-initials", "edit-distance<=2"}
 
 
@@ -137,7 +139,8 @@ def test_overtime_and_boxes(spark):
 
 def test_swing_gates(spark):
     g = [game(f"r{k}") for k in range(15)] + [game(f"p{k}", kind="PO") for k in range(5)] + [game("i", kind="PI")]
-    logs = [log(f"r{k}", pts=10.0 + k) for k in range(15)] + [log(f"p{k}", pts=50.0) for k in range(5)] + [log("i", pts=99.0)] + [log(f"r{k}", "q") for k in range(14)]
+    logs = [log(f"r{k}", pts=10.0 + k) for k in range(15)] + [log(f"p{k}", pts=50.0)
+        for k in range(5)] + [log("i", pts=99.0)] + [log(f"r{k}", "q") for k in range(14)]
     c = [(x[0], "r") for x in g]
     games, crews = frame(spark, GAME, *g), frame(spark, "game_id string, ref_key string", *c)
     out = profiles.swings(crews, frame(spark, LOG, *logs), games).collect()
@@ -161,7 +164,8 @@ def test_round_gate_is_all_or_nothing(spark):
 
 def test_series(spark):
     po = lambda k, date, a, b, won=1: game(f"{k}", kind="PO", home=a, away=b, date=date, won=won)
-    g = frame(spark, GAME, po(1, "2002-04-01", "A", "B"), po(2, "2002-04-03", "B", "A", 0), po(3, "2002-04-05", "A", "B"), po(4, "2002-05-01", "A", "C"), po(5, "2002-05-03", "C", "A"))
+    g = frame(spark, GAME, po(1, "2002-04-01", "A", "B"), po(2, "2002-04-03", "B", "A", 0), po(3, "2002-04-05", "A", "B"),
+        po(4, "2002-05-01", "A", "C"), po(5, "2002-05-03", "C", "A"))
     labels = {r["game_id"]: (r["round"], r["game_num"]) for r in playoffs.structural_labels(g).collect()}
     assert labels == {"1": (1, 1), "2": (1, 2), "3": (1, 3), "4": (1, 1), "5": (1, 2)}
     audit = {r["series"]: (r["agreed"], r["flag"], r["top_wins"]) for r in playoffs.series_audit(g).collect()}
@@ -171,7 +175,8 @@ def test_series(spark):
 
 
 def test_notes(spark):
-    n = frame(spark, "note string", ("West First Round - Game 3",), ("East Semifinals - Game 12",), ("East Conference Finals",), ("The Finals - game 7",), ("All-Star",))
+    n = frame(spark, "note string", ("West First Round - Game 3",), ("East Semifinals - Game 12",), ("East Conference Finals",),
+        ("The Finals - game 7",), ("All-Star",))
     assert [tuple(r) for r in n.select(playoffs.note_round("note"), playoffs.note_game("note")).collect()] == [(1, 3), (2, 12), (3, None), (4, 7), (None, None)]
 
 
@@ -203,7 +208,8 @@ def test_checks_can_fail(spark):
 
 def test_documents_keep_nulls_and_empty_lists(spark):
     totals = frame(spark, "team_abbr string, games_total long, first_season string, last_season string", ("VAN", 5, "2000-01", None))
-    records = frame(spark, "ref_key string, team_abbr string, games long, wins long, losses long, win_pct double, home_games long, home_wins long, away_games long, away_wins long, avg_margin_for_team double", ("r", "VAN", 3, 1, 2, 0.33, 1, 1, 2, 0, 0.5))
+    records = frame(spark, "ref_key string, team_abbr string, games long, wins long, losses long, win_pct double, home_games long, home_wins long, away_games long, away_wins long, avg_margin_for_team double",
+        ("r", "VAN", 3, 1, 2, 0.33, 1, 1, 2, 0, 0.5))
     names = frame(spark, "ref_key string, display string", ("r", "R"))
     doc = documents.team_documents(totals, records, names).first()
     assert doc["document"] == '{"summary":{"tricode":"VAN","name":"Vancouver Grizzlies","slug":"van","first_season":"2000-01","last_season":null,"games_total":5,"historical":true},"ref_records":[]}'
@@ -227,6 +233,7 @@ def test_search_index_query_has_every_document(spark):
         assert r["s"] not in index[r["t"]]
         index[r["t"]][r["s"]] = (r["n"], r["u"])
     shown = lambda s: (s["name"], f"{s['games_total']:,} g · {s['first_season'][:4]}-{int(s['last_season'][:4]) + 1}")
-    people = {kind: {s["slug"]: shown(s) for r in made(f"{kind}_document").select("document").collect() for s in [json.loads(r[0])["summary"]]} for kind in ("ref", "player")}
+    people = {kind: {s["slug"]: shown(s) for r in made(f"{kind}_document").select("document").collect()
+        for s in [json.loads(r[0])["summary"]]} for kind in ("ref", "player")}
     teams = {r["team_abbr"].lower(): shown({"name": r["team_abbr"], **r.asDict()}) for r in made("team_document").collect()}
     assert index == {**people, "team": teams} and all(index.values())

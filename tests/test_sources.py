@@ -30,7 +30,8 @@ def test_logs_and_overrides(spark, tmp_path):
     (tmp_path / "logs").mkdir()
     write(tmp_path / "logs/2000-01_RS.csv.gz", "game_id,player_id,min,pts,team_abbr\n1,1018.0,34:12,7,SA\n1,,1,1,SA\n")
     write(tmp_path / "logs/2001-02_RS.csv.gz", "game_id,player_id,min,pts,team_abbr\n2,5,10,oops,SA\n")
-    assert rows(readers.player_logs(spark, str(tmp_path / "logs")).select("player_id", "min", "pts", "team_abbr")) == [("1018", 0.0, 7.0, "SAS"), ("5", 10.0, 0.0, "SAS")]
+    assert rows(readers.player_logs(spark, str(tmp_path / "logs")).select("player_id", "min", "pts", "team_abbr")) == [("1018", 0.0, 7.0,
+        "SAS"), ("5", 10.0, 0.0, "SAS")]
     p = write(tmp_path / "ov.csv", "# note\nraw_name_or_id,canonical_ref_key,canonical_display_name\n Ed Rush ,ed-rush,\n,x,y\n", packed=False)
     assert rows(readers.overrides(spark, p).select("probe", "to_key", "to_display")) == [("ed rush", "ed-rush", "")]
 
@@ -43,7 +44,9 @@ def test_widened_and_renamed(spark, tmp_path):
 
 
 def test_extracted_games(spark):
-    df = spark.createDataFrame([("22300001.0", "2023-11-01", "22023", "", "1", "2", "W", 5.0, 9.0), ("22300002", "x", "", "", "1", "2", None, 5.0, 9.0)], "GAME_ID string, GAME_DATE string, SEASON_ID string, SEASON_TYPE string, HOME_TEAM_ID string, AWAY_TEAM_ID string, WL_HOME string, PTS_HOME double, PTS_AWAY double")
+    df = spark.createDataFrame([("22300001.0", "2023-11-01", "22023", "", "1", "2", "W", 5.0, 9.0),
+        ("22300002", "x", "", "", "1", "2", None, 5.0, 9.0)],
+        "GAME_ID string, GAME_DATE string, SEASON_ID string, SEASON_TYPE string, HOME_TEAM_ID string, AWAY_TEAM_ID string, WL_HOME string, PTS_HOME double, PTS_AWAY double")
     got = rows(readers.extracted_games(df).select("game_id", "season", "season_type", "home_win"))
     assert got == [("0022300001", "2023-24", "Regular Season", 1), ("0022300002", "2023-24", "Regular Season", 0)]
     teams = spark.createDataFrame([("1", "ATL"), ("2", "BOS")], "team_id string, team_abbr string")
@@ -68,22 +71,30 @@ def test_swap_and_stale(spark, tmp_path):
 
 EVENT = {
     "id": "401", "date": "2001-11-02T01:00Z", "name": "X at Y", "season": {"type": 2}, "status": {"type": {"completed": True}},
-    "competitions": [{"competitors": [{"homeAway": "home", "score": "99", "winner": True, "team": {"id": "1", "abbreviation": "GS"}}, {"homeAway": "away", "score": "90", "team": {"id": "2", "abbreviation": "BOS"}}]}],
+    "competitions": [{"competitors": [{"homeAway": "home", "score": "99", "winner": True, "team": {"id": "1", "abbreviation": "GS"}},
+    {"homeAway": "away", "score": "90", "team": {"id": "2", "abbreviation": "BOS"}}]}],
 }
 SUMMARY = {
     "gameInfo": {"officials": [{"displayName": "Ed F. Rush"}, {"fullName": "Al B", "id": "7", "jersey": "12.0"}]}, "officials": [{"name": "other"}],
-    "boxscore": {"players": [{"team": {"id": "1", "abbreviation": "GS"}, "statistics": [{"names": ["MIN", "FG", "PTS", "+/-"], "athletes": [{"athlete": {"id": "5", "displayName": "P"}, "stats": ["30", "4-9", "11", "-3"]}, {"didNotPlay": True, "athlete": {"id": "6"}, "stats": ["1"]}]}]}]},
+    "boxscore": {"players": [{"team": {"id": "1", "abbreviation": "GS"},
+    "statistics": [{"names": ["MIN", "FG", "PTS", "+/-"],
+    "athletes": [{"athlete": {"id": "5", "displayName": "P"}, "stats": ["30", "4-9", "11", "-3"]},
+    {"didNotPlay": True, "athlete": {"id": "6"}, "stats": ["1"]}]}]}]},
     "header": {"competitions": [{"notes": [{"headline": "Finals - Game 7"}]}]},
 }
 
 
 def test_feed_parsing(spark):
-    board = spark.createDataFrame([(json.dumps({"events": [EVENT, EVENT | {"id": "402", "name": "Play-In Game"}, EVENT | {"id": "403", "season": {"type": 1}}]}),)], "json string")
+    board = spark.createDataFrame([(json.dumps({"events": [EVENT, EVENT | {"id": "402", "name": "Play-In Game"},
+        EVENT | {"id": "403", "season": {"type": 1}}]}),)], "json string")
     g = feed.game_rows(feed.events(board), F.lit("2001-02"))
-    assert rows(g.select("game_id", "season_type", "home_team_abbr", "home_pts", "home_win", "completed")) == [("401", "Regular Season", "GSW", "99", "1", True), ("402", "Play-In", "GSW", "99", "1", True)]
+    assert rows(g.select("game_id", "season_type", "home_team_abbr", "home_pts", "home_win", "completed")) == [("401", "Regular Season",
+        "GSW", "99", "1", True), ("402", "Play-In", "GSW", "99", "1", True)]
     s = spark.createDataFrame([("401", json.dumps(SUMMARY)), ("402", "{}"), ("403", "broken")], "game_id string, json string")
-    assert rows(feed.player_rows(s).select("player_id", "team_abbr", "min", "pts", "fgm", "fga", "plus_minus", "reb")) == [("5", "GSW", "30", "11", "4", "9", "-3", "")]
-    assert rows(feed.official_rows(s).select("official_id", "official_name", "jersey_num")) == [("espn-athlete:7", "Al B", "12"), ("espn:ed-f-rush", "Ed F. Rush", "")]
+    assert rows(feed.player_rows(s).select("player_id", "team_abbr", "min", "pts", "fgm", "fga", "plus_minus", "reb")) == [("5", "GSW",
+        "30", "11", "4", "9", "-3", "")]
+    assert rows(feed.official_rows(s).select("official_id", "official_name", "jersey_num")) == [("espn-athlete:7", "Al B", "12"),
+        ("espn:ed-f-rush", "Ed F. Rush", "")]
     assert rows(feed.notes(s))[0] == ("401", "Finals - Game 7")
     assert rows(feed.presence(s)) == [("401", 2, 1), ("402", 0, 0), ("403", 0, 0)]
 
