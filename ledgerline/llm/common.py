@@ -80,7 +80,8 @@ def trim(spark: SparkSession) -> None:
     jvm, array = sc._jvm, sc._gateway.new_array
     named = jvm.java.lang.Class.forName
     kinds = ["javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;"]
-    values = [jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap", array(jvm.java.lang.Object, 0), array(jvm.java.lang.String, 0)]
+    values = [jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap",
+        array(jvm.java.lang.Object, 0), array(jvm.java.lang.String, 0)]
     types, args = array(jvm.java.lang.Class, 4), array(jvm.java.lang.Object, 4)
     for k in range(4):
         types[k], args[k] = named(kinds[k]), values[k]

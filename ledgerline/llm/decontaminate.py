@@ -85,7 +85,8 @@ def blocks(benchmark: DataFrame, size: int = BLOCK_WORDS) -> Iterator[Seeds]:
         words = [common.spoken(text) for _, text in own]
         grams = [common.ngram_ids(w, min(len(w), SEED_WORDS)) if len(w) > 1 else w[:0] for w in words]
         if sum(map(len, grams)):
-            yield indexed([name for name, _ in own], words, np.concatenate(grams), np.repeat(np.arange(len(own)), list(map(len, grams))), np.concatenate([np.arange(len(g)) for g in grams]))
+            yield indexed([name for name, _ in own], words, np.concatenate(grams), np.repeat(np.arange(len(own)), list(map(len, grams))),
+                np.concatenate([np.arange(len(g)) for g in grams]))
 
 
 def best_alignments(item: np.ndarray, stretches: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -158,7 +159,8 @@ def leaks(docs: DataFrame, seeds: Seeds) -> DataFrame:
             if rows:
                 yield common.batch(schema, *map(list, zip(*rows, strict=True)))
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(found, "doc_id long, item_id long, score double, end_word long, n_seeds long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(found,
+        "doc_id long, item_id long, score double, end_word long, n_seeds long")
 
 
 def clean(docs: DataFrame, seeds: Seeds) -> DataFrame:

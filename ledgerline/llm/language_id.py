@@ -126,7 +126,8 @@ def built(lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Model:
     context, last = (s[0] * a + s[1]) * a + s[2], s[3]
     width = -(-a // 64)
     empty = lambda kind, *shape: np.zeros((0, *shape), kind)
-    model = Model(languages, symbol, np.zeros(1, np.int32), empty(np.int64), empty(np.uint64, width), empty(np.int64, width), empty(np.float32, len(languages)), empty(np.float32, len(languages)))
+    model = Model(languages, symbol, np.zeros(1, np.int32), empty(np.int64), empty(np.uint64, width), empty(np.int64, width),
+        empty(np.float32, len(languages)), empty(np.float32, len(languages)))
     row = np.full(1, -1)  # context of the last order -> its number
     for order in range(4):
         pairs, at = np.unique((context % a**order) * a + last, return_inverse=True)
@@ -199,7 +200,8 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
             score = 1 / np.exp2(bits.min(1, keepdims=True) - bits).sum(1)
             none = [t is None for t in texts]
             names = [None if x else m.languages[b] for x, b in zip(none, best, strict=True)]
-            columns = [*table.drop_columns(["_text"]).columns, pa.array(["und" if x is None else x for x in names], pa.string()), pa.array(np.where(none, 0.0, score))]
+            columns = [*table.drop_columns(["_text"]).columns, pa.array(["und" if x is None else x for x in names], pa.string()),
+                pa.array(np.where(none, 0.0, score))]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, "lang_pred", "score"])
 
     return told.mapInArrow(scored, out)

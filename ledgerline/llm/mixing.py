@@ -116,15 +116,18 @@ def schedule(spark: SparkSession, plan: DataFrame, found: list[Share]) -> DataFr
     cells = 1 << max(4, (4 * len(found)).bit_length())
     point = F.conv(F.reverse(F.lpad(F.bin("id"), 52, "0")), 2, 10).cast("double") / float(1 << 52)
     slots = spark.range(total).select(F.col("id").alias("slot"), point.alias("u")).withColumn("cell", F.floor(F.col("u") * cells))
-    stretches = plan.where("slots > 0").select("number", "slots", "lo", "hi", F.explode(F.sequence(F.floor(F.col("lo") * cells), F.least(F.floor(F.col("hi") * cells), F.lit(cells - 1)))).alias("cell"))
+    stretches = plan.where("slots > 0").select("number", "slots", "lo", "hi",
+        F.explode(F.sequence(F.floor(F.col("lo") * cells), F.least(F.floor(F.col("hi") * cells), F.lit(cells - 1)))).alias("cell"))
     dealt = slots.join(stretches, "cell").where("u >= lo and u < hi").select("slot", "number", "slots", F.expr(f"slot div {GROUP}").alias("g"))
     before = dealt.groupBy("number", "g").agg(F.count("*").alias("n"))
     before = before.withColumn("before", F.sum("n").over(Window.partitionBy("number").orderBy("g")) - F.col("n"))
     inside = F.row_number().over(Window.partitionBy("number", "g").orderBy("slot")) - 1
-    ranked = dealt.withColumn("rank", inside).join(before.drop("n"), ["number", "g"]).select("slot", "number", (F.col("before") + F.col("rank")).alias("rank"), "slots")
+    ranked = dealt.withColumn("rank", inside).join(before.drop("n"), ["number", "g"]).select("slot", "number",
+        (F.col("before") + F.col("rank")).alias("rank"), "slots")
     counts = dealt.groupBy("number").agg(F.count("*").alias("n"))
     lacking = plan.join(counts, "number", "left").withColumn("n", F.coalesce("n", F.lit(0))).where("slots > n")
-    late = lacking.select("number", F.explode(F.sequence(F.col("n"), F.col("slots") - 1)).alias("rank")).select((total + F.col("rank") * len(found) + F.col("number")).alias("slot"), "number", "rank")
+    late = lacking.select("number", F.explode(F.sequence(F.col("n"),
+        F.col("slots") - 1)).alias("rank")).select((total + F.col("rank") * len(found) + F.col("number")).alias("slot"), "number", "rank")
     every = ranked.where("rank < slots").drop("slots").unionByName(late).join(plan.select("number", "source_size", "words", "blocks"), "number")
     epoch, k = F.expr("rank div blocks"), F.expr("rank % blocks")
     left = F.col("words") - epoch * F.col("source_size") - block_start(k)
@@ -140,13 +143,17 @@ def pieces(rows: DataFrame, plan: DataFrame, n_rows: int) -> DataFrame:
     own = own.withColumn("h", h).withColumn("g", F.floor(F.col("h") / F.lit(_HASH) * groups))
     sums = own.groupBy("number", "g").agg(F.sum("size").alias("n"))
     sums = sums.withColumn("before", F.sum("n").over(Window.partitionBy("number").orderBy("g")) - F.col("n")).drop("n")
-    inside = F.sum("size").over(Window.partitionBy("number", "g").orderBy("h", "doc_id", "key", "size").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
+    inside = F.sum("size").over(Window.partitionBy("number", "g").orderBy("h", "doc_id", "key",
+        "size").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
     placed = own.withColumn("inside", inside).join(sums, ["number", "g"]).withColumn("offset", F.col("before") + F.col("inside"))
     edge = F.expr("(source_size % blocks) * (source_size div blocks + 1)")
-    block_of = lambda w: F.when(w < edge, F.floor(w / F.expr("source_size div blocks + 1"))).otherwise(F.expr("source_size % blocks") + F.floor((w - edge) / F.expr("source_size div blocks")))
-    cut = placed.select("number", "doc_id", "size", "offset", "source_size", "blocks", F.explode(F.sequence(block_of(F.col("offset")), block_of(F.col("offset") + F.col("size") - 1))).alias("block"))
+    block_of = lambda w: F.when(w < edge,
+        F.floor(w / F.expr("source_size div blocks + 1"))).otherwise(F.expr("source_size % blocks") + F.floor((w - edge) / F.expr("source_size div blocks")))
+    cut = placed.select("number", "doc_id", "size", "offset", "source_size", "blocks",
+        F.explode(F.sequence(block_of(F.col("offset")), block_of(F.col("offset") + F.col("size") - 1))).alias("block"))
     start, stop = F.greatest("offset", block_start(F.col("block"))), F.least(F.col("offset") + F.col("size"), block_start(F.col("block") + 1))
-    return cut.select("number", "block", "doc_id", "size", "offset", (start - block_start(F.col("block"))).alias("at"), (stop - start).alias("words"), (start - F.col("offset")).alias("first_word"))
+    return cut.select("number", "block", "doc_id", "size", "offset", (start - block_start(F.col("block"))).alias("at"),
+        (stop - start).alias("words"), (start - F.col("offset")).alias("first_word"))
 
 
 @dataclass
@@ -177,7 +184,9 @@ def takings(found: Mix) -> DataFrame:
     every = found.rows.join(found.plan, found.rows["source"].eqNullSafe(found.plan["source"])).drop(found.plan["source"])
     every = every.withColumn("nth", nth("number", "doc_id", "size"))
     sums = sums.withColumn("nth", nth("number", "doc_id", "size"))
-    both = every.alias("a").join(sums.alias("b"), (F.col("a.number") == F.col("b.number")) & F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.size") == F.col("b.size")) & (F.col("a.nth") == F.col("b.nth")), "left")
+    both = every.alias("a").join(sums.alias("b"),
+        (F.col("a.number") == F.col("b.number")) & F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.size") == F.col("b.size"))
+        & (F.col("a.nth") == F.col("b.nth")), "left")
     return both.select("a.doc_id", "a.source", "a.size", "a.source_size", "a.target", F.coalesce("b.taken", F.lit(0)).cast("long").alias("taken"))
 
 
@@ -199,7 +208,8 @@ def resampled(docs: DataFrame) -> DataFrame:
     period = found.plan.where("blocks > 0").select("number", (total * F.col("blocks") / F.col("slots")).alias("period"))
     taken = found.taken.groupBy("number", "doc_id").agg(F.sum("words").alias("words"), F.min("slot").alias("first"))
     per = taken.join(sizes, "doc_id").join(period, "number")
-    per = per.select(F.col("doc_id").alias(_KEY), (F.col("words") / F.col("all_words")).alias(_SHARE), F.col("first").alias(_SLOT), F.col("period").alias(_PERIOD))
+    per = per.select(F.col("doc_id").alias(_KEY), (F.col("words") / F.col("all_words")).alias(_SHARE), F.col("first").alias(_SLOT),
+        F.col("period").alias(_PERIOD))
     luck = F.pmod(F.xxhash64(F.col(_KEY), F.lit(11)), F.lit(1 << 20)) / F.lit(float(1 << 20))
     times = F.floor(F.col(_SHARE) + luck).cast("int")
     rows = own.join(per, _KEY).where(times > 0).withColumn(_COPY, F.explode(F.sequence(F.lit(0), times - 1)))

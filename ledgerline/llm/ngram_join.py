@@ -380,9 +380,11 @@ def led_pairs(rows: DataFrame, seed: int) -> DataFrame:
     copies of one text, the one that was changed less shares more with the others, so a tile is
     led by the class with the most tiles."""
     order = F.struct(-F.col("rank"), F.xxhash64("class", F.lit(seed)))
-    leaders = rows.where("native").groupBy("tile").agg(F.min(F.struct(order.alias("k"), F.col("class").alias("other"), F.col("n").alias("m"), F.col("label").alias("theirs"))).alias("l")).select("tile", "l.*")
+    leaders = rows.where("native").groupBy("tile").agg(F.min(F.struct(order.alias("k"), F.col("class").alias("other"),
+        F.col("n").alias("m"), F.col("label").alias("theirs"))).alias("l")).select("tile", "l.*")
     both = rows.join(leaders, "tile").where((F.col("label") != F.col("theirs")) & near("n", "m"))
-    return both.groupBy("class").agg(F.min(F.struct("k", "other")).alias("l")).select(F.greatest("class", "l.other").alias("a"), F.least("class", "l.other").alias("b")).distinct()
+    return both.groupBy("class").agg(F.min(F.struct("k", "other")).alias("l")).select(F.greatest("class", "l.other").alias("a"),
+        F.least("class", "l.other").alias("b")).distinct()
 
 
 def open_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
@@ -401,7 +403,8 @@ def open_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
     own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     first, second = F.least("block", "other"), F.greatest("block", "other")
     meeting = F.when(F.col("blocks") == 1, F.col("tile")).otherwise(F.xxhash64("tile", first, second))
-    own = own.select(meeting.alias("tile"), "class", "n", "label", "main", "native", F.when(first == second, F.lit(-1)).otherwise((F.col("block") == first).cast("int")).alias("side"))
+    own = own.select(meeting.alias("tile"), "class", "n", "label", "main", "native",
+        F.when(first == second, F.lit(-1)).otherwise((F.col("block") == first).cast("int")).alias("side"))
     mixed = own.join(sets.select("class", "bits"), "class").select("tile", "class", "n", "label", "main", "native", "side", "bits")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -467,7 +470,8 @@ def labelled_rows(docs: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     buckets = 4 * common.shuffle_parts(spark)
     sets = common.saved(sets_of(docs, keys), "sets")
     rows = sets.where("n >= 0").select("doc_id", *keys, "n", F.expr("if(n > 0, class, null)").alias("class"))
-    classes = common.saved(rows.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.count("*").alias("rows")), "classes")
+    classes = common.saved(rows.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"),
+        F.count("*").alias("rows")), "classes")
     hits = counted(region_elements(docs, hot_elements(sets), buckets), buckets)
     every = common.saved(tiles(hits.unionByName(sizes_packed(classes, buckets)), buckets), "tiles")
     shared = every.groupBy("tile").agg(F.count("*").alias("k"), F.count_if("native").alias("h")).where("k > 1 and h > 0").select("tile")

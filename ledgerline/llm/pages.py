@@ -77,6 +77,7 @@ FILLERS = frozenset(
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(?P<raw>script|style)\b(?:[^>"']++|"[^"]*+"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|</?[a-zA-Z!?][^>]*>""",
+    
     re.IGNORECASE | re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")

@@ -224,7 +224,8 @@ def kth_largest(values: DataFrame, column: str, k: int) -> float:
             return rest[min(k - above, len(rest)) - 1] if n <= 10_000 else lo
         bins = 1024
         width = (hi - lo) / bins
-        counts = dict(inside.groupBy(F.least(F.floor((F.col(column) - lo) / width), F.lit(bins - 1)).alias("b")).agg(F.struct(F.count("*"), F.min(column), F.max(column))).collect())
+        counts = dict(inside.groupBy(F.least(F.floor((F.col(column) - lo) / width), F.lit(bins - 1)).alias("b")).agg(F.struct(F.count("*"),
+            F.min(column), F.max(column))).collect())
         for b in sorted(counts, reverse=True):
             if above + counts[b][0] >= k:
                 lo, hi = counts[b][1], counts[b][2]
@@ -260,7 +261,8 @@ def drawn(docs: DataFrame, labels: DataFrame, keep: list[str], budget: float | N
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents drawn: doc_id, score, lapse, log_weight (with its noise)."""
     docs, labels = common.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return drawn(docs.select("doc_id", "text"), labels, ["doc_id"]).select("doc_id", F.col(_SCORE).alias("score"), F.col(_LAPSE).alias("lapse"), F.col(_KEY).alias("log_weight"))
+    return drawn(docs.select("doc_id", "text"), labels, ["doc_id"]).select("doc_id", F.col(_SCORE).alias("score"),
+        F.col(_LAPSE).alias("lapse"), F.col(_KEY).alias("log_weight"))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

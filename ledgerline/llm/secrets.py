@@ -107,7 +107,8 @@ def made_up_identifiers(words: list[str], n: int = 4_000) -> list[str]:
     out = []
     for k in range(n):
         own = [draw.choice(words) for _ in range(draw.randint(2, 5))]
-        joined = [("_".join(own)), ("-".join(own)), "".join(w.capitalize() for w in own), "/".join(own), own[0] + "".join(w.capitalize() for w in own[1:]), "_".join(own).upper(), "".join(own)][k % 7]
+        joined = [("_".join(own)), ("-".join(own)), "".join(w.capitalize() for w in own), "/".join(own),
+            own[0] + "".join(w.capitalize() for w in own[1:]), "_".join(own).upper(), "".join(own)][k % 7]
         out.append(joined + (str(draw.randint(0, 2030)) if k % 3 == 0 else ""))
     return out
 

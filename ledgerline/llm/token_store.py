@@ -41,7 +41,9 @@ GROUP_CHARS = 3 << 20
 
 STORE = "shard int, block int, bits int, before long, n_ids long, min_doc long, max_doc long, doc_ids array<long>, starts array<long>, packed binary"
 _STORE = pa.schema(
-    [("shard", pa.int32()), ("block", pa.int32()), ("bits", pa.int32()), ("before", pa.int64()), ("n_ids", pa.int64()), ("min_doc", pa.int64()), ("max_doc", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64())), ("packed", pa.binary())]
+    [("shard", pa.int32()), ("block", pa.int32()), ("bits", pa.int32()), ("before", pa.int64()), ("n_ids", pa.int64()),
+    ("min_doc", pa.int64()), ("max_doc", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64())),
+    ("packed", pa.binary())]
 )
 
 
@@ -264,7 +266,8 @@ def vocabulary_of(spark: SparkSession, tokenizer_path: str) -> int:
     return spark.range(1, numPartitions=1).mapInArrow(told, "n long").first()[0]
 
 
-def write(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 0, vocabulary: int | None = None, block_ids: int = BLOCK_IDS, order: tuple[str, ...] = ("doc_id", "text")) -> None:
+def write(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 0, vocabulary: int | None = None, block_ids: int = BLOCK_IDS,
+        order: tuple[str, ...] = ("doc_id", "text")) -> None:
     """Encodes each document's whole text, appends end_id, and writes the store to path.
 
     docs: doc_id long, text string and the columns of order. One range shuffle of the texts puts
@@ -286,7 +289,8 @@ def write(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 0, voca
         def closed() -> pa.RecordBatch:
             known = [n for n in names if n is not None]
             packed = pack(np.frombuffer(b"".join(ids), "<u4"), bits)
-            return common.batch(_STORE, [shard], [block], [bits], [before], [held], [min(known, default=None)], [max(known, default=None)], [names], [starts], [packed])
+            return common.batch(_STORE, [shard], [block], [bits], [before], [held], [min(known, default=None)], [max(known, default=None)],
+                [names], [starts], [packed])
 
         for table in common.sliced(batches):
             found, texts = common.batches_of(table, "doc_id", "text")
@@ -303,7 +307,8 @@ def write(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 0, voca
         if names:
             yield closed()
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *(c for c in order if c not in ("doc_id", "text")))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+        *(c for c in order if c not in ("doc_id", "text")))
     ranges = [F.xxhash64("text") if c == "text" else F.col(c) for c in order]
     ordered = rows.repartitionByRange(common.shuffle_parts(docs.sparkSession), *ranges).sortWithinPartitions(*ranges)
     with common.batch_rows(docs.sparkSession, 1000):

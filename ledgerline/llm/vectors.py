@@ -134,7 +134,8 @@ def unit_rows(vectors: DataFrame) -> DataFrame:
                 same.append(xxhash.xxh3_128_digest(out[-1]) if size else None)
             yield common.batch(schema, ids, out, same)
 
-    return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).mapInArrow(units, "vec_id long, unit binary, same binary")
+    return vectors.select(F.col("vec_id").cast("long").alias("vec_id"),
+        F.col("embedding").cast("array<double>").alias("embedding")).mapInArrow(units, "vec_id long, unit binary, same binary")
 
 
 def vectors_of(column) -> np.ndarray:
@@ -146,7 +147,8 @@ def placed(classes: DataFrame, index: Index) -> DataFrame:
     its size, its unit vector, the lists it probes, codes and coding error."""
     shared = classes.sparkSession.sparkContext.broadcast(index)  # MOST_LISTS centroids at most
     kind = "list int, home boolean, rep long, n long, unit binary, probes array<int>, codes binary, error double"
-    schema = pa.schema([("list", pa.int32()), ("home", pa.bool_()), ("rep", pa.int64()), ("n", pa.int64()), ("unit", pa.binary()), ("probes", pa.list_(pa.int32())), ("codes", pa.binary()), ("error", pa.float64())])
+    schema = pa.schema([("list", pa.int32()), ("home", pa.bool_()), ("rep", pa.int64()), ("n", pa.int64()), ("unit", pa.binary()),
+        ("probes", pa.list_(pa.int32())), ("codes", pa.binary()), ("error", pa.float64())])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
@@ -176,8 +178,10 @@ def tiles(rows: DataFrame) -> DataFrame:
     blocks = lambda n, most: F.greatest(F.lit(1), F.ceil(F.col(n) / most)).cast("int")
     both = both.withColumn("ms", blocks("members", TILE_MEMBERS)).withColumn("vs", blocks("visitors", TILE_VISITORS))
     h = F.xxhash64("rep")
-    as_member = both.where("home").withColumn("m", F.pmod(h, F.col("ms")).cast("int")).withColumn("v", F.explode(F.sequence(F.lit(0), F.col("vs") - 1))).withColumn("member", F.lit(True))
-    as_visitor = both.withColumn("v", F.pmod(h, F.col("vs")).cast("int")).withColumn("m", F.explode(F.sequence(F.lit(0), F.col("ms") - 1))).withColumn("member", F.lit(False))
+    as_member = both.where("home").withColumn("m", F.pmod(h, F.col("ms")).cast("int")).withColumn("v",
+        F.explode(F.sequence(F.lit(0), F.col("vs") - 1))).withColumn("member", F.lit(True))
+    as_visitor = both.withColumn("v", F.pmod(h, F.col("vs")).cast("int")).withColumn("m",
+        F.explode(F.sequence(F.lit(0), F.col("ms") - 1))).withColumn("member", F.lit(False))
     return as_member.unionByName(as_visitor).where("members > 0").drop("members", "visitors", "ms", "vs", "home")
 
 
@@ -203,7 +207,8 @@ def tile_links(index: Index, members: pd.DataFrame, visitors: pd.DataFrame) -> t
             table = (rest[:, m] ** 2).sum(1)[:, None] - 2 * rest[:, m] @ books[m].T + (books[m] ** 2).sum(1)
             far += table[:, codes[:, m]]
         i, k = np.nonzero(far <= (reach**2).astype(np.float32) + 1e-4)
-        same = np.concatenate([np.einsum("ij,ij->i", q[i[b : b + 65536]], y[k[b : b + 65536]]) for b in range(0, len(i), 65536)]) >= LEAST_COSINE if len(i) else np.zeros(0, bool)
+        same = np.concatenate([np.einsum("ij,ij->i", q[i[b : b + 65536]], y[k[b : b + 65536]])
+            for b in range(0, len(i), 65536)]) >= LEAST_COSINE if len(i) else np.zeros(0, bool)
         i, k = i[same], k[same]
         other = visitors["rep"].to_numpy()[a + i] != members["rep"].to_numpy()[k]
         i, k = i[other], k[other]

@@ -59,12 +59,14 @@ def test_very_long_texts(spark, tmp_path):
     taken = {r["doc_id"]: r["size"] for r in mixing.takings(mixing.mix(df)).collect()}
     assert taken[1] == len(long.split())
     assert quality.drawn(df, spark.createDataFrame([], "doc_id long, quality int, toxic int"), ["doc_id"]).count() == 4
-    page = spark.createDataFrame([(1, "https://a.example/", f"<nav>menu</nav><article><p>{body}</p><p>end</p></article>")], "page_id long, url string, html string")
+    page = spark.createDataFrame([(1, "https://a.example/", f"<nav>menu</nav><article><p>{body}</p><p>end</p></article>")],
+        "page_id long, url string, html string")
     assert pages.main_text(page).first()["text"] == f"{body} end"
 
 
 def test_clashing_columns(spark):
-    more = {c: F.lit(7) for c in ("ids", "starts", "ends", "loss", "turns", "grams", "score", "good", "part", "class", "rep", "unit", "same", "list", "n", "segments", "host", "body", "subtrees", "hits", "slot", "number", "words", "key")}
+    more = {c: F.lit(7) for c in ("ids", "starts", "ends", "loss", "turns", "grams", "score", "good", "part", "class", "rep", "unit",
+        "same", "list", "n", "segments", "host", "body", "subtrees", "hits", "slot", "number", "words", "key")}
     talk = spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "assistant", None)], "conv_id long, turn long, role string, text string")
     assert chat.digested(chat.formatted(talk.withColumns(more), PATH)).first()["n_turns"] == 2
     own = docs(spark, (1, "some words of a text"), (2, "other words of one")).withColumns(more)

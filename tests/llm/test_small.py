@@ -25,7 +25,8 @@ def docs(spark, *rows):
 def odd(spark):
     """Null and empty texts, a null id, a repeated row, and columns that operators use inside."""
     df = docs(spark, (1, None), (2, ""), (3, "  \n "), (None, "a b c d e f"), (4, "a b c d e f"), (4, "a b c d e f"), (5, "x"))
-    return df.selectExpr("*", "'c' AS class", "1L AS key", "'t' AS label", "2 AS size", "3 AS _own", "0 AS good", "'z' AS _text", "7L AS grams", "0.5D AS score")
+    return df.selectExpr("*", "'c' AS class", "1L AS key", "'t' AS label", "2 AS size", "3 AS _own", "0 AS good", "'z' AS _text",
+        "7L AS grams", "0.5D AS score")
 
 
 # token store
@@ -58,7 +59,9 @@ def test_encoder_is_the_tokenizer(texts):
 
 def test_added_tokens_are_the_tokenizers():
     whole, own = Tokenizer.from_file(PATH), token_store.encoder(PATH)
-    texts = [t for x in whole.get_added_tokens_decoder().values() for t in (x.content, f"a {x.content} b", f"one,{x.content}{x.content}two.", f"{x.content[:-1]} {x.content[1:]}", f"\n {x.content}  ")]
+    texts = [t for x in whole.get_added_tokens_decoder().values()
+        for t in (x.content, f"a {x.content} b", f"one,{x.content}{x.content}two.", f"{x.content[:-1]} {x.content[1:]}",
+        f"\n {x.content}  ")]
     want = [whole.encode(t, add_special_tokens=False).ids for t in texts]
     assert [50256] in want and [np.frombuffer(x, "<u4").tolist() for x in own(texts)] == want
 
@@ -101,7 +104,8 @@ def test_masks_hold_assistant_texts(turns):
 
 
 def test_conversations(spark):
-    c = spark.createDataFrame([(1, 1, "assistant", "b"), (1, 0, "user", None), (1, 1, "assistant", "b"), (None, None, None, "x")], "conv_id long, turn long, role string, text string")
+    c = spark.createDataFrame([(1, 1, "assistant", "b"), (1, 0, "user", None), (1, 1, "assistant", "b"), (None, None, None, "x")],
+        "conv_id long, turn long, role string, text string")
     rows = {r["conv_id"]: r for r in chat.digested(chat.formatted(c, PATH)).collect()}
     assert (rows[1]["n_turns"], rows[1]["loss_chars"]) == (3, 2)
     assert rows[1]["turns_sha256"] == hashlib.sha256(b"user\n\nassistant\nb\nassistant\nb\n").hexdigest()
@@ -117,7 +121,8 @@ def test_language_models(spark, odd):
     train = docs(spark, *[(k * 10 + i, t * 3, k2) for i, (k2, t) in enumerate(text.items()) for k in range(5)], (99, None, "en"), (98, "the", None))
     model = language_id.fit(train)
     assert model.languages == ["de", "en", "xx"]
-    got = {r["doc_id"]: r for r in language_id.predict(docs(spark, (1, "the hat and the cat"), (2, "die katze und der hund"), (3, "123 !!"), (4, None), (5, "")), model, ["doc_id"]).collect()}
+    got = {r["doc_id"]: r for r in language_id.predict(docs(spark, (1, "the hat and the cat"), (2, "die katze und der hund"), (3, "123 !!"),
+        (4, None), (5, "")), model, ["doc_id"]).collect()}
     assert [got[k]["lang_pred"] for k in range(1, 6)] == ["en", "de", "und", "und", "und"]
     assert got[1]["score"] > 0.9 and got[3]["score"] == 0
     assert {r["lang_pred"] for r in language_id.predict(odd, language_id.fit(odd), ["doc_id"]).collect()} == {"und"}
@@ -218,7 +223,8 @@ def test_secret_spans(spark, odd):
     ratio = secrets.fit(odd)
     t = 'API_KEY = "abcd1234" é token: short secret:12345678 AKIAABCDEFGHIJKL AKIASHORT ' + "0a" * 16 + " xK9dQ2mZ7pL4vR8tW1yB5nC3 internationalization_of_identifiers"
     found = [(k, t[a:b]) for a, _, b, k in secrets.all_spans(t, ratio)]
-    assert found == [("assign", 'API_KEY = "abcd1234'), ("assign", "secret:12345678"), ("access", "AKIAABCDEFGHIJKL"), ("hex", "0a" * 16), ("random", "xK9dQ2mZ7pL4vR8tW1yB5nC3")]
+    assert found == [("assign", 'API_KEY = "abcd1234'), ("assign", "secret:12345678"), ("access", "AKIAABCDEFGHIJKL"), ("hex", "0a" * 16),
+        ("random", "xK9dQ2mZ7pL4vR8tW1yB5nC3")]
     rows = secrets.digested(secrets.scan(odd, ratio)).collect()
     assert len(rows) == 7 and {r["base_sha256"] for r in rows} == {hashlib.sha256(b"").hexdigest()} and {r["spans"] for r in rows} == {""}
 
@@ -228,7 +234,8 @@ def test_secret_spans(spark, odd):
 def test_base_spans_are_the_patterns(t):
     assign = re.compile(r"""((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd])|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
     want = [(m.start(), 0, m.end(), "assign") for m in assign.finditer(t) if len(m[2]) >= 8]
-    want += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 16] + [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 32]
+    want += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", t)
+        if len(m[0]) >= 16] + [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 32]
     assert secrets.base_spans(t) == sorted(want)
 
 
@@ -285,7 +292,8 @@ def test_targets_meet_caps():
 
 
 def test_mix_takes_its_targets(spark, odd):
-    rows = [(k, "w " * (k % 50 + 1), None, ["a", "b", None, "long"][k % 4]) for k in range(400)] + [(1000, "w " * 5000, None, "long"), (7, None, None, "a"), (8, "w " * 9, None, "b"), (8, "w " * 9, None, "b")]
+    rows = [(k, "w " * (k % 50 + 1), None, ["a", "b", None, "long"][k % 4]) for k in range(400)] + [(1000, "w " * 5000, None, "long"),
+        (7, None, None, "a"), (8, "w " * 9, None, "b"), (8, "w " * 9, None, "b")]
     found = mixing.mix(docs(spark, *rows), block_words=64)
     got = mixing.takings(found).collect()
     assert len(got) == len(rows)
@@ -387,7 +395,8 @@ def test_vectors_are_brute_force(spark):
     base = draw.normal(size=(300, 24))
     close = base[:60] + 0.12 * draw.normal(size=(60, 24))
     x = np.concatenate([base, close, base[:5], base[:3] * 4])
-    rows = [(k, [float(v) for v in r], 1) for k, r in enumerate(x)] + [(900, None, 1), (901, [], 1), (902, [0.0] * 24, 1), (903, [float("nan")] * 24, 1), (904, [None] * 24, 1), (905, [1.0], 1)]
+    rows = [(k, [float(v) for v in r], 1) for k, r in enumerate(x)] + [(900, None, 1), (901, [], 1), (902, [0.0] * 24, 1),
+        (903, [float("nan")] * 24, 1), (904, [None] * 24, 1), (905, [1.0], 1)]
     got = {r["vec_id"]: r for r in vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
     u = x / np.linalg.norm(x, axis=1, keepdims=True)
     link = u @ u.T >= 0.9
@@ -419,7 +428,8 @@ def test_recall_where_lists_are_skipped(spark, monkeypatch):
 def test_vectors_without_id(spark):
     rows = [(None, [1.0, 0.0]), (7, [1.0, 0.1]), (3, [0.0, 1.0]), (None, [1.0, 0.0]), (None, None), (None, [-1.0, 0.0])]
     got = vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
-    assert sorted(map(str, map(tuple, got))) == sorted(map(str, [(None, 2, 7, False), (None, 2, 7, False), (7, 2, 7, True), (3, 0, 3, True), (None, 0, None, False), (None, 0, None, False)]))
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str,
+        [(None, 2, 7, False), (None, 2, 7, False), (7, 2, 7, True), (3, 0, 3, True), (None, 0, None, False), (None, 0, None, False)]))
 
 
 # decontamination
@@ -510,8 +520,10 @@ def own_text(source):
     "source, text",
     [
         ('<article><h1>T</h1><section id="related-work">..real text..</section><p>end</p></article>', "T ..real text.. end"),
-        ('<article><h2 id="comments-on-the-method">On it</h2><p class="social-history">old</p><section id="comments-of-the-court">c</section></article>', "On it old c"),
-        ('<article><p>a</p><div class="comment-list"><p>I think</p></div><div id="comments">x</div><ul class="share-buttons"><li>tweet</li></ul><p>b</p></article>', "a b"),
+        ('<article><h2 id="comments-on-the-method">On it</h2><p class="social-history">old</p><section id="comments-of-the-court">c</section></article>',
+        "On it old c"),
+        ('<article><p>a</p><div class="comment-list"><p>I think</p></div><div id="comments">x</div><ul class="share-buttons"><li>tweet</li></ul><p>b</p></article>',
+        "a b"),
         ('<body><div class="site-header">S</div><div class="cookie notice">C</div><p>text</p><form>f</form></body>', "text"),
         ("<main><p>m</p><article class='teaser'>no</article></main>", "m"),
     ],
@@ -533,7 +545,9 @@ def test_templates_are_counted_by_brute_force(spark):
         body = word(30)
         menu = "".join(f'<li><a href="/{k}">{word(1)}</a></li>' for _ in range(draw.randint(2, 6)))
         article = f"<p>{body}</p><div>said on {'all' if host else k}</div>"
-        rows.append((k, f"https://h{host}.example/{k}", f'<div class="x7"><ul>{menu}</ul></div><article>{article}</article><div class="q2">{word(5)}</div>' if host < 2 else f"<div><ul>{menu}</ul></div><div>{article}</div><div>all the same here</div>"))
+        rows.append((k, f"https://h{host}.example/{k}",
+            f'<div class="x7"><ul>{menu}</ul></div><article>{article}</article><div class="q2">{word(5)}</div>' if host < 2
+            else f"<div><ul>{menu}</ul></div><div>{article}</div><div>all the same here</div>"))
         want[k] = body + (f" said on {k}" if host == 0 else "")
     table = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert {r["page_id"]: r["text"] for r in pages.main_text(table).collect()} == want
@@ -549,9 +563,11 @@ def test_page_text():
 
 def test_templates_go(spark):
     own = [(k, f"https://User@Site.example:80/{k}", PAGE.replace("{n}", "everywhere").replace("one", f"one{k}")) for k in range(10)]
-    other = [(100, "https://else.example/", PAGE.replace("{n}", "everywhere")), (101, None, None), (102, "", ""), (103, "https://site.example/x", PAGE.replace("{n}", "once"))]
+    other = [(100, "https://else.example/", PAGE.replace("{n}", "everywhere")), (101, None, None), (102, "", ""),
+        (103, "https://site.example/x", PAGE.replace("{n}", "once"))]
     got = {r["page_id"]: r for r in pages.main_text(spark.createDataFrame(own + other, "page_id long, url string, html string")).collect()}
     assert got[3]["text"] == "A & B one3 two bold ! next" and got[100]["text"].endswith("SHARED everywhere") and got[103]["text"].endswith("SHARED once")
     assert got[101]["text"] == got[102]["text"] == "" and got[3]["n_chars"] == len(got[3]["text"])
     same = [(k, "https://copy.example/", PAGE.replace("{n}", "same")) for k in range(20)]
-    assert {r["text"] for r in pages.main_text(spark.createDataFrame(same, "page_id long, url string, html string")).collect()} == {"A & B one two bold ! next SHARED same"}
+    assert {r["text"] for r in pages.main_text(spark.createDataFrame(same,
+        "page_id long, url string, html string")).collect()} == {"A & B one two bold ! next SHARED same"}
