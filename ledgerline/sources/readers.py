@@ -117,7 +117,7 @@ def json_documents(spark: SparkSession, path: str, schema: str | None = None) ->
 
 def raw_json(spark: SparkSession, path: str) -> DataFrame:
     """path and text of whole JSON files."""
-    return spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("json"))
+    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("json"))
 
 
 def database_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
