@@ -118,12 +118,18 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/ledgerline/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+#: Rows in an Arrow batch while an intermediate table is written. Spark's default, 10,000, keeps as
+#: many texts in the JVM and in the Python worker of each task, more than once.
+SAVED_ROWS = 2_000
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """df, written as Parquet to the shared folder and read again: it cuts the lineage, and a
     lost executor costs no more than the step that is running."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with batch_rows(spark, SAVED_ROWS):
+        df.write.option("compression", "zstd").parquet(path)
     trim(spark)
     return spark.read.schema(df.schema).parquet(path)
 
