@@ -237,8 +237,7 @@ ORACLES = {
   JOIN games USING (game_id))
   WHERE rank<=10""",
     "notable_games": """SELECT ref_key, game_id, game_date, concat_ws('@',away_team_abbr,home_team_abbr) AS matchup,
-    coalesce(home_team_abbr,'null')||' '||CAST(CAST(trunc(coalesce(home_pts,0)) AS BIGINT) AS VARCHAR)||',
-    '||coalesce(away_team_abbr,'null')||' '||CAST(CAST(trunc(coalesce(away_pts,0)) AS BIGINT) AS VARCHAR) AS result,
+    coalesce(home_team_abbr,'null')||' '||CAST(CAST(trunc(coalesce(home_pts,0)) AS BIGINT) AS VARCHAR)||', '||coalesce(away_team_abbr,'null')||' '||CAST(CAST(trunc(coalesce(away_pts,0)) AS BIGINT) AS VARCHAR) AS result,
     CASE WHEN po_round=4 THEN 'Finals' ELSE 'Round '||CAST(po_round AS VARCHAR) END AS round, po_game_num AS game_num
   FROM crew
   JOIN games USING (game_id)
