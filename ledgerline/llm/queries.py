@@ -6,13 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, common, decontaminate, language_id, mixing, ngram_join, oracles, pages, quality, secrets, token_store, vectors
+from . import (
+    chat,
+    common,
+    decontaminate,
+    language_id,
+    mixing,
+    ngram_join,
+    oracles,
+    pages,
+    quality,
+    role_repair,
+    secrets,
+    token_store,
+    vectors,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
         "op1_mixing": mixing.op1_mixing,
         "op10_main_text": pages.op10_main_text,
+        "op11_role_repair": role_repair.op11_role_repair,
         "op2_language_id": language_id.op2_language_id,
         "op3_chat_format": chat.op3_chat_format,
         "op4_ngram_join": ngram_join.op4_ngram_join,
