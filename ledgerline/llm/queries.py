@@ -16,6 +16,7 @@ from . import (
     oracles,
     pages,
     quality,
+    ranked_search,
     role_repair,
     secrets,
     token_store,
@@ -28,6 +29,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mixing": mixing.op1_mixing,
         "op10_main_text": pages.op10_main_text,
         "op11_role_repair": role_repair.op11_role_repair,
+        "op13_ranked_search": ranked_search.op13_ranked_search,
         "op2_language_id": language_id.op2_language_id,
         "op3_chat_format": chat.op3_chat_format,
         "op4_ngram_join": ngram_join.op4_ngram_join,
