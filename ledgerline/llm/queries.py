@@ -15,6 +15,7 @@ from . import (
     ngram_join,
     oracles,
     pages,
+    pii,
     quality,
     ranked_search,
     role_repair,
@@ -29,6 +30,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mixing": mixing.op1_mixing,
         "op10_main_text": pages.op10_main_text,
         "op11_role_repair": role_repair.op11_role_repair,
+        "op12_personal_data": pii.op12_personal_data,
         "op13_ranked_search": ranked_search.op13_ranked_search,
         "op2_language_id": language_id.op2_language_id,
         "op3_chat_format": chat.op3_chat_format,
