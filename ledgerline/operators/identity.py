@@ -40,28 +40,47 @@ def aliases(rows: DataFrame, key: str = "ref_key") -> DataFrame:
     return rows.groupBy(key).agg(*sets)
 
 
+def _shortened(own: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Each key k without one letter (s, g) and without two (s, g, h): what is left, and how many
+    letters of it come before each gap. A key's rows follow one another, none is an array."""
+    one = own.withColumn("i", F.explode(F.sequence(F.lit(1), F.length("k"))))
+    two = one.where(F.col("i") < F.length("k")).withColumn("j", F.explode(F.sequence(F.col("i") + 1, F.length("k"))))
+    return (one.select("k", F.expr("concat(left(k, i - 1), substring(k, i + 1))").alias("s"), (F.col("i") - 1).alias("g")),
+        two.select("k", F.expr("concat(left(k, i - 1), substring(k, i + 1, j - i - 1), substring(k, j + 1))").alias("s"), (F.col("i") - 1).alias("g"),
+        (F.col("j") - 2).alias("h")))
+
+
+def within_two_edits(keys: DataFrame) -> DataFrame:
+    """Pairs a < b of different keys (column k) at most two edits apart, by a deletion index.
+
+    An edit takes a letter from one of the keys or, as a replacement, one from both at the same gap
+    of what they have in common. So two keys are that near just if what is left of them is the same
+    and they lose 0 and 1 or 0 and 2 letters, one each, one and two with a gap in common, or two each
+    at the same gaps. Keys meet on the hash of exactly that and on nothing shorter: whoever meets is a
+    true pair, whatever the names have in common. A key of n letters gives about 2 n^2 rows."""
+    own = keys.select("k").distinct()
+    one, two = _shortened(own.where("k <> ''"))
+
+    def signed(df: DataFrame, tag: int, *by) -> DataFrame:
+        return df.select("k", F.xxhash64(F.lit(tag), *by).alias("t"))
+
+    left = signed(own, 0, "k").unionByName(signed(one, 1, "s")).unionByName(signed(one, 2, "s", "g")).unionByName(signed(two, 3, "s", "g", "h"))
+    right = signed(one, 0, "s").unionByName(signed(two, 0, "s")).unionByName(signed(one, 1, "s")).unionByName(signed(two, 2, "s", "g"))
+    right = right.unionByName(signed(two, 2, "s", F.col("h").alias("g"))).unionByName(signed(two, 3, "s", "g", "h"))
+    met = left.withColumnRenamed("k", "a").join(right.withColumnRenamed("k", "b"), "t").where("a <> b")
+    pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return pairs.where(F.levenshtein("a", "b", 2) >= 0)  # hashes may meet by chance
+
+
 def near_duplicates(keys: DataFrame, key: str = "ref_key") -> DataFrame:
-    """a, b (a < b) and reason, for a person to judge. Equal but for initials is an equi-join.
-    For two edits at most, one of the three thirds of the shorter key's text stays whole, so
-    pairs meet on a third and where it stands, give or take two places, and not all with all."""
-    own = keys.select(F.col(key).alias("k")).distinct()
+    """a, b (a < b) and reason, for a person to judge: equal but for initials, else at most two
+    edits apart. Both are equi-joins whose groups hold true pairs only."""
+    own = keys.select(F.col(key).alias("k")).where("k IS NOT NULL").distinct()
     plain = own.withColumn("p", X.without_initials("k")).where("p <> ''")
     same = plain.alias("x").join(plain.alias("y"),
         (F.col("x.p") == F.col("y.p")) & (F.col("x.k") < F.col("y.k"))).select(F.col("x.k").alias("a"), F.col("y.k").alias("b"),
         F.lit("same-after-dropping-initials").alias("reason"))
-    # pieces of a key of n characters, as another key (n - 2 to n + 2 long) would be cut into three
-    n = F.length("k")
-    cuts = F.expr(
-        "flatten(transform(sequence(greatest(length(k) - 2, 1), length(k)), m -> transform(sequence(0, 2), i -> struct(m as m, i as i, (m * i) div 3 as s, (m * (i + 1)) div 3 - (m * i) div 3 as w))))"
-    )
-    whole = own.where(n >= 1).select("k", F.explode(cuts).alias("c")).select("k", "c.*")
-    short = whole.where("m = length(k)").select(F.col("k").alias("a"), "m", "i", F.expr("substring(k, s + 1, w)").alias("t"))
-    moved = whole.select(F.col("k").alias("b"), "m", "i",
-        F.explode(F.sequence(F.greatest(F.col("s") - 2, F.lit(0)), F.col("s") + 2)).alias("at"), "w").select("b", "m", "i",
-        F.expr("substring(b, at + 1, w)").alias("t")).distinct()
-    met = short.join(moved, ["m", "i", "t"]).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    near = met.where(F.levenshtein("a", "b", 2) >= 0).select("a", "b", F.lit("edit-distance<=2").alias("reason"))
-    both = same.unionByName(near)
+    both = same.unionByName(within_two_edits(own).withColumn("reason", F.lit("edit-distance<=2")))
     return both.groupBy("a", "b").agg(F.max("reason").alias("reason"))
 
 
