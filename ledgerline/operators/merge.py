@@ -3,6 +3,8 @@ the result to a new place and swaps it in, since Spark can't overwrite what it i
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,6 +44,14 @@ def appended(stored: DataFrame, incoming: DataFrame, keys: list[str], *order: st
     return _one(both, keys, [late, *[F.col(c) for c in order]]).drop("_late")
 
 
+def in_blocks(df: DataFrame, key: str, size: int | None) -> Iterator[DataFrame]:
+    """The rows in blocks of about so many keys, by the keys' hash; null is a key like others. None: all
+    at once."""
+    n = 1 if size is None else max(1, -(-df.select(key).distinct().count() // size))
+    for k in range(n):
+        yield df if n == 1 else df.where(F.pmod(F.xxhash64(key), F.lit(n)) == k)
+
+
 def purged(tables: dict[str, DataFrame], gone: DataFrame, key: str = "game_id") -> dict[str, DataFrame]:
     """Every table without the rows of the given keys."""
     keys = gone.select(key).distinct()

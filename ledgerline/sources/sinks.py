@@ -1,4 +1,5 @@
-"""Writers. What a table is merged into is written beside it and then swapped in."""
+"""Writers. What a table is merged into is written beside it and then swapped in; tables in
+partitions, of which a merge touches few, are in tables."""
 
 from __future__ import annotations
 
@@ -65,14 +66,10 @@ def upserted(spark: SparkSession, path: str, incoming: DataFrame, keys: list[str
 
 
 def appended(spark: SparkSession, path: str, incoming: DataFrame, keys: list[str], *order: str, flush: int | None = None) -> None:
-    """New keys are added, stored ones stay. With flush, the games that come in are merged so many
-    at a time, so that what a broken run has fetched is kept: each flush is a swap of its own."""
-    if flush is None:
-        merged(spark, path, incoming, lambda old, new: merge.appended(old, new, keys, *order))
-        return
-    games = sorted(r[0] for r in incoming.select("game_id").distinct().collect())  # those of one fetch
-    for k in range(0, len(games), flush):
-        appended(spark, path, incoming.where(F.col("game_id").isin(games[k : k + flush])), keys, *order)
+    """New keys are added, stored ones stay. With flush, the games that come in are merged about so
+    many at a time, so that what a broken run has fetched is kept: each flush is a swap of its own."""
+    for block in merge.in_blocks(incoming, "game_id", flush):
+        merged(spark, path, block, lambda old, new: merge.appended(old, new, keys, *order))
 
 
 def without_stale(spark: SparkSession, path: str, seasons: list[str], form: str = "parquet") -> int:

@@ -1,7 +1,8 @@
 """Incremental ingest: payload files as a stream, each micro-batch merged into the tables.
 
-The stream's checkpoint remembers which files were read; a batch that is run again after a
-failure replaces the same games, so the tables end up the same."""
+The stream's checkpoint remembers which files were read; a batch that is run again after a failure
+replaces the same games, so the tables end up the same. A batch reads and rewrites the seasons that
+its games are in, and no others."""
 
 from __future__ import annotations
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import merge
-from ..sources import feed, sinks
+from ..sources import feed, tables
 
 
 def payloads(spark: SparkSession, path: str, per_batch: int = 100) -> DataFrame:
@@ -29,7 +30,7 @@ def merge_games(path: str, season: str):
         rows = rows.join(feed.exhibitions(rows).select("game_id").distinct(), "game_id", "left_anti")
         rows = merge.keep_last(rows, ["game_id"], "time", "path").drop("time", "path")
         if not rows.isEmpty():
-            sinks.upserted(batch.sparkSession, path, rows, ["game_id"], "game_date")
+            tables.upserted(batch.sparkSession, path, rows, ["game_id"], "game_date")
 
     return merged
 

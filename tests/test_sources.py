@@ -3,7 +3,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from ledgerline.sources import feed, readers, sinks
+from ledgerline.sources import feed, readers, sinks, tables
 from ledgerline.streaming import ingest
 
 
@@ -117,4 +117,4 @@ def test_stream_of_payloads(spark, tmp_path):
         q = ingest.run(ingest.payloads(spark, str(tmp_path / "in")), ingest.merge_games(out, "2001-02"), check)
         q.awaitTermination(120)
         assert q.exception() is None
-    assert rows(spark.read.parquet(out).select("game_id", "home_pts")) == [("401", "101")]
+    assert rows(tables.stored(spark, out).select("game_id", "home_pts")) == [("401", "101")]
