@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -106,49 +105,31 @@ def adjacent(segs: DataFrame) -> DataFrame:
         & (F.col("x.era") != F.col("y.era")) & meet).select(F.col("x.seg_id").alias("a"), F.col("y.seg_id").alias("b"))
 
 
-def swept(rows: list[tuple]) -> dict[str, str]:
-    """seg_id -> least segment that it is joined with. rows: (smin, seg_id, era, smax) of one key. In
-    order of their first season, a segment joins all those of other schemes before it that end two
-    years before it begins, or later. What it joins is one from then on, so of each scheme only one
-    of these has to be remembered, with the last of their ends."""
-    label = {seg: seg for _, seg, _, _ in rows}
-
-    def root(x: str) -> str:
-        while label[x] != x:
-            label[x] = label[label[x]]
-            x = label[x]
-        return x
-
-    open_: dict[str, list[tuple[int, str]]] = {}  # scheme -> (end, segment)
-    for smin, seg, era, smax in sorted(rows):
-        for other, held in open_.items():
-            met = [(end, x) for end, x in held if smin <= end + 2] if other != era else []
-            if met:
-                for _, x in met:
-                    a, b = sorted((root(seg), root(x)))
-                    label[b] = a
-                # those that ended too early for this one are too early for all that follow
-                open_[other] = [max(met)]
-        open_.setdefault(era, []).append((smax, seg))
-    return {seg: root(seg) for seg in label}
-
-
 def entity_of(segs: DataFrame) -> DataFrame:
-    """seg_id, component: its least segment. Joined segments share a name key, so components
-    are found within one key's segments; other columns stay behind. A task takes its keys one after
-    the other, without a call for each."""
-
-    def joined(parts):
-        by_key: dict = {}
-        for part in parts:
-            for key, seg, era, smin, smax in part.itertuples(index=False):
-                by_key.setdefault(key, []).append((smin, seg, era, smax))
-        label: dict = {}
-        for rows in by_key.values():
-            label |= swept(rows)
-        yield pd.DataFrame({"seg_id": list(label), "component": list(label.values())})
-
-    return segs.select("name_key", "seg_id", "era", "smin", "smax").repartition("name_key").mapInPandas(joined, "seg_id string, component string")
+    """seg_id, component: the least segment that it is joined with, directly or through others.
+
+    A segment joins all segments of one key and other schemes that begin up to two years after it
+    ends, or have not ended two years before it begins. While one is open, whatever else begins
+    joins it or is of its own scheme, and a segment without any of another scheme near is alone. So
+    entities of more than one segment follow each other in time: sorted by first season, a new one
+    begins where no earlier segment reaches. For that it is enough to know of each key and scheme
+    in which years segments begin and the last year that those end; a window only sees a key's
+    years, however many segments the key has. A segment without key or season is alone."""
+    own = segs.select("name_key", "seg_id", "era", "smin", "smax")
+    starts = own.groupBy("name_key", "era", "smin").agg(F.max("smax").alias("end"))
+    starts = starts.groupBy("name_key").agg(F.collect_list(F.struct("era", F.col("smin").alias("year"), "end")).alias("starts"))
+    others = F.filter("starts", lambda t: t["era"] != F.col("era"))
+    after = F.filter(others, lambda t: t["year"].between(F.col("smin"), F.col("smax") + 2))
+    before = F.exists(others, lambda t: (t["year"] <= F.col("smin")) & (t["end"] + 2 >= F.col("smin")))
+    seen = own.join(starts, "name_key", "left").select("name_key", "seg_id", "smin",
+        F.array_max(F.transform(after, lambda t: t["year"])).alias("reach"), F.coalesce(before, F.lit(False)).alias("met"))
+    joined = F.col("reach").isNotNull() | F.col("met")
+    years = seen.where(joined).groupBy("name_key", "smin").agg(F.max(F.coalesce("reach", "smin")).alias("reach"), F.min("seg_id").alias("least"))
+    in_order = Window.partitionBy("name_key").orderBy("smin")
+    earlier = F.max("reach").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    islands = years.withColumn("new", F.when(earlier >= F.col("smin"), 0).otherwise(1)).withColumn("island", F.sum("new").over(in_order))
+    named = islands.select("name_key", "smin", F.min("least").over(Window.partitionBy("name_key", "island")).alias("least"))
+    return seen.join(named, ["name_key", "smin"], "left").select("seg_id", F.when(joined, F.col("least")).otherwise(F.col("seg_id")).alias("component"))
 
 
 def entities(segs: DataFrame) -> DataFrame:

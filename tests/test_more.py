@@ -141,22 +141,35 @@ def test_folding_is_unicode_s(spark):
         assert f == (None if n is None else unicodedata.normalize("NFKD", n).encode("ascii", "ignore").decode())
 
 
-def test_sweep_is_brute_force():
+def test_entities_are_those_of_brute_force(spark):
     draw = random.Random(12)
-    for _ in range(300):
+    table, label = [], {}
+    for key in range(400):
         segs = []
         for k in range(draw.randint(1, 9)):
             a = draw.randint(2000, 2020)
-            segs.append((a, f"s{k}", draw.choice(["nba", "espn", "third"]), a + draw.randint(0, 5)))
-        label = {s[1]: s[1] for s in segs}
+            segs.append((a, f"{key}-s{k}", draw.choice(["nba", "espn", "third"][: 2 + key % 2]), a + draw.randint(0, 5)))
+        own = {s[1]: s[1] for s in segs}
         for _ in segs:
             for (a, p, e, b), (c, q, f, d) in itertools.combinations(segs, 2):
                 meet = c <= b + 2 if a <= c else a <= d + 2
                 if e != f and meet:
-                    low = min(label[p], label[q])
-                    old = {label[p], label[q]}
-                    label = {k: low if v in old else v for k, v in label.items()}
-        assert identity.swept(segs) == label
+                    low, old = min(own[p], own[q]), {own[p], own[q]}
+                    own = {k: low if v in old else v for k, v in own.items()}
+        label |= own
+        table += [(seg, f"key{key}", era, a, b) for a, seg, era, b in segs]
+    df = spark.createDataFrame([*table, ("x", None, "nba", 2000, 2001), ("y", None, "espn", 2000, 2001), ("z", "key1", "nba", None, None)],
+        "seg_id string, name_key string, era string, smin int, smax int")
+    found = identity.entity_of(df)
+    assert dict(found.collect()) == label | {"x": "x", "y": "y", "z": "z"}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "MapIn" not in plan
+
+
+def test_a_name_with_very_many_segments(spark):
+    table = [(f"s{k:05}", "one", "nba" if k % 2 else "espn", 1950 + k % 60, 1950 + k % 60 + k % 3) for k in range(20_000)]
+    df = spark.createDataFrame(table, "seg_id string, name_key string, era string, smin int, smax int")
+    assert {c for _, c in identity.entity_of(df).collect()} == {"s00000"}
 
 
 def test_chains_of_segments(spark):
