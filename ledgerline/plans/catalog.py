@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as X
 from ..operators import boards, crew, documents, identity, merge, playoffs, profiles, quality
-from . import more, more_oracles, oracles
+from . import more, more_oracles, oracles, stored
 from .analog import Analog
 
 CURRENT = "2000-01"
@@ -304,8 +304,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bound(f: Callable[[Analog], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, sf_dir: f(Analog(spark, sf_dir))
 
-    return {name: bound(f) for name, f in (_QUERIES | more.QUERIES).items()}
+    return {name: bound(f) for name, f in (_QUERIES | more.QUERIES | stored.QUERIES).items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: oracles.sql(body) for name, body in (oracles.ORACLES | more_oracles.ORACLES).items()}
+    return {name: oracles.sql(body) for name, body in (oracles.ORACLES | more_oracles.ORACLES | stored.ORACLES).items()}

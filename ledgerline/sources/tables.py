@@ -74,7 +74,7 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
 
 
 def _read(spark: SparkSession, path: str, version: int) -> Manifest:
-    text = spark.read.option("wholetext", True).text(f"{path}/_manifest/{version:012}.json").first()[0]
+    text = spark.read.text(f"{path}/_manifest/{version:012}.json", wholetext=True).first()[0]
     found = json.loads(text)
     return Manifest(**{**found, "parts": [Part(**{**p, "values": tuple(p["values"])}) for p in found["parts"]]})
 
