@@ -245,6 +245,14 @@ def ngram_ids(ids: np.ndarray, n: int) -> np.ndarray:
     return out if size == n else mixed(out + np.uint64(size))
 
 
+def run_ids(words: list[np.ndarray]) -> np.ndarray:
+    """A 64-bit hash for the words at each place of several arrays, in this order."""
+    out = np.zeros(len(words[0]), np.uint64)
+    for w in words:
+        out = mixed(out + w + _MIX)
+    return out
+
+
 def sliced(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """The batches in pieces of a few rows, so that few texts are Python objects at once; at
     the end, what the task has freed goes back to the system, as workers live on."""

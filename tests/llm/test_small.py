@@ -447,12 +447,12 @@ def test_copies_and_clean_text(spark, odd):
     texts = [noise(100) + item + noise(50), noise(30) + edited + noise(30), gap, [w.upper() + "!!" for w in item], noise(300), item[:6] + noise(100)]
     df = docs(spark, *[(k, " ".join(t)) for k, t in enumerate(texts)])
     bench = spark.createDataFrame([(7, " ".join(item)), (8, "too short"), (9, None)], "item_id long, text string")
-    seeds = list(decontaminate.rare_seeds(df, bench))
+    seeds = list(decontaminate.blocks(bench))
     got = {(r["doc_id"], r["item_id"]): r["score"] for s in seeds for r in decontaminate.leaks(df, s).collect()}
     assert set(got) == {(0, 7), (1, 7), (2, 7), (3, 7)} and got[0, 7] == 1.0 and got[1, 7] < 1
     assert [r["doc_id"] for r in decontaminate.clean(df, seeds[0]).orderBy("doc_id").collect()] == [4, 5]
     assert decontaminate.clean(odd, seeds[0]).count() == 7
-    assert list(decontaminate.rare_seeds(df, bench.limit(0))) == []
+    assert list(decontaminate.blocks(bench.limit(0))) == []
 
 
 def test_short_items_and_null_ids(spark):
@@ -481,7 +481,7 @@ def test_edited_copies_are_brute_force(spark, beside_verbatim):
     texts += [noise(9) + item for item in items] if beside_verbatim else []
     df = docs(spark, *[(k, " ".join(t)) for k, t in enumerate([*texts, *[noise(30) + item[:5] + noise(30) for item in items]])])
     bench = spark.createDataFrame([(k, " ".join(item)) for k, item in enumerate(items)], "item_id long, text string")
-    got = {(r["doc_id"], r["item_id"]): r["score"] for s in decontaminate.rare_seeds(df, bench) for r in decontaminate.leaks(df, s).collect()}
+    got = {(r["doc_id"], r["item_id"]): r["score"] for s in decontaminate.blocks(bench) for r in decontaminate.leaks(df, s).collect()}
 
     def brute(item, text):
         h = np.zeros((len(item) + 1, len(text) + 1), int)
