@@ -1,4 +1,4 @@
-"""The REST feed: a batch data source of JSON payloads, and what is parsed from them."""
+"""The REST feed: data sources of JSON payloads, in a batch or day by day, and what is parsed from them."""
 
 from __future__ import annotations
 
@@ -7,11 +7,13 @@ import time
 import urllib.error
 import urllib.request
 from collections.abc import Iterator
+from dataclasses import dataclass
+from datetime import UTC, date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from .. import schemas as S
 from ..functions import scalars as X
@@ -30,10 +32,44 @@ def fetched(url: str, retries: int = 4, wait: float = 2.0, timeout: float = 30.0
     raise ValueError("retries must be positive")
 
 
+@dataclass
+class Lane(InputPartition):
+    """Urls (with further values of their rows) that one task asks for, one after the other: the first
+    after a wait, each at least pace seconds after the one before. Lanes begin one delay after the other
+    and keep a pace of as many delays as there are lanes, so all of them together keep the delay,
+    whatever the number of tasks that run at once."""
+
+    urls: list[tuple]
+    wait: float
+    pace: float
+
+
+def lanes(urls: list[tuple], delay: float, n: int) -> list[Lane]:
+    if not delay:
+        return [Lane([u], 0, 0) for u in urls]
+    n = min(n, len(urls))
+    return [Lane(urls[k::n], delay * (k + 1), delay * n) for k in range(n)]
+
+
+def answers(lane: Lane, retries: int, wait: float) -> Iterator[tuple]:
+    """The values of each url's row and what it answers, null where it fails. Another try waits for the
+    lane's pace, too."""
+    due = time.monotonic() + lane.wait
+    for url, *more in lane.urls:
+        time.sleep(max(0.0, due - time.monotonic()))
+        due = time.monotonic() + lane.pace
+        try:
+            found = fetched(url, retries, max(wait, lane.pace))
+        except (urllib.error.URLError, TimeoutError):
+            found = None
+            due = time.monotonic() + lane.pace
+        yield (*more, url, found)
+
+
 class FeedSource(DataSource):
-    """spark.read.format("feed").option("urls", "<json array>"): url, json. A url is a task; a
-    url that fails gives a null json, so that it can be asked for again. Option delay: seconds
-    to wait before each."""
+    """spark.read.format("feed").option("urls", "<json array>"): url, json. A url that fails gives a
+    null json, so that it can be asked for again. Option delay: seconds between any two requests, of
+    whatever task; lanes: so many tasks share it (without delay, each url is a task)."""
 
     @classmethod
     def name(cls) -> str:
@@ -49,22 +85,71 @@ class FeedSource(DataSource):
 class FeedReader(DataSourceReader):
     def __init__(self, options):
         self.urls = json.loads(options.get("urls", "[]"))
-        self.delay = float(options.get("delay", "0"))
+        self.delay, self.lanes = float(options.get("delay", "0")), int(options.get("lanes", "4"))
         self.retries, self.wait = int(options.get("retries", "4")), float(options.get("wait", "2"))
 
     def partitions(self) -> list[InputPartition]:
-        return [InputPartition(u) for u in self.urls]
+        return lanes([(u,) for u in self.urls], self.delay, self.lanes)
 
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        time.sleep(self.delay)
-        try:
-            yield (partition.value, fetched(partition.value, self.retries, self.wait))
-        except (urllib.error.URLError, TimeoutError):
-            yield (partition.value, None)
+    def read(self, partition: Lane) -> Iterator[tuple]:
+        yield from answers(partition, self.retries, self.wait)
+
+
+class DaysSource(DataSource):
+    """spark.readStream.format("feed_days"): the answers to one request a day and type, as type, day, url
+    and json. Options: url, with {type} and {day} in it (a day is yyyymmdd there); types, with commas;
+    first and last day; today (the days before it are finished); delay, lanes, retries and wait as
+    above. The offset is, for each type, the last day that was asked for, so a query that is started
+    again goes on after it, and a type that is new begins at the first day."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "feed_days"
+
+    def schema(self) -> str:
+        return "type string, day string, url string, json string"
+
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return DaysReader(self.options)
+
+
+class DaysReader(DataSourceStreamReader):
+    def __init__(self, options):
+        day = lambda name: date.fromisoformat(options[name]) if name in options else None
+        self.url, self.types = options["url"], options["types"].split(",")
+        self.first, self.last, self.today = day("first"), day("last"), day("today")
+        self.delay, self.lanes = float(options.get("delay", "1")), int(options.get("lanes", "4"))
+        self.retries, self.wait = int(options.get("retries", "4")), float(options.get("wait", "2"))
+
+    def _before_first(self) -> date:
+        return self.first - timedelta(days=1)
+
+    def initialOffset(self) -> dict:
+        return {t: self._before_first().isoformat() for t in self.types}
+
+    def latestOffset(self) -> dict:
+        finished = (self.today or datetime.now(UTC).date()) - timedelta(days=1)
+        end = max(self._before_first(), min(finished, self.last or finished))
+        return {t: end.isoformat() for t in self.types}
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        urls = []
+        for t, last in end.items():
+            day = date.fromisoformat(start[t]) if t in start else self._before_first()
+            while (day := day + timedelta(days=1)) <= date.fromisoformat(last):
+                urls.append((self.url.format(type=t, day=day.strftime("%Y%m%d")), t, day.isoformat()))
+        return lanes(sorted(urls, key=lambda u: (u[2], u[1])), self.delay, self.lanes)
+
+    def read(self, partition: Lane) -> Iterator[tuple]:
+        yield from answers(partition, self.retries, self.wait)
+
+    def commit(self, end: dict) -> None:
+        """The checkpoint holds the offsets; there is nothing else to let go of."""
 
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(FeedSource)
+    spark.dataSource.register(DaysSource)
 
 
 EVENT = """struct<id:string,date:string,name:string,shortName:string,season:struct<type:int,slug:string>,status:struct<type:struct<completed:boolean,state:string>>,

@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions import scalars as X
 from ..operators import merge
-from ..sources import feed, tables
+from ..sources import feed, shared, tables
 
 
 def payloads(spark: SparkSession, path: str, per_batch: int = 100) -> DataFrame:
@@ -21,16 +22,33 @@ def payloads(spark: SparkSession, path: str, per_batch: int = 100) -> DataFrame:
         F.col("_metadata.file_modification_time").alias("time"))
 
 
-def merge_games(path: str, season: str):
+def days(spark: SparkSession, url: str, types: list[str], first: str, **options: str) -> DataFrame:
+    """The feed's answers day by day, as they can be merged: json, path, time and day. Later runs go on
+    where the checkpoint stands."""
+    feed.register(spark)
+    reader = spark.readStream.format("feed_days").options(url=url, types=",".join(types), first=first, **options)
+    return reader.load().select("json", F.col("url").alias("path"), F.current_timestamp().alias("time"), "day", "type")
+
+
+def merge_games(path: str, season: str | None = None):
     """A foreachBatch function: completed league games of a batch of scoreboards go to path. Of a
-    game that several files tell of, the file changed last counts, so a replay gives the same."""
+    game that several files tell of, the file changed last counts, so a replay gives the same. Without a
+    season it is that of the scoreboard's day; a new one begins in October."""
 
     def merged(batch: DataFrame, _number: int) -> None:
-        rows = feed.game_rows(feed.events(batch, "time", "path"), F.lit(season), "time", "path").where("completed").drop("completed")
+        # written first, so that each file is read, and the feed asked, once
+        staged = shared.new_path(batch.sparkSession, "batch")
+        batch.write.parquet(staged)
+        own = batch.sparkSession.read.schema(batch.schema).parquet(staged).where("json IS NOT NULL")
+        day = F.col("day").cast("date") if "day" in own.columns else None
+        label = F.lit(season) if season or day is None else X.season_label(F.year(day) - F.when(F.month(day) >= 10, 0).otherwise(1))
+        found = feed.events(own.withColumn("own_season", label), "time", "path", "own_season")
+        rows = feed.game_rows(found, F.col("own_season"), "time", "path", "own_season").where("completed").drop("completed", "own_season")
         rows = rows.join(feed.exhibitions(rows).select("game_id").distinct(), "game_id", "left_anti")
         rows = merge.keep_last(rows, ["game_id"], "time", "path").drop("time", "path")
         if not rows.isEmpty():
             tables.upserted(batch.sparkSession, path, rows, ["game_id"], "game_date")
+        shared.delete(batch.sparkSession, staged)
 
     return merged
 
