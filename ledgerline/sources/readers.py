@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from .. import schemas as S
 from ..functions import columns as names
 from ..functions import scalars as X
+from . import sqlite
 
 
 #: Headers of so many files are read at once.
@@ -120,8 +121,10 @@ def raw_json(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("json"))
 
 
-def database_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
-    """table, columns and rows of the catalog."""
+def database_tables(spark: SparkSession, database: str | None = None, path: str | None = None) -> DataFrame:
+    """table, columns and rows of the catalog or, with a path, of a SQLite file."""
+    if path is not None:
+        return sqlite.catalog(spark, path)
     rows = []
     for t in spark.catalog.listTables(database):
         name = f"{database}.{t.name}" if database and not t.isTemporary else t.name
@@ -129,11 +132,11 @@ def database_tables(spark: SparkSession, database: str | None = None) -> DataFra
     return spark.createDataFrame(rows, "table string, columns array<string>, rows long")
 
 
-def database_table(spark: SparkSession, table: str, columns: list[str] | None = None, url: str | None = None, **options: str) -> DataFrame:
-    """A table of the catalog, or, with a url, by JDBC (the driver's jar must be there); the
-    columns are pushed down."""
-    df = spark.table(table) if url is None else spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
-    return df.select(*columns) if columns else df
+def database_table(spark: SparkSession, table: str, columns: list[str] | None = None, path: str | None = None, partitions: int = 8) -> DataFrame:
+    """A table of the catalog or, with a path, of a SQLite file, of which only the columns are read."""
+    if path is not None:
+        return sqlite.table(spark, path, table, columns, partitions)
+    return spark.table(table).select(*columns) if columns else spark.table(table)
 
 
 GAME_SIGNALS = [["gameid"], ["gamedate", "date"], ["hometeamid", "teamidhome"], ["ptshome", "homepts", "homescore"], ["ptsaway", "awaypts", "awayscore"]]
