@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,11 +32,12 @@ def files_of(spark: SparkSession, path: str | list[str]) -> list[str]:
     return sorted(out)
 
 
-def text_csv(spark: SparkSession, path: str | list[str], schema: str | None = None, comment: str | None = None) -> DataFrame:
+def text_csv(spark: SparkSession, path: str | list[str], schema: str | None = None, comment: str | None = None, number: str | None = None) -> DataFrame:
     """CSV with a header, all text, plain or compressed; nulls are empty text. Columns come by
     their names in each file, whatever their order there (Spark alone goes by the first file's
     order): files are read in groups of one header. With a schema, columns that a file lacks are
-    empty; without, those that any file has are there."""
+    empty; without, those that any file has are there. number: a further column with the row's place
+    among all rows of all files, 0, 1, 2 ..., files by name, rows as written."""
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("inferSchema", False)
     reader = reader.option("comment", comment) if comment else reader
     files = files_of(spark, path)
@@ -46,14 +47,29 @@ def text_csv(spark: SparkSession, path: str | list[str], schema: str | None = No
         with ThreadPoolExecutor(PROBES) as pool:
             heads = list(pool.map(lambda f: tuple(reader.csv(f).columns), files))
         frames = [reader.csv([f for f, h in zip(files, heads, strict=True) if h == head]) for head in dict.fromkeys(heads)]
-    frames = [f.toDF(*[c.lstrip("﻿") for c in f.columns]) for f in frames]
+    place = [F.col(f"_metadata.{c}").alias(f"_{c}") for c in ("file_path", "file_block_start")] if number else []
+    frames = [f.select(*[F.col(f"`{c}`").alias(c.lstrip("﻿")) for c in f.columns], *place) for f in frames]
+    if number:
+        frames = [f.withColumn("_at", F.monotonically_increasing_id()) for f in frames]
     df = frames[0]
     for f in frames[1:]:
         df = df.unionByName(f, allowMissingColumns=True)
     if schema:
         wanted = [c.name for c in T._parse_datatype_string(schema)]
-        df = df.select(*[F.col(c) if c in df.columns else F.lit("").alias(c) for c in wanted])
-    return df.fillna("")
+        df = df.select(*[F.col(c) if c in df.columns else F.lit("").alias(c) for c in wanted], *[c for c in ("_file_path", "_file_block_start", "_at") if number])
+    return numbered(df, number).fillna("") if number else df.fillna("")
+
+
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """Rows with the file, block and id (_file_path, _file_block_start, _at) that they were read with: their
+    place among all, as name. A task reads a block from its first row to its last, so a row's place
+    in its block is the distance of its id from the block's least one; blocks begin where those before
+    them end. The window sees one row for each block."""
+    blocks = df.groupBy("_file_path", "_file_block_start").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    before = F.sum("_n").over(Window.orderBy("_file_path", "_file_block_start").rowsBetween(Window.unboundedPreceding, -1))
+    starts = blocks.select("_file_path", "_file_block_start", "_first", F.coalesce(before, F.lit(0)).alias("_start"))
+    found = df.join(starts, ["_file_path", "_file_block_start"]).withColumn(name, F.col("_start") + F.col("_at") - F.col("_first"))
+    return found.drop("_file_path", "_file_block_start", "_at", "_first", "_start")
 
 
 def games(spark: SparkSession, path: str, floor: int = S.SEASON_FLOOR) -> DataFrame:
@@ -64,9 +80,9 @@ def games(spark: SparkSession, path: str, floor: int = S.SEASON_FLOOR) -> DataFr
 
 
 def officials(spark: SparkSession, path: str, valid: DataFrame | None = None) -> DataFrame:
-    """Officials' rows in written order, of the valid games only if these are given. A gzip
-    file is read by one task, whose rows are numbered in order."""
-    df = text_csv(spark, path, S.OFFICIALS).withColumn("row_order", F.monotonically_increasing_id()).withColumn("era", X.era("game_id"))
+    """Officials' rows with their written order over all files, of the valid games only if these are
+    given."""
+    df = text_csv(spark, path, S.OFFICIALS, number="row_order").withColumn("era", X.era("game_id"))
     return df if valid is None else df.join(valid.select("game_id"), "game_id", "left_semi")
 
 
@@ -80,7 +96,7 @@ def player_logs(spark: SparkSession, path: str | list[str], valid: DataFrame | N
 
 def overrides(spark: SparkSession, path: str) -> DataFrame:
     """probe, to_key, to_display, line of a hand-kept file with # comments."""
-    df = text_csv(spark, path, S.OVERRIDES, comment="#").withColumn("line", F.monotonically_increasing_id())
+    df = text_csv(spark, path, S.OVERRIDES, comment="#", number="line")
     rows = df.select(F.lower(F.trim("raw_name_or_id")).alias("probe"), F.trim("canonical_ref_key").alias("to_key"),
         F.trim("canonical_display_name").alias("to_display"), "line")
     return rows.where("probe <> ''")
