@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import documents, profiles
+from ..operators import boards, documents, postings, profiles
 from ..sources import named_files, shared, tables
 from .analog import Analog
 
@@ -36,9 +36,26 @@ def team_files(t: Analog) -> DataFrame:
     return named_files.read(t.spark, path)
 
 
-QUERIES: dict[str, Callable[[Analog], DataFrame]] = {"season_upsert": season_upsert, "season_delete": season_delete, "team_files": team_files}
+#: Texts that are looked for: rare and common runs, one letter, none that is there.
+SOUGHT = [" ER#0000", "9", "00077", "mer#", "#00000001", "nobody"]
+
+
+def search_postings(t: Analog) -> DataFrame:
+    """Officials and owners, found by posting lists: the first of each search."""
+    name = lambda table, c, key, kind: t.table(table).select(F.col(c).alias("n"), F.col(key).cast("string").alias("s"), F.lit(kind).alias("t"))
+    path = shared.new_path(t.spark, "postings")
+    postings.written(name("supplier", "s_name", "s_suppkey", "ref").unionByName(name("customer", "c_name", "c_custkey", "owner")), path)
+    return boards.union([postings.search(t.spark, path, q).select(F.lit(q).alias("q"), "n", "s", "t") for q in SOUGHT])
+
+
+QUERIES: dict[str, Callable[[Analog], DataFrame]] = {"season_upsert": season_upsert, "season_delete": season_delete, "team_files": team_files, "search_postings": search_postings}
+
+_FOUND = """SELECT '{raw}' AS q, n, s, t FROM (SELECT *, row_number() OVER (ORDER BY CASE WHEN starts_with(lower(n),'{q}') THEN 0 ELSE 1 END, length(n), n, s, t) AS k
+  FROM (SELECT s_name AS n, CAST(s_suppkey AS VARCHAR) AS s, 'ref' AS t FROM supplier UNION ALL SELECT c_name, CAST(c_custkey AS VARCHAR), 'owner' FROM customer)
+  WHERE contains(lower(n),'{q}')) WHERE k<=12"""
 
 ORACLES = {
+    "search_postings": " UNION ALL ".join(_FOUND.format(raw=q, q=q.strip().lower()) for q in SOUGHT),
     "season_upsert": """SELECT game_id, season, CASE WHEN again THEN 'Playoffs' ELSE season_type END AS season_type, CASE WHEN again THEN home_pts+1 ELSE home_pts END AS home_pts
   FROM (SELECT *, CAST(game_id[3:] AS BIGINT)%10=0 AND season='1996-97' AS again
   FROM games)""",
