@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as X
 from ..operators import boards, crew, documents, identity, merge, playoffs, profiles, quality, reports, serve
-from ..sources import feed, readers
+from ..sources import feed, json_search, readers
 from .analog import Analog
 
 CURRENT, LEAST = "2000-01", 20
@@ -242,11 +242,10 @@ def wanted_logs(t: Analog) -> DataFrame:
 
 
 def key_search(t: Analog) -> DataFrame:
-    t.spark.udtf.register("found_keys", feed.FoundKeys)
     rows = t.table("events").select("event_id",
         F.to_json(F.struct(F.struct(F.col("event_type").alias("theName"),
         F.struct(F.col("user_id").alias("nameless")).alias("in")).alias("a"))).alias("json"))
-    return t.spark.sql("SELECT r.event_id, f.path, f.snippet FROM {rows} r, LATERAL found_keys(r.json, array('name'), 5) f", rows=rows)
+    return json_search.found_keys(rows, ["name"], 5)
 
 
 # people, series, documents -------------------------------------------------------

@@ -17,6 +17,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 
 from .. import schemas as S
 from ..functions import scalars as X
+from . import json_search
 
 
 def fetched(url: str, retries: int = 4, wait: float = 2.0, timeout: float = 30.0) -> str:
@@ -237,60 +238,15 @@ def player_rows(summaries: DataFrame) -> DataFrame:
     ).fillna("")
 
 
-@F.udtf(returnType=T.StructType([T.StructField("path", T.StringType()), T.StructField("item", T.StringType())]))
-class FoundLists:
-    """Every array of objects under a key of the given name, at any depth: where, and each item."""
-
-    def eval(self, text: str, key: str):
-        def walk(x, path):
-            if isinstance(x, dict):
-                for k, v in x.items():
-                    if k.lower() == key and isinstance(v, list) and v and isinstance(v[0], dict):
-                        for item in v:
-                            yield f"{path}.{k}", json.dumps(item, ensure_ascii=False)
-                    yield from walk(v, f"{path}.{k}")
-            elif isinstance(x, list):
-                for i, v in enumerate(x):
-                    yield from walk(v, f"{path}[{i}]")
-
-        try:
-            yield from walk(json.loads(text), "root")
-        except (TypeError, ValueError):
-            return
-
-
-@F.udtf(returnType=T.StructType([T.StructField("path", T.StringType()), T.StructField("snippet", T.StringType())]))
-class FoundKeys:
-    """The values under keys that hold one of the given words; their insides aren't searched."""
-
-    def eval(self, text: str, words: list[str], width: int):
-        def walk(x, path):
-            if isinstance(x, dict):
-                for k, v in x.items():
-                    if any(w in k.lower() for w in words):
-                        yield f"{path}.{k}", json.dumps(v, ensure_ascii=False)[:width]
-                    else:
-                        yield from walk(v, f"{path}.{k}")
-            elif isinstance(x, list):
-                for i, v in enumerate(x):
-                    yield from walk(v, f"{path}[{i}]")
-
-        try:
-            yield from walk(json.loads(text), "root")
-        except (TypeError, ValueError):
-            return
-
-
 def official_rows(summaries: DataFrame) -> DataFrame:
-    """Officials from summaries (game_id, json), in written order: of several lists the first
-    under gameInfo, else the first. The id is the person's, else made from the name."""
-    spark = summaries.sparkSession
-    spark.udtf.register("found_lists", FoundLists)
-    summaries.createOrReplaceTempView("_summaries")
-    found = spark.sql("SELECT game_id, path, item, row_number() OVER (PARTITION BY game_id ORDER BY n) AS n FROM (SELECT s.game_id, f.path, f.item, monotonically_increasing_id() AS n FROM _summaries s, LATERAL found_lists(s.json, 'officials') f)")
-    best = found.groupBy("game_id").agg(F.min(F.struct((~F.lower("path").contains("gameinfo")).alias("o"), "n", "path"))["path"].alias("path"))
+    """Officials from summaries (game_id, json), in written order (row_order, from 1): of several lists
+    the first under gameInfo, else the first. The id is the person's, else made from the name."""
+    lists = json_search.found_lists(summaries.select("game_id", "json"), "officials")
+    first = F.struct((~F.lower("path").contains("gameinfo")).alias("other"), "at", "value")
+    best = lists.groupBy("game_id").agg(F.min(first)["value"].alias("value"))
+    items = best.select("game_id", F.posexplode(F.from_json("value", "array<string>")).alias("place", "item"))
     own = F.from_json("item", "displayName string, fullName string, name string, id string, personId string, jersey string, jerseyNum string")
-    rows = found.join(best, ["game_id", "path"]).select("game_id", "n", own.alias("p"))
+    rows = items.select("game_id", (F.col("place") + 1).alias("n"), own.alias("p"))
     full = lambda *cs: F.trim(F.coalesce(*[F.nullif(F.col(f"p.{c}"), F.lit("")) for c in cs], F.lit("")))
     rows = rows.select("game_id", F.col("n").alias("row_order"), full("displayName", "fullName", "name").alias("official_name"),
         full("id", "personId").alias("pid"), X.clean_id(full("jersey", "jerseyNum")).alias("jersey_num"))
