@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as X
 from ..operators import boards, crew, documents, identity, merge, playoffs, profiles, quality, reports, serve
-from ..sources import feed, json_search, readers
+from ..sources import feed, json_search, readers, shared
 from .analog import Analog
 
 CURRENT, LEAST = "2000-01", 20
@@ -194,6 +194,13 @@ def _summaries(t: Analog) -> DataFrame:
     return both.select("game_id", F.to_json(F.struct(F.struct("officials").alias("gameInfo"), F.struct("players").alias("boxscore"))).alias("json"))
 
 
+def _stored_summaries(t: Analog) -> DataFrame:
+    """The same, written first as the feed's answers are: the search for keys reads them twice."""
+    path = shared.new_path(t.spark, "summaries")
+    _summaries(t).write.parquet(path)
+    return t.spark.read.parquet(path)
+
+
 def feed_players(t: Analog) -> DataFrame:
     return feed.player_rows(_summaries(t)).groupBy("player_id", "team_abbr").agg(
         F.count("*").alias("rows"), *[F.sum(F.col(c).cast("long")).alias(c) for c in ("min", "pts", "reb", "fgm", "fga")],
@@ -202,11 +209,11 @@ def feed_players(t: Analog) -> DataFrame:
 
 
 def feed_officials(t: Analog) -> DataFrame:
-    return feed.official_rows(_summaries(t)).select("game_id", "row_order", "official_id", "official_name", "jersey_num")
+    return feed.official_rows(_stored_summaries(t)).select("game_id", "row_order", "official_id", "official_name", "jersey_num")
 
 
 def feed_presence(t: Analog) -> DataFrame:
-    return feed.presence(_summaries(t))
+    return feed.presence(_stored_summaries(t))
 
 
 def summary_officials(t: Analog) -> DataFrame:

@@ -2,12 +2,14 @@
 
 A text is opened level by level, each level by one explode of what the level before left open, so that
 the search is a chain of narrow steps in the JVM. Objects and arrays travel as text, which keeps the
-order of their keys; VARIANT tells of each value what it is. Texts that aren't JSON, or that repeat a
-key within one object, hold nothing; so do null and empty texts."""
+order of their keys; VARIANT tells of each value what it is. What can't hold a hit isn't opened. Texts
+that aren't JSON, or that repeat a key within one object, hold nothing; so do null and empty texts."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from json import dumps as as_json
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,14 +21,13 @@ _TO_SIGN = r'\G((?:[^",:]++|"(?:[^"\\]++|\\.)*+")*+)([,:])'
 
 
 def depth(text: Column | str) -> Column:
-    """How deep objects and arrays are nested in a JSON text: 0 for a bare value, null if it isn't one."""
+    """How deep objects and arrays are nested in a JSON text, or in the beginning of one: 0 for a bare value."""
     text = F.col(text) if isinstance(text, str) else text
     signs = F.split(F.regexp_replace(text, _NO_BRACKETS, ""), "")
     step = lambda c: F.when(c.isin("{", "["), 1).when(c.isin("}", "]"), -1).otherwise(0)
     start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
-    walk = F.aggregate(signs, start, lambda s, c: F.struct((s["now"] + step(c)).alias("now"),
+    return F.aggregate(signs, start, lambda s, c: F.struct((s["now"] + step(c)).alias("now"),
         F.greatest(s["most"], s["now"] + step(c)).alias("most")), lambda s: s["most"])
-    return F.when(F.try_parse_json(text).isNotNull(), walk)
 
 
 def spaced(text: Column) -> Column:
@@ -34,56 +35,81 @@ def spaced(text: Column) -> Column:
     return F.regexp_replace(text, _TO_SIGN, "$1$2 ")
 
 
-def _children(kind: Column, text: Column) -> Column:
-    """Of an object or array: for each value its step (.key or [place]), key, text, and JSON."""
-    told = lambda c: F.to_json(c)
+def _children(kind: Column, text: Column, hit: Callable, markers: list[str]) -> Column:
+    """Of an object or array, those values that are hits or may hold some: place, step (.key or [place]),
+    kind ({ and [, or scalar), value (compact JSON), is_hit. Strings come bare as text, so a value
+    that looks like an object or array is one only if its variant is."""
+    is_a = lambda x, sign, of: x["t"].startswith(sign) & F.try_variant_get(x["v"], "$", of).isNotNull()
+
+    def read(x: Column, i: Column, key: Column, step: Column) -> Column:
+        sort = F.when(is_a(x, "{", "map<string,variant>"), "{").when(is_a(x, "[", "array<variant>"), "[").otherwise("scalar")
+        return F.struct(i.alias("place"), key.alias("key"), step.alias("step"), sort.alias("kind"), x["t"].alias("t"), x["v"].alias("v"))
+
+    def judged(x: Column) -> Column:
+        value = F.when(x["kind"] != "scalar", x["t"]).otherwise(F.coalesce(F.to_json(x["v"]), F.lit("null")))
+        return F.struct(x["place"], x["step"], x["kind"], value.alias("value"), (x["key"].isNotNull() & hit(x["key"], value)).alias("is_hit"))
+
     named, typed = F.from_json(text, "map<string,string>"), F.from_json(text, "map<string,variant>")
     items, kinds = F.from_json(text, "array<string>"), F.from_json(text, "array<variant>")
-    fields = F.transform(F.arrays_zip(F.map_keys(named).alias("k"), F.map_values(named).alias("t"),
-        F.transform(F.map_values(typed), told).alias("j")), lambda x: F.struct(F.concat(F.lit("."), x["k"]).alias("step"),
-        x["k"].alias("key"), x["t"].alias("text"), F.coalesce(x["j"], F.lit("null")).alias("json")))
-    places = F.transform(F.arrays_zip(items.alias("t"), F.transform(kinds, told).alias("j")), lambda x,
-        i: F.struct(F.concat(F.lit("["), i.cast("string"), F.lit("]")).alias("step"), F.lit(None).cast("string").alias("key"),
-        x["t"].alias("text"), F.coalesce(x["j"], F.lit("null")).alias("json")))
-    return F.when(kind == "{", fields).when(kind == "[", places)
+    fields = F.transform(F.arrays_zip(F.map_keys(named).alias("k"), F.map_values(named).alias("t"), F.map_values(typed).alias("v")),
+        lambda x, i: read(x, i, x["k"], F.concat(F.lit("."), x["k"])))
+    places = F.transform(F.arrays_zip(items.alias("t"), kinds.alias("v")),
+        lambda x, i: read(x, i, F.lit(None).cast("string"), F.concat(F.lit("["), i.cast("string"), F.lit("]"))))
+    some = F.filter(F.when(kind == "{", fields).when(kind == "[", places), lambda x: x["key"].isNotNull() | (x["kind"] != "scalar") & _may(x["t"], markers))
+    return F.filter(F.transform(some, judged), lambda c: c["is_hit"] | (c["kind"] != "scalar") & _may(c["value"], markers))
+
+
+def _may(text: Column, markers: list[str]) -> Column:
+    return F.exists(F.array(*[F.lit(m) for m in markers]), lambda m: F.contains(F.lower(text), m))
 
 
-def found(texts: DataFrame, hit: Callable[[Column, Column], Column], inside: bool, json: str = "json") -> DataFrame:
+def _levels(text: Column, markers: list[str]) -> Column:
+    """How deep the last of the markers can stand: the depth of the text before it, or of all of the text
+    where characters are written by their numbers."""
+    low = F.lower(text)
+    ends = [F.length(low) - F.length(F.substring_index(low, m, -1)) for m in markers]
+    end = ends[0] if len(ends) == 1 else F.greatest(*ends)
+    return depth(F.when(text.contains("\\u"), low).otherwise(F.substring(low, F.lit(1), end)))
+
+
+def found(texts: DataFrame, hit: Callable[[Column, Column], Column], markers: list[str], inside: bool, json: str = "json") -> DataFrame:
     """The columns of texts but json, and of each hit: path (root.a.b[0].c), at (its places from the root
     on: sorted by it, hits come as written), and value, compact JSON text with keys as written. hit gets
-    a key and the compact JSON under it. inside: hits are searched, too. The number of levels is that
-    of the deepest text, which is counted first, so none is left out."""
+    a key and the compact JSON under it. markers: in lower case, as written in JSON; one of them stands in
+    each text that holds a hit, others stay closed. inside: hits are searched, too. The number of
+    levels is that of the deepest marker, which is counted first, so none is left out."""
     keep = [F.col(f"`{c}`") for c in texts.columns if c != json]
-    levels = texts.agg(F.max(depth(F.col(json)))).first()[0] or 0
-    rows = texts.select(F.struct(*keep).alias("_own"), F.lit("root").alias("path"), F.array().cast("array<int>").alias("at"),
-        F.col(json).alias("text"), F.substring(F.to_json(F.try_parse_json(json)), 1, 1).alias("kind"), F.lit(False).alias("is_hit"))
-    rows = rows.where(F.col("kind").isin("{", "["))
+    text, is_json = F.col(json), F.try_parse_json(json).isNotNull()
+    rows = texts.where((_may(text, markers) | text.contains("\\u")) & is_json)
+    levels = rows.agg(F.max(_levels(text, markers))).first()[0] or 0
+    rows = rows.select(F.struct(*keep).alias("_own"), F.lit("root").alias("path"), F.array().cast("array<int>").alias("at"),
+        text.alias("text"), F.substring(F.regexp_extract(text, r"^\s*(.)", 1), 1, 1).alias("kind"), F.lit(False).alias("is_hit"))
     for _ in range(levels):
-        inner = F.when(~F.col("is_hit"), _children(F.col("kind"), F.col("text")))
-        opened = rows.select("*", F.posexplode_outer(inner).alias("pos", "c"))
-        new, kind = F.col("c").isNotNull(), F.substring("c.json", 1, 1)
-        opened = opened.where("c is not null or is_hit")
-        fits = F.coalesce(new & F.col("c.key").isNotNull() & hit(F.col("c.key"), F.col("c.json")), F.lit(False))
-        both = F.array(F.lit(True), F.lit(False)) if inside else F.array(F.lit(True))
-        ways = F.when(new, F.when(fits, both).otherwise(F.array(F.lit(False)))).otherwise(F.array(F.lit(True)))
-        opened = opened.select("*", F.explode(ways).alias("way"))
-        rows = opened.select("_own",
-            F.when(new, F.concat("path", "c.step")).otherwise(F.col("path")).alias("path"),
-            F.when(new, F.concat("at", F.array("pos"))).otherwise(F.col("at")).alias("at"),
-            F.when(new, F.when(kind.isin("{", "["), F.col("c.text")).otherwise(F.col("c.json"))).otherwise(F.col("text")).alias("text"),
-            F.when(new, kind).otherwise(F.col("kind")).alias("kind"), F.col("way").alias("is_hit"),
-        ).where("is_hit or kind in ('{', '[')")
+        inner = F.when(~F.col("is_hit"), _children(F.col("kind"), F.col("text"), hit, markers))
+        opened = rows.select("*", F.explode_outer(inner).alias("c")).where("c is not null or is_hit")
+        new = F.col("c").isNotNull()
+        stays = new & (F.col("c.kind") != "scalar") & _may(F.col("c.value"), markers) & (~F.col("c.is_hit") | F.lit(inside))
+        ways = F.when(~new, F.array(F.lit(True))).when(F.col("c.is_hit") & stays, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.col("c.is_hit")))
+        told = lambda fresh, old: F.when(F.col("c").isNotNull(), fresh).otherwise(F.col(old)).alias(old)
+        rows = opened.select("*", F.explode(ways).alias("way")).select("_own", told(F.concat("path", "c.step"), "path"),
+            told(F.concat("at", F.array("c.place")), "at"), told(F.col("c.value"), "text"), told(F.col("c.kind"), "kind"), F.col("way").alias("is_hit"))
     return rows.where("is_hit").select("_own.*", "path", "at", F.col("text").alias("value"))
 
 
+def _within(word: str) -> str:
+    """A word as it stands within a JSON string."""
+    return as_json(word, ensure_ascii=False)[1:-1]
+
+
 def found_lists(texts: DataFrame, key: str, json: str = "json") -> DataFrame:
     """Every array whose first item is an object, under a key of the given name (lower case), at any depth."""
-    return found(texts, lambda k, v: (F.lower(k) == key) & v.startswith("[{"), inside=True, json=json)
+    quoted = f'"{_within(key)}"'
+    return found(texts, lambda k, v: (F.lower(k) == key) & v.startswith("[{"), [quoted], True, json)
 
 
 def found_keys(texts: DataFrame, words: list[str], width: int, json: str = "json") -> DataFrame:
-    """The values under keys that hold one of the words, whatever their case, as path and snippet: the first
-    width characters of the value as JSON. Their insides aren't searched."""
-    holds = lambda k, v: F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(F.lower(k), w))
-    hits = found(texts, holds, inside=False, json=json)
+    """The values under keys that hold one of the words (lower case), whatever the case of the key, as path and
+    snippet: the first width characters of the value as JSON. Their insides aren't searched."""
+    some = lambda text, ws: reduce(lambda a, b: a | b, [F.lower(text).contains(w) for w in ws])
+    hits = found(texts, lambda k, v: some(k, words), [_within(w) for w in words], False, json)
     return hits.select(*[F.col(f"`{c}`") for c in texts.columns if c != json], "path", F.substring(spaced(F.col("value")), 1, width).alias("snippet"))

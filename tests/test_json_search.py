@@ -69,7 +69,7 @@ def test_keys_as_a_walk_finds_them(spark, texts):
 
 
 def test_depth(spark):
-    cases = {"1": 0, "[]": 1, '{"a": [{}]}': 3, '{"a}]": "[[[{"}': 1, '["\\"[[", [[]]]': 3, "[": None, "": None}
+    cases = {"1": 0, "[]": 1, '{"a": [{}]}': 3, '{"a}]": "[[[{"}': 1, '["\\"[[", [[]]]': 3, "[": 1, "": 0, '{"a": [{"b': 3}
     df = spark.createDataFrame([(t,) for t in cases], "t string")
     assert {r.t: r.d for r in df.select("t", json_search.depth("t").alias("d")).collect()} == cases
 
