@@ -155,9 +155,9 @@ def database_table(spark: SparkSession, table: str, columns: list[str] | None =
     return spark.table(table).select(*columns) if columns else spark.table(table)
 
 
+# Which tables hold games and officials.
 GAME_SIGNALS = [["gameid"], ["gamedate", "date"], ["hometeamid", "teamidhome"], ["ptshome", "homepts", "homescore"], ["ptsaway", "awaypts", "awayscore"]]
 OFFICIAL_SIGNALS = [["gameid"], ["officialid"], ["firstname", "officialname"], ["jersey"]]
-BOX_SIGNALS = [["gameid"], ["playerid", "personid"], ["pts", "points"], ["reb", "rebounds"], ["ast", "assists"], ["min", "minutes"]]
 
 
 def locate(tables: Mapping[str, Iterable[str]], signals: Iterable[Iterable[str]], least: int, rows: Mapping[str, int] | None = None) -> str | None:
@@ -188,16 +188,42 @@ def extracted_games(df: DataFrame) -> DataFrame:
     return out.withColumn("home_win", X.home_win("wl", F.col("home_pts"), F.col("away_pts"))).drop("wl").where("game_id <> ''").dropDuplicates(["game_id"])
 
 
-#: Column of a box score -> the words that its name holds in other sources.
+# They decide which column of a source is taken. Earlier words win, whole names before parts.
 BOX_COLUMNS = {
-    "game_id": ["gameid"], "player_id": ["playerid", "personid"], "player_name": ["playername", "name"], "team_id": ["teamid"],
-    "team_abbr": ["teamabbreviation", "teamabbr", "tricode"],
-    "min": ["minutes", "min"], "pts": ["points", "pts"], "reb": ["reboundstotal", "reb"], "ast": ["assists", "ast"],
-    "stl": ["steals", "stl"], "blk": ["blocks", "blk"], "tov": ["turnovers", "tov"],
-    "fga": ["fieldgoalsattempted", "fga"], "fgm": ["fieldgoalsmade", "fgm"], "fg3a": ["threepointersattempted", "fg3a"],
-    "fg3m": ["threepointersmade", "fg3m"], "fta": ["freethrowsattempted", "fta"],
-    "ftm": ["freethrowsmade", "ftm"], "pf": ["foulspersonal", "pf"], "plus_minus": ["plusminus"],
-}
+    "game_id": ["gameid", "gamekey", "gamesk", "gameidfk", "gid", "gmeid"],
+    "player_id": ["playerid", "personid"],
+    "player_name": ["playername", "player", "displayname", "name"],
+    "team_id": ["teamid"],
+    "team_abbr": ["teamabbreviation", "teamabbr", "tricode", "teamcode", "team"],
+    "min": ["min", "minutes"],
+    "pts": ["pts", "points"],
+    "reb": ["reb", "totreb", "treb", "rebounds"],
+    "ast": ["ast", "assists"],
+    "stl": ["stl", "steals"],
+    "blk": ["blk", "blocks"],
+    "tov": ["tov", "to", "turnovers"],
+    "fga": ["fga", "fieldgoalsattempted"],
+    "fgm": ["fgm", "fieldgoalsmade"],
+    "fg3a": ["fg3a", "fg3pa", "tpa", "threepa", "threepointersattempted", "3pa"],
+    "fg3m": ["fg3m", "fg3pm", "tpm", "threepm", "threepointersmade", "3pm"],
+    "fta": ["fta", "freethrowsattempted"],
+    "ftm": ["ftm", "freethrowsmade"],
+    "pf": ["pf", "personalfouls", "fouls"],
+    "plus_minus": ["plusminus", "plusminuspoints"],
+}
+#: Words that count as whole names only.
+BOX_WHOLE = ["team", "3pa", "3pm"]
+#: A table of box scores names a game and a player, and has at least BOX_LEAST of these.
+BOX_SIGNALS = ["pts", "reb", "ast", "fta", "fga", "min"]
+BOX_LEAST = 4
+
+
+def locate_box(tables: Mapping[str, Iterable[str]], rows: Mapping[str, int] | None = None) -> str | None:
+    """The table that has box scores: a game and a player, and most of the numbers; the larger one of equals."""
+    has = lambda columns, name: names.find_column(columns, BOX_COLUMNS[name], exact_only=BOX_WHOLE)
+    fit = {t: list(c) for t, c in tables.items()}
+    fit = {t: c for t, c in fit.items() if has(c, "game_id") and has(c, "player_id")}
+    return locate(fit, [BOX_COLUMNS[n] for n in BOX_SIGNALS], BOX_LEAST, rows)
 
 
 def locate_officials(tables: Mapping[str, Iterable[str]], rows: Mapping[str, int] | None = None) -> str | None:
@@ -208,7 +234,7 @@ def locate_officials(tables: Mapping[str, Iterable[str]], rows: Mapping[str, int
 def extracted_logs(df: DataFrame) -> DataFrame:
     """The target columns of a source's box scores: ids cleaned, game ids padded, texts trimmed,
     numbers or null; rows without a game go. What the source lacks is null."""
-    found = names.mapping(df.columns, BOX_COLUMNS)
+    found = names.mapping(df.columns, BOX_COLUMNS, exact_only=BOX_WHOLE)
 
     def value(name: str) -> Column:
         if not found[name]:

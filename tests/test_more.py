@@ -82,7 +82,7 @@ def test_catalog_tables(spark):
     got = {r["table"]: r for r in readers.database_tables(spark).collect()}["boxes"]
     assert got["columns"] == ["GAME_ID", "PLAYER_ID", "PTS"] and got["rows"] == 1
     assert readers.database_table(spark, "boxes", ["PTS"]).columns == ["PTS"]
-    assert readers.locate({"boxes": ["GAME_ID", "PLAYER_ID", "PTS", "REB"], "x": ["a"]}, readers.BOX_SIGNALS, 4) == "boxes"
+    assert readers.locate_box({"boxes": ["GAME_ID", "PLAYER_ID", "PTS", "REB", "MIN", "FTA"], "x": ["a"]}) == "boxes"
     assert readers.locate_officials({"people": ["OFFICIAL_ID"], "bridge": ["GAME_ID", "OFFICIAL_ID", "FIRST_NAME", "JERSEY_NUM"]}) == "bridge"
 
 
