@@ -358,18 +358,23 @@ def team_document_rows(t: Analog) -> DataFrame:
 
 
 def leaderboard_document(t: Analog) -> DataFrame:
-    """The boards' document, read back from its JSON."""
-    rows = boards.count_boards(_careers(t), profiles.seasons(t.crew, t.games), CURRENT)
+    """The boards' document, those of counts and those of rates (in hundredths), read back from its JSON."""
+    from . import catalog
+
+    counts = boards.count_boards(_careers(t), profiles.seasons(t.crew, t.games), CURRENT)
+    rows = counts.unionByName(boards.rate_boards(catalog._whistle(t), LEAST))
     document = boards.board_document(rows, _names(t), LEAST, CURRENT)
-    kind = ", ".join(f"{b} array<struct<official_id:string,name:string,value:double>>"
-        for b in [*boards.COUNTS, "most_career_games_active", "most_games_current_season"])
+    of_counts = [*boards.COUNTS, "most_career_games_active", "most_games_current_season"]
+    of_rates = ["highest_home_win_pct", "lowest_home_win_pct", "highest_avg_total_fta_rs", "lowest_avg_total_fta_rs"]
+    kind = ", ".join(f"{b} array<struct<official_id:string,name:string,value:double,n:long>>" for b in [*of_counts, *of_rates])
     d = F.from_json("document", f"{kind}, _meta struct<min_games_for_rate_leaderboards:int,current_season:string>").alias("d")
     every = document.select(d).withColumn("k", F.lit("board"))
-    lists = boards.union([_flat(every, "k", b, lambda x: _told(x["official_id"], x["name"], x["value"].cast("long")))
-        for b in [*boards.COUNTS, "most_career_games_active", "most_games_current_season"]])
+    lists = boards.union([_flat(every, "k", b, lambda x: _told(x["official_id"], x["name"], x["value"].cast("long"))) for b in of_counts])
+    rates = boards.union([_flat(every, "k", b, lambda x: _told(x["official_id"], x["name"], F.round(x["value"] * 100).cast("long"),
+        x["n"])) for b in of_rates])
     meta = every.select("k", F.lit("_meta").alias("section"), F.lit(0).alias("place"),
         _told(F.col("d._meta.min_games_for_rate_leaderboards"), F.col("d._meta.current_season")).alias("item"))
-    return lists.unionByName(meta).drop("k")
+    return lists.unionByName(rates).unionByName(meta).drop("k")
 
 
 def person_page_texts(t: Analog) -> DataFrame:

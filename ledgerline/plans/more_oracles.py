@@ -123,7 +123,9 @@ ORACLES = {
     "ref_document_rows": _REF_ROWS,
     "player_document_rows": _PLAYER_ROWS,
     "team_document_rows": _TEAM_ROWS,
-    "leaderboard_document": "SELECT board AS section, row_number() OVER (PARTITION BY board ORDER BY value DESC, ref_key)-1 AS place, concat_ws('|',ref_key,s_name,CAST(value AS BIGINT)) AS item FROM boards JOIN supplier ON ref_key=CAST(s_suppkey AS VARCHAR) UNION ALL SELECT '_meta', 0, '20|2000-01'",
+    "leaderboard_document": """SELECT board AS section, row_number() OVER (PARTITION BY board ORDER BY value DESC, ref_key)-1 AS place, concat_ws('|',ref_key,s_name,CAST(value AS BIGINT)) AS item FROM boards JOIN supplier ON ref_key=CAST(s_suppkey AS VARCHAR)
+  UNION ALL SELECT board, row_number() OVER (PARTITION BY board ORDER BY CASE WHEN starts_with(board,'lowest') THEN value ELSE -value END, ref_key)-1, concat_ws('|',ref_key,s_name,CAST(round(value*100) AS BIGINT),CAST(n AS BIGINT)) FROM rate_boards JOIN supplier ON ref_key=CAST(s_suppkey AS VARCHAR)
+  UNION ALL SELECT '_meta', 0, '20|2000-01'""",
     
     "person_page_texts": """SELECT ref_key AS slug, s_name AS name, format('{:,}',games_total)||' g · '||first_season[1:4]||'-'||CAST(CAST(last_season[1:4] AS INT)+1 AS VARCHAR) AS line, 1+n AS lines, top AS first, printf('%.1f%%',w*100) AS share
   FROM careers JOIN supplier ON ref_key=CAST(s_suppkey AS VARCHAR) JOIN (SELECT ref_key, count(*) AS n, first(team_abbr ORDER BY games DESC, team_abbr) AS top, first(win_pct ORDER BY games DESC, team_abbr) AS w FROM records GROUP BY 1) USING (ref_key)""",
