@@ -114,19 +114,23 @@ def swings(crew: DataFrame, logs: DataFrame, games: DataFrame, entity: DataFrame
     games' season means, and their difference, rounded once. entity maps seg_id to slug and
     display; without it a player is a player_id.
 
-    The player's rows meet their season means before the crew triples them, so the widest join
-    carries ten numbers a row and the sums are half taken before the last shuffle."""
+    The three tables meet by game alone, so in buckets by game nothing is shuffled for it, and the tripled
+    rows are summed by official, player, season and kind before they go anywhere. These sums meet the
+    season means, as a mean counts once for each game: a player with a third of all rows is then one
+    row for each official, season and kind."""
     meta = games.select("game_id", "season", "kind", "era").where(F.col("kind").isin("RS", "PO"))
-    rows = logs.select("game_id", "player_id", *S.STATS).join(meta, "game_id").join(baselines(logs, games), ["player_id", "season", "kind"])
+    own = logs.select("game_id", "player_id", *S.STATS).join(meta, "game_id")
+    under = crew.select("ref_key", "game_id").join(own, "game_id")
+    sums = under.groupBy("ref_key", "player_id", "season", "kind", "era").agg(F.count("*").alias("k"), *[F.sum(c).alias(c) for c in S.STATS])
+    rows = sums.join(baselines(logs, games), ["player_id", "season", "kind"])
     rows = rows.where((F.col("kind") != "PO") | (F.col("base_n") >= S.PLAYOFF_BASELINE_GAMES))
+    rows = rows.withColumns({f"base_{c}": F.col(f"base_{c}") * F.col("k") for c in S.STATS})
     if entity is None:
         rows = rows.withColumn("slug", F.col("player_id")).withColumn("display", F.col("player_id"))
     else:
         rows = rows.withColumn("seg_id", F.concat_ws(":", "era", "player_id")).join(entity.select("seg_id", "slug", "display"), "seg_id")
-    under = crew.select("ref_key", "game_id").join(rows, "game_id")
     cells = [x for c in S.STATS for x in (c, f"base_{c}")]
-    # once by player id, and its sums again by player: the tripled rows are read and shuffled once
-    by_id = under.groupBy("ref_key", "slug", "player_id").agg(F.count("*").alias("k"), F.max("display").alias("name"),
+    by_id = rows.groupBy("ref_key", "slug", "player_id").agg(F.sum("k").alias("k"), F.max("display").alias("name"),
         F.collect_set("season").alias("s"), *[F.sum(x).alias(x) for x in cells])
     per = by_id.groupBy("ref_key", "slug").agg(
         F.max("name").alias("name"), F.sum("k").alias("n_games"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("s")))).alias("seasons"),

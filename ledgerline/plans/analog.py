@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as X
 from ..operators import crew as crews
+from ..operators import profiles
+from ..sources import layout
 
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
@@ -44,10 +46,27 @@ class Analog:
         return self.table("lineitem").join(self.table("supplier").select("s_suppkey", "s_name", "s_nationkey"),
             F.col("l_suppkey") == F.col("s_suppkey")).withColumn("row_order", place)
 
+    @cached_property
+    def played(self) -> DataFrame:
+        """Lines with their game id."""
+        return self.lines.join(self.orders.select("o_orderkey", "game_id"), F.col("l_orderkey") == F.col("o_orderkey"))
+
+    @cached_property
+    def branded(self) -> DataFrame:
+        """The same with their part's brand."""
+        return self.played.join(self.table("part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
+
+    def _boxes(self) -> DataFrame:
+        return self.lines.groupBy("l_orderkey").agg(*self._box_cells())
+
+    @staticmethod
+    def _box_cells() -> list:
+        return [F.floor(F.sum(F.col("l_extendedprice").cast("decimal(18,2)"))).cast("double").alias("away_pts"),
+            F.min(F.when(F.col("row_order") == 1, F.col("s_nationkey"))).alias("away")]
+
     @cached_property
     def games(self) -> DataFrame:
-        box = self.lines.groupBy("l_orderkey").agg(F.floor(F.sum(F.col("l_extendedprice").cast("decimal(18,2)"))).cast("double").alias("away_pts"),
-            F.min(F.when(F.col("row_order") == 1, F.col("s_nationkey"))).alias("away"))
+        box = self._boxes()
         rows = self.orders.join(self.table("customer").select("c_custkey", "c_nationkey"),
             F.col("o_custkey") == F.col("c_custkey")).join(box, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         kind = F.when(F.col("o_orderpriority") == "1-URGENT", "Playoffs").when(F.col("o_orderpriority") == "2-HIGH", "Play-In").otherwise("Regular Season")
@@ -65,8 +84,7 @@ class Analog:
 
     @cached_property
     def officials(self) -> DataFrame:
-        rows = self.lines.join(self.orders.select("o_orderkey", "game_id"), F.col("l_orderkey") == F.col("o_orderkey"))
-        return rows.select("game_id", F.col("l_suppkey").cast("string").alias("official_id"), F.col("s_name").alias("official_name"), "row_order")
+        return self.played.select("game_id", F.col("l_suppkey").cast("string").alias("official_id"), F.col("s_name").alias("official_name"), "row_order")
 
     @cached_property
     def crew(self) -> DataFrame:
@@ -75,17 +93,18 @@ class Analog:
 
     @cached_property
     def logs(self) -> DataFrame:
-        rows = self.lines.join(self.orders.select("o_orderkey", "game_id"),
-            F.col("l_orderkey") == F.col("o_orderkey")).join(self.table("part").select("p_partkey", "p_brand"),
-            F.col("l_partkey") == F.col("p_partkey"))
         whole = lambda c: F.round(F.col(c) * 100).cast("double")
-        return rows.select(
+        return self.branded.select(
             "game_id", F.col("p_brand").alias("player_id"), F.col("p_brand").alias("player_name"),
             self._team("s_nationkey").alias("team_abbr"), (F.col("l_quantity") * 4).alias("min"), F.col("l_quantity").alias("pts"),
             whole("l_discount").alias("reb"), whole("l_tax").alias("ast"), (F.col("l_partkey") % 11).cast("double").alias("fta"),
             F.col("l_linenumber").cast("double").alias("pf"),
         )
 
+    @cached_property
+    def swings(self) -> DataFrame:
+        return profiles.swings(self.crew, self.logs, self.games)
+
     @cached_property
     def histories(self) -> DataFrame:
         """Customers as players whose ids change from year to year, over all games, so that one
@@ -100,3 +119,34 @@ class Analog:
         rows = self.orders.where("o_orderpriority = '1-URGENT'").join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
         return rows.select("game_id", F.col("o_custkey").cast("string").alias("player_id"), F.col("c_name").alias("player_name"),
             F.col("c_mktsegment").alias("team_abbr"))
+
+
+class Laid(Analog):
+    """The same tables for queries that read them many times: lines, games and crews are written once, in
+    buckets by game, so that whatever joins them by game or groups them by it needs no shuffle."""
+
+    @cached_property
+    def played(self) -> DataFrame:
+        rows = self.lines.join(self.orders.select("o_orderkey", "game_id"), F.col("l_orderkey") == F.col("o_orderkey"))
+        rows = rows.join(self.table("part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"), "left")
+        return layout.bucketed(rows.select("game_id", "l_orderkey", "l_suppkey", "s_name", "s_nationkey", "row_order", "l_extendedprice", "l_partkey",
+            "l_quantity", "l_discount", "l_tax", "l_linenumber", "p_partkey", "p_brand"), "game_id", "lines")
+
+    @cached_property
+    def branded(self) -> DataFrame:
+        return self.played.where("p_partkey is not null")
+
+    def _boxes(self) -> DataFrame:
+        return self.played.groupBy("game_id").agg(F.min("l_orderkey").alias("l_orderkey"), *self._box_cells()).drop("game_id")
+
+    @cached_property
+    def games(self) -> DataFrame:
+        return layout.bucketed(super().games, "game_id", "games")
+
+    @cached_property
+    def crew(self) -> DataFrame:
+        return layout.bucketed(super().crew, "game_id", "crew", placed=True)
+
+    @cached_property
+    def swings(self) -> DataFrame:
+        return layout.written(super().swings, "swings")

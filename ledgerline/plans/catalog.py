@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as X
 from ..operators import boards, crew, documents, identity, merge, playoffs, profiles, quality
+from ..sources import named_files, shared
 from . import more, more_oracles, oracles, stored
-from .analog import Analog
+from .analog import Analog, Laid
 
 CURRENT = "2000-01"
 #: The rate boards' least games, at the scale of the test tables.
@@ -163,9 +164,16 @@ def quality_gate(t: Analog) -> DataFrame:
 
 
 def ref_view_reconcile(t: Analog) -> DataFrame:
-    """What officials' documents show, against what players' and teams' documents show."""
-    slug = lambda df, c: df.select(F.col(c).alias("slug"), "document")
-    return quality.view_mismatches(slug(ref_document(t), "ref_key"), player_document(t), _team_documents(t).select("slug", "document"))
+    """What officials' documents show, against what players' and teams' documents show: all three are
+    published as files, and the files compared."""
+
+    def published(df: DataFrame, slug: str, name: str) -> DataFrame:
+        path = shared.new_path(t.spark, name)
+        named_files.documents(df.select(F.col(slug).alias("slug"), "document"), path)
+        return named_files.read(t.spark, path).select(F.col("name").alias("slug"), F.col("value").alias("document"))
+
+    return quality.view_mismatches(published(ref_document(t), "ref_key", "referees"), published(player_document(t), "slug", "players"),
+        published(_team_documents(t), "slug", "teams"))
 
 
 def json_flatten(t: Analog) -> DataFrame:
@@ -215,16 +223,15 @@ def display_formats(t: Analog) -> DataFrame:
 
 def ref_document(t: Analog) -> DataFrame:
     """One JSON document for each official."""
-    swing = _swings(t)
     return documents.referee_documents(
         _careers(t), _names(t), identity.aliases(t.crew), profiles.season_maps(t.crew, t.games), profiles.team_records(t.crew, t.games), _whistle(t),
-        profiles.top_performances(t.crew, t.logs, t.games), profiles.referee_swings(swing), playoffs.notable_games(t.crew, t.games),
+        profiles.top_performances(t.crew, t.logs, t.games), profiles.referee_swings(t.swings), playoffs.notable_games(t.crew, t.games),
         crew.partners(t.crew, _names(t)),
     )
 
 
 def player_document(t: Analog) -> DataFrame:
-    return documents.player_documents(_player_games(t), profiles.player_splits(_swings(t)), profiles.player_top_games(t.logs, t.games),
+    return documents.player_documents(_player_games(t), profiles.player_splits(t.swings), profiles.player_top_games(t.logs, t.games),
         crew.crew_arrays(t.crew), _names(t))
 
 
@@ -300,11 +307,16 @@ _QUERIES: dict[str, Callable[[Analog], DataFrame]] = {
 }
 
 
+#: Queries that read lines, games and crews several times, and so lay them out by game first.
+_LAID = {"player_swings", "referee_swings", "player_splits", "quality_gate", "ref_view_reconcile", "search_index", "ref_document", "player_document",
+    "ref_document_rows", "player_document_rows", "entity_swings"}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    def bound(f: Callable[[Analog], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, sf_dir: f(Analog(spark, sf_dir))
+    def bound(f: Callable[[Analog], DataFrame], tables: type[Analog]) -> Callable[[SparkSession, str], DataFrame]:
+        return lambda spark, sf_dir: f(tables(spark, sf_dir))
 
-    return {name: bound(f) for name, f in (_QUERIES | more.QUERIES | stored.QUERIES).items()}
+    return {name: bound(f, Laid if name in _LAID else Analog) for name, f in (_QUERIES | more.QUERIES | stored.QUERIES).items()}
 
 
 def oracle_sql() -> dict[str, str]:
