@@ -237,6 +237,7 @@ def player_document(t: Analog) -> DataFrame:
 
 _QUERIES: dict[str, Callable[[Analog], DataFrame]] = {
     "player_swings": lambda t: _swings(t).drop("name", "player_id", "seasons"),
+    "bucketed_swings": lambda t: _swings(t).drop("name", "player_id", "seasons"),
     "referee_swings": lambda t: profiles.referee_swings(_swings(t)),
     "player_splits": lambda t: _text(profiles.player_splits(_swings(t)), "seasons"),
     "crew_first3": lambda t: t.crew.select("game_id", "official_id", "rank_in_game"),
@@ -308,8 +309,7 @@ _QUERIES: dict[str, Callable[[Analog], DataFrame]] = {
 
 
 #: Queries that read lines, games and crews several times, and so lay them out by game first.
-_LAID = {"player_swings", "referee_swings", "player_splits", "quality_gate", "ref_view_reconcile", "search_index", "ref_document", "player_document",
-    "ref_document_rows", "player_document_rows", "entity_swings"}
+_LAID = {"bucketed_swings", "ref_view_reconcile", "search_index", "ref_document", "player_document", "ref_document_rows", "player_document_rows"}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -312,8 +312,8 @@ def ref_document_rows(t: Analog) -> DataFrame:
     """The lists of the officials' documents, read back from their JSON: where each row stands."""
     from . import catalog
 
-    kind = """summary struct<name:string,games_total:long,finals_games:long,first_season:string,per_season:map<string,struct<rs:long,total:long>>>, team_records array<struct<team_abbr:string,games:long,wins:long,away:long>>,
-    whistle_profile struct<rs:struct<n:long,n_boxscore:long>,po:struct<n:long,n_boxscore:long>>, top_performances array<struct<player_id:string,pts:long,game_id:string>>, player_swings array<struct<slug:string,n_games:long>>,
+    kind = """summary struct<name:string,games_total:long,finals_games:long,first_season:string,per_season:map<string,struct<rs:long,total:long>>>, team_records array<struct<team_abbr:string,games:long,wins:long,losses:long,win_pct:double,home_games:long,home_wins:long,avg_margin_for_team:double>>,
+    whistle_profile struct<rs:struct<n:long,n_boxscore:long>,po:struct<n:long,n_boxscore:long>>, top_performances array<struct<player_id:string,pts:long,game_id:string>>, player_swings array<struct<slug:string,n_games:long,pts_with_ref:double,pts_baseline:double,pts_swing:double,fta_swing:double,pf_swing:double>>,
     notable_games array<struct<game_id:string,round:string>>, top_partners array<struct<partner:string,games:long>>"""
     df = catalog.ref_document(t).select("ref_key", F.from_json("document", kind).alias("d"))
     s, w = F.col("d.summary"), F.col("d.whistle_profile")
@@ -321,9 +321,11 @@ def ref_document_rows(t: Analog) -> DataFrame:
         _told(s["name"], s["games_total"], s["finals_games"], s["first_season"], F.size(s["per_season"]), w["rs"]["n"],
         w["po"]["n_boxscore"]).alias("item"))
     return boards.union([
-        top, _flat(df, "ref_key", "team_records", lambda x: _told(x["team_abbr"], x["games"], x["wins"])),
+        top, _flat(df, "ref_key", "team_records", lambda x: _told(*[x[c] for c in ("team_abbr", "games", "wins", "losses", "win_pct", "home_games",
+            "home_wins", "avg_margin_for_team")])),
         _flat(df, "ref_key", "top_performances", lambda x: _told(x["player_id"], x["pts"], x["game_id"])),
-        _flat(df, "ref_key", "player_swings", lambda x: _told(x["slug"], x["n_games"])),
+        _flat(df, "ref_key", "player_swings", lambda x: _told(*[x[c] for c in ("slug", "n_games", "pts_with_ref", "pts_baseline", "pts_swing",
+            "fta_swing", "pf_swing")])),
         _flat(df, "ref_key", "notable_games", lambda x: _told(x["game_id"], x["round"])),
         _flat(df, "ref_key", "top_partners", lambda x: _told(x["partner"], x["games"])),
     ])
@@ -333,7 +335,8 @@ def player_document_rows(t: Analog) -> DataFrame:
     """The lists of the players' documents, read back from their JSON."""
     from . import catalog
 
-    kind = """summary struct<name:string,games_total:long,first_season:string,last_season:string,teams:array<string>,eras:array<string>>, ref_splits array<struct<ref_slug:string,ref_name:string,n_games:long>>,
+    splits = [f"{c}_{x}" for c in ("pts", "reb", "ast") for x in ("with_ref", "baseline", "swing")]
+    kind = f"""summary struct<name:string,games_total:long,first_season:string,last_season:string,teams:array<string>,eras:array<string>>, ref_splits array<struct<ref_slug:string,ref_name:string,n_games:long,{','.join(f'{c}:double' for c in splits)}>>,
     top_games array<struct<pts:long,game_id:string,opp_abbr:string,crew:array<struct<name:string,slug:string>>>>"""
     df = catalog.player_document(t).select("slug", F.from_json("document", kind).alias("d"))
     s = F.col("d.summary")
@@ -341,7 +344,7 @@ def player_document_rows(t: Analog) -> DataFrame:
         _told(s["name"], s["games_total"], s["first_season"], s["last_season"], F.array_join(s["teams"], ","),
         F.array_join(s["eras"], ",")).alias("item"))
     crew_of = lambda x: F.array_join(F.transform(x["crew"], lambda c: c["slug"]), ",")
-    return boards.union([top, _flat(df, "slug", "ref_splits", lambda x: _told(x["ref_slug"], x["ref_name"], x["n_games"])),
+    return boards.union([top, _flat(df, "slug", "ref_splits", lambda x: _told(*[x[c] for c in ("ref_slug", "ref_name", "n_games", *splits)])),
         _flat(df, "slug", "top_games", lambda x: _told(x["game_id"], x["pts"], crew_of(x)))])
 
 

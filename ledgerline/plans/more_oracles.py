@@ -18,9 +18,10 @@ _REF_ROWS = " UNION ALL ".join(
         " JOIN supplier ON c.ref_key=CAST(s_suppkey AS VARCHAR)"
         " JOIN (SELECT ref_key, count(DISTINCT season) AS n_seasons FROM seasons GROUP BY 1) n USING (ref_key)"
         " JOIN (SELECT ref_key, max(n) FILTER (kind='RS') AS rs_n, max(n_boxscore) FILTER (kind='PO') AS po_n FROM whistle GROUP BY 1) w USING (ref_key)",
-        _list("records", "ref_key", "team_records", "games DESC, team_abbr", "concat_ws('|',team_abbr,games,wins)"),
+        _list("records", "ref_key", "team_records", "games DESC, team_abbr", "concat_ws('|',team_abbr,games,wins,losses,win_pct,home_games,home_wins,avg_margin_for_team)"),
         _list(f"({_FIRST['top_performances']})", "ref_key", "top_performances", "rank", "concat_ws('|',player_id,pts,game_id)"),
-        _list(f"({_FIRST['referee_swings']})", "ref_key", "player_swings", "rank", "concat_ws('|',slug,n_games)"),
+        _list(f"({_FIRST['referee_swings']})", "ref_key", "player_swings", "rank",
+        "concat_ws('|',slug,n_games,pts_with_ref,pts_baseline,pts_swing,fta_swing,pf_swing)"),
         _list(f"({_FIRST['notable_games']})", "ref_key", "notable_games", "game_date DESC, game_id", "concat_ws('|',game_id,round)"),
         _list(f"({_FIRST['crewmates']})", "ref_key", "top_partners", "rank", "concat_ws('|',partner,games)"),
     ]
@@ -31,7 +32,7 @@ _PLAYER_ROWS = " UNION ALL ".join(
         "SELECT player_id AS slug, 'summary' AS section, 0 AS place, concat_ws('|',player_id,count(DISTINCT game_id),min(season),max(season),array_to_string(list_sort(list(DISTINCT team_abbr)),','),array_to_string(list_sort(list(DISTINCT era)),',')) AS item"
         " FROM logs JOIN games USING (game_id) WHERE player_id IN (SELECT slug FROM swings) GROUP BY 1",
         _list("swings JOIN supplier ON ref_key=CAST(s_suppkey AS VARCHAR)", "slug", "ref_splits", "n_games DESC, ref_key",
-        "concat_ws('|',ref_key,s_name,n_games)"),
+        "concat_ws('|',ref_key,s_name,n_games," + ",".join(f"{c}_{x}" for c in ("pts", "reb", "ast") for x in ("with_ref", "baseline", "swing")) + ")"),
         "SELECT slug, 'top_games', rank-1, concat_ws('|',game_id,pts,crew) FROM (SELECT *, player_id AS slug FROM (" + _FIRST["player_top_games"] + ")) JOIN (SELECT game_id, string_agg(ref_key,',' ORDER BY row_order) AS crew FROM crew GROUP BY 1) USING (game_id) WHERE slug IN (SELECT slug FROM swings)",
         
     ]

@@ -176,6 +176,7 @@ def sql(body: str) -> str:
 
 ORACLES = {
     "player_swings": "SELECT * FROM swings",
+    "bucketed_swings": "SELECT * FROM swings",
     "referee_swings": """SELECT ref_key, slug, n_games, pts_with_ref, pts_baseline, pts_swing, fta_swing, pf_swing, rank
   FROM (SELECT *, row_number() OVER (PARTITION BY ref_key ORDER BY abs(pts_swing) DESC, slug) AS rank
   FROM swings)
