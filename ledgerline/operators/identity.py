@@ -56,8 +56,11 @@ def within_two_edits(keys: DataFrame) -> DataFrame:
     of what they have in common. So two keys are that near just if what is left of them is the same
     and they lose 0 and 1 or 0 and 2 letters, one each, one and two with a gap in common, or two each
     at the same gaps. Keys meet on the hash of exactly that and on nothing shorter: whoever meets is a
-    true pair, whatever the names have in common. A key of n letters gives about 2 n^2 rows."""
-    own = keys.select("k").distinct()
+    true pair, whatever the names have in common. A key of n letters gives about 2 n^2 rows; Spark
+    takes them for as few as the keys and would send them all through the driver, so it is told to
+    sort and merge them."""
+    tasks = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = keys.select("k").distinct().repartition(tasks)  # so many tasks, however small the keys are
     one, two = _shortened(own.where("k <> ''"))
 
     def signed(df: DataFrame, tag: int, *by) -> DataFrame:
@@ -66,7 +69,7 @@ def within_two_edits(keys: DataFrame) -> DataFrame:
     left = signed(own, 0, "k").unionByName(signed(one, 1, "s")).unionByName(signed(one, 2, "s", "g")).unionByName(signed(two, 3, "s", "g", "h"))
     right = signed(one, 0, "s").unionByName(signed(two, 0, "s")).unionByName(signed(one, 1, "s")).unionByName(signed(two, 2, "s", "g"))
     right = right.unionByName(signed(two, 2, "s", F.col("h").alias("g"))).unionByName(signed(two, 3, "s", "g", "h"))
-    met = left.withColumnRenamed("k", "a").join(right.withColumnRenamed("k", "b"), "t").where("a <> b")
+    met = left.withColumnRenamed("k", "a").join(right.withColumnRenamed("k", "b").hint("merge"), "t").where("a <> b")
     pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     return pairs.where(F.levenshtein("a", "b", 2) >= 0)  # hashes may meet by chance
 

@@ -48,3 +48,9 @@ def test_long_keys_nulls_and_repeated_keys(spark):
     got = {tuple(r) for r in identity.near_duplicates(spark.createDataFrame(rows, "ref_key string")).collect()}
     near = "edit-distance<=2"
     assert {p for p in got if p[2] == near} == {("", "ab", near), ("ab", "abc", near), (long, long[:-2] + "yz", near), (long, long + "q", near)}
+
+
+def test_what_is_left_of_the_keys_never_goes_through_the_driver(spark, tmp_path):
+    spark.createDataFrame([("ab",), ("abc",)], "k string").write.parquet(f"{tmp_path}/keys")
+    keys = spark.read.parquet(f"{tmp_path}/keys")  # a file's size is known, and small
+    assert "BroadcastExchange" not in identity.within_two_edits(keys)._jdf.queryExecution().executedPlan().toString()
