@@ -18,6 +18,8 @@ from ..operators import profiles
 from ..sources import layout
 
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+#: So many lines a task holds at most, about, when they meet by order or game.
+LINES_A_TASK = 500_000
 
 
 class Analog:
@@ -35,6 +37,16 @@ class Analog:
     def _team(key):
         return F.concat(F.lit("T"), F.lpad(F.col(key).cast("string"), 2, "0"))
 
+    @cached_property
+    def tasks(self) -> int:
+        """Over how many tasks lines are dealt, so that what a task holds doesn't grow with the tables. Their
+        number is in the files' footers."""
+        return max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-self.table("lineitem").count() // LINES_A_TASK))
+
+    def by_game(self, df: DataFrame) -> DataFrame:
+        """df dealt by game: what groups or joins it by game next shuffles it no more."""
+        return df.repartition(self.tasks, "game_id")
+
     @cached_property
     def orders(self) -> DataFrame:
         """Orders with their game id."""
@@ -43,7 +55,7 @@ class Analog:
     @cached_property
     def lines(self) -> DataFrame:
         place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER))
-        return self.table("lineitem").join(self.table("supplier").select("s_suppkey", "s_name", "s_nationkey"),
+        return self.table("lineitem").repartition(self.tasks, "l_orderkey").join(self.table("supplier").select("s_suppkey", "s_name", "s_nationkey"),
             F.col("l_suppkey") == F.col("s_suppkey")).withColumn("row_order", place)
 
     @cached_property
@@ -88,11 +100,16 @@ class Analog:
 
     @cached_property
     def crew(self) -> DataFrame:
-        own = crews.without_alternates(self.officials)
+        own = crews.without_alternates(self.by_game(self.officials))
         return own.withColumn("era", X.era("game_id")).withColumn("ref_key", F.col("official_id")).withColumn("display", F.col("official_name"))
 
     @cached_property
     def logs(self) -> DataFrame:
+        return self.by_game(self.loose_logs)
+
+    @cached_property
+    def loose_logs(self) -> DataFrame:
+        """The same, not dealt by game."""
         whole = lambda c: F.round(F.col(c) * 100).cast("double")
         return self.branded.select(
             "game_id", F.col("p_brand").alias("player_id"), F.col("p_brand").alias("player_name"),
@@ -125,12 +142,15 @@ class Laid(Analog):
     """The same tables for queries that read them many times: lines, games and crews are written once, in
     buckets by game, so that whatever joins them by game or groups them by it needs no shuffle."""
 
+    def by_game(self, df: DataFrame) -> DataFrame:
+        return df
+
     @cached_property
     def played(self) -> DataFrame:
         rows = self.lines.join(self.orders.select("o_orderkey", "game_id"), F.col("l_orderkey") == F.col("o_orderkey"))
         rows = rows.join(self.table("part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"), "left")
         return layout.bucketed(rows.select("game_id", "l_orderkey", "l_suppkey", "s_name", "s_nationkey", "row_order", "l_extendedprice", "l_partkey",
-            "l_quantity", "l_discount", "l_tax", "l_linenumber", "p_partkey", "p_brand"), "game_id", "lines")
+            "l_quantity", "l_discount", "l_tax", "l_linenumber", "p_partkey", "p_brand"), "game_id", "lines", self.tasks)
 
     @cached_property
     def branded(self) -> DataFrame:
@@ -141,11 +161,11 @@ class Laid(Analog):
 
     @cached_property
     def games(self) -> DataFrame:
-        return layout.bucketed(super().games, "game_id", "games")
+        return layout.bucketed(super().games, "game_id", "games", self.tasks)
 
     @cached_property
     def crew(self) -> DataFrame:
-        return layout.bucketed(super().crew, "game_id", "crew", placed=True)
+        return layout.bucketed(super().crew, "game_id", "crew", self.tasks, placed=True)
 
     @cached_property
     def swings(self) -> DataFrame:

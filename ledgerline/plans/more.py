@@ -137,7 +137,7 @@ def extracted_games(t: Analog) -> DataFrame:
 
 
 def extracted_logs(t: Analog) -> DataFrame:
-    rows = t.logs.select(F.col("game_id").alias("GAME_ID"),
+    rows = t.loose_logs.select(F.col("game_id").alias("GAME_ID"),
         F.concat_ws(".", F.regexp_extract("player_id", "([0-9]+)", 1), F.lit("0")).alias("PLAYER_ID"),
         F.concat(F.lit(" "), "player_name").alias("PLAYER_NAME"), F.col("min").cast("string").alias("MIN"),
         F.col("pts").cast("string").alias("PTS"), F.when(F.col("reb") > 2, F.col("reb").cast("string")).otherwise("none").alias("REB"))
@@ -294,7 +294,7 @@ def directory_rows(t: Analog) -> DataFrame:
 
 
 def players_without_splits(t: Analog) -> DataFrame:
-    players = t.logs.select(F.col("player_id").alias("slug")).distinct().unionByName(t.table("customer").select(F.col("c_name").alias("slug")))
+    players = t.loose_logs.select(F.col("player_id").alias("slug")).distinct().unionByName(t.table("customer").select(F.col("c_name").alias("slug")))
     swing = profiles.swings(t.crew, t.logs, t.games)
     return quality.without_splits(players, profiles.player_splits(swing).select("slug").distinct())
 
@@ -409,7 +409,7 @@ QUERIES: dict[str, Callable[[Analog], DataFrame]] = {
     "value_report": lambda t: reports.value_report(t.table("part"), "p_type"),
     "value_report_few": lambda t: reports.value_report(t.table("orders"), "o_orderpriority"),
     "team_code_report": lambda t: reports.team_code_report(t.table("orders").select(_pick(F.col("o_orderkey"), "GS", "BOS", "", "zz", "no").alias("c")), "c"),
-    "run_counters": lambda t: reports.run_counters(t.games, t.officials, t.logs),
+    "run_counters": lambda t: reports.run_counters(t.games, t.officials, t.loose_logs),
     "seeded_sample": seeded_sample,
     "spot_check": spot_check,
     "nan_check": nan_check,

@@ -45,3 +45,13 @@ def test_null_keys_empty_tables_and_one_file_a_bucket(spark):
     assert len(back.inputFiles()) <= 3
     assert layout.bucketed(rows.where("v > 9"), "k", "none").isEmpty()
     assert layout.written(rows, "small").exceptAll(rows).isEmpty()
+
+
+def test_lines_are_dealt_over_more_tasks_the_more_there_are(spark, monkeypatch):
+    """Totals by game and team meet by game alone, with as many tasks as the lines call for."""
+    monkeypatch.setattr("ledgerline.plans.analog.LINES_A_TASK", 250, raising=False)
+    tasks = -(-spark.read.parquet(f"{SF}/lineitem.parquet").count() // 250)
+    t = Analog(spark, SF)
+    told = t.crew.join(profiles.game_totals(t.logs), "game_id")._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(rf"hashpartitioning\(game_id#\d+, {tasks}\)", told)) == 2 and "team_abbr#" in told
+    assert not re.search(r"hashpartitioning\(game_id#\d+, team_abbr", told)
