@@ -165,11 +165,20 @@ def player_games(logs: DataFrame, games: DataFrame) -> DataFrame:
     return logs.join(meta, "game_id").withColumn("opp_abbr", opponent).withColumn("seg_id", F.concat_ws(":", "era", "player_id"))
 
 
-def top_performances(crew: DataFrame, logs: DataFrame, games: DataFrame, top: int = S.TOP_PERFORMANCES) -> DataFrame:
+def top_performances(crew: DataFrame, logs: DataFrame, games: DataFrame, top: int = S.TOP_PERFORMANCES, send_bounds: bool = False) -> DataFrame:
     """The best scores under each official, play-in games too. A game's rows are cut to the
-    best of each game before the crew triples them: no more can count."""
-    rows = ranked(player_games(logs, games), ["game_id"], [F.desc("pts"), "player_id", "team_abbr", "reb", "ast", "pf", "fta"], top).drop("rank")
-    under = crew.select("ref_key", "game_id").join(rows, "game_id")
+    best of each game before the crew triples them: no more can count.
+
+    send_bounds: of an official's games, those with the highest best scores are looked for first; as each
+    best score is a row of its own, no row below the last of these can count, and it isn't shuffled. That
+    bound, a row for each official, is sent to all tasks."""
+    own, whose = player_games(logs, games), crew.select("ref_key", "game_id")
+    rows = ranked(own, ["game_id"], [F.desc("pts"), "player_id", "team_abbr", "reb", "ast", "pf", "fta"], top).drop("rank")
+    under = whose.join(rows, "game_id")
+    if send_bounds:
+        highest = whose.join(own.groupBy("game_id").agg(F.max("pts").alias("least")), "game_id")
+        bounds = ranked(highest, ["ref_key"], [F.desc("least")], top).where(F.col("rank") == top).select("ref_key", "least")
+        under = under.join(F.broadcast(bounds), "ref_key", "left").where("least is null or pts >= least").drop("least")
     best = ranked(under, ["ref_key"], [F.desc("pts"), "game_date", "game_id", "player_id", "team_abbr", "reb", "ast", "pf", "fta"], top)
     return best.select("ref_key", "rank", "player_id", F.col("pts").cast("long").alias("pts"), "team_abbr", "opp_abbr", "game_date", "game_id", "seg_id")
 
