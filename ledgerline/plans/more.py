@@ -25,7 +25,7 @@ def _names(t: Analog) -> DataFrame:
 
 
 def _careers(t: Analog) -> DataFrame:
-    return profiles.careers(t.crew, t.games, CURRENT)
+    return profiles.careers(t.crew, t.schedule, CURRENT)
 
 
 # scalar rules --------------------------------------------------------------------
@@ -74,7 +74,7 @@ def season_calendar(t: Analog) -> DataFrame:
 
 
 def formatted_gaps(t: Analog) -> DataFrame:
-    per = profiles.seasons(t.crew, t.games).groupBy("ref_key").agg(F.array_sort(F.collect_set("season")).alias("s"))
+    per = profiles.seasons(t.crew, t.schedule).groupBy("ref_key").agg(F.array_sort(F.collect_set("season")).alias("s"))
     more = F.when(F.col("ref_key").cast("int") % 2 == 0, F.array(F.lit("2012-13"))).otherwise(F.array().cast("array<string>"))
     return per.select("ref_key", serve.gap_phrase(F.concat("s", more)).alias("phrase"))
 
@@ -232,15 +232,17 @@ def summary_officials(t: Analog) -> DataFrame:
 
 
 def league_logs(t: Analog) -> DataFrame:
-    rows = t.logs.join(t.games.select("game_id", "season", "kind"), "game_id")
+    rows = t.logs.join(t.schedule.select("game_id", "season", "kind"), "game_id")
     cells = F.array(F.col("game_id"), F.col("player_id"), F.col("team_abbr"), F.col("pts").cast("long").cast("string"))
     tables = rows.groupBy("season", "kind", "game_id").agg(F.collect_list(cells).alias("rowSet"))
     table = F.struct(F.lit("LeagueGameLog").alias("name"),
         F.array(*[F.lit(h) for h in ("GAME_ID", "PLAYER_ID", "TEAM_ABBREVIATION", "PTS")]).alias("headers"), "rowSet")
     payloads = tables.select("season", "kind", F.to_json(F.struct(F.array(table).alias("resultSets"))).alias("json"))
     found = feed.league_log_rows(payloads)
-    return found.groupBy("season", "kind", "player_id").agg(F.count("*").alias("rows"), F.countDistinct("game_id").alias("games"),
-        F.sum(F.col("pts").cast("long")).alias("pts"), F.count_if(F.col("stl") == "").alias("no_stl"))
+    per = found.groupBy("season", "kind", "player_id", "game_id").agg(F.count("*").alias("rows"), F.sum(F.col("pts").cast("long")).alias("pts"),
+        F.count_if(F.col("stl") == "").alias("no_stl"))
+    return per.groupBy("season", "kind", "player_id").agg(F.sum("rows").alias("rows"), F.count("game_id").alias("games"), F.sum("pts").alias("pts"),
+        F.sum("no_stl").alias("no_stl"))
 
 
 def wanted_logs(t: Analog) -> DataFrame:
@@ -260,9 +262,9 @@ def key_search(t: Analog) -> DataFrame:
 
 def entity_swings(t: Analog) -> DataFrame:
     """Brands of one maker as one player of several ids."""
-    ids = t.logs.join(t.games.select("game_id", "era"), "game_id").select(F.concat_ws(":", "era", "player_id").alias("seg_id"),
+    ids = t.logs.join(t.schedule.select("game_id", "era"), "game_id").select(F.concat_ws(":", "era", "player_id").alias("seg_id"),
         F.substring("player_id", 1, 7).alias("slug")).distinct()
-    return profiles.swings(t.crew, t.logs, t.games, ids.withColumn("display", F.upper("slug"))).select("ref_key", "slug", "name",
+    return profiles.swings(t.crew, t.logs, t.schedule, ids.withColumn("display", F.upper("slug"))).select("ref_key", "slug", "name",
         "player_id", "n_games", "pts_with_ref", "pts_baseline", "pts_swing")
 
 
@@ -295,7 +297,7 @@ def directory_rows(t: Analog) -> DataFrame:
 
 def players_without_splits(t: Analog) -> DataFrame:
     players = t.loose_logs.select(F.col("player_id").alias("slug")).distinct().unionByName(t.table("customer").select(F.col("c_name").alias("slug")))
-    swing = profiles.swings(t.crew, t.logs, t.games)
+    swing = profiles.swings(t.crew, t.logs, t.schedule)
     return quality.without_splits(players, profiles.player_splits(swing).select("slug").distinct())
 
 
@@ -364,7 +366,7 @@ def leaderboard_document(t: Analog) -> DataFrame:
     """The boards' document, those of counts and those of rates (in hundredths), read back from its JSON."""
     from . import catalog
 
-    counts = boards.count_boards(_careers(t), profiles.seasons(t.crew, t.games), CURRENT)
+    counts = boards.count_boards(_careers(t), profiles.seasons(t.crew, t.schedule), CURRENT)
     rows = counts.unionByName(boards.rate_boards(catalog._whistle(t), LEAST))
     document = boards.board_document(rows, _names(t), LEAST, CURRENT)
     of_counts = [*boards.COUNTS, "most_career_games_active", "most_games_current_season"]
