@@ -244,15 +244,16 @@ def official_rows(summaries: DataFrame) -> DataFrame:
     lists = json_search.found_lists(summaries.select("game_id", "json"), "officials")
     first = F.struct((~F.lower("path").contains("gameinfo")).alias("other"), "at", "value")
     best = lists.groupBy("game_id").agg(F.min(first)["value"].alias("value"))
-    items = best.select("game_id", F.posexplode(F.from_json("value", "array<string>")).alias("place", "item"))
-    own = F.from_json("item", "displayName string, fullName string, name string, id string, personId string, jersey string, jerseyNum string")
-    rows = items.select("game_id", (F.col("place") + 1).alias("n"), own.alias("p"))
+    # parsed within the list, so that what asks for a person's values later doesn't parse the person again
+    own = lambda item: F.from_json(item, "displayName string, fullName string, name string, id string, personId string, jersey string, jerseyNum string")
+    rows = best.select("game_id", F.posexplode_outer(F.transform(F.from_json("value", "array<string>"), own)).alias("place", "p"))
+    rows = rows.select("game_id", (F.col("place") + 1).alias("n"), "p")
     full = lambda *cs: F.trim(F.coalesce(*[F.nullif(F.col(f"p.{c}"), F.lit("")) for c in cs], F.lit("")))
     rows = rows.select("game_id", F.col("n").alias("row_order"), full("displayName", "fullName", "name").alias("official_name"),
         full("id", "personId").alias("pid"), X.clean_id(full("jersey", "jerseyNum")).alias("jersey_num"))
     ident = F.when(F.col("pid") != "", F.concat(F.lit("espn-athlete:"), "pid")).when(F.col("official_name") != "",
         F.concat(F.lit("espn:"), X.feed_slug("official_name"))).otherwise("")
-    return rows.withColumn("official_id", ident).where("official_id <> '' or official_name <> ''").select("game_id", "official_id",
+    return rows.where("pid <> '' or official_name <> ''").withColumn("official_id", ident).select("game_id", "official_id",
         "official_name", "jersey_num", "row_order")
 
 

@@ -103,3 +103,20 @@ def test_the_first_list_as_written_counts(spark):
     df = spark.createDataFrame([(k, json.dumps(v)) for k, v in cases.items()], "game_id string, json string")
     told = {(r.game_id, r.row_order, r.official_name, r.official_id) for r in feed.official_rows(df).collect()}
     assert told == {("1", 1, "A", "espn:a"), ("2", 1, "B", "espn:b"), ("3", 1, "C", "espn:c"), ("3", 4, "", "espn-athlete:7")}
+
+
+def test_few_brackets_are_counted_and_many_followed(spark):
+    """No text is searched less deep than its last marker stands; texts that aren't JSON ask for no levels."""
+    cases = {'{"a": {"officials": [{"b": 1}]}}': 2, '{"a": {"officials": 1}, "b": [[[{"officials": [{}]}]]]}': 5, '{"a": "[[[", "officials": [{}]}': 1,
+        "[" * 900 + '"officials"': 0, '{"a": [[[[{"\\u006ffficials": [{}]}]]]]}': 8}
+    for text, least in cases.items():
+        df = spark.createDataFrame([(text,)], "t string")
+        got = json_search._levels(df, df.t, ['"officials"'])
+        assert least <= got <= least + json_search.FEW_LEVELS, (text, got)
+
+
+def test_persons_are_parsed_once_and_no_variant_is_made_for_plain_texts(spark):
+    df = spark.createDataFrame([("1", '{"gameInfo": {"officials": [{"id": 4}]}}')], "game_id string, json string")
+    told = feed.official_rows(df).groupBy("game_id").count()._jdf.queryExecution().optimizedPlan().toString()
+    assert told.count("displayName,StringType") <= 1
+    assert "CASE WHEN ((Contains" in told or "CASE WHEN (((Contains" in told
