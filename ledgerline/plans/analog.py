@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as X
@@ -18,14 +18,16 @@ from ..operators import profiles
 from ..sources import layout
 
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
-#: What officials' rows and players' box scores take of a line, beside its place.
-CREW_FIELDS, LOG_FIELDS = ("l_suppkey", "s_name"), ("s_nationkey", "l_partkey", "l_quantity", "l_discount", "l_tax", "l_linenumber")
+#: What an order's row lists of its crew.
+CREW_LISTS = ("row_order", "l_suppkey", "s_name")
 #: So many lines a task holds at most, about, when they meet by order or game.
 LINES_A_TASK = 500_000
 #: Of more officials, no row for each is sent to all tasks.
 OFFICIALS_SENT = 2_000_000
 #: Of more parts, brands aren't sent to all tasks, but meet the lines by part.
 PARTS_SENT = 3_000_000
+#: Of more season means, no row for each is sent to all tasks.
+MEANS_SENT = 500_000
 
 
 class Analog:
@@ -44,7 +46,7 @@ class Analog:
 
     @staticmethod
     def _team(key):
-        return F.concat(F.lit("T"), F.lpad(F.col(key).cast("string"), 2, "0"))
+        return F.concat(F.lit("T"), F.lpad(X.col(key).cast("string"), 2, "0"))
 
     @cached_property
     def tasks(self) -> int:
@@ -64,6 +66,12 @@ class Analog:
             conf.set("ledgerline.partitions", f"{self.tasks},{before}")
             conf.set("spark.sql.shuffle.partitions", str(self.tasks))
 
+    @cached_property
+    def few_means(self) -> bool:
+        """Can a row for each player, season and kind be sent to all tasks? Brands and years bound their number."""
+        brands = self.table("part").select("p_brand").distinct().count()
+        return brands * self.table("orders").select(F.year("o_orderdate")).distinct().count() * 3 <= MEANS_SENT
+
     @cached_property
     def few_officials(self) -> bool:
         """Can a row for each official be sent to all tasks?"""
@@ -111,22 +119,37 @@ class Analog:
         return self._rounds(branded=True)
 
     @staticmethod
-    def _listed(rounds: DataFrame, items) -> DataFrame:
-        """game_id and lines, the array as items(lines) makes it: a game travels as one row."""
-        return rounds.where("lines is not null and game_id is not null").select("game_id", items("lines").alias("lines"))
-
-    @staticmethod
-    def _crew_lines(lines: str):
-        return F.transform(lines, lambda x, i: F.struct((i + 1).alias("row_order"), *[x[f].alias(f) for f in CREW_FIELDS]))
+    def _crew_arrays(rounds: DataFrame) -> list[Column]:
+        """Of an order's lines those that a game's crew can come from, a list for each column: the first of each of
+        the first officials as written, for no other line's official can be among the first of the whole game."""
+        ids, names = F.col("lines")["l_suppkey"], F.col("lines")["s_name"]
+        first = F.slice(F.array_distinct(ids), 1, crews.CREW_SIZE)
+        return [F.transform(first, lambda k: F.array_position(ids, k).cast("int")).alias("row_order"), first.alias("l_suppkey"),
+            F.transform(first, lambda k: F.get(names, (F.array_position(ids, k) - 1).cast("int"))).alias("s_name")]
 
     @staticmethod
-    def _log_lines(lines: str):
-        of_part = lambda x, i: F.transform(x["brands"], lambda b: F.struct((i + 1).alias("row_order"), *[x[f].alias(f) for f in LOG_FIELDS], b["p_brand"].alias("p_brand")))
-        return F.flatten(F.transform(lines, of_part))
+    def _scores(lines: str) -> Column:
+        """An order's box score, a struct for each line and brand of its part: what players' rows are made of."""
+        whole = lambda c: F.round(c * 100).cast("double")
+        of = lambda x: lambda b: F.struct(b["p_brand"].alias("p_brand"), x["s_nationkey"].alias("s_nationkey"), x["l_quantity"].alias("pts"),
+            whole(x["l_discount"]).alias("reb"), whole(x["l_tax"]).alias("ast"), (x["l_partkey"] % 11).cast("int").alias("fta"), x["l_linenumber"].alias("pf"))
+        return F.flatten(F.transform(lines, lambda x: F.transform(x["brands"], of(x))))
+
+    def _dealt(self, rounds: DataFrame, crew: bool = False, names: bool = False, scores: bool = False, officials: bool = False) -> DataFrame:
+        """game_id and one, an array of one struct: what is asked for of an order's lines, dealt by game. An array, as
+        columns and structs would be pruned for each use, and each use would shuffle its own."""
+        rows = rounds.where("lines is not null and game_id is not null")
+        own = self._crew_arrays(rows)[:3 if names else 2] if crew else []
+        if officials:
+            own = [F.col("lines")["l_suppkey"].alias("l_suppkey"), F.col("lines")["s_name"].alias("s_name")]
+        one = F.struct(*own, *([self._scores("lines").alias("scores")] if scores else []))
+        return self.by_game(rows.select("game_id", F.array(one).alias("one")))
 
     @staticmethod
-    def _each(listed: DataFrame) -> DataFrame:
-        return listed.select("game_id", F.inline_outer("lines")).where("row_order is not null")  # plain inline asks for the array's size before the shuffle
+    def _each(dealt: DataFrame, *fields: str) -> DataFrame:
+        """A row for each item of the given lists, or of a list of structs."""
+        items = F.get(F.transform("one", lambda o: F.arrays_zip(*[o[f] for f in fields]) if len(fields) > 1 else o[fields[0]]), F.lit(0))
+        return dealt.select("game_id", F.explode_outer(items).alias("x")).where("x is not null").select("game_id", "x.*")  # plain explode asks for the array's size before the shuffle
 
     @cached_property
     def games(self) -> DataFrame:
@@ -159,31 +182,48 @@ class Analog:
 
     @cached_property
     def officials(self) -> DataFrame:
-        return self._officials(self._each(self._listed(self.rounds, self._crew_lines)))
+        lines = F.transform("lines", lambda x, i: F.struct((i + 1).alias("row_order"), x["l_suppkey"].alias("l_suppkey"), x["s_name"].alias("s_name")))
+        rows = self.rounds.where("lines is not null and game_id is not null").select("game_id", F.explode_outer(lines).alias("x"))
+        return self._officials(rows.where("x is not null").select("game_id", "x.*"))
 
     @cached_property
     def crew(self) -> DataFrame:
-        own = crews.without_alternates(self._officials(self._each(self.by_game(self._listed(self.rounds, self._crew_lines)))))
-        return own.withColumn("era", X.era("game_id")).withColumn("ref_key", F.col("official_id")).withColumn("display", F.col("official_name"))
+        return self._crew(self._each(self._dealt(self.rounds, crew=True, names=True), "row_order", "l_suppkey", "s_name"))
+
+    def _crew(self, lines: DataFrame) -> DataFrame:
+        if "s_name" in lines.columns:
+            own = crews.without_alternates(self._officials(lines)).withColumn("display", F.col("official_name"))
+        else:
+            own = crews.without_alternates(lines.select("game_id", F.col("l_suppkey").cast("string").alias("official_id"), "row_order"))
+        return own.withColumn("era", X.era("game_id")).withColumn("ref_key", F.col("official_id"))
 
     @cached_property
     def logs(self) -> DataFrame:
-        return self._logs(self._each(self.by_game(self._listed(self.branded, self._log_lines))))
+        return self._logs(self._each(self._dealt(self.branded, scores=True), "scores"))
 
     @cached_property
     def loose_logs(self) -> DataFrame:
         """The same, not dealt by game."""
-        return self._logs(self._each(self._listed(self.branded, self._log_lines)))
-
-    def _logs(self, lines: DataFrame) -> DataFrame:
-        whole = lambda c: F.round(F.col(c) * 100).cast("double")
-        return lines.select(
-            "game_id", F.col("p_brand").alias("player_id"), F.col("p_brand").alias("player_name"),
-            self._team("s_nationkey").alias("team_abbr"), (F.col("l_quantity") * 4).alias("min"), F.col("l_quantity").alias("pts"),
-            whole("l_discount").alias("reb"), whole("l_tax").alias("ast"), (F.col("l_partkey") % 11).cast("double").alias("fta"),
-            F.col("l_linenumber").cast("double").alias("pf"),
+        rows = self.branded.where("lines is not null and game_id is not null").select("game_id", F.explode_outer(self._scores("lines")).alias("x"))
+        return self._logs(rows.where("x is not null").select("game_id", "x.*"))
+
+    def _logs(self, scores: DataFrame) -> DataFrame:
+        return scores.select(
+            "game_id", F.col("p_brand").alias("player_id"), F.col("p_brand").alias("player_name"), self._team("s_nationkey").alias("team_abbr"),
+            (F.col("pts") * 4).alias("min"), "pts", "reb", "ast", F.col("fta").cast("double").alias("fta"), F.col("pf").cast("double").alias("pf"),
         )
 
+    @cached_property
+    def boxes(self) -> DataFrame:
+        """One row for each game with officials: officials (row_order, official_id, official_name) and scores, both in no
+        order among the orders of a game."""
+        dealt = self._dealt(self.branded, officials=True, scores=True)
+        people = F.transform("one", lambda o: F.transform(F.arrays_zip(o["l_suppkey"], o["s_name"]), lambda x, i: F.struct((i + 1).alias("row_order"),
+            x["l_suppkey"].cast("string").alias("official_id"), x["s_name"].alias("official_name"))))
+        scores = F.transform("one", lambda o: o["scores"])
+        rows = dealt.groupBy("game_id").agg(F.flatten(F.collect_list("one")).alias("one"))
+        return rows.select("game_id", F.flatten(people).alias("officials"), F.flatten(scores).alias("scores"))
+
     @cached_property
     def swings(self) -> DataFrame:
         return profiles.swings(self.crew, self.logs, self.schedule)
@@ -207,25 +247,37 @@ class Analog:
 class LogsOnly(Analog):
     """The same for queries that need of all that is made of lines nothing but logs, which have no order: fewer columns travel."""
 
-    line_order = [f for f in LOG_FIELDS if f.startswith("l_")]
+    line_order = ["l_linenumber", "l_partkey", "l_quantity", "l_discount", "l_tax"]
+
+
+class Joint(Analog):
+    """The same for queries that need crews, without their names, and logs: both travel by game as one."""
+
+    @cached_property
+    def met(self) -> DataFrame:
+        return self._dealt(self.branded, crew=True, scores=True)
+
+    @cached_property
+    def crew(self) -> DataFrame:
+        return self._crew(self._each(self.met, "row_order", "l_suppkey"))
+
+    @cached_property
+    def logs(self) -> DataFrame:
+        return self._logs(self._each(self.met, "scores"))
 
 
 class Laid(Analog):
     """The same tables for queries that read them many times: lines, games and crews are written once, in
     buckets by game, so that whatever joins them by game or groups them by it needs no shuffle."""
 
-    def by_game(self, df: DataFrame) -> DataFrame:
-        return df
-
     @cached_property
     def rounds(self) -> DataFrame:
-        line = F.transform("lines", lambda x: F.struct(*[x[f].alias(f) for f in (*CREW_FIELDS, *LOG_FIELDS, "brands")]))
-        rows = self._rounds(branded=True).select("game_id", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_totalprice", "away", "away_pts", line.alias("lines"))
-        return layout.bucketed(rows, "game_id", "rounds", self.tasks)
+        rows = self._rounds(branded=True)
+        own = ["game_id", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_totalprice", "away", "away_pts"]
+        return layout.bucketed(rows.select(*own, *self._crew_arrays(rows), self._scores("lines").alias("scores")), "game_id", "rounds", self.tasks)
 
-    @property
-    def branded(self) -> DataFrame:
-        return self.rounds
+    def _stored(self, *fields: str) -> DataFrame:
+        return self._each(self.rounds.where("game_id is not null").select("game_id", F.array(F.struct(*fields)).alias("one")), *fields)
 
     @cached_property
     def games(self) -> DataFrame:
@@ -237,7 +289,11 @@ class Laid(Analog):
 
     @cached_property
     def crew(self) -> DataFrame:
-        return layout.bucketed(super().crew, "game_id", "crew", self.tasks, placed=True)
+        return layout.bucketed(self._crew(self._stored(*CREW_LISTS)), "game_id", "crew", self.tasks, placed=True)
+
+    @cached_property
+    def logs(self) -> DataFrame:
+        return self._logs(self._stored("scores"))
 
     @cached_property
     def swings(self) -> DataFrame:

@@ -11,7 +11,7 @@ from ..functions import scalars as X
 from ..operators import boards, crew, documents, identity, merge, playoffs, profiles, quality
 from ..sources import named_files, shared
 from . import more, more_oracles, oracles, stored
-from .analog import Analog, Laid, LogsOnly
+from .analog import Analog, Joint, Laid, LogsOnly
 
 CURRENT = "2000-01"
 #: The rate boards' least games, at the scale of the test tables.
@@ -24,7 +24,8 @@ def _text(df: DataFrame, *arrays: str) -> DataFrame:
 
 
 def _swings(t: Analog) -> DataFrame:
-    return profiles.swings(t.crew, t.logs, t.schedule)
+    """For queries that show neither seasons nor names: numbers alone are summed, so means that are few meet the rows first."""
+    return profiles.swings(t.crew, t.logs, t.schedule, send_means=t.few_means)
 
 
 def _segments(t: Analog) -> DataFrame:
@@ -239,7 +240,7 @@ _QUERIES: dict[str, Callable[[Analog], DataFrame]] = {
     "player_swings": lambda t: _swings(t).drop("name", "player_id", "seasons"),
     "bucketed_swings": lambda t: _swings(t).drop("name", "player_id", "seasons"),
     "referee_swings": lambda t: profiles.referee_swings(_swings(t)),
-    "player_splits": lambda t: _text(profiles.player_splits(_swings(t)), "seasons"),
+    "player_splits": lambda t: _text(profiles.player_splits(t.swings), "seasons"),
     "crew_first3": lambda t: t.crew.select("game_id", "official_id", "rank_in_game"),
     "crew_distribution": lambda t: crew.size_histogram(t.crew),
     "crew_arrays": lambda t: crew.crew_arrays(t.crew).select("game_id",
@@ -310,6 +311,8 @@ _QUERIES: dict[str, Callable[[Analog], DataFrame]] = {
 
 #: Queries that read lines, games and crews several times, and so lay them out by game first.
 _LAID = {"bucketed_swings", "ref_view_reconcile", "search_index", "ref_document", "player_document", "ref_document_rows", "player_document_rows"}
+#: Queries over crews and box scores that show no official's name.
+_JOINT = {"player_swings", "referee_swings", "player_splits", "entity_swings", "players_without_splits", "top_performances"}
 #: Queries that read no lines but as box scores.
 _LOGS = {"league_logs", "team_game_totals", "game_totals_ot", "player_baselines", "extracted_logs"}
 #: Others whose groups grow with the lines.
@@ -329,7 +332,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
     every = _QUERIES | more.QUERIES
     dealt = {every[name] for name in _LAID | _DEALT}
-    return {name: bound(f, Laid if name in _LAID else LogsOnly if name in _LOGS else Analog) for name, f in (_QUERIES | more.QUERIES | stored.QUERIES).items()}
+    kinds = {Laid: _LAID, Joint: _JOINT, LogsOnly: _LOGS}
+    return {name: bound(f, next((k for k, names in kinds.items() if name in names), Analog)) for name, f in (_QUERIES | more.QUERIES | stored.QUERIES).items()}
 
 
 def oracle_sql() -> dict[str, str]:

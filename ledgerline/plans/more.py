@@ -176,22 +176,21 @@ def feed_games(t: Analog) -> DataFrame:
 
 
 def _summaries(t: Analog) -> DataFrame:
-    """game_id, json: officials in written order, and box scores, as the feed gives them."""
-    people = F.struct("row_order", F.struct(F.col("official_name").alias("displayName"),
-        F.when(F.col("row_order") % 2 == 0, F.col("official_id")).alias("id"),
-        F.concat(F.col("row_order").cast("string"), F.lit(".0")).alias("jersey")).alias("p"))
-    officials = t.officials.groupBy("game_id").agg(F.transform(F.array_sort(F.collect_list(people)), lambda x: x["p"]).alias("officials"))
-    whole = lambda c: F.col(c).cast("long").cast("string")
-    shots = F.concat_ws("-", whole("fta"), whole("pf"))
-    athlete = F.struct((F.col("pts") % 7 == 0).alias("didNotPlay"),
-        F.struct(F.col("player_id").alias("id"), F.col("player_name").alias("displayName")).alias("athlete"),
-        F.array(whole("min"), shots, whole("pts"), whole("reb")).alias("stats"))
-    teams = t.logs.groupBy("game_id", "team_abbr").agg(F.collect_list(athlete).alias("athletes"))
-    group = F.struct(F.array(*[F.lit(h) for h in ("MIN", "FG", "PTS", "REB")]).alias("names"), F.col("athletes"))
-    box = teams.groupBy("game_id").agg(F.collect_list(F.struct(F.struct(F.col("team_abbr").alias("id"),
-        F.col("team_abbr").alias("abbreviation")).alias("team"), F.array(group).alias("statistics"))).alias("players"))
-    both = officials.join(box, "game_id")
-    return both.select("game_id", F.to_json(F.struct(F.struct("officials").alias("gameInfo"), F.struct("players").alias("boxscore"))).alias("json"))
+    """game_id, json: officials in written order, and box scores, as the feed gives them. A game is a row with its lists
+    from the start; none is taken apart and collected again."""
+    person = lambda x: F.struct(x["official_name"].alias("displayName"), F.when(x["row_order"] % 2 == 0, x["official_id"]).alias("id"),
+        F.concat(x["row_order"].cast("string"), F.lit(".0")).alias("jersey"))
+    whole = lambda c: c.cast("long").cast("string")
+    athlete = lambda x: F.struct((x["pts"] % 7 == 0).alias("didNotPlay"),
+        F.struct(x["p_brand"].alias("id"), x["p_brand"].alias("displayName")).alias("athlete"),
+        F.array(whole(x["pts"] * 4), F.concat_ws("-", whole(x["fta"]), whole(x["pf"])), whole(x["pts"]), whole(x["reb"])).alias("stats"))
+    heads = F.array(*[F.lit(h) for h in ("MIN", "FG", "PTS", "REB")])
+    team = lambda scores: lambda k: F.struct(F.struct(t._team(k).alias("id"), t._team(k).alias("abbreviation")).alias("team"),
+        F.array(F.struct(heads.alias("names"), F.transform(F.filter(scores, lambda x: x["s_nationkey"].eqNullSafe(k)), athlete).alias("athletes"))).alias("statistics"))
+    scores = F.col("scores")
+    rows = t.boxes.where("size(scores) > 0").select("game_id", F.transform(F.array_sort("officials"), person).alias("officials"),
+        F.transform(F.array_distinct(scores["s_nationkey"]), team(scores)).alias("players"))
+    return rows.select("game_id", F.to_json(F.struct(F.struct("officials").alias("gameInfo"), F.struct("players").alias("boxscore"))).alias("json"))
 
 
 def _stored_summaries(t: Analog) -> DataFrame:
@@ -296,7 +295,7 @@ def directory_rows(t: Analog) -> DataFrame:
 
 
 def players_without_splits(t: Analog) -> DataFrame:
-    players = t.loose_logs.select(F.col("player_id").alias("slug")).distinct().unionByName(t.table("customer").select(F.col("c_name").alias("slug")))
+    players = t.logs.select(F.col("player_id").alias("slug")).distinct().unionByName(t.table("customer").select(F.col("c_name").alias("slug")))
     swing = profiles.swings(t.crew, t.logs, t.schedule)
     return quality.without_splits(players, profiles.player_splits(swing).select("slug").distinct())
 

@@ -2,7 +2,7 @@
 
 import re
 
-from ledgerline.operators import profiles
+from ledgerline.operators import crew, profiles
 from ledgerline.plans import analog, catalog
 from ledgerline.plans.analog import Analog
 
@@ -71,3 +71,21 @@ def test_parts_that_are_many_missing_or_doubled(spark, monkeypatch, tmp_path):
     met = Analog(spark, str(tmp_path)).logs
     assert sent.count() == met.count() == lines
     assert sent.exceptAll(met).isEmpty() and met.exceptAll(sent).isEmpty()
+
+
+def test_swings_shuffle_one_sum_and_one_row_of_each_game(spark):
+    """Crews and logs travel by game as one; means that are few meet the rows where these are."""
+    told = final_plan(catalog.queries()["player_swings"](spark, SF))
+    own = [x for x in told.splitlines() if "ReusedExchange" not in x]
+    assert sum("Exchange hashpartitioning(game_id" in x and "REPARTITION" in x for x in own) == 1
+    assert not any("Exchange hashpartitioning(ref_key" in x and "season" in x for x in own)
+
+
+def test_crews_cut_before_they_travel_are_the_same(spark):
+    """Of each order's lines only its first officials are dealt by game; a game's first ones are among them."""
+    t = Analog(spark, SF)
+    plainly = crew.without_alternates(t.officials).select("game_id", "official_id", "official_name", "row_order", "rank_in_game")
+    cut = t.crew.select(plainly.columns)
+    assert cut.exceptAll(plainly).isEmpty() and plainly.exceptAll(cut).isEmpty()
+    told = t.crew._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_distinct" in told
