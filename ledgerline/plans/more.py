@@ -300,9 +300,11 @@ def players_without_splits(t: Analog) -> DataFrame:
     return quality.without_splits(players, profiles.player_splits(swing).select("slug").distinct())
 
 
-def _flat(df: DataFrame, key: str, section: str, item: Callable[[Column], Column]) -> DataFrame:
-    return df.select(key, F.lit(section).alias("section"), F.posexplode(f"d.{section}").alias("place", "x")).select(key, "section", "place",
-        item(F.col("x")).alias("item"))
+def _flat(df: DataFrame, key: str, section: str, item: Callable[[Column], Column], first: Column | None = None) -> DataFrame:
+    """first: the place of the list's first item, 0 if None."""
+    before = F.lit(0) if first is None else first
+    rows = df.select(key, F.lit(section).alias("section"), before.alias("before"), F.posexplode(f"d.{section}").alias("place", "x"))
+    return rows.select(key, "section", (F.col("before") + F.col("place")).alias("place"), item(F.col("x")).alias("item"))
 
 
 def _told(*parts: Column) -> Column:
@@ -333,20 +335,25 @@ def ref_document_rows(t: Analog) -> DataFrame:
 
 
 def player_document_rows(t: Analog) -> DataFrame:
-    """The lists of the players' documents, read back from their JSON."""
+    """The lists of the players' documents, read back from the JSON of the parts that a document is put together from, so that
+    no task parses a player's whole document."""
     from . import catalog
 
     splits = [f"{c}_{x}" for c in ("pts", "reb", "ast") for x in ("with_ref", "baseline", "swing")]
-    kind = f"""summary struct<name:string,games_total:long,first_season:string,last_season:string,teams:array<string>,eras:array<string>>, ref_splits array<struct<ref_slug:string,ref_name:string,n_games:long,{','.join(f'{c}:double' for c in splits)}>>,
-    top_games array<struct<pts:long,game_id:string,opp_abbr:string,crew:array<struct<name:string,slug:string>>>>"""
-    df = catalog.player_document(t).select("slug", F.from_json("document", kind).alias("d"))
-    s = F.col("d.summary")
-    top = df.select("slug", F.lit("summary").alias("section"), F.lit(0).alias("place"),
+    split = f"array<struct<ref_slug:string,ref_name:string,n_games:long,{','.join(f'{c}:double' for c in splits)}>>"
+    game = "array<struct<pts:long,game_id:string,opp_abbr:string,crew:array<struct<name:string,slug:string>>>>"
+    parts = catalog.player_parts(t)
+    told = lambda section, text, kind: parts.where(F.col("section") == section).select("slug", "piece", F.from_json(text, kind).alias(section))
+    s = F.col("summary")
+    top = told("summary", "text", "name string, games_total long, first_season string, last_season string, teams array<string>, eras array<string>").select(
+        "slug", F.lit("summary").alias("section"), F.lit(0).alias("place"),
         _told(s["name"], s["games_total"], s["first_season"], s["last_season"], F.array_join(s["teams"], ","),
         F.array_join(s["eras"], ",")).alias("item"))
     crew_of = lambda x: F.array_join(F.transform(x["crew"], lambda c: c["slug"]), ",")
-    return boards.union([top, _flat(df, "slug", "ref_splits", lambda x: _told(*[x[c] for c in ("ref_slug", "ref_name", "n_games", *splits)])),
-        _flat(df, "slug", "top_games", lambda x: _told(x["game_id"], x["pts"], crew_of(x)))])
+    items = lambda section, text, kind: told(section, text, kind).select("slug", "piece", F.struct(section).alias("d"))
+    own = _flat(items("ref_splits", F.concat(F.lit("["), "text", F.lit("]")), split), "slug", "ref_splits",
+        lambda x: _told(*[x[c] for c in ("ref_slug", "ref_name", "n_games", *splits)]), F.col("piece") * documents.PIECE)
+    return boards.union([top, own, _flat(items("top_games", F.col("text"), game), "slug", "top_games", lambda x: _told(x["game_id"], x["pts"], crew_of(x)))])
 
 
 def team_document_rows(t: Analog) -> DataFrame:
